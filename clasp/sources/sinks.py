@@ -60,7 +60,8 @@ def observe_counts(df: DataFrame, name: str, **conditions) -> tuple[DataFrame, O
 def publish_json(df: DataFrame, spec: TableSpec, key_col: str | None = None) -> None:
     """K3: one JSON message per row. ``kafka`` takes (key, value); the
     tested form writes the messages as text lines."""
-    value = F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value")
+    from clasp.streaming.sources import JSON_OPTIONS
+    value = F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_OPTIONS).alias("value")
     if spec.format == "kafka":
         cols = [value] if key_col is None else [F.col(key_col).cast("string").alias("key"), value]
         df.select(*cols).write.format("kafka").options(**spec.options).save()

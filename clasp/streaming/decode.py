@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 CORRUPT_COL = "_corrupt"
+# Accept times with or without a fraction of up to six digits.
+READ_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
 
 
 def decode_json(df: DataFrame, schema: StructType | str, value_col: str = "value",
@@ -15,7 +17,7 @@ def decode_json(df: DataFrame, schema: StructType | str, value_col: str = "value
     that is not a JSON object gives nulls in every field (PERMISSIVE); a
     field whose JSON type does not fit (``40.5`` into int) is null alone."""
     raw = F.col(value_col).cast("string")
-    parsed = df.select(*keep, raw.alias("_raw"), F.from_json(raw, schema).alias("data"))
+    parsed = df.select(*keep, raw.alias("_raw"), F.from_json(raw, schema, READ_OPTIONS).alias("data"))
     out = parsed.select(*keep, *(["_raw"] if keep_raw else []), "data.*")
     return out
 
