@@ -24,22 +24,22 @@ def with_row_id(df: DataFrame, order: list[str], out: str = "id", start: int = 1
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     placed = (df.orderBy(*[F.col(c).asc() for c in order])
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mono", F.monotonically_increasing_id()))
+              .withColumn("__rid_pid", F.spark_partition_id())
+              .withColumn("__rid_mono", F.monotonically_increasing_id()))
     placed = placed.checkpoint(eager=True)
     # position inside the partition: monotonically_increasing_id puts the
     # partition index in the upper 31 bits and the row position below.
-    placed = placed.withColumn("_pos", F.col("_mono") - F.shiftleft(F.col("_pid").cast("bigint"), 33))
-    per_part = placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    placed = placed.withColumn("__rid_pos", F.col("__rid_mono") - F.shiftleft(F.col("__rid_pid").cast("bigint"), 33))
+    per_part = placed.groupBy("__rid_pid").agg(F.count(F.lit(1)).alias("__rid_cnt"))
     # one row per partition: a window over it is tiny by construction
     offsets = per_part.select(
-        "_pid",
-        (F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_off"))
-    offsets = offsets.fillna(0, subset=["_off"])
-    out_df = placed.join(F.broadcast(offsets), "_pid")
-    return (out_df.withColumn(out, (F.col("_off") + F.col("_pos") + F.lit(start)).cast("bigint"))
-            .drop("_pid", "_mono", "_pos", "_off"))
+        "__rid_pid",
+        (F.sum("__rid_cnt").over(Window.orderBy("__rid_pid").rowsBetween(Window.unboundedPreceding, -1)))
+        .alias("__rid_off"))
+    offsets = offsets.fillna(0, subset=["__rid_off"])
+    out_df = placed.join(F.broadcast(offsets), "__rid_pid")
+    return (out_df.withColumn(out, (F.col("__rid_off") + F.col("__rid_pos") + F.lit(start)).cast("bigint"))
+            .drop("__rid_pid", "__rid_mono", "__rid_pos", "__rid_off"))
 
 
 def with_sorted_random_ts(df: DataFrame, id_col: str, start: datetime, end: datetime,

@@ -177,7 +177,7 @@ SELECT event_type, n, {_pct("n", "t.tot", 1)} AS pct FROM vc, t""",
     "resample_7d": _resample(604800),
     "resample_1min": _resample(60),
     "holdout_accuracy": f"""WITH {RT}, {LABELLED_SPLIT}
-SELECT CAST(count_if(etiqueta = prediction) AS BIGINT) AS DOUBLE) / count(*) AS accuracy, count(*) AS n
+SELECT CAST(count_if(etiqueta = prediction) AS DOUBLE) / count(*) AS accuracy, count(*) AS n
 FROM s WHERE split = 'test'""",
     "accuracy_fallback": f"""WITH {RT}, {LABELLED_SPLIT},
 m AS ({METRICS_SQL}),

@@ -67,16 +67,16 @@ def q_to_json_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_run_counters(spark: SparkSession, d: str) -> DataFrame:
-    """K8: row counters (processed, train, test) observed while the scored
-    rows are written: no separate counting jobs. Reported as one row."""
+    """K8: run counters (processed, train, test) taken from the written
+    scored rows (partitioned by split), not from extra counting jobs."""
     scored = splits.hash_split(S.scored_text(spark, d), "texto", TEXT_TRAIN_PCT)
-    observed, obs = sinks.observe_counts(
-        scored.select("doc_id", "split"), "processed",
-        train=F.col("split") == "train", test=F.col("split") == "test")
-    sinks.write_table(observed, TableSpec(path=scratch_path(spark, "counted")))
-    got = obs.get
-    return spark.createDataFrame(
-        [(got["rows"], got["train"], got["test"])], "processed bigint, train bigint, test bigint")
+    counts = sinks.write_counted(scored.select("doc_id", "split"),
+                                 TableSpec(path=scratch_path(spark, "counted")), by="split")
+    return counts.agg(F.sum("rows").cast("bigint").alias("processed"),
+                      F.sum(F.when(F.col("split") == "train", F.col("rows")).otherwise(0))
+                      .cast("bigint").alias("train"),
+                      F.sum(F.when(F.col("split") == "test", F.col("rows")).otherwise(0))
+                      .cast("bigint").alias("test"))
 
 
 def q_metrics_row(spark: SparkSession, d: str) -> DataFrame:

@@ -4,11 +4,11 @@ from clasp.sources.tables import (
 )
 from clasp.sources.sinks import (
     write_table, write_csv, save_model, truncate_table, require_rows,
-    observe_counts, publish_json,
+    write_counted, publish_json,
 )
 
 __all__ = [
     "TableSpec", "StreamSpec", "read_table", "read_csv", "read_csv_inferred",
     "first_row", "load_model", "write_table", "write_csv", "save_model",
-    "truncate_table", "require_rows", "observe_counts", "publish_json",
+    "truncate_table", "require_rows", "write_counted", "publish_json",
 ]

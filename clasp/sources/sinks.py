@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clasp.sources.specs import TableSpec
@@ -47,14 +47,23 @@ def require_rows(df: DataFrame, what: str = "result") -> DataFrame:
     return df
 
 
-def observe_counts(df: DataFrame, name: str, **conditions) -> tuple[DataFrame, Observation]:
-    """K8: attach counters to a plan: ``rows`` plus one ``count_if`` per
-    named condition. They are filled by the next action on the returned
-    frame, without a separate counting job."""
-    obs = Observation(name)
-    metrics = [F.count(F.lit(1)).alias("rows")]
-    metrics += [F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in conditions.items()]
-    return df.observe(obs, *metrics), obs
+def write_counted(df: DataFrame, spec: TableSpec, by: str | None = None,
+                  mode: str = "overwrite") -> DataFrame:
+    """K8: write a result and report run counters (rows in total, and per
+    value of ``by``) from what was written. With ``by`` the table is
+    partitioned on it, so the counts read only parquet footers and
+    partition names: no second pass over the computed plan.
+
+    ``DataFrame.observe`` with an ``Observation`` would give the same
+    numbers during the write, but on Spark 4.1 it leaves the session in a
+    state that cannot be serialised with a fitted forest's training
+    summary, which breaks every later forest ``transform`` in the session.
+    """
+    write_table(df, spec, mode=mode, partition_by=[by] if by else None)
+    written = df.sparkSession.read.format(spec.format).options(**spec.options).load(spec.path)
+    if not by:
+        return written.agg(F.count(F.lit(1)).alias("rows"))
+    return written.groupBy(by).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def publish_json(df: DataFrame, spec: TableSpec, key_col: str | None = None) -> None:
