@@ -10,7 +10,9 @@ from pyspark.ml.feature import (
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clasp.functions.text import drop_stop_words_expr, nonempty_tokens_expr
+from clasp.functions.stopwords import ENGLISH_STOP_WORDS
+from clasp.functions.text import WHITESPACE_CLASS
+from clasp.operators.partitioning import spread
 from clasp.ml.models import MAX_DEPTH, NUM_TREES, SEED, forest
 
 # Fixed value: hashed term-frequency width of the reference text pipeline.
@@ -46,23 +48,37 @@ def feature_stages(text_col: str = "texto", num_features: int = NUM_FEATURES):
 
 
 # ---- SQL forms (M1, M2, M4) -------------------------------------------------
+#
+# Tokens are exploded first and stop words removed with ``isin`` (planned
+# as a hash-set lookup), not with a per-row lambda over the word list.
+
+def _token_rows(df: DataFrame, text_col: str, keep: list[str] | tuple = (),
+                drop_stop: bool = False, stop_words: list[str] | None = None) -> DataFrame:
+    toks = F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), WHITESPACE_CLASS, -1)
+    rows = spread(df).select(*keep, F.explode(toks).alias("token")).where(F.col("token") != "")
+    if drop_stop:
+        words = [w.lower() for w in (stop_words or ENGLISH_STOP_WORDS)]
+        rows = rows.where(~F.col("token").isin(words))
+    return rows
+
 
 def token_counts(df: DataFrame, text_col: str, drop_stop: bool = False,
                  stop_words: list[str] | None = None) -> DataFrame:
     """M1/M2: how often each non-empty token occurs over all texts."""
-    toks = nonempty_tokens_expr(F.coalesce(F.col(text_col), F.lit("")))
-    if drop_stop:
-        toks = drop_stop_words_expr(toks, stop_words)
-    return (df.select(F.explode(toks).alias("token"))
+    return (_token_rows(df, text_col, drop_stop=drop_stop, stop_words=stop_words)
             .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
 
 
-def term_doc_freq(df: DataFrame, doc_col: str, text_col: str,
-                  stop_words: list[str] | None = None) -> DataFrame:
-    """Distinct (doc, term) pairs of the filtered, non-empty tokens."""
-    toks = drop_stop_words_expr(nonempty_tokens_expr(F.coalesce(F.col(text_col), F.lit(""))),
-                                stop_words)
-    return df.select(doc_col, F.explode(F.array_distinct(toks)).alias("term"))
+def term_freqs(df: DataFrame, doc_col: str, text_col: str,
+               stop_words: list[str] | None = None) -> DataFrame:
+    """(doc, term, tf) of the filtered, non-empty tokens."""
+    return (_token_rows(df, text_col, keep=[doc_col], drop_stop=True, stop_words=stop_words)
+            .withColumnRenamed("token", "term")
+            .groupBy(doc_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+
+
+def _idf(m, doc_freq: str = "doc_freq"):
+    return F.log((m + 1) / (F.col(doc_freq) + 1))
 
 
 def term_idf(df: DataFrame, doc_col: str, text_col: str, stop_words: list[str] | None = None,
@@ -70,24 +86,21 @@ def term_idf(df: DataFrame, doc_col: str, text_col: str, stop_words: list[str] |
     """M4 (term level): ``idf = ln((m + 1) / (df + 1))`` where ``m`` is the
     number of documents and ``df`` the number containing the term."""
     m = df.select(F.count(F.lit(1))).scalar()
-    dfreq = (term_doc_freq(df, doc_col, text_col, stop_words)
+    dfreq = (term_freqs(df, doc_col, text_col, stop_words)
              .groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq")))
-    return dfreq.select("term", "doc_freq",
-                        F.round(F.log((m + 1) / (F.col("doc_freq") + 1)), digits).alias("idf"))
+    return dfreq.select("term", "doc_freq", F.round(_idf(m), digits).alias("idf"))
 
 
 def tfidf_top_terms(df: DataFrame, doc_col: str, text_col: str, k: int = 3,
                     stop_words: list[str] | None = None, digits: int = 6) -> DataFrame:
     """M4 transform (term level), reported as each document's ``k``
     highest ``tf * idf`` terms (ties by term). The rank filter lets Spark
-    keep a per-task top-k before the shuffle (window group limit)."""
+    keep a per-task top-k before the shuffle (window group limit); a term
+    found in most documents is a hot join key, split by AQE skew handling."""
     m = df.select(F.count(F.lit(1))).scalar()
-    toks = drop_stop_words_expr(nonempty_tokens_expr(F.coalesce(F.col(text_col), F.lit(""))),
-                                stop_words)
-    tf = (df.select(doc_col, F.explode(toks).alias("term"))
-          .groupBy(doc_col, "term").agg(F.count(F.lit(1)).alias("tf")))
-    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
-    idf = dfreq.select("term", F.log((m + 1) / (F.col("doc_freq") + 1)).alias("_idf"))
+    tf = term_freqs(df, doc_col, text_col, stop_words)
+    idf = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
+           .select("term", _idf(m).alias("_idf")))
     scored = tf.join(idf, "term").withColumn("_score", F.col("tf") * F.col("_idf"))
     w = Window.partitionBy(doc_col).orderBy(F.desc("_score"), F.asc("term"))
     return (scored.withColumn("rank", F.row_number().over(w).cast("bigint"))

@@ -7,8 +7,14 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame
 
+from clasp.session import ensure_checkpoint_dir
+
 
 def fit_persisted(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
+    """Fit on ``train`` persisted (memory, then disk). Give it at least one
+    partition per core (``operators.partitioning.spread`` on its scans) so
+    tree building uses every core."""
+    ensure_checkpoint_dir(train.sparkSession)
     cached = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return pipeline.fit(cached)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from clasp.ml import models, splits, tabular, text
 from clasp.ml.training import fit_persisted
+from clasp.operators.partitioning import spread
 from clasp.operators import stats
 from clasp.plans import standins as S
 from clasp.plans.oracle import RT, _bucket, _split
@@ -51,7 +52,7 @@ def fit_text(spark: SparkSession, d: str):
 def q_hashing_tf(spark: SparkSession, d: str) -> DataFrame:
     """M3: hashed term counts (1000 buckets) of every document, as
     (doc, bucket, count) for the non-zero buckets."""
-    docs = S.table(spark, d, "documents").select("doc_id", F.col("text").alias("texto"))
+    docs = spread(S.table(spark, d, "documents").select("doc_id", F.col("text").alias("texto")))
     feats = Pipeline(stages=text.text_stages(text_col="texto")[:4]).fit(docs.limit(0)).transform(docs)
     arr = feats.select("doc_id", F.posexplode(vector_to_array("rawFeatures")).alias("bucket", "tf"))
     return arr.where(F.col("tf") > 0).select("doc_id", F.col("bucket").cast("int"), "tf")
@@ -96,7 +97,7 @@ def q_score_new_text(spark: SparkSession, d: str) -> DataFrame:
     """Score every document, labelled or not (the label stage is
     skipped when the label column is absent)."""
     model, _ = fit_text(spark, d)
-    docs = S.table(spark, d, "documents").select("doc_id", F.col("text").alias("texto"))
+    docs = spread(S.table(spark, d, "documents").select("doc_id", F.col("text").alias("texto")))
     scored = models.decode_prediction(models.score(model, docs), model, label_type="int")
     return scored.select("doc_id", "prediction_index", "prediction")
 

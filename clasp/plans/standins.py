@@ -21,7 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clasp.operators.joins import enrich_left
+from clasp.operators.joins import enrich_left, maybe_broadcast
+from clasp.operators.partitioning import spread
 from clasp.operators.stats import accuracy_pct
 from clasp.sources.specs import TableSpec
 from clasp.sources.tables import read_table
@@ -35,8 +36,11 @@ TAB_NUMERIC = ["c_acctbal", "o_totalprice"]
 TAB_LABEL = "o_orderstatus"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, TableSpec(path=f"{sf_dir.rstrip('/')}/{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, spread_out: bool = False) -> DataFrame:
+    """A driver table. ``spread_out`` for inputs of CPU-heavy work (model
+    fitting, whole-text tokenising): at least one partition per core."""
+    df = read_table(spark, TableSpec(path=f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spread(df) if spread_out else df
 
 
 def scored_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,10 +53,12 @@ def scored_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text training input: documents that have a label (inner join)."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("texto"))
+    """Text training input: documents that have a (non-null) label."""
+    docs = table(spark, sf_dir, "documents", spread_out=True).select(
+        "doc_id", F.col("text").alias("texto"))
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("etiqueta"))
-    return docs.join(labels, "doc_id")
+    return (docs.join(maybe_broadcast(labels), "doc_id")
+            .where(F.col("etiqueta").isNotNull()))
 
 
 def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +79,7 @@ def daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders", spread_out=True).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     cust = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"), "c_acctbal", "c_mktsegment")

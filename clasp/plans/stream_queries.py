@@ -97,7 +97,8 @@ def q_stream_window_counts(spark: SparkSession, d: str) -> DataFrame:
     counts = stream_window_counts(stream, "ts", "1 minute", "10 minutes")
     sink = scratch_path(spark, "sink")
     _run(counts, idempotent_batch_writer(sink), spark, "stream_window_counts")
-    return read_sink(spark, sink).select("bucket_start", "n")
+    return read_sink(spark, sink).select(F.col("bucket_start").cast("timestamp_ntz").alias("bucket_start"),
+                                         "n")
 
 
 STREAM_REGISTRY = {
@@ -110,4 +111,8 @@ STREAM_REGISTRY = {
 STREAM_ORACLE = {
     "stream_ingest": "SELECT event_id, ts, user_id, event_type, value FROM events",
     "stream_dedup": "SELECT event_id, ts FROM events",
+    # windows are emitted once the final watermark (max time - 10 min) passes their end
+    "stream_window_counts": """SELECT bucket_start, n FROM (
+  SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS bucket_start, count(*) AS n FROM events GROUP BY 1)
+WHERE bucket_start + INTERVAL 1 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
 }

@@ -25,12 +25,33 @@ def open_stream(spark: SparkSession, spec: StreamSpec) -> DataFrame:
 
 
 def stage_replay(df: DataFrame, path: str, files: int, order: list[str]) -> StreamSpec:
-    """Stage a table as ``files`` JSON-line files in ``order`` so a
-    file stream (``maxFilesPerTrigger``) replays it at a bounded rate, the
-    way the reference's producer fed its topic. Range partitioning keeps
-    each file a contiguous slice of the order."""
-    msgs = (df.repartitionByRange(files, *[F.col(c) for c in order])
-            .sortWithinPartitions(*order)
-            .select(F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_OPTIONS).alias("value")))
-    msgs.write.mode("overwrite").text(path)
+    """Stage a table as JSON-line files that a file stream
+    (``maxFilesPerTrigger``) replays at a bounded rate, the way the
+    reference's producer fed its topic.
+
+    The file source takes files oldest-modified first, so the table is
+    cut into ``files`` slices of the first ``order`` column (boundaries
+    from ``approxQuantile``: a handful of numbers to the driver) and the
+    slices are written one after the other. Event time then never goes
+    backwards between micro-batches and a watermark drops nothing."""
+    key = order[0]
+    num = F.col(key)
+    if dict(df.dtypes)[key].startswith("timestamp"):
+        num = F.unix_micros(F.col(key).cast("timestamp"))
+    keyed = df.withColumn("_slice_key", num.cast("double"))
+    probs = [i / files for i in range(1, files)]
+    bounds = keyed.approxQuantile("_slice_key", probs, 0.001) if files > 1 else []
+    value = F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_OPTIONS).alias("value")
+    edges = [None, *bounds, None]
+    for i in range(len(edges) - 1):
+        lo, hi = edges[i], edges[i + 1]
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (F.col("_slice_key") > F.lit(lo))
+        if hi is not None:
+            cond = cond & (F.col("_slice_key") <= F.lit(hi))
+        if i == 0:
+            cond = cond | F.col("_slice_key").isNull()
+        part = keyed.where(cond).sortWithinPartitions(*order).select(value)
+        part.write.mode("overwrite" if i == 0 else "append").text(path)
     return StreamSpec(format="text", path=path)
