@@ -61,22 +61,34 @@ def accuracy_pct(correct: str | Column, total_: str | Column, digits: int = 2) -
     return safe_ratio_pct(correct, total_, digits)
 
 
+def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Put the columns of a one-row frame (totals, a latest metrics row)
+    on every row of ``df``: an equi-join on a constant key with the
+    one-row side broadcast, so ``df`` is not shuffled. When both sides are
+    computed from the same aggregate, Spark reuses its exchange and the
+    input is read once."""
+    key = "__one"
+    return (df.withColumn(key, F.lit(1))
+            .join(F.broadcast(one_row.withColumn(key, F.lit(1))), key, "left")
+            .drop(key))
+
+
 def label_stats(df: DataFrame, key: str, label: str, pred: str, null_safe: bool = True,
                 key_as_string: bool = False) -> DataFrame:
-    """Per value of ``key`` its count ``n``; and, repeated on each row,
-    ``total``, ``correct`` (``label`` equals ``pred``) and ``accuracy``.
-    One grouped pass; the totals are sums over the grouped rows (one per
-    class) taken as scalar subqueries. ``null_safe`` is the store rule
-    (null equals null)."""
+    """Per value of ``key`` its count ``n`` and how many of those are
+    right (``class_correct``); and, repeated on each row, ``total``,
+    ``correct`` (``label`` equals ``pred``) and ``accuracy``. One grouped
+    pass (map-side partial counts); the totals are the sums of the grouped
+    rows (one per class), and since both sides carry the same columns the
+    aggregate's shuffle is computed once and reused."""
     eq = F.col(label).eqNullSafe(F.col(pred)) if null_safe else (F.col(label) == F.col(pred))
     k = F.col(key).cast("string").alias(key) if key_as_string else F.col(key)
     per = df.groupBy(k).agg(F.count(F.lit(1)).alias("n"),
                             F.count_if(F.coalesce(eq, F.lit(False))).alias("_correct"))
-    tot = per.select(F.sum("n")).scalar()
-    cor = per.select(F.sum("_correct")).scalar()
-    return per.select(
-        F.col(key), F.col("n"), tot.alias("total"), cor.alias("correct"),
-        accuracy_pct(cor, tot).alias("accuracy"))
+    tot = per.agg(F.sum("n").alias("total"), F.sum("_correct").alias("correct"))
+    return attach_row(per, tot).select(
+        F.col(key), F.col("n"), F.col("_correct").alias("class_correct"), "total", "correct",
+        accuracy_pct("correct", "total").alias("accuracy"))
 
 
 def stats_record(stats: DataFrame, key: str) -> DataFrame:
@@ -108,8 +120,8 @@ def share(df: DataFrame, key: str, digits: int = 1) -> DataFrame:
     """A10: value counts with each class's percent of all counted rows."""
     vc = (df.where(F.col(key).isNotNull()).groupBy(key)
           .agg(F.count(F.lit(1)).alias("n")))
-    tot = vc.select(F.sum("n")).scalar()
-    return vc.select(key, "n", safe_ratio_pct(F.col("n"), tot, digits).alias("pct"))
+    tot = vc.agg(F.sum("n").alias("_tot"))
+    return attach_row(vc, tot).select(key, "n", safe_ratio_pct("n", "_tot", digits).alias("pct"))
 
 
 def latest_value(metrics: DataFrame, value: str, ts: str, tiebreak: list[str] | None = None) -> Column:
@@ -167,18 +179,20 @@ def accuracy_or_metrics(scored: DataFrame, metrics: DataFrame | None, label: str
         accuracy_pct(F.count_if(F.coalesce(F.col(label) == F.col(pred), F.lit(False))),
                      F.count(F.lit(1)), 1).alias("computed_accuracy"))
     if metrics is None:
-        stored = F.lit(None).cast("double")
+        row = computed.withColumn("_stored", F.lit(None).cast("double"))
     else:
-        stored = latest_value(metrics, metric_value, metric_ts).cast("double")
-    return computed.select(
-        F.coalesce(stored, F.col("computed_accuracy")).alias("accuracy"),
-        F.when(stored.isNotNull(), F.lit("metrics")).otherwise(F.lit("computed")).alias("source"),
+        order = F.struct(F.col(metric_ts))
+        stored = metrics.agg(F.max_by(F.col(metric_value), order).cast("double").alias("_stored"))
+        row = attach_row(computed, stored)
+    return row.select(
+        F.coalesce("_stored", "computed_accuracy").alias("accuracy"),
+        F.when(F.col("_stored").isNotNull(), F.lit("metrics")).otherwise(F.lit("computed")).alias("source"),
         "computed_accuracy")
 
 
 __all__ = [
     "total", "distribution", "value_counts", "confusion", "cross_count", "count_where",
     "accuracy_pct", "label_stats", "stats_record", "kpi_row", "share", "risk_summary",
-    "evaluate_accuracy", "metrics_row", "accuracy_or_metrics", "latest_value",
+    "evaluate_accuracy", "metrics_row", "accuracy_or_metrics", "latest_value", "attach_row",
     "round_half_even",
 ]

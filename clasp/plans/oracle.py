@@ -155,14 +155,16 @@ FROM rtab""",
 per AS (SELECT etiqueta, count(*) AS n, CAST(count_if(etiqueta IS NOT DISTINCT FROM prediction) AS BIGINT) AS c
         FROM rt GROUP BY etiqueta),
 tot AS (SELECT CAST(sum(n) AS BIGINT) AS total, CAST(sum(c) AS BIGINT) AS correct FROM per)
-SELECT per.etiqueta, per.n, tot.total, tot.correct, {_pct("tot.correct", "tot.total", 2)} AS accuracy
+SELECT per.etiqueta, per.n, per.c AS class_correct, tot.total, tot.correct,
+       {_pct("tot.correct", "tot.total", 2)} AS accuracy
 FROM per, tot""",
     "risk_stats": f"""WITH {RTAB},
 per AS (SELECT CAST(prediction AS VARCHAR) AS prediction, count(*) AS n,
                CAST(count_if(label IS NOT DISTINCT FROM prediction) AS BIGINT) AS c
         FROM rtab GROUP BY 1),
 tot AS (SELECT CAST(sum(n) AS BIGINT) AS total, CAST(sum(c) AS BIGINT) AS correct FROM per)
-SELECT per.prediction, per.n, tot.total, tot.correct, {_pct("tot.correct", "tot.total", 2)} AS accuracy
+SELECT per.prediction, per.n, per.c AS class_correct, tot.total, tot.correct,
+       {_pct("tot.correct", "tot.total", 2)} AS accuracy
 FROM per, tot""",
     "kpi_row": f"""WITH {RTAB}, m AS (
   SELECT CASE prediction WHEN 0 THEN 'Sano' WHEN 1 THEN 'Riesgo' END AS pl FROM rtab)
