@@ -64,11 +64,16 @@ def decode_prediction(df: DataFrame, model: PipelineModel, label_type: str | Non
     return dec.drop(pred_col).withColumn(out, value).drop("_decoded")
 
 
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Apply a fitted pipeline (batch or stream). A label
-    column that is absent is skipped by its indexer, so new unlabelled rows
-    score as well."""
-    return model.transform(df)
+def score(model: PipelineModel, df: DataFrame, label_col: str | None = None) -> DataFrame:
+    """Apply a fitted pipeline (batch or stream). The label
+    indexer is skipped when its input column is absent, so ``label_col``
+    is hidden during the transform and restored after: rows whose label is
+    null or was never seen in training are scored instead of failing."""
+    if not label_col or label_col not in df.columns:
+        return model.transform(df)
+    hidden = f"__kept_{label_col}"
+    out = model.transform(df.withColumnRenamed(label_col, hidden))
+    return out.withColumnRenamed(hidden, label_col)
 
 
 def scored_table(df: DataFrame, text_col: str, label_col: str, pred_col: str,

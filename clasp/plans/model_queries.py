@@ -70,14 +70,14 @@ def q_forest_predictions(spark: SparkSession, d: str) -> DataFrame:
     """Held-out predictions of the tabular forest, decoded."""
     model, data = fit_tabular(spark, d)
     test = data.where(F.col("split") == "test")
-    pred = models.decode_prediction(model.transform(test), model, label_type="string")
+    pred = models.decode_prediction(models.score(model, test, LABEL), model, label_type="string")
     return pred.select("o_orderkey", F.col(LABEL).alias("label"), "prediction_index", "prediction")
 
 
 def q_tabular_score(spark: SparkSession, d: str) -> DataFrame:
     """Score every order (train rows included) with a split tag."""
     model, data = fit_tabular(spark, d)
-    pred = models.decode_prediction(model.transform(data), model, label_type="string")
+    pred = models.decode_prediction(models.score(model, data, LABEL), model, label_type="string")
     return pred.select("o_orderkey", "split", F.col(LABEL).alias("label"), "prediction_index",
                        "prediction")
 
@@ -86,7 +86,7 @@ def q_text_score(spark: SparkSession, d: str) -> DataFrame:
     """Fit the text pipeline on the train split, score every
     labelled document, attach the held-out accuracy and processing time."""
     model, data = fit_text(spark, d)
-    scored = models.decode_prediction(model.transform(data), model, label_type="int")
+    scored = models.decode_prediction(models.score(model, data, "etiqueta"), model, label_type="int")
     acc = stats.metrics_row(scored, "split", "etiqueta", "prediction", stamp=False)
     out = models.scored_table(scored, "texto", "etiqueta", "prediction", acc)
     return out.select(F.md5("texto").alias("text_md5"), "etiqueta", "prediction",
@@ -118,8 +118,8 @@ def q_model_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "model")
     save_model(model, path)
     again = load_model(path)
-    a = model.transform(data).select("o_orderkey", F.col("prediction").alias("p1"))
-    b = again.transform(data).select("o_orderkey", F.col("prediction").alias("p2"))
+    a = models.score(model, data, LABEL).select("o_orderkey", F.col("prediction").alias("p1"))
+    b = models.score(again, data, LABEL).select("o_orderkey", F.col("prediction").alias("p2"))
     return a.join(b, "o_orderkey").select("o_orderkey", "p1", "p2", (F.col("p1") == F.col("p2")).alias("same"))
 
 
