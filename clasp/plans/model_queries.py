@@ -190,7 +190,28 @@ def _index_cte(col: str) -> str:
 n_{col} AS (SELECT CAST(count(*) AS INTEGER) AS k FROM i_{col})"""
 
 
+def _all_index_cte(col: str) -> str:
+    return f"""a_{col} AS (
+  SELECT {col} AS value, CAST(row_number() OVER (ORDER BY count(*) DESC, {col}) - 1 AS INTEGER) AS idx
+  FROM rec WHERE {col} IS NOT NULL GROUP BY {col}),
+k_{col} AS (SELECT CAST(count(*) AS INTEGER) AS k FROM a_{col})"""
+
+
+def _one_hot_list(col: str) -> str:
+    return (f"list_transform(range((SELECT k FROM k_{col})), "
+            f"lambda x: CASE WHEN x = coalesce(i_{col}.idx, -1) THEN 1.0 ELSE 0.0 END)")
+
+
 MODEL_ORACLE = {
+    "feature_matrix": f"""WITH rec AS (
+  SELECT o.o_orderkey, o.o_orderpriority, c.c_mktsegment, c.c_acctbal, o.o_totalprice
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+{_all_index_cte('o_orderpriority')}, {_all_index_cte('c_mktsegment')}
+SELECT r.o_orderkey,
+       list_concat([r.c_acctbal, r.o_totalprice], {_one_hot_list('o_orderpriority')},
+                   {_one_hot_list('c_mktsegment')}) AS features
+FROM rec r LEFT JOIN a_o_orderpriority i_o_orderpriority ON r.o_orderpriority = i_o_orderpriority.value
+           LEFT JOIN a_c_mktsegment i_c_mktsegment ON r.c_mktsegment = i_c_mktsegment.value""",
     "decode_label": f"""WITH lt AS (SELECT d.doc_id, l.quality AS etiqueta
   FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
 c AS (SELECT CAST(etiqueta AS VARCHAR) AS label, count(*) AS n FROM lt GROUP BY 1),

@@ -161,6 +161,15 @@ def q_row_id(spark: SparkSession, d: str) -> DataFrame:
     return ordering.with_row_id(ev, ["ts", "event_id"], out="id").select("event_id", "id")
 
 
+def q_sorted_random_ts(spark: SparkSession, d: str) -> DataFrame:
+    """Every document numbered in id order gets one of n sorted
+    uniform random times in the enrichment window (seeded)."""
+    from datetime import datetime
+    docs = S.table(spark, d, "documents").select("doc_id", "lang")
+    return ordering.with_sorted_random_ts(docs, "doc_id", datetime(2025, 11, 1),
+                                          datetime(2026, 2, 1), seed=42)
+
+
 def q_infer_types(spark: SparkSession, d: str) -> DataFrame:
     """Per-value guess int -> double -> text."""
     ev = S.table(spark, d, "events")
@@ -394,6 +403,7 @@ REGISTRY = {
     "stringify_ts": q_stringify_ts,
     "parse_ts": q_parse_ts,
     "row_id": q_row_id,
+    "sorted_random_ts": q_sorted_random_ts,
     "infer_types": q_infer_types,
     "drop_incomplete": q_drop_incomplete,
     "filter_label": q_filter_label,
