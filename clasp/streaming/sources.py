@@ -25,7 +25,7 @@ def open_stream(spark: SparkSession, spec: StreamSpec) -> DataFrame:
 
 
 def stage_replay(df: DataFrame, path: str, files: int, order: list[str]) -> StreamSpec:
-    """Stage a table as JSON-line files that a file stream
+    """Stage a table as ``files`` JSON-line files that a file stream
     (``maxFilesPerTrigger``) replays at a bounded rate, the way the
     reference's producer fed its topic.
 
@@ -52,6 +52,8 @@ def stage_replay(df: DataFrame, path: str, files: int, order: list[str]) -> Stre
             cond = cond & (F.col("_slice_key") <= F.lit(hi))
         if i == 0:
             cond = cond | F.col("_slice_key").isNull()
-        part = keyed.where(cond).sortWithinPartitions(*order).select(value)
+        # one file per slice (the slice is shuffled to one writer, the scan
+        # and the filter above it stay parallel)
+        part = keyed.where(cond).repartition(1).sortWithinPartitions(*order).select(value)
         part.write.mode("overwrite" if i == 0 else "append").text(path)
     return StreamSpec(format="text", path=path)
