@@ -60,13 +60,14 @@ def resample_count(df: DataFrame, ts: str, freq: str | int, value_col: str | Non
     spark = df.sparkSession
     timed = df.where(F.col(ts).isNotNull())
     ts_type = dict(df.dtypes)[ts]
-    bounds = timed.agg(F.to_date(F.min(ts)).alias("d0"), F.max(ts).alias("mx")).first()
+    # one small aggregate: the first day and the number of the last bucket
+    first_day = F.to_date(F.min(ts))
+    bounds = timed.agg(first_day.alias("d0"),
+                       bucket_index(F.max(ts), first_day, width).alias("last_b")).first()
     if bounds is None or bounds["d0"] is None:
         return spark.createDataFrame([], f"{out_ts} {ts_type}, {out_n} bigint")
     d0 = F.lit(bounds["d0"]).cast("date")
-    last = bounds["mx"]
-    n_buckets = int(timed.sparkSession.range(1).select(
-        bucket_index(F.lit(last).cast(ts_type), d0, width).alias("b")).first()["b"]) + 1
+    n_buckets = int(bounds["last_b"]) + 1
     counted = F.count(F.col(value_col)) if value_col else F.count(F.lit(1))
     counts = (timed.groupBy(bucket_index(ts, d0, width).alias("_b"))
               .agg(counted.alias(out_n)))

@@ -27,33 +27,53 @@ def open_stream(spark: SparkSession, spec: StreamSpec) -> DataFrame:
 def stage_replay(df: DataFrame, path: str, files: int, order: list[str]) -> StreamSpec:
     """Stage a table as ``files`` JSON-line files that a file stream
     (``maxFilesPerTrigger``) replays at a bounded rate, the way the
-    reference's producer fed its topic.
+    reference's producer fed its topic (Kafka: use ``publish_json``).
 
-    The file source takes files oldest-modified first, so the table is
-    cut into ``files`` slices of the first ``order`` column (boundaries
-    from ``approxQuantile``: a handful of numbers to the driver) and the
-    slices are written one after the other. Event time then never goes
-    backwards between micro-batches and a watermark drops nothing."""
+    One range-partitioned write (a single pass; file ``part-0000k`` holds
+    the k-th slice of ``order``). The file source takes files
+    oldest-modified first, so the files' modification times are then set
+    in slice order (metadata only). Event time therefore never goes
+    backwards between micro-batches and a watermark drops nothing. Stores
+    that cannot set times get the slices written one job after another."""
+    value = F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_OPTIONS).alias("value")
+    (df.repartitionByRange(files, *[F.col(c) for c in order])
+       .sortWithinPartitions(*order).select(value)
+       .write.mode("overwrite").text(path))
+    if not _order_file_times(df.sparkSession, path):
+        _write_slices_in_order(df, path, files, order, value)
+    return StreamSpec(format="text", path=path)
+
+
+def _order_file_times(spark: SparkSession, path: str) -> bool:
+    sc = spark.sparkContext
+    jvm = sc._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
+    names = sorted(st.getPath().getName() for st in fs.listStatus(root)
+                   if st.getPath().getName().startswith("part-"))
+    base = int(jvm.java.lang.System.currentTimeMillis()) - 1000 * (len(names) + 1)
+    try:
+        for i, name in enumerate(names):
+            fs.setTimes(jvm.org.apache.hadoop.fs.Path(root, name), base + 1000 * i, -1)
+    except Exception:  # noqa: BLE001 - store without settable times
+        return False
+    return True
+
+
+def _write_slices_in_order(df: DataFrame, path: str, files: int, order: list[str], value) -> None:
     key = order[0]
     num = F.col(key)
     if dict(df.dtypes)[key].startswith("timestamp"):
         num = F.unix_micros(F.col(key).cast("timestamp"))
     keyed = df.withColumn("_slice_key", num.cast("double"))
-    probs = [i / files for i in range(1, files)]
-    bounds = keyed.approxQuantile("_slice_key", probs, 0.001) if files > 1 else []
-    value = F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_OPTIONS).alias("value")
+    bounds = keyed.approxQuantile("_slice_key", [i / files for i in range(1, files)], 0.001)
     edges = [None, *bounds, None]
     for i in range(len(edges) - 1):
         lo, hi = edges[i], edges[i + 1]
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col("_slice_key") > F.lit(lo))
+        cond = F.lit(True) if lo is None else (F.col("_slice_key") > F.lit(lo))
         if hi is not None:
             cond = cond & (F.col("_slice_key") <= F.lit(hi))
         if i == 0:
             cond = cond | F.col("_slice_key").isNull()
-        # one file per slice (the slice is shuffled to one writer, the scan
-        # and the filter above it stay parallel)
         part = keyed.where(cond).repartition(1).sortWithinPartitions(*order).select(value)
         part.write.mode("overwrite" if i == 0 else "append").text(path)
-    return StreamSpec(format="text", path=path)
