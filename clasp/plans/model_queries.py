@@ -54,8 +54,12 @@ def q_hashing_tf(spark: SparkSession, d: str) -> DataFrame:
     (doc, bucket, count) for the non-zero buckets."""
     docs = spread(S.table(spark, d, "documents").select("doc_id", F.col("text").alias("texto")))
     feats = Pipeline(stages=text.text_stages(text_col="texto")[:4]).fit(docs.limit(0)).transform(docs)
-    arr = feats.select("doc_id", F.posexplode(vector_to_array("rawFeatures")).alias("bucket", "tf"))
-    return arr.where(F.col("tf") > 0).select("doc_id", F.col("bucket").cast("int"), "tf")
+    # keep the non-zero buckets inside the array, then emit only those rows
+    nonzero = F.filter(
+        F.transform(vector_to_array("rawFeatures"),
+                    lambda v, i: F.struct(i.cast("int").alias("bucket"), v.alias("tf"))),
+        lambda p: p["tf"] > 0)
+    return feats.select("doc_id", F.inline(nonzero))
 
 
 def q_feature_matrix(spark: SparkSession, d: str) -> DataFrame:

@@ -135,7 +135,7 @@ def q_ensure_columns(spark: SparkSession, d: str) -> DataFrame:
     the listed columns that exist."""
     docs = S.table(spark, d, "documents").select("doc_id", "lang")
     out = cols.ensure_columns(docs, {"prediction": MISSING_PREDICTION,
-                                     "fecha_proceso": F.lit(None).cast("timestamp"),
+                                     "fecha_proceso": F.lit(None).cast("timestamp_ntz"),
                                      "lang": "xx"})
     return cols.select_existing(out, ["doc_id", "lang", "prediction", "fecha_proceso", "etiqueta"])
 
