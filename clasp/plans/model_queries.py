@@ -144,12 +144,11 @@ def q_category_index(spark: SparkSession, d: str) -> DataFrame:
     data = _tab_split(spark, d)
     idx = tabular.category_indexer(CATS).fit(data.where(F.col("split") == "train"))
     out = idx.transform(data)
-    parts = [out.select(F.lit(c).alias("feature"), F.col(c).alias("value"),
-                        F.col(f"{c}_idx").cast("int").alias("idx")) for c in CATS]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u.distinct()
+    # one pass over the indexed rows: each row yields one (feature, value,
+    # idx) per categorical column, reduced by a distinct with partial dedup
+    entries = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"),
+                                 F.col(f"{c}_idx").cast("int").alias("idx")) for c in CATS])
+    return out.select(F.inline(entries)).distinct()
 
 
 def q_one_hot(spark: SparkSession, d: str) -> DataFrame:

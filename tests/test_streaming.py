@@ -79,3 +79,19 @@ def test_stream_result_equals_batch(spark):
     dd = E.queries()["stream_dedup"](spark, SF_SMALL)
     assert dd.count() == ev.count() == dd.select("event_id").distinct().count()
     assert dd.where(F.col("ts").isNull()).count() == 0
+
+
+def test_batch_error_surfaces_and_stops_query(spark):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+    src = _stage(spark, ['{"Age":1,"Sex":"M","Oldpeak":0}'])
+    stream = decode_json(open_stream(spark, StreamSpec(path=src)), SCHEMA)
+
+    def failing(batch, batch_id):
+        raise RuntimeError("sink down")
+
+    q = write_stream(stream, failing, scratch_path(spark, "t-fail"), "t_fail",
+                     trigger={"availableNow": True})
+    with pytest.raises(StreamingQueryException):
+        run_until_idle(q)
+    assert not q.isActive
