@@ -60,20 +60,25 @@ def resample_count(df: DataFrame, ts: str, freq: str | int, value_col: str | Non
     spark = df.sparkSession
     timed = df.where(F.col(ts).isNotNull())
     ts_type = dict(df.dtypes)[ts]
-    # one small aggregate: the first day and the number of the last bucket
+    # one small aggregate: the first day (the origin) and the numbers of the
+    # buckets holding the first and the last time; the output runs from the
+    # bucket of the first time, which is later than the origin when the
+    # width is under a day
     first_day = F.to_date(F.min(ts))
     bounds = timed.agg(first_day.alias("d0"),
+                       bucket_index(F.min(ts), first_day, width).alias("first_b"),
                        bucket_index(F.max(ts), first_day, width).alias("last_b")).first()
     if bounds is None or bounds["d0"] is None:
         return spark.createDataFrame([], f"{out_ts} {ts_type}, {out_n} bigint")
     d0 = F.lit(bounds["d0"]).cast("date")
-    n_buckets = int(bounds["last_b"]) + 1
+    first_b, last_b = int(bounds["first_b"]), int(bounds["last_b"])
+    n_buckets = last_b - first_b + 1
     counted = F.count(F.col(value_col)) if value_col else F.count(F.lit(1))
     counts = (timed.groupBy(bucket_index(ts, d0, width).alias("_b"))
               .agg(counted.alias(out_n)))
     parts = spine_partitions or max(1, min(spark.sparkContext.defaultParallelism,
                                            n_buckets // 100_000 + 1))
-    spine = spark.range(0, n_buckets, numPartitions=parts).withColumnRenamed("id", "_b")
+    spine = spark.range(first_b, last_b + 1, numPartitions=parts).withColumnRenamed("id", "_b")
     start = F.to_timestamp(d0).cast(ts_type) if ts_type == "timestamp_ntz" else F.to_timestamp(d0)
     return (spine.join(counts, "_b", "left")
             .select((start + F.make_dt_interval(secs=F.col("_b") * width)).cast(ts_type).alias(out_ts),

@@ -7,7 +7,7 @@ load); the encoder and label-order queries have DuckDB oracles.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -53,7 +53,8 @@ def q_hashing_tf(spark: SparkSession, d: str) -> DataFrame:
     """M3: hashed term counts (1000 buckets) of every document, as
     (doc, bucket, count) for the non-zero buckets."""
     docs = spread(S.table(spark, d, "documents").select("doc_id", F.col("text").alias("texto")))
-    feats = Pipeline(stages=text.text_stages(text_col="texto")[:4]).fit(docs.limit(0)).transform(docs)
+    # the first four stages are plain transformers: no fitting needed
+    feats = PipelineModel(stages=text.text_stages(text_col="texto")[:4]).transform(docs)
     # keep the non-zero buckets inside the array, then emit only those rows
     nonzero = F.filter(
         F.transform(vector_to_array("rawFeatures"),

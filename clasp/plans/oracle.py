@@ -47,12 +47,14 @@ def _pct(num: str, den: str, digits: int) -> str:
 
 def _resample(width: int) -> str:
     return f"""WITH {RTAB},
-b AS (SELECT CAST(CAST(min(fecha_proceso) AS DATE) AS TIMESTAMP) AS o, max(fecha_proceso) AS mx
+b AS (SELECT CAST(CAST(min(fecha_proceso) AS DATE) AS TIMESTAMP) AS o, min(fecha_proceso) AS mn,
+             max(fecha_proceso) AS mx
       FROM rtab WHERE fecha_proceso IS NOT NULL),
 c AS (SELECT CAST(floor(epoch(rtab.fecha_proceso - b.o) / {width}) AS BIGINT) AS idx,
              count(prediction) AS n
       FROM rtab, b WHERE rtab.fecha_proceso IS NOT NULL GROUP BY 1),
-s AS (SELECT unnest(range(0, CAST(floor(epoch(b.mx - b.o) / {width}) AS BIGINT) + 1)) AS idx FROM b)
+s AS (SELECT unnest(range(CAST(floor(epoch(b.mn - b.o) / {width}) AS BIGINT),
+                          CAST(floor(epoch(b.mx - b.o) / {width}) AS BIGINT) + 1)) AS idx FROM b)
 SELECT b.o + to_seconds(s.idx * {width}) AS bucket_start, coalesce(c.n, 0) AS n
 FROM s CROSS JOIN b LEFT JOIN c ON s.idx = c.idx"""
 
@@ -69,6 +71,9 @@ FROM s"""
 ORACLE: dict[str, str] = {
     "table_scan": "SELECT * FROM events",
     "csv_roundtrip": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
+    # inferred from the text: ids fit in 32 bits, so they come back as int
+    "csv_inferred": """SELECT CAST(event_id AS INTEGER) AS event_id, ts, CAST(user_id AS INTEGER) AS user_id,
+       event_type, value, props FROM events""",
     "sink_overwrite": f"WITH {RT} SELECT doc_id, etiqueta, prediction FROM rt",
     "to_json_rows": "SELECT * FROM customer",
     "run_counters": f"""WITH {RT}, s AS (SELECT {_split('texto', TEXT_TRAIN_PCT)} AS split FROM rt)

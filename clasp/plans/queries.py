@@ -48,6 +48,15 @@ def q_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return read_csv(spark, path, "n_nationkey int, n_name string, n_regionkey int")
 
 
+def q_csv_inferred(spark: SparkSession, d: str) -> DataFrame:
+    """Write ``events`` as CSV, read it back with inferred types and
+    the time column parsed (text JSON with quotes and commas survives)."""
+    from clasp.sources.tables import read_csv_inferred
+    path = scratch_path(spark, "csv")
+    sinks.write_csv(S.table(spark, d, "events"), path)
+    return read_csv_inferred(spark, path, ts_cols=["ts"])
+
+
 def q_sink_overwrite(spark: SparkSession, d: str) -> DataFrame:
     """K1: overwrite twice; the table holds the last write only."""
     spec = TableSpec(path=scratch_path(spark, "sink"))
@@ -390,6 +399,7 @@ def q_hash_split(spark: SparkSession, d: str) -> DataFrame:
 REGISTRY = {
     "table_scan": q_table_scan,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_inferred": q_csv_inferred,
     "sink_overwrite": q_sink_overwrite,
     "to_json_rows": q_to_json_rows,
     "run_counters": q_run_counters,
