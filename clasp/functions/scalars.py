@@ -20,10 +20,43 @@ def round_half_even(x: ColumnOrName, digits: int) -> Column:
     return F.bround(_c(x), digits)
 
 
+def round_like_python(x: ColumnOrName, digits: int) -> Column:
+    """Python's ``round(x, digits)`` on doubles: the exact binary value is
+    rounded half to even (``round(2.675, 2) == 2.67``, ``round(0.125, 2)
+    == 0.12``), which neither ``round`` nor ``bround`` do (they round the
+    shortest decimal text).
+
+    Exact, with built-ins only: ``|x| = m / 2**s`` with ``m`` an integer
+    (scaling by a power of two is exact), so ``x * 10**digits`` is the
+    fraction ``m * 10**digits / 2**s``; its quotient and remainder are
+    integer arithmetic, and the remainder against half the divisor picks
+    the rounding. Values below 2**-8 (and non-finite ones) use ``bround``:
+    for ``digits <= 2`` they are far from any tie."""
+    v = _c(x).cast("double")
+    a = F.abs(v)
+    e = F.floor(F.log2(a)).cast("int")
+    shift = (F.lit(53) - e).cast("int")
+    m = (a * F.pow(F.lit(2.0), shift)).cast("bigint").cast("decimal(38,0)")
+    num = m * F.lit(10 ** digits).cast("decimal(38,0)")
+    den = F.call_function("shiftleft", F.lit(1).cast("bigint"), shift).cast("decimal(38,0)")
+    q0 = F.floor(num / den).cast("decimal(38,0)")
+    r0 = num - q0 * den
+    q1 = F.when(r0 < 0, q0 - 1).when(r0 >= den, q0 + 1).otherwise(q0)
+    r = num - q1 * den
+    twice = r * 2
+    up = (twice > den) | ((twice == den) & (F.pmod(q1, F.lit(2)) == 1))
+    q = F.when(up, q1 + 1).otherwise(q1)
+    exact = F.signum(v) * (q.cast("double") / F.lit(float(10 ** digits)))
+    usable = (a >= F.lit(2.0 ** -8)) & (a < F.lit(2.0 ** 40)) & ~F.isnan(v)
+    return F.when(v.isNull(), F.lit(None).cast("double")).when(
+        usable, exact + F.lit(0.0)).otherwise(F.bround(v, digits))
+
+
 def safe_ratio_pct(num: ColumnOrName, den: ColumnOrName, digits: int = 2) -> Column:
-    """``round(num / den * 100, digits)`` and ``0`` when ``den`` is 0."""
+    """``round(num / den * 100, digits)`` as Python computes it, and ``0``
+    when ``den`` is 0 (A7)."""
     n, d = _c(num), _c(den)
-    return (F.when(d > 0, round_half_even(n.cast("double") / d * F.lit(100.0), digits))
+    return (F.when(d > 0, round_like_python(n.cast("double") / d * F.lit(100.0), digits))
             .otherwise(F.lit(0.0)))
 
 

@@ -95,3 +95,16 @@ def test_share_percent_sums_near_100(spark):
     rows = stats.share(ev, "event_type").collect()
     assert sum(r.n for r in rows) == ev.where(F.col("event_type").isNotNull()).count()
     assert abs(sum(r.pct for r in rows) - 100) < 0.5
+
+
+@SETTINGS
+@given(vals=st.lists(st.one_of(
+    st.floats(min_value=-1e6, max_value=1e6, allow_nan=False),
+    st.builds(lambda c, t: c / t * 100, st.integers(0, 5000), st.integers(1, 5000)),
+    st.decimals(min_value=0, max_value=100, places=3).map(float)), min_size=1, max_size=60),
+    digits=st.sampled_from([1, 2]))
+def test_round_like_python(spark, vals, digits):
+    from clasp.functions.scalars import round_like_python
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = [r[0] for r in df.select(round_like_python("v", digits)).collect()]
+    assert got == [round(v, digits) for v in vals]
