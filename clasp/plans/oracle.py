@@ -119,6 +119,10 @@ SELECT event_id,
        CASE WHEN regexp_full_match(trim(raw), '[+-]?[0-9]+') THEN TRY_CAST(raw AS BIGINT) END AS as_int,
        TRY_CAST(raw AS DOUBLE) AS as_double, raw AS as_text
 FROM r""",
+    "coerce_columns": """SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type, value, props
+FROM events""",
+    "guessed_json_rows": """SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type, value, props
+FROM events""",
     "drop_incomplete": f"""WITH {RT}
 SELECT doc_id, etiqueta, prediction FROM rt
 WHERE doc_id IS NOT NULL AND etiqueta IS NOT NULL AND prediction IS NOT NULL""",

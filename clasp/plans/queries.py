@@ -190,6 +190,28 @@ def q_infer_types(spark: SparkSession, d: str) -> DataFrame:
                     F.col("g.d").alias("as_double"), F.col("g.s").alias("as_text"))
 
 
+def _events_as_text(spark: SparkSession, d: str) -> DataFrame:
+    ev = S.table(spark, d, "events")
+    return ev.select(*[F.col(c).cast("string").alias(c) for c in ev.columns])
+
+
+def q_coerce_columns(spark: SparkSession, d: str) -> DataFrame:
+    """P14 per column: every column of ``events`` as text, then each text
+    column given the narrowest type all its values read as (int, else
+    double, else text), decided by one aggregate."""
+    from clasp.jobs.replay import typed_messages
+    return typed_messages(_events_as_text(spark, d))
+
+
+def q_guessed_json_rows(spark: SparkSession, d: str) -> DataFrame:
+    """K3 + P14 per value: each text value written into the JSON message
+    as an int, a float or a string, as the replayer did; read back."""
+    from clasp.jobs.replay import guessed_json
+    msgs = guessed_json(_events_as_text(spark, d))
+    schema = "event_id bigint, ts string, user_id bigint, event_type string, value double, props string"
+    return msgs.select(F.from_json("value", schema).alias("m")).select("m.*")
+
+
 # ---- filters -----------------------------------------------------------------
 
 def q_drop_incomplete(spark: SparkSession, d: str) -> DataFrame:
@@ -415,6 +437,8 @@ REGISTRY = {
     "row_id": q_row_id,
     "sorted_random_ts": q_sorted_random_ts,
     "infer_types": q_infer_types,
+    "coerce_columns": q_coerce_columns,
+    "guessed_json_rows": q_guessed_json_rows,
     "drop_incomplete": q_drop_incomplete,
     "filter_label": q_filter_label,
     "filter_risk": q_filter_risk,
