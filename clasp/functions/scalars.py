@@ -34,22 +34,17 @@ def round_like_python(x: ColumnOrName, digits: int) -> Column:
     for ``digits <= 2`` they are far from any tie."""
     v = _c(x).cast("double")
     a = F.abs(v)
-    e = F.floor(F.log2(a)).cast("int")
-    shift = (F.lit(53) - e).cast("int")
-    m = (a * F.pow(F.lit(2.0), shift)).cast("bigint").cast("decimal(38,0)")
-    num = m * F.lit(10 ** digits).cast("decimal(38,0)")
+    shift = (F.lit(53) - F.floor(F.log2(a))).cast("int")
+    num = ((a * F.pow(F.lit(2.0), shift)).cast("bigint").cast("decimal(38,0)")
+           * F.lit(10 ** digits).cast("decimal(38,0)"))
     den = F.call_function("shiftleft", F.lit(1).cast("bigint"), shift).cast("decimal(38,0)")
-    q0 = F.floor(num / den).cast("decimal(38,0)")
-    r0 = num - q0 * den
-    q1 = F.when(r0 < 0, q0 - 1).when(r0 >= den, q0 + 1).otherwise(q0)
-    r = num - q1 * den
-    twice = r * 2
-    up = (twice > den) | ((twice == den) & (F.pmod(q1, F.lit(2)) == 1))
-    q = F.when(up, q1 + 1).otherwise(q1)
-    exact = F.signum(v) * (q.cast("double") / F.lit(float(10 ** digits)))
+    # exact integral quotient and remainder of decimals
+    q = F.call_function("div", num, den)
+    twice_r = (num % den) * 2
+    up = (twice_r > den) | ((twice_r == den) & (q % 2 == 1))
+    exact = F.signum(v) * ((q + up.cast("bigint")).cast("double") / F.lit(float(10 ** digits)))
     usable = (a >= F.lit(2.0 ** -8)) & (a < F.lit(2.0 ** 40)) & ~F.isnan(v)
-    return F.when(v.isNull(), F.lit(None).cast("double")).when(
-        usable, exact + F.lit(0.0)).otherwise(F.bround(v, digits))
+    return F.when(usable, exact + F.lit(0.0)).otherwise(F.bround(v, digits))
 
 
 def safe_ratio_pct(num: ColumnOrName, den: ColumnOrName, digits: int = 2) -> Column:

@@ -35,17 +35,32 @@ def _text_split(spark: SparkSession, d: str) -> DataFrame:
     return splits.hash_split(S.labelled_text(spark, d), "texto", TEXT_TRAIN_PCT)
 
 
+# Fitted pipelines are shared by the queries of one Spark application
+# (train once, score many, as the reference's training job hands its saved
+# model to the stream job). Held in this process only: every application
+# fits its own.
+_FITTED: dict = {}
+
+
+def _fitted(spark: SparkSession, key: tuple, fit):
+    k = (spark.sparkContext.applicationId, *key)
+    if k not in _FITTED:
+        _FITTED[k] = fit()
+    return _FITTED[k]
+
+
 def fit_tabular(spark: SparkSession, d: str):
     data = _tab_split(spark, d)
-    model = fit_persisted(tabular.tabular_pipeline(CATS, NUMS, LABEL),
-                          data.where(F.col("split") == "train"))
+    model = _fitted(spark, ("tabular", d), lambda: fit_persisted(
+        tabular.tabular_pipeline(CATS, NUMS, LABEL), data.where(F.col("split") == "train")))
     return model, data
 
 
 def fit_text(spark: SparkSession, d: str):
     data = _text_split(spark, d)
-    model = fit_persisted(text.text_pipeline(text_col="texto", label_col="etiqueta"),
-                          data.where(F.col("split") == "train"))
+    model = _fitted(spark, ("text", d), lambda: fit_persisted(
+        text.text_pipeline(text_col="texto", label_col="etiqueta"),
+        data.where(F.col("split") == "train")))
     return model, data
 
 
