@@ -11,8 +11,18 @@ every scan at cluster scale.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 
+_SHUFFLE = re.compile(r"Exchange (hashpartitioning|rangepartitioning|RoundRobinPartitioning"
+                      r"|SinglePartition)")
+
+
+def has_shuffle(df: DataFrame) -> bool:
+    """Whether the physical plan (planned, not run) shuffles anywhere."""
+    return bool(_SHUFFLE.search(df._jdf.queryExecution().executedPlan().toString()))
+
 
 def num_partitions(df: DataFrame) -> int:
     """Partition count of a scan (or a narrow plan over one). Do not use
@@ -22,5 +32,11 @@ def num_partitions(df: DataFrame) -> int:
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """At least ``min_partitions`` (default: the cluster's parallelism)
+    partitions for a scan-like plan. A plan that already shuffles is left
+    as it is: it is as wide as its shuffle, and asking for its partition
+    count would run its earlier stages."""
+    if has_shuffle(df):
+        return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if num_partitions(df) < target else df

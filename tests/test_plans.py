@@ -55,3 +55,13 @@ def test_row_ids_use_no_global_window_over_data(spark, q):
 def test_time_spine_is_a_range(spark, q):
     plan = executed_plan(q["resample_1min"](spark, SF_SMALL))
     assert "Range (" in plan
+
+
+def test_spread_only_widens_narrow_scans(spark):
+    from clasp.operators.partitioning import num_partitions, spread
+    scan = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    assert num_partitions(spread(scan, 8)) == 8
+    wide = spark.range(0, 100, numPartitions=16)
+    assert spread(wide, 8) is wide
+    grouped = scan.groupBy("lang").count()
+    assert spread(grouped, 8) is grouped
