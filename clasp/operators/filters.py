@@ -59,11 +59,12 @@ def where_equal(df: DataFrame, a: str, b: str, null_safe: bool = True) -> DataFr
 
 
 def search_expr(col: str, pattern: str | None) -> Column:
-    """case-insensitive regex match; null text never matches; an empty
+    """case-insensitive regex match (Unicode case folding, as Python's
+    ``re.IGNORECASE``: 'É' matches 'é'); null text never matches; an empty
     pattern matches every row (including null text)."""
     if not pattern:
         return F.lit(True)
-    return F.coalesce(F.col(col).rlike("(?i)" + pattern), F.lit(False))
+    return F.coalesce(F.col(col).rlike("(?iu)" + pattern), F.lit(False))
 
 
 def search(df: DataFrame, col: str, pattern: str | None) -> DataFrame:

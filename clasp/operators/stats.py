@@ -22,10 +22,17 @@ def total(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("total"))
 
 
+def str_key(key: str) -> Column:
+    """A key rendered as Python's ``str`` renders it for a JSON object key
+    (a null group becomes ``"None"``)."""
+    return F.coalesce(F.col(key).cast("string"), F.lit("None")).alias(key)
+
+
 def distribution(df: DataFrame, key: str, as_string: bool = False,
                  out: str = "total") -> DataFrame:
-    """A2: group count; a null key is a group of its own (store ``$group``)."""
-    k = F.col(key).cast("string").alias(key) if as_string else F.col(key)
+    """A2: group count; a null key is a group of its own (store ``$group``).
+    ``as_string``: keys as text, the way the record service sent them."""
+    k = str_key(key) if as_string else F.col(key)
     return df.groupBy(k).agg(F.count(F.lit(1)).alias(out))
 
 
@@ -82,7 +89,7 @@ def label_stats(df: DataFrame, key: str, label: str, pred: str, null_safe: bool
     rows (one per class), and since both sides carry the same columns the
     aggregate's shuffle is computed once and reused."""
     eq = F.col(label).eqNullSafe(F.col(pred)) if null_safe else (F.col(label) == F.col(pred))
-    k = F.col(key).cast("string").alias(key) if key_as_string else F.col(key)
+    k = str_key(key) if key_as_string else F.col(key)
     per = df.groupBy(k).agg(F.count(F.lit(1)).alias("n"),
                             F.count_if(F.coalesce(eq, F.lit(False))).alias("_correct"))
     tot = per.agg(F.sum("n").alias("total"), F.sum("_correct").alias("correct"))

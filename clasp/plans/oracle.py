@@ -144,7 +144,7 @@ SELECT c.conv_id, c.turn, coalesce(f.doc_id, c.conv_id * 1000 + c.turn) AS ref
 FROM conversations c LEFT JOIN f ON c.text = f.text""",
     "label_distribution": f"WITH {RT} SELECT etiqueta, count(*) AS total FROM rt GROUP BY etiqueta",
     "risk_distribution": f"""WITH {RTAB}
-SELECT CAST(prediction AS VARCHAR) AS prediction, count(*) AS total FROM rtab GROUP BY 1""",
+SELECT coalesce(CAST(prediction AS VARCHAR), 'None') AS prediction, count(*) AS total FROM rtab GROUP BY 1""",
     "value_counts": f"""WITH {RT}
 SELECT etiqueta, count(*) AS count FROM rt WHERE etiqueta IS NOT NULL GROUP BY etiqueta""",
     "confusion_matrix": f"""WITH {RT}
@@ -168,7 +168,7 @@ SELECT per.etiqueta, per.n, per.c AS class_correct, tot.total, tot.correct,
        {_pct("tot.correct", "tot.total", 2)} AS accuracy
 FROM per, tot""",
     "risk_stats": f"""WITH {RTAB},
-per AS (SELECT CAST(prediction AS VARCHAR) AS prediction, count(*) AS n,
+per AS (SELECT coalesce(CAST(prediction AS VARCHAR), 'None') AS prediction, count(*) AS n,
                CAST(count_if(label IS NOT DISTINCT FROM prediction) AS BIGINT) AS c
         FROM rtab GROUP BY 1),
 tot AS (SELECT CAST(sum(n) AS BIGINT) AS total, CAST(sum(c) AS BIGINT) AS correct FROM per)

@@ -200,3 +200,14 @@ def test_stringify_only_present_timestamp_columns(spark):
     from clasp.functions.scalars import format_ts_pystr
     df2 = spark.createDataFrame([(datetime(2024, 1, 1, 2, 3, 4, 500),)], "ts timestamp_ntz")
     assert df2.select(format_ts_pystr("ts")).first()[0] == str(datetime(2024, 1, 1, 2, 3, 4, 500))
+
+
+def test_search_folds_unicode_case(spark):
+    df = spark.createDataFrame([(1, "ÉCOLE"), (2, "école"), (3, "ecole")], "id int, t string")
+    assert sorted(r.id for r in filters.search(df, "t", "école").collect()) == [1, 2]
+
+
+def test_string_keys_render_null_as_python_does(spark):
+    df = spark.createDataFrame([(1,), (None,), (1,)], "p int")
+    got = {r.p: r.total for r in stats.distribution(df, "p", as_string=True).collect()}
+    assert got == {"1": 2, "None": 1}
