@@ -211,3 +211,10 @@ def test_string_keys_render_null_as_python_does(spark):
     df = spark.createDataFrame([(1,), (None,), (1,)], "p int")
     got = {r.p: r.total for r in stats.distribution(df, "p", as_string=True).collect()}
     assert got == {"1": 2, "None": 1}
+
+
+def test_stats_record_one_row(spark):
+    df = spark.createDataFrame([("a", "a"), ("b", "a"), (None, None)], "l string, p string")
+    rec = stats.stats_record(stats.label_stats(df, "l", "l", "p"), "l").first()
+    assert rec.total == 3 and rec.accuracy == 66.67
+    assert dict(rec.distribution) == {"a": 1, "b": 1, "null": 1}
