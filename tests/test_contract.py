@@ -38,3 +38,37 @@ def test_query_equals_oracle(spark, duck, name):
     assert sc == dc
     assert len(sr) == len(dr)
     assert digest(sr) == digest(dr), (sorted(set(sr) - set(dr))[:3], sorted(set(dr) - set(sr))[:3])
+
+
+ROWS_ONLY_COLUMNS = {
+    "hashing_tf": ["doc_id", "bucket", "tf"],
+    "forest_predictions": ["o_orderkey", "label", "prediction_index", "prediction"],
+    "tabular_score": ["o_orderkey", "split", "label", "prediction_index", "prediction"],
+    "text_score": ["text_md5", "etiqueta", "prediction", "fecha_proceso", "accuracy_test"],
+    "score_new_text": ["doc_id", "prediction_index", "prediction"],
+    "random_split_sizes": ["split", "n"],
+    "model_roundtrip": ["o_orderkey", "p1", "p2", "same"],
+    "sorted_random_ts": ["doc_id", "lang", "fecha"],
+    "stream_score_sink": ["o_orderkey", "status_label", "prediction_index", "prediction",
+                          "fecha_proceso", "batch_id"],
+}
+
+
+def test_every_query_without_sql_is_listed():
+    assert set(E.queries()) - set(E.oracle_sql()) == set(ROWS_ONLY_COLUMNS)
+
+
+@pytest.mark.parametrize("name", sorted(ROWS_ONLY_COLUMNS))
+def test_rows_only_query_runs(spark, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    assert df.columns == ROWS_ONLY_COLUMNS[name]
+    rows = df.collect()
+    assert rows
+    if name == "model_roundtrip":
+        assert all(r.same for r in rows)
+    if name in ("tabular_score", "stream_score_sink"):
+        n_orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet").count()
+        assert len(rows) == n_orders
+    if name == "sorted_random_ts":
+        ts = [r.fecha for r in sorted(rows, key=lambda r: r.doc_id)]
+        assert ts == sorted(ts)
