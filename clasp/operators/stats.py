@@ -13,7 +13,6 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clasp.operators.filters import equal_cols  # noqa: F401
 from clasp.functions.scalars import round_half_even, safe_ratio_pct
 
 

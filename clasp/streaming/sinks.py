@@ -7,7 +7,6 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
 
@@ -69,5 +68,3 @@ def run_until_idle(query) -> None:
 def read_sink(spark, sink_path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(sink_path)
 
-
-__all__ = ["idempotent_batch_writer", "write_stream", "run_until_idle", "read_sink", "F"]
