@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clasp.session import ensure_checkpoint_dir
+
 # A dimension is broadcast only when its size is known to be below this.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
@@ -51,11 +53,23 @@ def prefer(a: str | Column, b: str | Column) -> Column:
 def merge_coalesce(df: DataFrame, dim: DataFrame, key: str, dim_col: str,
                    target: str, order: list[str] | None = None) -> DataFrame:
     """J1+J2+J3+P9: keep-first the dimension on ``key``, left-join it,
-    prefer its ``dim_col`` over ``target``, drop the helper column."""
+    prefer its ``dim_col`` over ``target``, drop the helper column.
+
+    A small deduplicated dimension is broadcast (no shuffle of ``df``, so
+    a hot key costs nothing extra). A large one is written once with a
+    reliable checkpoint in the shared folder: the join then reads two plain
+    shuffles, the shape AQE's skew handling needs to split the partition
+    of a key that holds a large share of ``df`` (it cannot split a join
+    whose input is an aggregate)."""
     needed = list(dict.fromkeys([key, dim_col, *(order or [])]))
     first = dedup_first(dim.select(*needed), [key], order or [dim_col])
     first = first.select(key, F.col(dim_col).alias("_enrich"))
-    joined = enrich_left(df, first, key)
+    size = estimated_size_bytes(first)
+    if size is not None and size <= BROADCAST_LIMIT_BYTES:
+        joined = df.join(F.broadcast(first), key, "left")
+    else:
+        ensure_checkpoint_dir(df.sparkSession)
+        joined = df.join(first.checkpoint(eager=True), key, "left")
     return joined.withColumn(target, prefer("_enrich", target)).drop("_enrich")
 
 
