@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from clasp.functions.stopwords import ENGLISH_STOP_WORDS
 from clasp.functions.text import WHITESPACE_CLASS
+from clasp.operators.joins import join_derived
 from clasp.operators.partitioning import spread
 from clasp.ml.models import MAX_DEPTH, NUM_TREES, SEED, forest
 
@@ -101,7 +102,7 @@ def tfidf_top_terms(df: DataFrame, doc_col: str, text_col: str, k: int = 3,
     tf = term_freqs(df, doc_col, text_col, stop_words)
     idf = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
            .select("term", _idf(m).alias("_idf")))
-    scored = tf.join(idf, "term").withColumn("_score", F.col("tf") * F.col("_idf"))
+    scored = join_derived(tf, idf, "term").withColumn("_score", F.col("tf") * F.col("_idf"))
     w = Window.partitionBy(doc_col).orderBy(F.desc("_score"), F.asc("term"))
     return (scored.withColumn("rank", F.row_number().over(w).cast("bigint"))
             .where(F.col("rank") <= k)

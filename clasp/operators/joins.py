@@ -26,8 +26,8 @@ def dedup_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def estimated_size_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan (parquet file sizes for scans)."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(str(size))  # a Python int, or a JVM BigInt
     except Exception:  # pragma: no cover - estimate unavailable
         return None
 
@@ -39,6 +39,19 @@ def maybe_broadcast(dim: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataF
     return F.broadcast(dim) if size is not None and size <= limit else dim
 
 
+def join_derived(df: DataFrame, derived: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join ``df`` to a frame computed by an aggregate (one row per key).
+    Small -> broadcast. Large -> written once with a reliable checkpoint
+    in the shared folder, so the join reads two plain shuffles and AQE can
+    split the partition of a hot key (it cannot split a join whose input is
+    an aggregate's output)."""
+    size = estimated_size_bytes(derived)
+    if size is not None and size <= BROADCAST_LIMIT_BYTES:
+        return df.join(F.broadcast(derived), on, how)
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.join(derived.checkpoint(eager=True), on, how)
+
+
 def enrich_left(df: DataFrame, dim: DataFrame, on: list[str] | str) -> DataFrame:
     """Left equi join. Every left row survives; it is repeated once per
     matching dimension row (make the key unique with ``dedup_first``)."""
@@ -64,12 +77,7 @@ def merge_coalesce(df: DataFrame, dim: DataFrame, key: str, dim_col: str,
     needed = list(dict.fromkeys([key, dim_col, *(order or [])]))
     first = dedup_first(dim.select(*needed), [key], order or [dim_col])
     first = first.select(key, F.col(dim_col).alias("_enrich"))
-    size = estimated_size_bytes(first)
-    if size is not None and size <= BROADCAST_LIMIT_BYTES:
-        joined = df.join(F.broadcast(first), key, "left")
-    else:
-        ensure_checkpoint_dir(df.sparkSession)
-        joined = df.join(first.checkpoint(eager=True), key, "left")
+    joined = join_derived(df, first, key, "left")
     return joined.withColumn(target, prefer("_enrich", target)).drop("_enrich")
 
 

@@ -65,3 +65,13 @@ def test_spread_only_widens_narrow_scans(spark):
     assert spread(wide, 8) is wide
     grouped = scan.groupBy("lang").count()
     assert spread(grouped, 8) is grouped
+
+
+def test_size_estimate_drives_broadcast(spark):
+    from clasp.operators.joins import estimated_size_bytes, maybe_broadcast
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    size = estimated_size_bytes(labels)
+    assert size is not None and 0 < size < 10 * 1024 * 1024
+    hinted = maybe_broadcast(labels)
+    assert "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString() or \
+        "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
