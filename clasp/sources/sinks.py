@@ -33,7 +33,9 @@ TIME_FORMATS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K4: CSV with a header row and no index column; lossless times."""
-    df.write.mode(mode).option("header", True).options(**TIME_FORMATS).csv(path)
+    from clasp.sources.tables import CSV_OPTIONS
+    dialect = {k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"}
+    df.write.mode(mode).option("header", True).options(**TIME_FORMATS, **dialect).csv(path)
 
 
 def save_model(model, path: str) -> None:

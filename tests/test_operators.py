@@ -218,3 +218,15 @@ def test_stats_record_one_row(spark):
     rec = stats.stats_record(stats.label_stats(df, "l", "l", "p"), "l").first()
     assert rec.total == 3 and rec.accuracy == 66.67
     assert dict(rec.distribution) == {"a": 1, "b": 1, "null": 1}
+
+
+def test_csv_roundtrip_whole_texts(spark, tmp_path):
+    from tests.conftest import SF_SMALL
+    from clasp.sources.tables import read_csv
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    extra = spark.createDataFrame([(-1, 'say "hi"\\nnext \\\\ line, "x"')], "doc_id bigint, text string")
+    src = docs.unionByName(extra)
+    sinks.write_csv(src, str(tmp_path / "d"))
+    back = read_csv(spark, str(tmp_path / "d"), "doc_id bigint, text string")
+    assert back.count() == src.count()
+    assert back.exceptAll(src).count() == 0 and src.exceptAll(back).count() == 0
