@@ -6,7 +6,6 @@ and the bench build a ``local[N]`` session through :func:`build_session`.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -72,10 +71,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
-    root = checkpoint_root(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    return os.path.join(root, "clasp", *parts, uuid.uuid4().hex)
+    return "/".join([checkpoint_root(spark), "clasp", *parts, uuid.uuid4().hex])
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
