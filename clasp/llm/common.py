@@ -30,7 +30,17 @@ def cut(df: DataFrame, label: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*written: DataFrame) -> None:
+    """Remove tables made by :func:`cut` that no later plan reads."""
+    for df in written:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
