@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clasp.llm import mixing, simhash, substrings
+from clasp.llm import decontamination, mixing, simhash, substrings, token_store
 from clasp.llm.common import table
+from clasp.session import scratch_path
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +16,26 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+#: A public vocabulary that drops white space and marks word ends; ids below 2**16.
+TOKENIZER, VOCABULARY, END_ID = "word_bpe_49k.json", 49_408, 1
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = token_store.write_tokens(
+        table(spark, sf_dir, "documents"), scratch_path(spark, "llm", "token-store"), tokenizer_path(),
+        VOCABULARY, END_ID, by_word=True)
+    return token_store.digests(spark, store)
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -25,6 +46,8 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op4_token_store": op4_token_store,
+    "op6_decontamination": op6_decontamination,
     "op8_mixing": op8_mixing,
     "op10_substrings": op10_substrings,
 }
