@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clasp.llm import decontamination, mixing, simhash, substrings, token_store
+from clasp.llm import decontamination, language, mixing, pii, simhash, substrings, token_store
 from clasp.llm.common import table
 from clasp.session import scratch_path
 
@@ -16,6 +16,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.fit(docs))
+
+
 #: A public vocabulary that drops white space and marks word ends; ids below 2**16.
 TOKENIZER, VOCABULARY, END_ID = "word_bpe_49k.json", 49_408, 1
 
@@ -36,6 +41,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs)).drop("redacted")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -46,8 +56,10 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op3_language": op3_language,
     "op4_token_store": op4_token_store,
     "op6_decontamination": op6_decontamination,
+    "op7_pii": op7_pii,
     "op8_mixing": op8_mixing,
     "op10_substrings": op10_substrings,
 }
