@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clasp.llm import decontamination, language, mixing, pii, simhash, substrings, token_store
+from clasp.llm import decontamination, language, mixing, neighbours, pii, simhash, substrings, token_store
 from clasp.llm.common import table
 from clasp.session import scratch_path
 
@@ -16,6 +16,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language.predict(docs, language.fit(docs))
@@ -56,6 +60,7 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_neighbours": op2_neighbours,
     "op3_language": op3_language,
     "op4_token_store": op4_token_store,
     "op6_decontamination": op6_decontamination,
