@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clasp.llm import decontamination, language, mixing, neighbours, pii, simhash, substrings, token_store
+from clasp.llm import decontamination, language, licenses, mixing, neighbours, pii, simhash, substrings, token_store
 from clasp.llm.common import table
 from clasp.session import scratch_path
 
@@ -54,6 +55,13 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table has no paths: a document lies under its source, in folders
+    of a thousand ids."""
+    path = F.concat_ws("/", "source", F.floor(F.col("doc_id") / 1000).cast("string"), F.col("doc_id").cast("string"))
+    return licenses.scan(table(spark, sf_dir, "documents"), path=path)
+
+
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -66,6 +74,7 @@ LLM_REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": op6_decontamination,
     "op7_pii": op7_pii,
     "op8_mixing": op8_mixing,
+    "op9_licenses": op9_licenses,
     "op10_substrings": op10_substrings,
 }
 
