@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clasp.llm import decontamination, language, licenses, mixing, neighbours, pii, simhash, substrings, token_store
+from clasp.llm import decontamination, language, licenses, lm_scoring, mixing, neighbours, pii, simhash, substrings, token_store
 from clasp.llm.common import table
 from clasp.session import scratch_path
 
@@ -42,6 +42,11 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.digests(spark, store)
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.scores(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", F.round("score", 6).alias("score"), F.round("mean", 6).alias("mean"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -71,6 +76,7 @@ LLM_REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_neighbours": op2_neighbours,
     "op3_language": op3_language,
     "op4_token_store": op4_token_store,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_decontamination": op6_decontamination,
     "op7_pii": op7_pii,
     "op8_mixing": op8_mixing,
@@ -79,5 +85,6 @@ LLM_REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 LLM_ORACLE: dict[str, str] = {
+    "op5_lm_scoring": lm_scoring.ORACLE,
     "op8_mixing": mixing.ORACLE,
 }
