@@ -160,8 +160,11 @@ def _summed(rows: DataFrame, corpus_rows: DataFrame | None, weight: str, how: st
     """Rows with their ``count``, and the sum of weight * ln count per document."""
     width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartition(width, "h")
-    counts = (dealt if corpus_rows is None else corpus_rows.repartition(width, "h")).groupBy(
-        F.col("h").alias("g")).agg(F.sum("n").alias("count"))
+    counted = dealt if corpus_rows is None else corpus_rows.repartition(width, "h")
+    # a count reads all columns of its rows, so that one shuffle serves both sides of the join
+    every = [F.max(c).alias(f"_{c}") for c in counted.columns if c != "h"]
+    counts = (counted.groupBy(F.col("h").alias("g")).agg(F.sum("n").alias("count"), *every)
+              .where(F.greatest(*[f"_{c}" for c in counted.columns if c != "h"]).isNotNull()).select("g", "count"))
     matched = dealt.join(counts.hint("merge"), F.col("h") == F.col("g"), how)
     sums = matched.groupBy("k1", "k2").agg(F.sum(F.col(weight) * F.log(F.coalesce("count", F.lit(1)))).alias("s"))
     return matched, sums
