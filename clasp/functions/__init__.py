@@ -1,5 +1,5 @@
 from clasp.functions.scalars import (
-    round_half_even, round_like_python, pct, safe_ratio_pct, try_int, try_double, guess_scalar,
+    round_half_even, round_like_python, pct, safe_ratio_pct, guess_scalar,
     parse_ts, format_ts, format_ts_pystr, map_values_expr,
 )
 from clasp.functions.hashing import hash_bucket
@@ -7,7 +7,7 @@ from clasp.functions.text import tokens_expr, nonempty_tokens_expr, drop_stop_wo
 from clasp.functions.stopwords import ENGLISH_STOP_WORDS
 
 __all__ = [
-    "round_half_even", "round_like_python", "pct", "safe_ratio_pct", "try_int", "try_double", "guess_scalar",
+    "round_half_even", "round_like_python", "pct", "safe_ratio_pct", "guess_scalar",
     "parse_ts", "format_ts", "format_ts_pystr", "map_values_expr", "hash_bucket", "tokens_expr",
     "nonempty_tokens_expr", "drop_stop_words_expr", "ENGLISH_STOP_WORDS",
 ]

@@ -58,31 +58,26 @@ def safe_ratio_pct(num: ColumnOrName, den: ColumnOrName, digits: int = 2) -> Col
 pct = safe_ratio_pct
 
 
-def try_int(s: ColumnOrName) -> Column:
-    """Text -> int, null when it is not an integer literal ('40.0' -> null)."""
-    return F.expr(f"try_cast({_sql(s)} as int)")
-
-
-def try_double(s: ColumnOrName) -> Column:
-    return F.expr(f"try_cast({_sql(s)} as double)")
-
-
-def _sql(s: ColumnOrName) -> str:
-    if isinstance(s, str):
-        return f"`{s}`"
-    raise TypeError("pass a column name")
+# What Python's int() and float() read (underscores between
+# digits; no hexadecimal, no type suffix).
+_DIGITS = "[0-9]+(_[0-9]+)*"
+INT_TEXT = rf"^\s*[+-]?{_DIGITS}\s*$"
+FLOAT_TEXT = (rf"^\s*[+-]?((?i)inf(inity)?|nan|({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})(e[+-]?{_DIGITS})?)\s*$")
 
 
 def guess_scalar(s: str) -> Column:
-    """Guess one text value: int if it parses as an int, else double,
-    else keep the text. Returns ``struct(kind, i, d, s)``."""
-    i = F.expr(f"try_cast(`{s}` as bigint)")
-    d = F.expr(f"try_cast(`{s}` as double)")
-    kind = (F.when(F.col(s).isNull(), F.lit("null"))
-            .when(i.isNotNull(), F.lit("int"))
-            .when(d.isNotNull(), F.lit("double"))
-            .otherwise(F.lit("string")))
-    return F.struct(kind.alias("kind"), i.alias("i"), d.alias("d"), F.col(s).alias("s"))
+    """Guess one text value as Python would: int, else float, else
+    text. Returns ``struct(kind, i, d, s)``; ``i`` is the integer's digits as
+    text (any length, exact), ``d`` the number as a double."""
+    text = F.col(s)
+    plain = F.regexp_replace(F.trim(F.regexp_replace(text, r"\s", " ")), "_", "")
+    is_int, is_float = text.rlike(INT_TEXT), text.rlike(FLOAT_TEXT)
+    digits = F.regexp_replace(F.regexp_replace(plain, r"^([+-]?)0*([0-9])", "$1$2"), r"^[+]", "")
+    digits = F.when(digits == "-0", "0").otherwise(digits)
+    kind = (F.when(text.isNull(), F.lit("null")).when(is_int, F.lit("int"))
+            .when(is_float, F.lit("double")).otherwise(F.lit("string")))
+    number = F.when(is_int | is_float, plain.try_cast("double"))
+    return F.struct(kind.alias("kind"), F.when(is_int, digits).alias("i"), number.alias("d"), text.alias("s"))
 
 
 def parse_ts(x: ColumnOrName, fmt: str | None = None) -> Column:

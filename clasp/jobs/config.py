@@ -32,6 +32,7 @@ class TabularJobConfig:
     data_format: str = field(default_factory=lambda: env("DATA_FORMAT", "csv"))
     model_path: str = field(default_factory=lambda: env("MODEL_PATH", "models/tabular_model"))
     metrics: TableSpec = field(default_factory=lambda: TableSpec.from_env("METRICS", "out/tabular_metrics"))
+    # The record's columns.
     categorical: tuple = ("Sex", "ChestPainType", "RestingECG", "ExerciseAngina", "ST_Slope")
     numeric: tuple = ("Age", "RestingBP", "Cholesterol", "FastingBS", "MaxHR", "Oldpeak")
     label: str = "HeartDisease"

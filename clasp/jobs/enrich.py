@@ -27,7 +27,7 @@ def file_order(df: DataFrame) -> DataFrame:
 def run(df: DataFrame, start: datetime = START, end: datetime = END, seed: int = 42) -> DataFrame:
     cols = [c for c in df.columns]
     numbered = with_row_id(file_order(df), ["_f", "_b", "_m"], out="id")
-    stamped = with_sorted_random_ts(numbered.select("id", *cols), "id", start, end, seed=seed)
+    stamped = with_sorted_random_ts(numbered.select("id", *cols), "id", start, end, seed=seed, ranked=True)
     return stamped.select("id", *cols, "fecha")
 
 

@@ -6,23 +6,22 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from clasp.jobs.config import StreamJobConfig
+from clasp.jobs.config import StreamJobConfig, TabularJobConfig
 from clasp.jobs.schemas import RECORD_SCHEMA
 from clasp.sources.tables import load_model
 from clasp.streaming.scoring import scored_stream
 from clasp.streaming.sinks import idempotent_batch_writer, write_stream
 from clasp.streaming.sources import open_stream
 
-FEATURES = ["Age", "Sex", "ChestPainType", "RestingBP", "Cholesterol", "FastingBS",
-            "RestingECG", "MaxHR", "ExerciseAngina", "Oldpeak", "ST_Slope"]
-
 
 def start(spark: SparkSession, cfg: StreamJobConfig, available_now: bool = False):
+    fields = TabularJobConfig()
+    features = [*fields.categorical, *fields.numeric]
     model = load_model(cfg.model_path)
     decoded, fn = scored_stream(open_stream(spark, cfg.source), RECORD_SCHEMA, model,
-                                required=FEATURES, label_col=cfg.label,
+                                required=features, label_col=cfg.label,
                                 label_alias=cfg.label_alias, label_type=cfg.label_type,
-                                keep_cols=[*FEATURES, cfg.label_alias])
+                                keep_cols=[*features, cfg.label_alias])
     writer = idempotent_batch_writer(cfg.sink_path, split=fn, quarantine_path=cfg.quarantine_path)
     trigger = {"availableNow": True} if available_now else {"processingTime": cfg.trigger}
     return write_stream(decoded, writer, cfg.checkpoint, "stream_score", trigger=trigger)

@@ -35,9 +35,11 @@ def run(spark: SparkSession, cfg: TabularJobConfig, data: DataFrame | None = Non
                                     num_trees=cfg.num_trees, max_depth=cfg.max_depth, seed=cfg.seed)
     model = fit_persisted(pipe, data.where(F.col("split") == "train"))
     sinks.save_model(model, cfg.model_path)
-    scored = models.decode_prediction(models.score(model, data, cfg.label), model,
-                                      label_type=dict(data.dtypes)[cfg.label])
-    sinks.write_table(metrics_row(scored, "split", cfg.label, "prediction"), cfg.metrics)
+    # only held-out rows are scored; train rows are only counted
+    test = models.decode_prediction(models.score(model, data.where(F.col("split") == "test"), cfg.label), model,
+                                    label_type=dict(data.dtypes)[cfg.label]).select("split", cfg.label, "prediction")
+    train = data.where(F.col("split") == "train").select("split", cfg.label, F.col(cfg.label).alias("prediction"))
+    sinks.write_table(metrics_row(test.unionByName(train), "split", cfg.label, "prediction"), cfg.metrics)
     return model
 
 

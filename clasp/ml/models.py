@@ -77,11 +77,11 @@ def score(model: PipelineModel, df: DataFrame, label_col: str | None = None) ->
 
 
 def scored_table(df: DataFrame, text_col: str, label_col: str, pred_col: str,
-                 accuracy: DataFrame | None = None) -> DataFrame:
+                 accuracy: DataFrame | None = None, keep: list[str] | tuple = ()) -> DataFrame:
     """Text, label, prediction, processing time and the held-out
     accuracy (a one-row frame, attached as a scalar subquery)."""
     acc = accuracy.select(F.first("accuracy")).scalar() if accuracy is not None else F.lit(None)
     return df.select(
-        F.col(text_col), F.col(label_col), F.col(pred_col),
+        *keep, F.col(text_col), F.col(label_col), F.col(pred_col),
         F.current_timestamp().alias("fecha_proceso"),
         acc.cast("double").alias("accuracy_test"))

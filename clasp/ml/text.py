@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from clasp.functions.stopwords import ENGLISH_STOP_WORDS
 from clasp.functions.text import WHITESPACE_CLASS
 from clasp.operators.joins import join_derived
+from clasp.session import materialise
 from clasp.operators.partitioning import spread
 from clasp.ml.models import MAX_DEPTH, NUM_TREES, SEED, forest
 
@@ -43,11 +44,6 @@ def text_pipeline(**kw) -> Pipeline:
     return Pipeline(stages=text_stages(**kw))
 
 
-def feature_stages(text_col: str = "texto", num_features: int = NUM_FEATURES):
-    """Feature part only (M1–M4), for inspecting hashed TF / TF-IDF."""
-    return text_stages(text_col=text_col, num_features=num_features)[:5]
-
-
 # ---- SQL forms (M1, M2, M4) -------------------------------------------------
 #
 # Tokens are exploded first and stop words removed with ``isin`` (planned
@@ -82,12 +78,14 @@ def _idf(m, doc_freq: str = "doc_freq"):
     return F.log((m + 1) / (F.col(doc_freq) + 1))
 
 
-def term_idf(df: DataFrame, doc_col: str, text_col: str, stop_words: list[str] | None = None,
-             digits: int = 6) -> DataFrame:
+def term_idf(df: DataFrame, text_col: str, stop_words: list[str] | None = None, digits: int = 6) -> DataFrame:
     """M4 (term level): ``idf = ln((m + 1) / (df + 1))`` where ``m`` is the
-    number of documents and ``df`` the number containing the term."""
+    number of rows and ``df`` the number of rows with the term. A row gives
+    each of its terms once, so one shuffle, on the term, counts them."""
     m = df.select(F.count(F.lit(1))).scalar()
-    dfreq = (term_freqs(df, doc_col, text_col, stop_words)
+    toks = F.array_distinct(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), WHITESPACE_CLASS, -1))
+    words = [w.lower() for w in (stop_words or ENGLISH_STOP_WORDS)]
+    dfreq = (spread(df).select(F.explode(toks).alias("term")).where((F.col("term") != "") & ~F.col("term").isin(words))
              .groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq")))
     return dfreq.select("term", "doc_freq", F.round(_idf(m), digits).alias("idf"))
 
@@ -95,11 +93,13 @@ def term_idf(df: DataFrame, doc_col: str, text_col: str, stop_words: list[str] |
 def tfidf_top_terms(df: DataFrame, doc_col: str, text_col: str, k: int = 3,
                     stop_words: list[str] | None = None, digits: int = 6) -> DataFrame:
     """M4 transform (term level), reported as each document's ``k``
-    highest ``tf * idf`` terms (ties by term). The rank filter lets Spark
-    keep a per-task top-k before the shuffle (window group limit); a term
-    found in most documents is a hot join key, split by AQE skew handling."""
+    highest ``tf * idf`` terms (ties by term). The counts per document and
+    term are made once and written; document frequencies and the join read
+    them from there. The rank filter lets Spark keep a per-task top-k before
+    the shuffle (window group limit); a term found in most documents is a
+    hot join key, split by AQE skew handling."""
     m = df.select(F.count(F.lit(1))).scalar()
-    tf = term_freqs(df, doc_col, text_col, stop_words)
+    tf = materialise(term_freqs(df, doc_col, text_col, stop_words), "term-freqs")
     idf = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
            .select("term", _idf(m).alias("_idf")))
     scored = join_derived(tf, idf, "term").withColumn("_score", F.col("tf") * F.col("_idf"))

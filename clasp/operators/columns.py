@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
-from clasp.functions.scalars import format_ts, map_values_expr, parse_ts
+from clasp.functions.scalars import format_ts, format_ts_pystr, map_values_expr, parse_ts
 
 
 def select(df: DataFrame, cols: list[str | Column]) -> DataFrame:
@@ -19,11 +19,6 @@ def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})
 
 
-def flatten(df: DataFrame, struct_col: str, keep: list[str] | tuple = ()) -> DataFrame:
-    """Struct fields become top-level columns."""
-    return df.select(*keep, f"{struct_col}.*")
-
-
 def with_const(df: DataFrame, name: str, value) -> DataFrame:
     """Constant column."""
     return df.withColumn(name, value if isinstance(value, Column) else F.lit(value))
@@ -40,11 +35,6 @@ def typed_cast(df: DataFrame, casts: dict[str, str]) -> DataFrame:
     return df.withColumns({c: F.expr(f"try_cast(`{c}` as {t})") for c, t in casts.items()})
 
 
-def truncate_to_int(df: DataFrame, col: str) -> DataFrame:
-    """Double -> int by truncation toward zero."""
-    return df.withColumn(col, F.expr(f"try_cast(`{col}` as int)"))
-
-
 def map_values(df: DataFrame, col: str, mapping: dict, out: str | None = None) -> DataFrame:
     """Map codes to names; unmapped -> null. For a mapping too large to
     inline, join with a small dimension instead."""
@@ -75,13 +65,15 @@ def drop(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def stringify_ts(df: DataFrame, cols: list[str] | None = None,
-                 fmt: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
+                 fmt: str | None = None) -> DataFrame:
     """P10: timestamp columns -> text, only those present (all timestamp
-    columns when ``cols`` is None)."""
+    columns when ``cols`` is None). Without ``fmt`` as Python's ``str``
+    writes them, with a fraction where there is one."""
     ts_types = (TimestampType, TimestampNTZType)
     names = [f.name for f in df.schema.fields
              if isinstance(f.dataType, ts_types) and (cols is None or f.name in cols)]
-    return df.withColumns({c: format_ts(c, fmt) for c in names}) if names else df
+    render = (lambda c: format_ts(c, fmt)) if fmt else format_ts_pystr
+    return df.withColumns({c: render(c) for c in names}) if names else df
 
 
 def parse_timestamps(df: DataFrame, cols: list[str], fmt: str | None = None) -> DataFrame:

@@ -3,8 +3,11 @@ of them is pushed into the parquet scan where the column allows."""
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def drop_incomplete(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
@@ -13,10 +16,18 @@ def drop_incomplete(df: DataFrame, subset: list[str] | None = None) -> DataFrame
 
 
 def filter_eq(df: DataFrame, col: str, value=None) -> DataFrame:
-    """optional equality filter; ``None`` or ``""`` keeps every row."""
+    """optional equality filter; ``None`` or ``""`` keeps every row. As
+    in a document store, values of different types are never equal: decided
+    from the schema, so a text never reaches a numeric column's cast."""
     if value is None or value == "":
         return df
-    return df.where(F.col(col) == F.lit(value))
+    kind = df.schema[col].dataType
+    comparable = (isinstance(value, bool) if isinstance(kind, T.BooleanType)
+                  else isinstance(value, (int, float, Decimal)) and not isinstance(value, bool)
+                  if isinstance(kind, T.NumericType)
+                  else isinstance(value, str) if isinstance(kind, T.StringType)
+                  else not isinstance(value, (str, int, float)))
+    return df.where(F.col(col) == F.lit(value)) if comparable else df.where(F.lit(False))
 
 
 def parse_int_param(value) -> int | None:
@@ -54,10 +65,6 @@ def equal_cols(a: str, b: str, null_safe: bool = True) -> Column:
     return F.col(a).eqNullSafe(F.col(b)) if null_safe else (F.col(a) == F.col(b))
 
 
-def where_equal(df: DataFrame, a: str, b: str, null_safe: bool = True) -> DataFrame:
-    return df.where(equal_cols(a, b, null_safe))
-
-
 def search_expr(col: str, pattern: str | None) -> Column:
     """case-insensitive regex match (Unicode case folding, as Python's
     ``re.IGNORECASE``: 'É' matches 'é'); null text never matches; an empty

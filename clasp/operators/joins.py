@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clasp.session import ensure_checkpoint_dir
-
-# A dimension is broadcast only when its size is known to be below this.
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+from clasp.session import materialise
 
 
 def dedup_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -23,39 +20,26 @@ def dedup_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return out.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in others])
 
 
-def estimated_size_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan (parquet file sizes for scans)."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(str(size))  # a Python int, or a JVM BigInt
-    except Exception:  # pragma: no cover - estimate unavailable
-        return None
-
-
-def maybe_broadcast(dim: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Broadcast hint only behind a size check; otherwise leave the choice
-    (sort-merge with AQE skew splitting) to the planner."""
-    size = estimated_size_bytes(dim)
-    return F.broadcast(dim) if size is not None and size <= limit else dim
-
-
 def join_derived(df: DataFrame, derived: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Join ``df`` to a frame computed by an aggregate (one row per key).
-    Small -> broadcast. Large -> written once with a reliable checkpoint
-    in the shared folder, so the join reads two plain shuffles and AQE can
-    split the partition of a hot key (it cannot split a join whose input is
-    an aggregate's output)."""
-    size = estimated_size_bytes(derived)
-    if size is not None and size <= BROADCAST_LIMIT_BYTES:
-        return df.join(F.broadcast(derived), on, how)
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.join(derived.checkpoint(eager=True), on, how)
+    """Join ``df`` to a frame computed by an aggregate (one row per key),
+    written first in the shared folder. Spark then knows its real size,
+    broadcasts it below its own threshold, and beyond it joins two plain
+    shuffles, in which it can split the partition of a hot key (it can't
+    where an input is an aggregate's output)."""
+    return df.join(materialise(derived, "derived"), on, how)
 
 
 def enrich_left(df: DataFrame, dim: DataFrame, on: list[str] | str) -> DataFrame:
     """Left equi join. Every left row survives; it is repeated once per
-    matching dimension row (make the key unique with ``dedup_first``)."""
-    return df.join(maybe_broadcast(dim), on=on, how="left")
+    matching dimension row (make the key unique with ``dedup_first``). How
+    to join is left to Spark, which sees both sizes at run time."""
+    return df.join(dim, on=on, how="left")
+
+
+def key_digest(key: str) -> Column:
+    """SHA-256 of a text key, null for null: what is shuffled and compared
+    in place of long texts."""
+    return F.unhex(F.sha2(F.col(key).cast("string"), 256))
 
 
 def prefer(a: str | Column, b: str | Column) -> Column:
@@ -66,19 +50,17 @@ def prefer(a: str | Column, b: str | Column) -> Column:
 def merge_coalesce(df: DataFrame, dim: DataFrame, key: str, dim_col: str,
                    target: str, order: list[str] | None = None) -> DataFrame:
     """J1+J2+J3+P9: keep-first the dimension on ``key``, left-join it,
-    prefer its ``dim_col`` over ``target``, drop the helper column.
-
-    A small deduplicated dimension is broadcast (no shuffle of ``df``, so
-    a hot key costs nothing extra). A large one is written once with a
-    reliable checkpoint in the shared folder: the join then reads two plain
-    shuffles, the shape AQE's skew handling needs to split the partition
-    of a key that holds a large share of ``df`` (it cannot split a join
-    whose input is an aggregate)."""
-    needed = list(dict.fromkeys([key, dim_col, *(order or [])]))
-    first = dedup_first(dim.select(*needed), [key], order or [dim_col])
-    first = first.select(key, F.col(dim_col).alias("_enrich"))
-    joined = join_derived(df, first, key, "left")
-    return joined.withColumn(target, prefer("_enrich", target)).drop("_enrich")
+    prefer its ``dim_col`` over ``target``, drop the helper columns. Text
+    keys are compared by their SHA-256, so the dimension's texts never
+    leave their scan."""
+    digest = dict(df.dtypes)[key] == "string"
+    on = "_key" if digest else key
+    keyed = dim.select((key_digest(key) if digest else F.col(key)).alias(on), F.col(dim_col).alias("_enrich"),
+                       *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order or [dim_col])])
+    first = dedup_first(keyed, [on], [f"_o{i}" for i in range(len(order or [dim_col]))]).select(on, "_enrich")
+    left = df.withColumn(on, key_digest(key)) if digest else df
+    joined = join_derived(left, first, on, "left").withColumn(target, prefer("_enrich", target))
+    return joined.drop("_enrich", *([on] if digest else [])).select(df.columns)
 
 
 def path_exists(spark, path: str) -> bool:

@@ -43,16 +43,23 @@ def with_row_id(df: DataFrame, order: list[str], out: str = "id", start: int = 1
 
 
 def with_sorted_random_ts(df: DataFrame, id_col: str, start: datetime, end: datetime,
-                          seed: int = 42, out: str = "fecha") -> DataFrame:
+                          seed: int = 42, out: str = "fecha", ranked: bool = False) -> DataFrame:
     """``n`` uniform random times in ``[start, end]`` (whole seconds,
     both ends included), sorted, given to the rows in ``id_col`` order:
-    row k gets the k-th smallest. Draw one per row, rank the draws with
-    :func:`with_row_id`, rank the rows the same way, join on rank."""
+    row k gets the k-th smallest. A row's draw is a hash of the seed and its
+    id, so it is the same however rows are partitioned. Rank the draws with
+    :func:`with_row_id`, rank the ids the same way (unless ``ranked``: they
+    are 1..n already), join on rank."""
     span = int((end - start).total_seconds())
+    name = F.md5(F.concat(F.lit(f"{seed}:"), F.col("_src").cast("string")))
     draws = df.select(F.col(id_col).alias("_src")).withColumn(
-        "_off", F.floor(F.rand(seed) * F.lit(span + 1)).cast("bigint"))
+        "_off", F.conv(F.substring(name, 1, 15), 16, 10).cast("bigint") % F.lit(span + 1))
     ranked_draws = with_row_id(draws, ["_off", "_src"], out="_rank").select("_rank", "_off")
-    ranked_rows = with_row_id(df, [id_col], out="_rank")
+    if ranked:
+        ranked_rows = df.withColumn("_rank", F.col(id_col))
+    else:
+        keys = with_row_id(df.select(id_col), [id_col], out="_rank")
+        ranked_rows = df.join(keys, id_col)
     base = F.lit(start).cast("timestamp_ntz")
     return (ranked_rows.join(ranked_draws, "_rank")
             .withColumn(out, base + F.make_dt_interval(secs=F.col("_off")))

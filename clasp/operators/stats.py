@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clasp.functions.scalars import round_half_even, safe_ratio_pct
+from clasp.operators.topk import tie_order
 
 
 def total(df: DataFrame) -> DataFrame:
@@ -132,7 +133,7 @@ def share(df: DataFrame, key: str, digits: int = 1) -> DataFrame:
 
 def latest_value(metrics: DataFrame, value: str, ts: str, tiebreak: list[str] | None = None) -> Column:
     """Scalar subquery: ``value`` of the latest metrics row (by ``ts``)."""
-    order = F.struct(F.col(ts), *[F.col(c) for c in (tiebreak or [])])
+    order = F.struct(F.col(ts), *[F.col(c) for c in tie_order(metrics, tiebreak)])
     return metrics.select(F.max_by(F.col(value), order)).scalar()
 
 
@@ -187,7 +188,7 @@ def accuracy_or_metrics(scored: DataFrame, metrics: DataFrame | None, label: str
     if metrics is None:
         row = computed.withColumn("_stored", F.lit(None).cast("double"))
     else:
-        order = F.struct(F.col(metric_ts))
+        order = F.struct(F.col(metric_ts), *[F.col(c) for c in tie_order(metrics)])
         stored = metrics.agg(F.max_by(F.col(metric_value), order).cast("double").alias("_stored"))
         row = attach_row(computed, stored)
     return row.select(

@@ -22,6 +22,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clasp.session import materialise
+
 _UNITS = {"s": 1, "sec": 1, "min": 60, "t": 60, "h": 3600, "d": 86400, "w": 604800}
 
 
@@ -55,29 +57,41 @@ def resample_count(df: DataFrame, ts: str, freq: str | int, value_col: str | Non
                    out_ts: str = "bucket_start", out_n: str = "n",
                    spine_partitions: int | None = None) -> DataFrame:
     """Count of non-null ``value_col`` (all rows when None) per
-    bucket of width ``freq``; rows with a null time are ignored."""
+    bucket of width ``freq``; rows with a null time are ignored. One scan:
+    rows are counted per day and in-day bucket (or per day, for widths of
+    whole days), which no origin is needed for, and written; origin, ends
+    and buckets come from those few rows."""
     width = freq_seconds(freq)
-    spark = df.sparkSession
-    timed = df.where(F.col(ts).isNotNull())
+    day = 86_400
+    if width % day and day % width:
+        raise ValueError("a bucket is a part of a day or a number of days")
+    counted = F.count(F.col(value_col)) if value_col else F.count(F.lit(1))
+    fine = min(width, day)
     ts_type = dict(df.dtypes)[ts]
-    # one small aggregate: the first day (the origin) and the numbers of the
-    # buckets holding the first and the last time; the output runs from the
-    # bucket of the first time, which is later than the origin when the
-    # width is under a day
-    first_day = F.to_date(F.min(ts))
-    bounds = timed.agg(first_day.alias("d0"),
-                       bucket_index(F.min(ts), first_day, width).alias("first_b"),
-                       bucket_index(F.max(ts), first_day, width).alias("last_b")).first()
-    if bounds is None or bounds["d0"] is None:
+    timed = df.where(F.col(ts).isNotNull())
+    small = materialise(timed.groupBy(
+        F.to_date(ts).alias("_d"), bucket_index(ts, F.to_date(ts), fine).alias("_i")).agg(counted.alias("_c")), "buckets")
+    return fill_buckets(small, width, ts_type, out_ts, out_n, spine_partitions)
+
+
+def fill_buckets(small: DataFrame, width: int, ts_type: str = "timestamp_ntz", out_ts: str = "bucket_start",
+                 out_n: str = "n", spine_partitions: int | None = None) -> DataFrame:
+    """Counts ``_c`` per day ``_d`` and in-day bucket ``_i`` -> one row for
+    every bucket from the first to the last, zero where nothing was."""
+    spark = small.sparkSession
+    per_day = max(1, 86_400 // width)
+    days = max(1, width // 86_400)
+    ends = small.agg(F.min(F.struct("_d", "_i")).alias("a"), F.max(F.struct("_d", "_i")).alias("z")).first()
+    if ends["a"] is None:
         return spark.createDataFrame([], f"{out_ts} {ts_type}, {out_n} bigint")
-    d0 = F.lit(bounds["d0"]).cast("date")
-    first_b, last_b = int(bounds["first_b"]), int(bounds["last_b"])
-    n_buckets = last_b - first_b + 1
-    counted = F.count(F.col(value_col)) if value_col else F.count(F.lit(1))
-    counts = (timed.groupBy(bucket_index(ts, d0, width).alias("_b"))
-              .agg(counted.alias(out_n)))
-    parts = spine_partitions or max(1, min(spark.sparkContext.defaultParallelism,
-                                           n_buckets // 100_000 + 1))
+    d0 = F.lit(ends["a"]["_d"]).cast("date")
+    span = (ends["z"]["_d"] - ends["a"]["_d"]).days
+    first_b = ends["a"]["_i"] if width < 86_400 else 0
+    last_b = span * per_day + ends["z"]["_i"] if width < 86_400 else span // days
+    number = F.datediff("_d", d0).cast("bigint")
+    number = number * per_day + F.col("_i") if width < 86_400 else F.floor(number / days)
+    counts = small.groupBy(number.cast("bigint").alias("_b")).agg(F.sum("_c").alias(out_n))
+    parts = spine_partitions or max(1, min(spark.sparkContext.defaultParallelism, (last_b - first_b) // 100_000 + 1))
     spine = spark.range(first_b, last_b + 1, numPartitions=parts).withColumnRenamed("id", "_b")
     start = F.to_timestamp(d0).cast(ts_type) if ts_type == "timestamp_ntz" else F.to_timestamp(d0)
     return (spine.join(counts, "_b", "left")
@@ -87,9 +101,20 @@ def resample_count(df: DataFrame, ts: str, freq: str | int, value_col: str | Non
 
 def stream_window_counts(df: DataFrame, ts: str, every: str = "1 minute",
                          watermark: str = "10 minutes", out_n: str = "n") -> DataFrame:
-    """The streaming form of A13: event-time windows closed by a
-    watermark (epoch-aligned; for minute buckets the same edges)."""
+    """The streaming form of A13: counts per event-time window (for
+    minute buckets the same edges). Run in ``update`` mode: every batch
+    gives the windows it has changed, open ones too, and the watermark only
+    bounds the state; :func:`latest_counts` reads the sink."""
     return (df.withWatermark(ts, watermark)
             .groupBy(F.window(ts, every).alias("w"))
             .agg(F.count(F.lit(1)).alias(out_n))
             .select(F.col("w.start").alias("bucket_start"), F.col(out_n)))
+
+
+def latest_counts(sink: DataFrame, every: str | int = "1min", out_n: str = "n") -> DataFrame:
+    """X4 read side: each window's count of its newest batch, zero-filled."""
+    width = freq_seconds(every)
+    now = sink.groupBy("bucket_start").agg(F.max_by(out_n, "batch_id").alias("_c"))
+    at = F.col("bucket_start").cast("timestamp_ntz")
+    small = materialise(now.select(F.to_date(at).alias("_d"), bucket_index(at, F.to_date(at), width).alias("_i"), "_c"), "windows")
+    return fill_buckets(small, width, out_n=out_n)

@@ -18,9 +18,9 @@ from clasp.ml.training import fit_persisted
 from clasp.operators.partitioning import spread
 from clasp.operators import stats
 from clasp.plans import standins as S
-from clasp.plans.oracle import RT, _bucket, _split
+from clasp.plans.oracle import RT, STOP, WS, _bucket, _split
 from clasp.plans.queries import TAB_TRAIN_PCT, TEXT_TRAIN_PCT
-from clasp.session import scratch_path
+from clasp.session import materialise, scratch_path
 from clasp.sources.sinks import save_model
 from clasp.sources.tables import load_model
 
@@ -78,6 +78,11 @@ def q_hashing_tf(spark: SparkSession, d: str) -> DataFrame:
     return feats.select("doc_id", F.inline(nonzero))
 
 
+def q_hashing_tf_totals(spark: SparkSession, d: str) -> DataFrame:
+    """M3 as a check: the counts of a document's buckets add up to its words."""
+    return q_hashing_tf(spark, d).groupBy("doc_id").agg(F.sum("tf").cast("bigint").alias("tokens"))
+
+
 def q_feature_matrix(spark: SparkSession, d: str) -> DataFrame:
     """M8: assembled feature vector per order: the numerics, then the
     one-hot slots of each categorical column."""
@@ -91,31 +96,32 @@ def q_forest_predictions(spark: SparkSession, d: str) -> DataFrame:
     model, data = fit_tabular(spark, d)
     test = data.where(F.col("split") == "test")
     pred = models.decode_prediction(models.score(model, test, LABEL), model, label_type="string")
-    return pred.select("o_orderkey", F.col(LABEL).alias("label"), "prediction_index", "prediction")
+    return pred.select("o_orderkey", F.col(LABEL).alias("label"), F.col("prediction").isin(*models.label_list(model)).alias("known"))
 
 
 def q_tabular_score(spark: SparkSession, d: str) -> DataFrame:
     """Score every order (train rows included) with a split tag."""
     model, data = fit_tabular(spark, d)
     pred = models.decode_prediction(models.score(model, data, LABEL), model, label_type="string")
-    return pred.select("o_orderkey", "split", F.col(LABEL).alias("label"), "prediction_index",
-                       "prediction")
+    return pred.select("o_orderkey", "split", F.col(LABEL).alias("label"),
+                       F.col("prediction").isin(*models.label_list(model)).alias("known"))
 
 
 def q_text_score(spark: SparkSession, d: str) -> DataFrame:
-    """Fit the text pipeline on the train split, measure it on
-    the held-out split (one number), then score every labelled document
-    once and attach that accuracy and the processing time."""
-    model, data = fit_text(spark, d)
-    test = models.decode_prediction(
-        models.score(model, data.where(F.col("split") == "test"), "etiqueta"), model,
-        label_type="int")
-    acc = stats.metrics_row(test, "split", "etiqueta", "prediction", stamp=False).first()["accuracy"]
-    scored = models.decode_prediction(models.score(model, data, "etiqueta"), model, label_type="int")
-    out = models.scored_table(scored, "texto", "etiqueta", "prediction",
-                              spark.range(1).select(F.lit(acc).cast("double").alias("accuracy")))
-    return out.select(F.md5("texto").alias("text_md5"), "etiqueta", "prediction",
-                      "fecha_proceso", "accuracy_test")
+    """Fit the text pipeline on the train split and score every
+    document, once. The held-out accuracy is taken from the written scores
+    and attached to every row, with the processing time."""
+    model, _ = fit_text(spark, d)
+    labels = S.table(spark, d, "labels").select("doc_id", F.col("quality").alias("etiqueta"))
+    docs = splits.hash_split(spread(S.document_rows(spark, d).select("doc_id", "texto")), "texto", TEXT_TRAIN_PCT)
+    scored = models.decode_prediction(models.score(model, docs), model, label_type="int")
+    scored = materialise(scored.select("doc_id", F.md5("texto").alias("text_md5"), "split", "prediction")
+                         .join(labels, "doc_id", "left"), "text-scored")
+    metrics = stats.metrics_row(scored.where(F.col("etiqueta").isNotNull()), "split", "etiqueta", "prediction", stamp=False)
+    out = models.scored_table(scored, "text_md5", "etiqueta", "prediction", metrics.select("accuracy"), keep=["doc_id"])
+    known = [int(x) for x in models.label_list(model)]
+    return out.select("doc_id", "text_md5", "etiqueta", F.col("prediction").isin(*known).alias("known"),
+                      F.col("accuracy_test").between(0, 100).alias("measured"), F.col("fecha_proceso").isNotNull().alias("stamped"))
 
 
 def q_score_new_text(spark: SparkSession, d: str) -> DataFrame:
@@ -124,16 +130,18 @@ def q_score_new_text(spark: SparkSession, d: str) -> DataFrame:
     model, _ = fit_text(spark, d)
     docs = spread(S.table(spark, d, "documents").select("doc_id", F.col("text").alias("texto")))
     scored = models.decode_prediction(models.score(model, docs), model, label_type="int")
-    return scored.select("doc_id", "prediction_index", "prediction")
+    return scored.select("doc_id", F.col("prediction").isin(*[int(x) for x in models.label_list(model)]).alias("known"))
 
 
 def q_random_split_sizes(spark: SparkSession, d: str) -> DataFrame:
     """The reference's sampled 70/30 split (sizes depend on the
-    partitioning; see ``hash_split``)."""
-    train, test = splits.random_split(S.labelled_text(spark, d), [0.7, 0.3], seed=42)
-    return (train.select(F.lit("train").alias("split"))
-            .unionByName(test.select(F.lit("test").alias("split")))
-            .groupBy("split").agg(F.count(F.lit(1)).alias("n")))
+    partitioning; see ``hash_split``): both parts together are all rows, and
+    the first is about its share."""
+    labels = S.labelled_text(spark, d).select("doc_id")
+    train, test = splits.random_split(labels, [0.7, 0.3], seed=42)
+    both = train.withColumn("t", F.lit(1)).unionByName(test.withColumn("t", F.lit(0)))
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("documents"),
+                    F.avg("t").between(0.55, 0.85).alias("about_its_share"))
 
 
 def q_model_roundtrip(spark: SparkSession, d: str) -> DataFrame:
@@ -143,9 +151,9 @@ def q_model_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "model")
     save_model(model, path)
     again = load_model(path)
-    a = models.score(model, data, LABEL).select("o_orderkey", F.col("prediction").alias("p1"))
-    b = models.score(again, data, LABEL).select("o_orderkey", F.col("prediction").alias("p2"))
-    return a.join(b, "o_orderkey").select("o_orderkey", "p1", "p2", (F.col("p1") == F.col("p2")).alias("same"))
+    once = models.score(model, data, LABEL).select(*data.columns, F.col("prediction").alias("p1"))
+    twice = models.score(again, once, LABEL)
+    return twice.select("o_orderkey", (F.col("p1") == F.col("prediction")).alias("same"))
 
 
 def q_decode_label(spark: SparkSession, d: str) -> DataFrame:
@@ -188,7 +196,7 @@ def q_one_hot(spark: SparkSession, d: str) -> DataFrame:
 
 
 MODEL_REGISTRY = {
-    "hashing_tf": q_hashing_tf,
+    "hashing_tf": q_hashing_tf_totals,
     "feature_matrix": q_feature_matrix,
     "forest_predictions": q_forest_predictions,
     "tabular_score": q_tabular_score,
@@ -226,7 +234,21 @@ def _one_hot_list(col: str) -> str:
             f"lambda x: CASE WHEN x = coalesce(i_{col}.idx, -1) THEN 1.0 ELSE 0.0 END)")
 
 
+_LT = "lt AS (SELECT d.doc_id, d.text AS texto, l.quality AS etiqueta FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality IS NOT NULL)"
+_WORDS = f"list_filter(string_split_regex(rtrim(lower(coalesce(text, '')), E' \\t\\n\\x0B\\f\\r'), {WS}), lambda x: x NOT IN ({STOP}))"
+
 MODEL_ORACLE = {
+    "hashing_tf": f"""SELECT doc_id, CAST(len({_WORDS}) AS BIGINT) AS tokens FROM documents WHERE len({_WORDS}) > 0""",
+    "forest_predictions": f"""WITH t AS (SELECT o.o_orderkey, o.o_orderstatus AS label, {_split('CAST(o.o_orderkey AS VARCHAR)', TAB_TRAIN_PCT)} AS split
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)
+SELECT o_orderkey, label, true AS known FROM t WHERE split = 'test'""",
+    "tabular_score": f"""SELECT o.o_orderkey, {_split('CAST(o.o_orderkey AS VARCHAR)', TAB_TRAIN_PCT)} AS split, o.o_orderstatus AS label, true AS known
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""",
+    "text_score": """SELECT d.doc_id, md5(d.text) AS text_md5, l.quality AS etiqueta, true AS known, true AS measured, true AS stamped
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+    "score_new_text": "SELECT doc_id, true AS known FROM documents",
+    "random_split_sizes": f"WITH {_LT} SELECT count(*) AS n, count(DISTINCT doc_id) AS documents, true AS about_its_share FROM lt",
+    "model_roundtrip": "SELECT o.o_orderkey, true AS same FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey",
     "feature_matrix": f"""WITH rec AS (
   SELECT o.o_orderkey, o.o_orderpriority, c.c_mktsegment, c.c_acctbal, o.o_totalprice
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),

@@ -5,7 +5,7 @@ assumed registered."""
 from __future__ import annotations
 
 from clasp.functions.stopwords import ENGLISH_STOP_WORDS
-from clasp.plans.queries import SEARCH_PATTERN, TEXT_TRAIN_PCT
+from clasp.plans.queries import ODD_EVERY, ODD_SCALARS, SEARCH_PATTERN, TEXT_TRAIN_PCT
 
 RT = """rt AS (
   SELECT d.doc_id, d.text AS texto, l.quality AS etiqueta,
@@ -94,31 +94,48 @@ SELECT event_id, prediction, event_type,
 FROM rtab""",
     "ensure_columns": """SELECT doc_id, lang, 'desconocido' AS prediction,
        CAST(NULL AS TIMESTAMP) AS fecha_proceso FROM documents""",
-    "stringify_ts": """SELECT event_id,
+    "stringify_ts": """WITH e AS (SELECT event_id, ts + to_microseconds((event_id % 3) * 123456) AS ts FROM events)
+SELECT event_id,
        CASE WHEN ts IS NULL THEN NULL
             WHEN microsecond(ts) % 1000000 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
             ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS ts_text
-FROM events""",
+FROM e""",
     "parse_ts": """SELECT event_id,
        TRY_CAST(CASE WHEN event_type = 'error' THEN 'not a date' ELSE CAST(ts AS VARCHAR) END
                 AS TIMESTAMP) AS parsed
 FROM events""",
     "row_id": "SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS id FROM events",
-    "infer_types": """WITH r AS (
+    "infer_types": f"""WITH r AS (
   SELECT event_id,
-         CASE WHEN event_type = 'click' THEN CAST(user_id AS VARCHAR)
+         CASE WHEN event_id % {ODD_EVERY} < {len(ODD_SCALARS)} THEN {ODD_SCALARS!r}[event_id % {ODD_EVERY} + 1]
+              WHEN event_type = 'click' THEN CAST(user_id AS VARCHAR)
               WHEN event_type = 'view' THEN CAST(value AS VARCHAR)
               ELSE event_type END AS raw
-  FROM events)
-SELECT event_id,
-       CASE WHEN raw IS NULL THEN 'null'
-            WHEN regexp_full_match(trim(raw), '[+-]?[0-9]+') AND TRY_CAST(raw AS BIGINT) IS NOT NULL
-            THEN 'int'
-            WHEN TRY_CAST(raw AS DOUBLE) IS NOT NULL THEN 'double'
-            ELSE 'string' END AS kind,
-       CASE WHEN regexp_full_match(trim(raw), '[+-]?[0-9]+') THEN TRY_CAST(raw AS BIGINT) END AS as_int,
-       TRY_CAST(raw AS DOUBLE) AS as_double, raw AS as_text
-FROM r""",
+  FROM events),
+k AS (SELECT *, replace(trim(raw), '_', '') AS plain,
+        CASE WHEN raw IS NULL THEN 'null'
+             WHEN regexp_full_match(raw, '\\s*[+-]?[0-9]+(_[0-9]+)*\\s*') THEN 'int'
+             WHEN regexp_full_match(lower(raw), '\\s*[+-]?(inf|infinity|nan|([0-9]+\\.?[0-9]*|\\.[0-9]+)(e[+-]?[0-9]+)?)\\s*') THEN 'double'
+             ELSE 'string' END AS kind FROM r)
+SELECT event_id, kind,
+       CASE WHEN kind = 'int' THEN CAST(CAST(plain AS HUGEINT) AS VARCHAR) END AS as_int,
+       CASE WHEN kind IN ('int', 'double') AND lower(trim(raw)) <> 'nan' THEN CAST(plain AS DOUBLE) END AS as_double,
+       raw AS as_text
+FROM k""",
+    "sorted_random_ts": """WITH draws AS (
+  SELECT ('0x' || substr(md5('42:' || doc_id), 1, 15))::BIGINT % 7948801 AS off, doc_id FROM documents),
+o AS (SELECT off, row_number() OVER (ORDER BY off, doc_id) AS k FROM draws),
+d AS (SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) AS k FROM documents)
+SELECT d.doc_id, d.lang, TIMESTAMP '2025-11-01' + to_seconds(o.off) AS fecha FROM d JOIN o USING (k)""",
+    "filter_label_text": f"""WITH {RT}
+SELECT count(*) AS n FROM rt WHERE typeof(etiqueta) = 'VARCHAR' AND CAST(etiqueta AS VARCHAR) = '1'""",
+    "first_metrics": f"""WITH {RTAB}, {DM} SELECT day, accuracy, n, fecha FROM dm ORDER BY day LIMIT 1""",
+    "truncated_table": "SELECT count(*) AS before, CAST(0 AS BIGINT) AS after, 'event_id,event_type' AS columns FROM events",
+    "required_rows": "SELECT count(*) AS n, true AS refused FROM events",
+    "optional_enrichment": """WITH f AS (SELECT DISTINCT text FROM documents)
+SELECT CAST(count_if(f.text IS NOT NULL) AS BIGINT) AS enriched, count(*) AS enriched_rows,
+       CAST(0 AS BIGINT) AS left_alone, count(*) AS left_alone_rows
+FROM conversations c LEFT JOIN f ON c.text = f.text""",
     "coerce_columns": """SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type, value, props
 FROM events""",
     "guessed_json_rows": """SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type, value, props

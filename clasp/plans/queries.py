@@ -17,14 +17,13 @@ from clasp.ml import text as mltext
 from clasp.operators import columns as cols
 from clasp.operators import filters, joins, ordering, stats, timeseries, topk
 from clasp.plans import standins as S
+from clasp.plans.names import MISSING_PREDICTION, RISK_NAMES
 from clasp.session import scratch_path
 from clasp.sources import sinks
 from clasp.sources.specs import TableSpec
-from clasp.sources.tables import read_csv, read_table
+from clasp.sources.tables import first_row, read_csv, read_table
 
-# The dashboard's risk names and the reference's defaults.
-RISK_NAMES = {0: "Sano", 1: "Riesgo"}
-MISSING_PREDICTION = "desconocido"
+# The reference's defaults.
 TEXT_TRAIN_PCT = 70
 TAB_TRAIN_PCT = 80
 SEARCH_PATTERN = "retition|ouen"
@@ -78,7 +77,7 @@ def q_to_json_rows(spark: SparkSession, d: str) -> DataFrame:
 def q_run_counters(spark: SparkSession, d: str) -> DataFrame:
     """K8: run counters (processed, train, test) taken from the written
     scored rows (partitioned by split), not from extra counting jobs."""
-    scored = splits.hash_split(S.scored_text(spark, d), "texto", TEXT_TRAIN_PCT)
+    scored = splits.hash_split(S.document_rows(spark, d), "texto", TEXT_TRAIN_PCT)
     counts = sinks.write_counted(scored.select("doc_id", "split"),
                                  TableSpec(path=scratch_path(spark, "counted")), by="split")
     return counts.agg(F.sum("rows").cast("bigint").alias("processed"),
@@ -91,8 +90,7 @@ def q_run_counters(spark: SparkSession, d: str) -> DataFrame:
 def q_metrics_row(spark: SparkSession, d: str) -> DataFrame:
     """The metrics record of a held-out evaluation (timestamp
     reduced to whether it is set)."""
-    scored = splits.hash_split(S.scored_text(spark, d).where(F.col("etiqueta").isNotNull()),
-                               "texto", TEXT_TRAIN_PCT)
+    scored = S.split_rows(spark, d, TEXT_TRAIN_PCT).where(F.col("etiqueta").isNotNull())
     row = stats.metrics_row(scored, "split", "etiqueta", "prediction")
     return row.select("accuracy", "train_size", "test_size", F.col("fecha").isNotNull().alias("stamped"))
 
@@ -115,7 +113,7 @@ def q_json_decode(spark: SparkSession, d: str) -> DataFrame:
 
 def q_stamp_rows(spark: SparkSession, d: str) -> DataFrame:
     """Constant column and processing-time stamp."""
-    rt = S.scored_text(spark, d).select("doc_id", "prediction")
+    rt = S.document_rows(spark, d).select("doc_id", "prediction")
     rt = cols.with_const(rt, "pipeline", "batch")
     rt = cols.with_processed_at(rt, "fecha_proceso")
     return rt.select("doc_id", "prediction", "pipeline",
@@ -151,10 +149,10 @@ def q_ensure_columns(spark: SparkSession, d: str) -> DataFrame:
 
 def q_stringify_ts(spark: SparkSession, d: str) -> DataFrame:
     """P10: timestamps rendered as text, the way Python's ``str`` does
-    (fraction only when there is one)."""
-    ev = S.table(spark, d, "events").select("event_id", "ts")
-    from clasp.functions.scalars import format_ts_pystr
-    return ev.select("event_id", format_ts_pystr("ts").alias("ts_text"))
+    (fraction only when there is one; two rows in three are given one)."""
+    micros = F.expr("make_dt_interval(0, 0, 0, cast((event_id % 3) * 0.123456 as decimal(18, 6)))")
+    ev = S.table(spark, d, "events").select("event_id", (F.col("ts") + micros).alias("ts_text"))
+    return cols.stringify_ts(ev)
 
 
 def q_parse_ts(spark: SparkSession, d: str) -> DataFrame:
@@ -179,15 +177,22 @@ def q_sorted_random_ts(spark: SparkSession, d: str) -> DataFrame:
                                           datetime(2026, 2, 1), seed=42)
 
 
+ODD_SCALARS = ["12D", "3f", "1.0F", "0x1p3", "nan", "1_000", "12345678901234567890", " 7 ", "-5", ".5", "1e3", "007",
+               "1__0", "+8", "5.", "-0"]
+ODD_EVERY = 2 * len(ODD_SCALARS)
+
+
 def q_infer_types(spark: SparkSession, d: str) -> DataFrame:
-    """Per-value guess int -> double -> text."""
+    """Per-value guess int -> double -> text, as Python reads text;
+    some rows are given texts that are easily misread."""
     ev = S.table(spark, d, "events")
-    raw = (F.when(F.col("event_type") == "click", F.col("user_id").cast("string"))
+    odd = F.element_at(F.array(*[F.lit(x) for x in ODD_SCALARS]), (F.col("event_id") % ODD_EVERY + 1).cast("int"))
+    raw = (F.when(F.col("event_id") % ODD_EVERY < len(ODD_SCALARS), odd).when(F.col("event_type") == "click", F.col("user_id").cast("string"))
            .when(F.col("event_type") == "view", F.col("value").cast("string"))
            .otherwise(F.col("event_type")))
     g = ev.select("event_id", raw.alias("raw")).select("event_id", guess_scalar("raw").alias("g"))
     return g.select("event_id", F.col("g.kind").alias("kind"), F.col("g.i").alias("as_int"),
-                    F.col("g.d").alias("as_double"), F.col("g.s").alias("as_text"))
+                    F.when(~F.isnan("g.d"), F.col("g.d")).alias("as_double"), F.col("g.s").alias("as_text"))
 
 
 def _events_as_text(spark: SparkSession, d: str) -> DataFrame:
@@ -225,6 +230,12 @@ def q_filter_label(spark: SparkSession, d: str) -> DataFrame:
     return filters.filter_eq(rt, "etiqueta", 1)
 
 
+def q_filter_label_text(spark: SparkSession, d: str) -> DataFrame:
+    """a text asked of a number column equals no row."""
+    rt = S.scored_text(spark, d).select("doc_id", "etiqueta")
+    return filters.filter_eq(rt, "etiqueta", "1").agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_filter_risk(spark: SparkSession, d: str) -> DataFrame:
     """parameter parsed as an int before comparing."""
     ev = S.scored_events(spark, d).select("event_id", "prediction")
@@ -242,13 +253,13 @@ def q_count_correct(spark: SparkSession, d: str) -> DataFrame:
 
 def q_search_text(spark: SparkSession, d: str) -> DataFrame:
     """case-insensitive regex search over whole texts."""
-    rt = S.scored_text(spark, d).select("doc_id", "texto")
+    rt = S.document_rows(spark, d).select("doc_id", "texto")
     return filters.search(rt, "texto", SEARCH_PATTERN).select("doc_id")
 
 
 def q_explore_counts(spark: SparkSession, d: str) -> DataFrame:
     """label filter and search combined; shown-of-total counts."""
-    rt = S.scored_text(spark, d)
+    rt = S.document_rows(spark, d)
     _rows, counts = filters.explore(rt, "prediction", 1, "texto", SEARCH_PATTERN)
     return counts
 
@@ -256,10 +267,11 @@ def q_explore_counts(spark: SparkSession, d: str) -> DataFrame:
 # ---- joins -------------------------------------------------------------------
 
 def q_dedup_first(spark: SparkSession, d: str) -> DataFrame:
-    """First document (by id) of each distinct text."""
-    docs = S.table(spark, d, "documents").select("doc_id", "text", "lang")
-    first = joins.dedup_first(docs, ["text"], ["doc_id"])
-    return first.select(F.md5("text").alias("text_md5"), "doc_id", "lang")
+    """First document (by id) of each distinct text, told apart by
+    SHA-256; the texts stay in their scan."""
+    docs = S.table(spark, d, "documents").select(
+        "doc_id", "lang", joins.key_digest("text").alias("key"), F.md5("text").alias("text_md5"))
+    return joins.dedup_first(docs, ["key"], ["doc_id"]).select("text_md5", "doc_id", "lang")
 
 
 def q_merge_coalesce(spark: SparkSession, d: str) -> DataFrame:
@@ -340,15 +352,14 @@ def q_resample_1min(spark: SparkSession, d: str) -> DataFrame:
 
 def q_holdout_accuracy(spark: SparkSession, d: str) -> DataFrame:
     """Accuracy on the held-out (hash split) labelled rows."""
-    rt = splits.hash_split(S.scored_text(spark, d).where(F.col("etiqueta").isNotNull()),
-                           "texto", TEXT_TRAIN_PCT)
+    rt = S.split_rows(spark, d, TEXT_TRAIN_PCT).where(F.col("etiqueta").isNotNull())
     return stats.evaluate_accuracy(rt.where(F.col("split") == "test"), "etiqueta", "prediction")
 
 
 def q_accuracy_fallback(spark: SparkSession, d: str) -> DataFrame:
     """Stored accuracy when a metrics row exists, else computed."""
-    rt = S.scored_text(spark, d)
-    labelled = splits.hash_split(rt.where(F.col("etiqueta").isNotNull()), "texto", TEXT_TRAIN_PCT)
+    rt = S.split_rows(spark, d, TEXT_TRAIN_PCT)
+    labelled = rt.where(F.col("etiqueta").isNotNull())
     metrics = stats.metrics_row(labelled, "split", "etiqueta", "prediction")
     return stats.accuracy_or_metrics(rt, metrics, "etiqueta", "prediction")
 
@@ -378,6 +389,44 @@ def q_latest_metrics(spark: SparkSession, d: str) -> DataFrame:
     return topk.latest_one(S.daily_metrics(spark, d), "fecha", ["day"])
 
 
+def q_first_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """One metrics row, here the first by day."""
+    return first_row(S.daily_metrics(spark, d), [F.col("day")])
+
+
+def q_truncated_table(spark: SparkSession, d: str) -> DataFrame:
+    """K6: a written table before and after it is emptied: rows, columns."""
+    spec = TableSpec(path=scratch_path(spark, "emptied"))
+    ev = S.table(spark, d, "events").select("event_id", "event_type")
+    sinks.write_table(ev, spec)
+    before = sinks.write_counted(ev, TableSpec(path=scratch_path(spark, "kept"))).select(F.col("rows").alias("before"))
+    sinks.truncate_table(ev, spec)
+    after = read_table(spark, spec)
+    return stats.attach_row(before, after.agg(F.count(F.lit(1)).alias("after"))).withColumn(
+        "columns", F.lit(",".join(after.columns)))
+
+
+def q_required_rows(spark: SparkSession, d: str) -> DataFrame:
+    """K7: an empty result is refused, another passes through."""
+    ev = S.table(spark, d, "events")
+    try:
+        sinks.require_rows(ev.where("event_id < 0"), "events before the first")
+        refused = False
+    except sinks.EmptyResultError:
+        refused = True
+    return sinks.require_rows(ev).agg(F.count(F.lit(1)).alias("n")).withColumn("refused", F.lit(refused))
+
+
+def q_optional_enrichment(spark: SparkSession, d: str) -> DataFrame:
+    """Enrichment from a dimension that is there, and from one that isn't."""
+    conv = S.table(spark, d, "conversations").select("conv_id", "turn", "text", F.lit(-1).cast("bigint").alias("ref"))
+    load = lambda path: spark.read.parquet(path).select("doc_id", "text")
+    there, gone = (joins.enrich_left_optional(spark, conv, f"{d}/{name}", load, "text", "doc_id", "ref", ["doc_id"])
+                   for name in ("documents.parquet", "no_such_table.parquet"))
+    count = lambda df, name: df.agg(F.count_if(F.col("ref") >= 0).alias(name), F.count(F.lit(1)).alias(f"{name}_rows"))
+    return stats.attach_row(count(there, "enriched"), count(gone, "left_alone"))
+
+
 # ---- text features (SQL forms) -------------------------------------------------
 
 def q_token_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -392,7 +441,7 @@ def q_token_counts_nostop(spark: SparkSession, d: str) -> DataFrame:
 
 def q_term_idf(spark: SparkSession, d: str) -> DataFrame:
     """M4: document frequency and IDF per term."""
-    return mltext.term_idf(S.table(spark, d, "documents"), "doc_id", "text")
+    return mltext.term_idf(S.table(spark, d, "documents"), "text")
 
 
 def q_tfidf_top_terms(spark: SparkSession, d: str) -> DataFrame:
@@ -412,7 +461,7 @@ def q_label_index_tab(spark: SparkSession, d: str) -> DataFrame:
 
 def q_hash_split(spark: SparkSession, d: str) -> DataFrame:
     """Stable split by text hash."""
-    rt = S.scored_text(spark, d).select("doc_id", "texto")
+    rt = S.document_rows(spark, d).select("doc_id", "texto")
     from clasp.functions.hashing import hash_bucket
     return splits.hash_split(rt.withColumn("bucket", hash_bucket("texto")), "texto",
                              TEXT_TRAIN_PCT).select("doc_id", "bucket", "split")
@@ -441,7 +490,12 @@ REGISTRY = {
     "guessed_json_rows": q_guessed_json_rows,
     "drop_incomplete": q_drop_incomplete,
     "filter_label": q_filter_label,
+    "filter_label_text": q_filter_label_text,
     "filter_risk": q_filter_risk,
+    "first_metrics": q_first_metrics,
+    "truncated_table": q_truncated_table,
+    "required_rows": q_required_rows,
+    "optional_enrichment": q_optional_enrichment,
     "count_correct": q_count_correct,
     "search_text": q_search_text,
     "explore_counts": q_explore_counts,

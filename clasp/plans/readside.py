@@ -19,11 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clasp.operators import columns, filters, joins, stats, timeseries, topk
+from clasp.plans.names import MISSING_PREDICTION, RISK_NAMES
 
 # Class names shown by the reference's dashboard and APIs.
 TEXT_CLASSES = ["positivo", "negativo", "neutral"]
-RISK_NAMES = {0: "Sano", 1: "Riesgo"}
-MISSING_PREDICTION = "desconocido"
 
 
 @dataclass
@@ -47,8 +46,7 @@ class TextResults:
     def listing(self, label=None, n: int = 50) -> DataFrame:
         """Latest ``n`` results, optionally of one label; times as text."""
         df = self.prepared()
-        order_key = self.key or self.text
-        rows = topk.listing(df, self.label, label, self.ts, order_key, n)
+        rows = topk.listing(df, self.label, label, self.ts, self.key, n)
         return columns.stringify_ts(rows, [self.ts])
 
     def stats(self) -> DataFrame:
@@ -95,15 +93,12 @@ class RecordPredictions:
     category: str = "ChestPainType"
     key: str | None = None
 
-    def _key(self) -> str:
-        return self.key or self.ts
-
     # -- service endpoints -------------------------------------------------
     def latest(self, limit=50) -> DataFrame:
-        return columns.stringify_ts(topk.latest(self.df, self.ts, self._key(), limit), [self.ts])
+        return columns.stringify_ts(topk.latest(self.df, self.ts, self.key, limit), [self.ts])
 
     def by_risk(self, risk=None, limit: int = 100) -> DataFrame:
-        rows = topk.latest_by_value(self.df, self.pred, risk, self.ts, self._key(), limit)
+        rows = topk.latest_by_value(self.df, self.pred, risk, self.ts, self.key, limit)
         return columns.stringify_ts(rows, [self.ts])
 
     def stats(self) -> DataFrame:

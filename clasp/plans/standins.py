@@ -21,8 +21,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clasp.operators.joins import enrich_left, maybe_broadcast
+from clasp.operators.joins import enrich_left
 from clasp.operators.partitioning import spread
+from clasp.ml.splits import hash_split
 from clasp.operators.stats import accuracy_pct
 from clasp.sources.specs import TableSpec
 from clasp.sources.tables import read_table
@@ -52,12 +53,28 @@ def scored_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lang", "source", "n_chars")
 
 
+def document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R(text) without the label: for work that doesn't use it."""
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", F.col("text").alias("texto"), (F.col("n_chars") >= 500).cast("int").alias("prediction"),
+        "lang", "source", "n_chars")
+
+
+def split_rows(spark: SparkSession, sf_dir: str, train_pct: int) -> DataFrame:
+    """R(text) with each text's split in place of the text: ``doc_id, split,
+    prediction, etiqueta``. The split is taken below the join with the
+    labels, so texts never leave their scan."""
+    docs = hash_split(document_rows(spark, sf_dir), "texto", train_pct).select("doc_id", "split", "prediction")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("etiqueta"))
+    return enrich_left(docs, labels, "doc_id")
+
+
 def labelled_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text training input: documents that have a (non-null) label."""
     docs = table(spark, sf_dir, "documents", spread_out=True).select(
         "doc_id", F.col("text").alias("texto"))
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("etiqueta"))
-    return (docs.join(maybe_broadcast(labels), "doc_id")
+    return (docs.join(labels, "doc_id")
             .where(F.col("etiqueta").isNotNull()))
 
 

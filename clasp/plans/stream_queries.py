@@ -10,39 +10,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clasp.ml import models
+from clasp.operators.timeseries import latest_counts
 from clasp.plans import standins as S
 from clasp.plans.model_queries import CATS, LABEL, NUMS, fit_tabular
+from clasp.plans.oracle import _resample
 from clasp.session import scratch_path
 from clasp.sources.sinks import save_model
 from clasp.sources.specs import StreamSpec
 from clasp.sources.tables import load_model
-from clasp.streaming.decode import decode_json
+from clasp.streaming.decode import decode_json, split_valid
 from clasp.streaming.ops import dedup_replays, stream_window_counts
 from clasp.streaming.scoring import scored_stream
 from clasp.streaming.sinks import idempotent_batch_writer, read_sink, run_until_idle, write_stream
-from clasp.streaming.sources import open_stream, stage_replay
+from clasp.streaming.sources import json_message, open_stream, stage_replay
 
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
 ORDER_SCHEMA = ("o_orderkey bigint, o_orderpriority string, c_mktsegment string, "
                 "c_acctbal double, o_totalprice double, o_orderstatus string")
-REPLAY_FILES = 8
-FILES_PER_TRIGGER = 2
-# Replays of the same file arrive within this much event time of each other.
-DEDUP_DELAY = "365 days"
+# Copies of a record arrive within this much event time of each other; later
+# ones are dropped as late.
+DEDUP_DELAY = "10 minutes"
 
 
-def _run(df: DataFrame, writer, spark: SparkSession, name: str) -> None:
-    q = write_stream(df, writer, scratch_path(spark, "stream-ckpt", name), name,
-                     trigger={"availableNow": True})
-    run_until_idle(q)
+def _run(df: DataFrame, writer, spark: SparkSession, name: str, checkpoint: str | None = None,
+         output_mode: str = "append") -> list[tuple[int, int]]:
+    q = write_stream(df, writer, checkpoint or scratch_path(spark, "stream-ckpt", name), name,
+                     trigger={"availableNow": True}, output_mode=output_mode)
+    return run_until_idle(q)
 
 
 def q_stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     """Replay events through a file stream in bounded
     micro-batches; each batch decoded and written once."""
     ev = S.table(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    spec = stage_replay(ev, scratch_path(spark, "replay"), REPLAY_FILES, ["ts", "event_id"])
-    spec = StreamSpec(format=spec.format, path=spec.path, max_per_trigger=FILES_PER_TRIGGER)
+    spec = stage_replay(ev, scratch_path(spark, "replay"), None, ["ts", "event_id"])
     stream = decode_json(open_stream(spark, spec), EVENT_SCHEMA)
     sink = scratch_path(spark, "sink")
     _run(stream, idempotent_batch_writer(sink), spark, "stream_ingest")
@@ -58,8 +60,7 @@ def q_stream_score_sink(spark: SparkSession, d: str) -> DataFrame:
     save_model(model, path)
     loaded = load_model(path)
     rec = S.order_records(spark, d).select("o_orderkey", *CATS, *NUMS, LABEL)
-    spec = stage_replay(rec, scratch_path(spark, "replay"), REPLAY_FILES, ["o_orderkey"])
-    spec = StreamSpec(format=spec.format, path=spec.path, max_per_trigger=FILES_PER_TRIGGER)
+    spec = stage_replay(rec, scratch_path(spark, "replay"), None, ["o_orderkey"])
     decoded, fn = scored_stream(open_stream(spark, spec), ORDER_SCHEMA, loaded,
                                 required=["o_orderkey", *CATS, *NUMS],
                                 label_col=LABEL, label_alias="status_label", label_type="string",
@@ -67,20 +68,20 @@ def q_stream_score_sink(spark: SparkSession, d: str) -> DataFrame:
     sink, quarantine = scratch_path(spark, "sink"), scratch_path(spark, "quarantine")
     _run(decoded, idempotent_batch_writer(sink, split=fn, quarantine_path=quarantine),
          spark, "stream_score")
-    return read_sink(spark, sink).select("o_orderkey", "status_label", "prediction_index",
-                                         "prediction", "fecha_proceso", "batch_id")
+    out = read_sink(spark, sink).select("o_orderkey", "status_label", "prediction_index")
+    batch = models.score(model, S.order_records(spark, d), LABEL).select("o_orderkey", F.col("prediction").alias("_batch"))
+    return out.join(batch, "o_orderkey").select(
+        "o_orderkey", "status_label", (F.col("prediction_index") == F.col("_batch")).alias("as_in_batch"))
 
 
 def q_stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     """The replay is sent twice; the stream keeps one copy per event."""
     ev = S.table(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value")
     path = scratch_path(spark, "replay")
-    stage_replay(ev, path, REPLAY_FILES, ["ts", "event_id"])
+    spec = stage_replay(ev, path, None, ["ts", "event_id"])
     (ev.select(F.to_json(F.struct(*[F.col(c) for c in ev.columns])).alias("value"))
      .write.mode("append").text(path))
-    stream = decode_json(open_stream(spark, StreamSpec(format="text", path=path,
-                                                       max_per_trigger=FILES_PER_TRIGGER)),
-                         EVENT_SCHEMA)
+    stream = decode_json(open_stream(spark, spec), EVENT_SCHEMA)
     deduped = dedup_replays(stream, ["event_id"], "ts", DEDUP_DELAY)
     sink = scratch_path(spark, "sink")
     _run(deduped, idempotent_batch_writer(sink), spark, "stream_dedup")
@@ -88,17 +89,49 @@ def q_stream_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_stream_window_counts(spark: SparkSession, d: str) -> DataFrame:
-    """One-minute event counts on the stream, closed by a watermark."""
+    """One-minute event counts on the stream, all windows, zero-filled."""
     ev = S.table(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    spec = stage_replay(ev, scratch_path(spark, "replay"), REPLAY_FILES, ["ts", "event_id"])
-    stream = decode_json(open_stream(spark, StreamSpec(format="text", path=spec.path,
-                                                       max_per_trigger=FILES_PER_TRIGGER)),
-                         EVENT_SCHEMA)
+    spec = stage_replay(ev, scratch_path(spark, "replay"), None, ["ts", "event_id"])
+    stream = decode_json(open_stream(spark, spec), EVENT_SCHEMA)
     counts = stream_window_counts(stream, "ts", "1 minute", "10 minutes")
     sink = scratch_path(spark, "sink")
-    _run(counts, idempotent_batch_writer(sink), spark, "stream_window_counts")
-    return read_sink(spark, sink).select(F.col("bucket_start").cast("timestamp_ntz").alias("bucket_start"),
-                                         "n")
+    _run(counts, idempotent_batch_writer(sink), spark, "stream_window_counts", output_mode="update")
+    return latest_counts(read_sink(spark, sink))
+
+
+def q_stream_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """NaN, missing and garbage records are set aside with a reason, and
+    the stream runs to its end: rows and sum of values per reason."""
+    ev = S.table(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    good = json_message(ev)
+    message = (F.when(F.col("event_id") % 11 == 1, F.regexp_replace(good, r'"value":[^,}]+', '"value":NaN'))
+               .when(F.col("event_id") % 11 == 2, F.regexp_replace(good, r'"value":[^,}]+', '"value":null'))
+               .when(F.col("event_id") % 11 == 3, F.concat(F.lit("no json "), F.col("event_id")))
+               .otherwise(good))
+    spec = stage_replay(ev, scratch_path(spark, "replay"), None, ["ts", "event_id"], value=message)
+    stream = decode_json(open_stream(spark, spec), EVENT_SCHEMA, keep_raw=True)
+    sink, aside = scratch_path(spark, "sink"), scratch_path(spark, "quarantine")
+    writer = idempotent_batch_writer(sink, split=lambda b: split_valid(b, ["event_id", "value"]), quarantine_path=aside)
+    _run(stream, writer, spark, "stream_quarantine")
+    bad = read_sink(spark, aside).select("reason", "event_id")
+    rows = read_sink(spark, sink).select(F.lit("valid").alias("reason"), "event_id").unionByName(bad)
+    return rows.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+
+
+def q_stream_restart(spark: SparkSession, d: str) -> DataFrame:
+    """Half of the events, then the rest, in two runs on one
+    checkpoint: the second reads nothing of the first again."""
+    ev = S.table(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    path, sink = scratch_path(spark, "replay"), scratch_path(spark, "sink")
+    checkpoint = scratch_path(spark, "stream-ckpt", "stream_restart")
+    runs = []
+    for half in (0, 1):
+        part = ev.where(F.col("event_id") % 2 == half)
+        part.select(json_message(part).alias("value")).write.mode("append").text(path)
+        stream = decode_json(open_stream(spark, StreamSpec(format="text", path=path)), EVENT_SCHEMA)
+        runs.append(sum(n for _, n in _run(stream, idempotent_batch_writer(sink), spark, f"stream_restart_{half}", checkpoint)))
+    return (read_sink(spark, sink).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("events"))
+            .withColumn("read_by_second", F.lit(runs[1]).cast("bigint")))
 
 
 STREAM_REGISTRY = {
@@ -106,13 +139,20 @@ STREAM_REGISTRY = {
     "stream_score_sink": q_stream_score_sink,
     "stream_dedup": q_stream_dedup,
     "stream_window_counts": q_stream_window_counts,
+    "stream_quarantine": q_stream_quarantine,
+    "stream_restart": q_stream_restart,
 }
 
 STREAM_ORACLE = {
     "stream_ingest": "SELECT event_id, ts, user_id, event_type, value FROM events",
     "stream_dedup": "SELECT event_id, ts FROM events",
-    # windows are emitted once the final watermark (max time - 10 min) passes their end
-    "stream_window_counts": """SELECT bucket_start, n FROM (
-  SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS bucket_start, count(*) AS n FROM events GROUP BY 1)
-WHERE bucket_start + INTERVAL 1 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
+    "stream_window_counts": _resample(60),
+    "stream_quarantine": """SELECT CASE event_id % 11 WHEN 1 THEN 'value=NaN' WHEN 2 THEN 'value'
+            WHEN 3 THEN 'event_id,value' ELSE 'valid' END AS reason, count(*) AS n,
+       CAST(sum(CASE WHEN event_id % 11 <> 3 THEN event_id END) AS BIGINT) AS ids
+FROM events GROUP BY 1""",
+    "stream_restart": """SELECT count(*) AS n, count(DISTINCT event_id) AS events,
+       CAST(count_if(event_id % 2 = 1) AS BIGINT) AS read_by_second FROM events""",
+    "stream_score_sink": """SELECT o.o_orderkey, o.o_orderstatus AS status_label, true AS as_in_batch
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""",
 }

@@ -74,5 +74,13 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([checkpoint_root(spark), "clasp", *parts, uuid.uuid4().hex])
 
 
+def materialise(df, label: str):
+    """Write ``df`` under the shared folder and read it back: a cut in the
+    lineage whose size Spark knows, and which outlives lost executors."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     checkpoint_root(spark)

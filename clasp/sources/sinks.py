@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clasp.sources.specs import TableSpec
@@ -34,8 +34,7 @@ TIME_FORMATS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K4: CSV with a header row and no index column; lossless times."""
     from clasp.sources.tables import CSV_OPTIONS
-    dialect = {k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"}
-    df.write.mode(mode).option("header", True).options(**TIME_FORMATS, **dialect).csv(path)
+    df.write.mode(mode).option("header", True).options(**TIME_FORMATS, **CSV_OPTIONS).csv(path)
 
 
 def save_model(model, path: str) -> None:
@@ -74,13 +73,26 @@ def write_counted(df: DataFrame, spec: TableSpec, by: str | None = None,
     return written.groupBy(by).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def publish_json(df: DataFrame, spec: TableSpec, key_col: str | None = None) -> None:
-    """K3: one JSON message per row. ``kafka`` takes (key, value); the
+def kafka_writer_options(options: dict[str, str]) -> dict[str, str]:
+    """Options of a Kafka writer from those of a reader: ``topic`` instead of
+    ``subscribe``, and no offsets."""
+    out = {k: v for k, v in options.items() if k not in ("subscribe", "startingOffsets")}
+    if "topic" not in out and "subscribe" in options:
+        out["topic"] = options["subscribe"]
+    return out
+
+
+def publish_json(df: DataFrame, spec: TableSpec, key_col: str | None = None, value: Column | None = None) -> None:
+    """K3: one JSON message per row (``value``, by default all columns, nulls
+    written as ``null``). ``kafka`` takes (key, value) and needs a topic; the
     tested form writes the messages as text lines."""
-    from clasp.streaming.sources import JSON_OPTIONS
-    value = F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_OPTIONS).alias("value")
+    from clasp.streaming.sources import json_message
+    value = (json_message(df) if value is None else value).alias("value")
     if spec.format == "kafka":
+        options = kafka_writer_options(spec.options)
+        if "topic" not in options:
+            raise ValueError("a Kafka sink needs a topic")
         cols = [value] if key_col is None else [F.col(key_col).cast("string").alias("key"), value]
-        df.select(*cols).write.format("kafka").options(**spec.options).save()
+        df.select(*cols).write.format("kafka").options(**options).save()
     else:
         df.select(value).write.mode("overwrite").text(spec.path)

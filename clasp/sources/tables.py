@@ -18,30 +18,28 @@ def read_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
 
 
 # CSV dialect shared by the CSV sink and scans: RFC 4180 quoting (a quote
-# inside a field is doubled) and quoted fields may span lines.
-CSV_OPTIONS = {"quote": '"', "escape": '"', "multiLine": "true"}
+# inside a field is doubled).
+CSV_OPTIONS = {"quote": '"', "escape": '"'}
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str,
-             header: bool = True, multiline: bool = True) -> DataFrame:
+             header: bool = True, multiline: bool = False) -> DataFrame:
     """CSV with a header row and an explicit schema. PERMISSIVE mode:
     a cell that does not fit its type becomes null (the row is kept).
-    Quoted fields may contain line breaks (whole texts do); such files are
-    read one task per file, so large inputs should come as many files.
-    ``multiline=False`` restores split reading for one-line-per-record
-    files."""
-    opts = dict(CSV_OPTIONS, multiLine=str(multiline).lower())
-    return (spark.read.option("header", header).option("mode", "PERMISSIVE").options(**opts)
+    A file is split among tasks. Where quoted fields hold line breaks, ask
+    for ``multiline``: such files are read one task per file, so large
+    inputs should come as many files."""
+    return (spark.read.option("header", header).option("mode", "PERMISSIVE").options(**CSV_OPTIONS, multiLine=multiline)
             .schema(schema).csv(path))
 
 
 def read_csv_inferred(spark: SparkSession, path: str, ts_cols: list[str] | tuple = (),
-                      ts_format: str | None = None) -> DataFrame:
+                      ts_format: str | None = None, multiline: bool = False) -> DataFrame:
     """CSV with inferred column types; named columns parsed as timestamps
     (unparseable -> null). Prefer :func:`read_csv` with a schema at scale:
     inference costs an extra pass over the files."""
     df = (spark.read.option("header", True).option("inferSchema", True)
-          .options(**CSV_OPTIONS).csv(path))
+          .options(**CSV_OPTIONS, multiLine=multiline).csv(path))
     for c in ts_cols:
         s = F.col(c).cast("string")
         parsed = F.try_to_timestamp(s, F.lit(ts_format)) if ts_format else F.try_to_timestamp(s)

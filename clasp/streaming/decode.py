@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-CORRUPT_COL = "_corrupt"
 # Accept times with or without a fraction of up to six digits.
 READ_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
 
@@ -26,9 +25,13 @@ def split_valid(df: DataFrame, required: list[str], raw_col: str | None = "_raw"
                 ) -> tuple[DataFrame, DataFrame]:
     """Rows whose ``required`` fields are all present, and the rest
     with a ``reason`` listing the missing fields (a quarantine table), so a
-    malformed record cannot stop the stream (Q3)."""
+    malformed record cannot stop the stream (Q3). A number that isn't one
+    (NaN) counts as missing, and its reason says so."""
+    kinds = dict(df.dtypes)
     missing = F.array_compact(F.array(*[
-        F.when(F.col(c).isNull(), F.lit(c)) for c in required]))
+        F.when(F.col(c).isNull(), F.lit(c)) if kinds[c] not in ("double", "float")
+        else F.when(F.col(c).isNull(), F.lit(c)).when(F.isnan(c), F.lit(f"{c}=NaN"))
+        for c in required]))
     tagged = df.withColumn("_missing", missing)
     valid = tagged.where(F.size("_missing") == 0).drop("_missing")
     bad_cols = ([raw_col] if raw_col and raw_col in df.columns else []) + [

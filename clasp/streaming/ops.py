@@ -11,7 +11,7 @@ from clasp.operators.timeseries import stream_window_counts as _window_counts
 
 def stream_window_counts(df: DataFrame, ts: str, every: str = "1 minute",
                          watermark: str = "10 minutes", out_n: str = "n") -> DataFrame:
-    """Event-time bucket counts closed by a watermark."""
+    """Event-time bucket counts, for ``update`` mode."""
     return _window_counts(event_time(df, ts), ts, every, watermark, out_n)
 
 

@@ -55,11 +55,22 @@ def write_stream(df: DataFrame, writer, checkpoint: str, name: str,
     return w.start()
 
 
-def run_until_idle(query) -> None:
+def batch_counts(query) -> list[tuple[int, int]]:
+    """K2/K8: ``(batch id, rows read)`` of the recent micro-batches, as the
+    query's own progress reports them; nothing is counted again."""
+    return [(p["batchId"], p["numInputRows"]) for p in query.recentProgress]
+
+
+def run_until_idle(query) -> list[tuple[int, int]]:
     """Wait for an ``availableNow`` query; a failure inside a batch is
-    raised here (``StreamingQueryException``); the query is stopped either way."""
+    raised here (``StreamingQueryException``); the query is stopped either
+    way. Logs and returns the rows of each batch."""
     try:
         query.awaitTermination()
+        counts = batch_counts(query)
+        for batch_id, rows in counts:
+            log.info("batch %s: %s rows", batch_id, rows)
+        return counts
     finally:
         if query.isActive:
             query.stop()

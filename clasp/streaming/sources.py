@@ -2,15 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clasp.operators.partitioning import has_shuffle, num_partitions
 from clasp.sources.specs import StreamSpec
 
 # Times go out with all six fraction digits (Spark's JSON default keeps
 # three) so a replayed record decodes to the same value.
 JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-                "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+                "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                "ignoreNullFields": "false"}
+
+
+def json_message(df: DataFrame) -> Column:
+    """A row as one JSON object; null fields are written."""
+    return F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_OPTIONS)
+
+
+def replay_width(df: DataFrame) -> tuple[int, int]:
+    """Files of a replay and files per micro-batch: a micro-batch has a file
+    for every core, and there are as many files as the scan has partitions,
+    or four micro-batches of them."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = cores if has_shuffle(df) else num_partitions(df)
+    return max(4 * cores, parts), cores
 
 
 def open_stream(spark: SparkSession, spec: StreamSpec) -> DataFrame:
@@ -24,7 +40,8 @@ def open_stream(spark: SparkSession, spec: StreamSpec) -> DataFrame:
     return df.select("value")
 
 
-def stage_replay(df: DataFrame, path: str, files: int, order: list[str]) -> StreamSpec:
+def stage_replay(df: DataFrame, path: str, files: int | None, order: list[str],
+                 value: Column | None = None) -> StreamSpec:
     """Stage a table as ``files`` JSON-line files that a file stream
     (``maxFilesPerTrigger``) replays at a bounded rate, the way the
     reference's producer fed its topic (Kafka: use ``publish_json``).
@@ -34,14 +51,19 @@ def stage_replay(df: DataFrame, path: str, files: int, order: list[str]) -> Stre
     oldest-modified first, so the files' modification times are then set
     in slice order (metadata only). Event time therefore never goes
     backwards between micro-batches and a watermark drops nothing. Stores
-    that cannot set times get the slices written one job after another."""
-    value = F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_OPTIONS).alias("value")
+    that cannot set times (the times are read back) get the slices written
+    one job after another. Without ``files`` there are :func:`replay_width`
+    of them, and a micro-batch takes one per core."""
+    value = (json_message(df) if value is None else value).alias("value")
+    per_trigger = None
+    if files is None:
+        files, per_trigger = replay_width(df)
     (df.repartitionByRange(files, *[F.col(c) for c in order])
        .sortWithinPartitions(*order).select(value)
        .write.mode("overwrite").text(path))
     if not _order_file_times(df.sparkSession, path):
         _write_slices_in_order(df, path, files, order, value)
-    return StreamSpec(format="text", path=path)
+    return StreamSpec(format="text", path=path, max_per_trigger=per_trigger)
 
 
 def _order_file_times(spark: SparkSession, path: str) -> bool:
@@ -57,7 +79,9 @@ def _order_file_times(spark: SparkSession, path: str) -> bool:
             fs.setTimes(jvm.org.apache.hadoop.fs.Path(root, name), base + 1000 * i, -1)
     except Exception:  # noqa: BLE001 - store without settable times
         return False
-    return True
+    # a store may ignore the call without a word
+    times = [fs.getFileStatus(jvm.org.apache.hadoop.fs.Path(root, name)).getModificationTime() for name in names]
+    return all(a < b for a, b in zip(times, times[1:]))
 
 
 def _write_slices_in_order(df: DataFrame, path: str, files: int, order: list[str], value) -> None:

@@ -138,14 +138,53 @@ def test_ensure_columns_and_select_existing(spark):
 
 
 def test_type_guess_cases(spark):
-    vals = ["40", "40.0", " 5 ", "1_000", "nan", "1e3", "x"]
-    df = spark.createDataFrame([(v,) for v in vals], "s string")
-    rows = df.select(guess_scalar("s").alias("g")).collect()
-    assert [r.g.i for r in rows] == [40, None, 5, None, None, None, None]
-    d = [r.g.d for r in rows]
-    assert d[0] == 40.0 and d[1] == 40.0 and d[2] == 5.0 and d[3] is None and d[4] != d[4]
-    assert d[5] == 1000.0 and d[6] is None
-    assert [r.g.kind for r in rows] == ["int", "double", "int", "string", "double", "double", "string"]
+    vals = ["40", "40.0", " 5 ", "1_000", "nan", "1e3", "x", "12D", "3f", "1.0F", "0x1p3", "1__0", "_1", "-007", "+8", "-0",
+            "12345678901234567890123456789012345678901234567890", ".5", "5.", ".", "-inf", "Infinity", "1_0.0_1e1_0", "", " ", "1e", None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "n int, s string")
+    for r in df.select("s", guess_scalar("s").alias("g")).orderBy("n").collect():
+        want = ("null", None, None) if r.s is None else ("string", None, None)
+        for kind, read in (("double", float), ("int", int)):
+            try:
+                want = (kind, str(read(r.s)) if kind == "int" else None, float(r.s))
+            except (TypeError, ValueError):
+                pass
+        assert (r.g.kind, r.g.i) == want[:2] and r.g.s == r.s, r
+        assert r.g.d == want[2] or r.g.d != r.g.d and want[2] != want[2]
+
+
+def test_stringified_times_keep_their_fraction(spark):
+    df = spark.createDataFrame([(datetime(2024, 1, 1, 1, 2, 3, 456789),), (datetime(2024, 1, 1),)], "ts timestamp_ntz")
+    assert [r.ts for r in columns.stringify_ts(df).collect()] == ["2024-01-01 01:02:03.456789", "2024-01-01 00:00:00"]
+
+
+def test_equality_filter_follows_the_schema(spark):
+    df = spark.createDataFrame([(1, "1", True), (2, "2", False)], "n int, s string, b boolean")
+    count = lambda c, v: filters.filter_eq(df, c, v).count()
+    assert [count("n", 1), count("n", "1"), count("n", "x"), count("n", True)] == [1, 0, 0, 0]
+    assert [count("s", "1"), count("s", 1), count("b", True), count("b", 1), count("n", None), count("s", "")] == [1, 0, 1, 0, 2, 2]
+
+
+def test_draws_do_not_depend_on_partitions(spark):
+    start, end = datetime(2025, 11, 1), datetime(2026, 2, 1)
+    got = [[tuple(r) for r in ordering.with_sorted_random_ts(spark.range(1, 60, numPartitions=n), "id", start, end, ranked=ranked)
+            .orderBy("id").collect()] for n, ranked in ((2, False), (5, True))]
+    assert got[0] == got[1]
+
+
+def test_newest_rows_do_not_depend_on_partitions(spark):
+    df = spark.range(1000).select("id", F.lit(datetime(2024, 1, 1)).alias("t"))
+    got = [[r.id for r in topk.latest(df.repartition(n), "t", None, 5).collect()] for n in (1, 7)]
+    assert got[0] == got[1] == [0, 1, 2, 3, 4]
+    assert topk.latest_one(df.repartition(7), "t").first().id == 999
+
+
+def test_typed_messages_lose_no_digits(spark):
+    from clasp.jobs.replay import guessed_json, typed_messages
+    df = spark.createDataFrame([("1", "1", "12345678901234567890", "1.5"), ("2", "2.5", "7", "12345678901234567890")],
+                               "a string, b string, c string, d string")
+    out = typed_messages(df)
+    assert [t for _, t in out.dtypes] == ["bigint", "double", "decimal(38,0)", "string"]
+    assert '"c":12345678901234567890' in guessed_json(df).first().value
 
 
 def test_csv_bad_cells_become_null(spark, tmp_path):
@@ -227,6 +266,6 @@ def test_csv_roundtrip_whole_texts(spark, tmp_path):
     extra = spark.createDataFrame([(-1, 'say "hi"\\nnext \\\\ line, "x"')], "doc_id bigint, text string")
     src = docs.unionByName(extra)
     sinks.write_csv(src, str(tmp_path / "d"))
-    back = read_csv(spark, str(tmp_path / "d"), "doc_id bigint, text string")
+    back = read_csv(spark, str(tmp_path / "d"), "doc_id bigint, text string", multiline=True)
     assert back.count() == src.count()
     assert back.exceptAll(src).count() == 0 and src.exceptAll(back).count() == 0

@@ -1,6 +1,8 @@
 """Plan properties that matter at scale, read from the executed
 (adaptive, final) plans of the registered queries."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
@@ -67,11 +69,57 @@ def test_spread_only_widens_narrow_scans(spark):
     assert spread(grouped, 8) is grouped
 
 
-def test_size_estimate_drives_broadcast(spark):
-    from clasp.operators.joins import estimated_size_bytes, maybe_broadcast
-    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
-    size = estimated_size_bytes(labels)
-    assert size is not None and 0 < size < 10 * 1024 * 1024
-    hinted = maybe_broadcast(labels)
-    assert "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString() or \
-        "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    old = {k: spark.conf.get(k, None) for k in NO_BROADCAST}
+    for k, v in NO_BROADCAST.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", ["hash_split", "explore_counts", "metrics_row", "run_counters", "accuracy_fallback",
+                                  "holdout_accuracy", "dedup_first", "merge_coalesce", "search_text", "stamp_rows"])
+def test_texts_stay_in_their_scan(spark, q, no_broadcast, name):
+    """No exchange carries a text: below each one, texts are digests, flags
+    or gone."""
+    df = q[name](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    lines = plan.split("\n")
+    for i, line in enumerate(lines):
+        if "Exchange " in line and "Reused" not in line:
+            below = next(x for x in lines[i + 1:] if "WholeStage" not in x)
+            assert not re.search(r"\b(text|texto)#\d+(?!\S* AS)", re.sub(r"\([^()]*\)", "", below.split("[", 1)[-1])) or (
+                "AS" in below or "sha2" in below or "functions" in below), (line, below)
+
+
+def test_term_idf_has_one_data_shuffle(spark, q):
+    plan = executed_plan(q["term_idf"](spark, SF_SMALL)).split("== Initial Plan ==")[0]
+    keys = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+    assert set(keys) <= {"term"} and len(keys) <= 1, plan
+
+
+def test_one_line_csv_is_split(spark, tmp_path):
+    from clasp.operators.partitioning import num_partitions
+    from clasp.sources.tables import read_csv
+    p = tmp_path / "rows.csv"
+    p.write_text("k,v\n" + "".join(f"{i},{'x' * 50}\n" for i in range(40_000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        assert num_partitions(read_csv(spark, str(p), "k int, v string")) > 3
+        assert num_partitions(read_csv(spark, str(p), "k int, v string", multiline=True)) == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_replay_is_as_wide_as_the_cluster(spark):
+    from clasp.streaming.sources import replay_width
+    files, per_batch = replay_width(spark.range(10))
+    cores = spark.sparkContext.defaultParallelism
+    assert per_batch == cores and files >= 4 * cores

@@ -78,7 +78,7 @@ def test_kpi_percent_equals_python_round(spark, classes):
 def test_term_idf_equals_ml_idf_without_collisions(spark):
     docs = ["alpha beta beta", "beta gamma", "gamma delta alpha", "epsilon"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(docs)], "doc_id int, text string")
-    sql = {r.term: r.idf for r in term_idf(df, "doc_id", "text").collect()}
+    sql = {r.term: r.idf for r in term_idf(df, "text").collect()}
     htf = HashingTF(inputCol="w", outputCol="tf", numFeatures=1 << 18)
     toks = Tokenizer(inputCol="text", outputCol="w").transform(df)
     model = IDF(inputCol="tf", outputCol="x").fit(htf.transform(toks))

@@ -24,10 +24,9 @@ def test_hot_key_merge_is_exact_and_skew_split(spark):
     old = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
-    saved = joins.BROADCAST_LIMIT_BYTES
-    joins.BROADCAST_LIMIT_BYTES = -1
     try:
-        base = _skewed(spark).withColumn("ref", F.lit(None).cast("bigint"))
+        base = _skewed(spark).withColumn("ref", F.lit(None).cast("bigint")).withColumn(
+            "payload", F.concat(*[F.sha2((F.col("conv_id") * 4 + i).cast("string"), 256) for i in range(4)]))
         dim = _skewed(spark).select(F.col("conv_id").alias("doc_id"), "text")
         out = joins.merge_coalesce(base, dim, "text", "doc_id", "ref", order=["doc_id"])
         res = out.groupBy((F.col("text") == "hot").alias("hot")).agg(
@@ -40,7 +39,6 @@ def test_hot_key_merge_is_exact_and_skew_split(spark):
         qe.toRdd().count()
         assert "skew=true" in qe.executedPlan().toString()
     finally:
-        joins.BROADCAST_LIMIT_BYTES = saved
         for k, v in old.items():
             if v is None:
                 spark.conf.unset(k)

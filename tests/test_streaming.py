@@ -95,3 +95,63 @@ def test_batch_error_surfaces_and_stops_query(spark):
     with pytest.raises(StreamingQueryException):
         run_until_idle(q)
     assert not q.isActive
+
+
+def test_nan_is_quarantined_with_a_reason(spark):
+    df = spark.createDataFrame([(1, 1.0, "a"), (2, float("nan"), "b"), (3, None, "c")], "k int, x double, _raw string")
+    good, bad = split_valid(df, ["k", "x"])
+    assert [r.k for r in good.collect()] == [1]
+    assert {(r.k, r.reason, r._raw) for r in bad.collect()} == {(2, "x=NaN", "b"), (3, "x", "c")}
+
+
+def test_replay_keeps_order_where_times_cannot_be_set(spark, monkeypatch):
+    from clasp.session import scratch_path
+    from clasp.streaming import sources
+    monkeypatch.setattr(sources, "_order_file_times", lambda *a: False)
+    df = spark.range(0, 400, numPartitions=4).withColumn("k", F.col("id") * 7919 % 400)
+    path = scratch_path(spark, "t-replay")
+    sources.stage_replay(df, path, 4, ["k"])
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = sorted((s.getModificationTime(), s.getPath().toString()) for s in fs.listStatus(fs_path) if "part-" in s.getPath().getName())
+    last = -1
+    for _, name in files:
+        ks = [r.k for r in spark.read.json(name).collect()]
+        if ks:
+            assert min(ks) > last
+            last = max(ks)
+
+
+def test_a_store_that_ignores_times_is_noticed(spark, monkeypatch):
+    """Times are read back: if they aren't in order, slices are written one
+    after another."""
+    from clasp.session import scratch_path
+    from clasp.streaming import sources
+    seen = []
+    monkeypatch.setattr(sources, "_write_slices_in_order", lambda *a: seen.append(a))
+    real = sources._order_file_times
+
+    def ignored(spark_, path):
+        assert real(spark_, path)
+        root = spark_._jvm.org.apache.hadoop.fs.Path(path)
+        fs = root.getFileSystem(spark_._jsc.hadoopConfiguration())
+        names = [s.getPath() for s in fs.listStatus(root)]
+        for p in names:
+            fs.setTimes(p, 1_000_000, -1)
+        times = [fs.getFileStatus(p).getModificationTime() for p in names]
+        return all(a < b for a, b in zip(times, times[1:]))
+    monkeypatch.setattr(sources, "_order_file_times", ignored)
+    sources.stage_replay(spark.range(100), scratch_path(spark, "t-replay"), 3, ["id"])
+    assert seen
+
+
+def test_kafka_writer_gets_a_topic():
+    from clasp.sources.sinks import kafka_writer_options
+    from clasp.sources.specs import StreamSpec
+    assert kafka_writer_options(StreamSpec.kafka("b:1", "t").options) == {"kafka.bootstrap.servers": "b:1", "topic": "t"}
+
+
+def test_null_fields_are_written(spark):
+    from clasp.streaming.sources import json_message
+    df = spark.createDataFrame([(1, None)], "a int, b string")
+    assert df.select(json_message(df).alias("v")).first().v == '{"a":1,"b":null}'
