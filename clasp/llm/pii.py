@@ -227,43 +227,50 @@ def made_up(r: random.Random) -> tuple[str, str, bool]:
                            f"{num(2)}-{num(2)}-{num(2)}-{num(2)}", f"{num(3)} {num(2)} {num(2)}"]), False
 
 
-def labelled_rows(texts: list[str], made: int, seed: int) -> list[tuple[float, str, list[float]]]:
+def labelled_rows(text: str, made: int, seed: int) -> list[tuple[float, str, list[float]]]:
     """``(label, kind, features)`` from made-up strings set between words of
-    the texts, and from the texts' own spans."""
-    r, rows = random.Random(seed), []
-    texts = [t for t in texts if t.strip()] or ["a text of few words to stand around"]
-    for _ in range(made):
-        words = r.choice(texts).split()
+    a text, and from the text's own spans."""
+    r, rows, words = random.Random(seed), [], text.split()
+    for _ in range(made if words else 0):
         k = r.randrange(len(words))
         kind, s, good = made_up(r)
         cue = r.choice(CUES[kind]) + r.choice([" ", ": "]) if r.random() < 0.3 else ""
         head = " ".join(words[max(0, k - 6):k]) + " " + cue
-        text = head + s + r.choice([" ", ". ", ", "]) + " ".join(words[k:k + 6])
-        for span in candidates(text):
+        around = head + s + r.choice([" ", ". ", ", "]) + " ".join(words[k:k + 6])
+        for span in candidates(around):
             if span[0] == kind and span[1] < len(head) + len(s) and span[2] > len(head):
                 whole = abs(span[1] - len(head)) <= 1 and abs(span[2] - len(head) - len(s)) <= 2
-                rows.append((float(good and whole), kind, features(text, span)))
-    for text in texts:
-        base = base_spans(text)
-        rows += [(1.0, b[0], features(text, b)) for b in base]
-        rows += [(0.0, c[0], features(text, c)) for c in candidates(text)
-                 if c[0] == "card" and not any(b[1] < c[2] and c[1] < b[2] for b in base)]
+                rows.append((float(good and whole), kind, features(around, span)))
+    base = base_spans(text)
+    rows += [(1.0, b[0], features(text, b)) for b in base]
+    rows += [(0.0, c[0], features(text, c)) for c in candidates(text)
+             if c[0] == "card" and not any(b[1] < c[2] and c[1] < b[2] for b in base)]
     return rows
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = 2_000, made: int = 4_000,
         precision: float = 0.98, iterations: int = 12, depth: int = 4, seed: int = 7) -> Trees:
     """Boosted trees and thresholds. The sample is the rows whose id hash
-    lies below ``sample_rows`` / row count, of each at most the first 4,000
-    characters as context to set strings into. Three quarters of the rows
-    fit the trees, the rest the thresholds."""
+    lies below ``sample_rows`` / row count; each whole text gives its share
+    of ``made`` strings, in its own task. Three quarters of the labelled
+    rows fit the trees, the rest the thresholds."""
     spark = docs.sparkSession
-    rate = int(min(1.0, sample_rows / max(1, docs.count())) * 1_000_000)
+    n = docs.count()
+    rate = int(min(1.0, sample_rows / max(1, n)) * 1_000_000)
+    share = -(-made // max(1, min(n, sample_rows)))
     hashed = F.pmod(F.xxhash64(F.lit("pii"), F.col(id_col).cast("string")), F.lit(1_000_000))
-    texts = [r.t for r in docs.where((hashed < rate) & F.col(text_col).isNotNull())
-             .select(F.substring(text_col, 1, 4_000).alias("t"), hashed.alias("h")).orderBy("h", "t")
-             .limit(2 * sample_rows).collect()]
-    rows = labelled_rows(texts, made, seed)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = [(h, i, *row) for h, t in zip(batch.column("h").to_pylist(), batch.column("text").to_pylist())
+                for i, row in enumerate(labelled_rows(t, share, seed + h))]
+        cols = list(zip(*rows)) or [()] * 5
+        kinds = (pa.int64(), pa.int32(), pa.float64(), pa.string(), pa.list_(pa.float64()))
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
+                                          names=["h", "i", "label", "kind", "features"])
+    sample = docs.where((hashed < rate) & F.col(text_col).isNotNull()).select(hashed.alias("h"), F.col(text_col).alias("text"))
+    found = arrow_map(sample, run, "h long, i int, label double, kind string, features array<double>").orderBy("h", "i").collect()
+    rows = [(r.label, r.kind, list(r.features)) for r in found]
+    rows = rows or labelled_rows("a text of few words to stand around", made, seed)
     train = spark.createDataFrame([(y, Vectors.dense(x)) for i, (y, _, x) in enumerate(rows) if i % 4], ["label", "features"])
     model = GBTClassifier(maxIter=iterations, maxDepth=depth, seed=seed).fit(train.coalesce(1))
     trees = Trees([_arrays(t, w) for t, w in zip(model.trees, model.treeWeights)], {})
@@ -272,9 +279,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_
     for kind in KINDS:
         ranked = sorted(((p[i], y) for i, (y, k, _) in enumerate(test) if k == kind), reverse=True)
         good, best = 0.0, math.inf
-        for n, (score, y) in enumerate(ranked, 1):
+        for place, (score, y) in enumerate(ranked, 1):
             good += y
-            if good / n >= precision and (n == len(ranked) or ranked[n][0] < score):
+            if good / place >= precision and (place == len(ranked) or ranked[place][0] < score):
                 best = score
         trees.thresholds[kind] = max(float(best), 0.5)
     return trees
