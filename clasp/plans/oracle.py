@@ -84,6 +84,9 @@ SELECT accuracy, train_size, test_size, true AS stamped FROM ({METRICS_SQL})""",
 SELECT event_type AS category, event_id, prediction, label AS heart_disease_label, fecha_proceso FROM rtab""",
     "json_decode": """SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
 FROM events""",
+    "json_corrupt": """SELECT event_id,
+       CASE WHEN event_id % 5 <> 0 THEN TRY_CAST(json_extract_string(CASE WHEN event_id % 5 <> 0 THEN props END, '$.k') AS INTEGER) END AS k,
+       CASE WHEN event_id % 5 = 0 THEN 'broken ' || event_id END AS corrupt FROM events""",
     "stamp_rows": f"WITH {RT} SELECT doc_id, prediction, 'batch' AS pipeline, true AS stamped FROM rt",
     "typed_cast": """SELECT event_id, TRY_CAST(trunc(value) AS INTEGER) AS value_int,
        TRY_CAST(event_type AS INTEGER) AS event_type_int, props AS props_text FROM events""",

@@ -111,6 +111,15 @@ def q_json_decode(spark: SparkSession, d: str) -> DataFrame:
     return decode_json(ev, "k int", keep=["event_id"])
 
 
+def q_json_corrupt(spark: SparkSession, d: str) -> DataFrame:
+    """Records that are no JSON keep their text in a column of their own."""
+    from clasp.streaming.decode import decode_json
+    broken = F.concat(F.lit("broken "), F.col("event_id").cast("string"))
+    ev = S.table(spark, d, "events").select(
+        "event_id", F.when(F.col("event_id") % 5 == 0, broken).otherwise(F.col("props")).alias("value"))
+    return decode_json(ev, "k int", keep=["event_id"], corrupt_col="corrupt")
+
+
 def q_stamp_rows(spark: SparkSession, d: str) -> DataFrame:
     """Constant column and processing-time stamp."""
     rt = S.document_rows(spark, d).select("doc_id", "prediction")
@@ -477,6 +486,7 @@ REGISTRY = {
     "metrics_row": q_metrics_row,
     "project_rename": q_project_rename,
     "json_decode": q_json_decode,
+    "json_corrupt": q_json_corrupt,
     "stamp_rows": q_stamp_rows,
     "typed_cast": q_typed_cast,
     "map_values": q_map_values,

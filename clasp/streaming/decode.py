@@ -4,19 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Accept times with or without a fraction of up to six digits.
 READ_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
 
 
 def decode_json(df: DataFrame, schema: StructType | str, value_col: str = "value",
-                keep: list[str] | tuple = (), keep_raw: bool = False) -> DataFrame:
+                keep: list[str] | tuple = (), keep_raw: bool = False,
+                corrupt_col: str | None = None) -> DataFrame:
     """Bytes or text -> JSON struct -> top-level columns. A value
     that is not a JSON object gives nulls in every field (PERMISSIVE); a
-    field whose JSON type does not fit (``40.5`` into int) is null alone."""
-    raw = F.col(value_col).cast("string")
-    parsed = df.select(*keep, raw.alias("_raw"), F.from_json(raw, schema, READ_OPTIONS).alias("data"))
+    field whose JSON type does not fit (``40.5`` into int) is null alone.
+    ``corrupt_col`` adds a column with the text of records that can't be
+    read whole."""
+    raw, options = F.col(value_col).cast("string"), dict(READ_OPTIONS)
+    if corrupt_col:
+        fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        schema = StructType([*fields.fields, StructField(corrupt_col, StringType())])
+        options["columnNameOfCorruptRecord"] = corrupt_col
+    parsed = df.select(*keep, raw.alias("_raw"), F.from_json(raw, schema, options).alias("data"))
     out = parsed.select(*keep, *(["_raw"] if keep_raw else []), "data.*")
     return out
 

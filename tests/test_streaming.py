@@ -155,3 +155,20 @@ def test_null_fields_are_written(spark):
     from clasp.streaming.sources import json_message
     df = spark.createDataFrame([(1, None)], "a int, b string")
     assert df.select(json_message(df).alias("v")).first().v == '{"a":1,"b":null}'
+
+
+def test_a_processing_time_trigger_runs_until_stopped(spark):
+    import time
+    path, sink = scratch_path(spark, "t-trigger"), scratch_path(spark, "t-sink")
+    spark.range(5).selectExpr("concat('{\"k\":', id, '}') as value").write.text(path)
+    stream = decode_json(open_stream(spark, StreamSpec(format="text", path=path)), "k int")
+    query = write_stream(stream, idempotent_batch_writer(sink), scratch_path(spark, "t-ckpt"), "t_trigger",
+                         trigger={"processingTime": "1 second"})
+    try:
+        for _ in range(60):
+            if any(p["numInputRows"] for p in query.recentProgress):
+                break
+            time.sleep(1)
+        assert query.isActive and read_sink(spark, sink).count() == 5
+    finally:
+        query.stop()
