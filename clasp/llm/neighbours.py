@@ -247,9 +247,13 @@ def _scan(k: int, flush: int = 100_000):
                 ids = ids[starts[0]:starts[-1]]
                 rough = q @ x.T
                 best = min(len(x), k)
-                for n, query in enumerate(queries.tolist()):
-                    top = np.argpartition(-rough[n], best - 1)[:best]
-                    top = np.flatnonzero(rough[n] >= rough[n][top].min() - 1e-9)  # with all ties
+                names = queries.tolist()
+                # what a query's k-th best so far leaves out needs no look; scores that are only close do
+                least = np.array([held[n][1][-1] if n in held and len(held[n][1]) == k else -np.inf for n in names]) - 1e-9
+                for n in np.flatnonzero(rough.max(axis=1) >= least).tolist():
+                    query = names[n]
+                    bound = max(least[n], np.partition(rough[n], len(x) - best)[len(x) - best] - 1e-9)
+                    top = np.flatnonzero(rough[n] >= bound)  # with all ties
                     exact = (x[top] * q[n]).sum(axis=1)  # the same sum wherever the row is stored
                     score = np.full(len(x), -np.inf)
                     score[top] = exact
