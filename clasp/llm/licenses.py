@@ -1,27 +1,34 @@
 """Licence scan with DataFrame functions only.
 
 Texts are cut into units (lines, and sentences within them). A unit is
-compared with licence templates by the cosine of sparse TF-IDF vectors. A
-document that is named like a licence file, or of whose words half lie in
-licence units, is one. Files without a licence of their own inherit that of
+compared with short notices by the cosine of sparse TF-IDF vectors. Whole
+licence texts (``license_texts``) and standard headers are compared in the
+same way with blocks: the whole file, its leading comment, and runs of
+paragraphs, their lines joined and comment marks taken off. An SPDX
+identifier names its licence by itself. A document that is named like a
+licence file, or of whose words half lie in licence units or in one licence
+block, is one. Files without a licence of their own inherit that of
 the nearest ancestor directory with a licence file.
 
 Candidate units are those that hold an anchor term. Anchors are chosen so
 that without any of them no cosine can reach the threshold: a template's
 other terms have too small a norm (Cauchy-Schwarz). So the filter loses
 nothing, and since equal units are compared once, a line that a third of
-all documents share costs one comparison. Templates are a fixed small
-table; only they are sent to every task.
+all documents share costs one comparison. Blocks are long, so their terms
+are counted inside the row and only sums per block are shuffled. Templates
+are a fixed small table; only they are sent to every task.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from clasp.functions.stopwords import ENGLISH_STOP_WORDS
 from clasp.llm.common import WORD_PATTERN, cut
 
 #: Short public notices and the first words of licence texts.
@@ -59,10 +66,57 @@ FILE_SHARE = 0.5
 STOP = frozenset("a an and any in into is of the this to was".split())
 COMMON = frozenset("by free general public under version work".split())
 
+_GNU = ("{0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1} as published by the Free "
+        "Software Foundation, {2}.",
+        "{0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {1} for more details.",
+        "You should have received a copy of the GNU {1} along with {0}. If not, see https://www.gnu.org/licenses")
+_FORMS = ("either version {0} of the License, or (at your option) any later version", "version {0} of the License")
+_GNU_NAMES = (("GPL-2.0", "2", "General Public License"), ("GPL-3.0", "3", "General Public License"),
+              ("LGPL-2.1", "2.1", "Lesser General Public License"), ("LGPL-3.0", "3", "Lesser General Public License"),
+              ("AGPL-3.0", "3", "Affero General Public License"))
+#: Standard headers of source files; GNU's also without its later paragraphs, as many files have it.
+HEADERS: tuple[tuple[str, str], ...] = (
+    *((short, " ".join(_GNU[:n]).format("This program", name, form.format(version)))
+      for short, version, name in _GNU_NAMES for form in _FORMS for n in (1, 2, 3)),
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the '
+     "License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or "
+     'agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS '
+     "OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the "
+     "License."),
+    ("Apache-2.0", "Licensed to the Apache Software Foundation (ASF) under one or more contributor license agreements. See the NOTICE file "
+     "distributed with this work for additional information regarding copyright ownership. The ASF licenses this file to You under the "
+     'Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a '
+     "copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, "
+     'software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either '
+     "express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+     "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+)
+#: Fixed values of the block comparison.
+BLOCK_STOP = STOP | frozenset(ENGLISH_STOP_WORDS)
+EVERYDAY = COMMON | frozenset("also author change changes conditions copies copy file following form given law list may means must name "
+                              "new notice one person program provided rights section source terms text time use used without".split())
+MARKS = r"(?m)^[ \t]*(?:(?:/\*+|\*+/|\*+|//+|#+|--+|;+|%+|<!--+|\"{3}|'{3}|dnl\b)[ \t]*)?|[ \t]*(?:\*+/|--+>)[ \t]*$"
+COMMENT = r"^\s*(?:(?:#|//|/?\*|--|;|%)[^\n]*(?:\n[ \t]*|$)){2,200}+"
+PARAGRAPH_END = r"\n[ \t]*(?:\r?\n[ \t]*)+"
+#: Paragraphs of a block: those of the longest header or short licence, and one.
+RUN = 8
+SPDX = r"(?i)SPDX-License-Identifier:[ \t]*([^\n\r*]+)"
+
+
+def block_templates() -> tuple[tuple[str, str], ...]:
+    """Whole licence texts, named by their files, the paragraph of MIT and
+    ISC that tells them apart, and the standard headers."""
+    folder = resources.files("clasp.llm") / "license_texts"
+    texts = sorted((f.name.removesuffix(".txt"), f.read_text()) for f in folder.iterdir() if f.name.endswith(".txt"))
+    grants = [(name, part) for name, t in texts if name in ("MIT", "ISC") for part in t.split("\n\n") if part.startswith("Permission")]
+    return (*texts, *grants, *HEADERS)
+
 
-def template_terms(templates=TEMPLATES) -> tuple[dict[str, float], list[tuple[int, str, dict[str, float]]]]:
+def template_terms(templates=TEMPLATES, stop=STOP) -> tuple[dict[str, float], list[tuple[int, str, dict[str, float]]]]:
     """IDF over the templates, and each as ``(number, licence, weights)``."""
-    split = [[w for w in re.findall(TERM, t.lower()) if w not in STOP] for _, t in templates]
+    split = [[w for w in re.findall(TERM, t.lower()) if w not in stop] for _, t in templates]
     idf = {w: math.log((1 + len(split)) / (1 + sum(w in s for s in split))) + 1 for s in split for w in s}
     return idf, [(n, name, {w: s.count(w) * idf[w] for w in dict.fromkeys(s)})
                  for n, ((name, _), s) in enumerate(zip(templates, split))]
@@ -73,13 +127,13 @@ def unseen_idf(templates=TEMPLATES) -> float:
     return math.log(1 + len(templates)) + 1
 
 
-def anchors(templates=TEMPLATES, threshold: float = THRESHOLD) -> list[str]:
+def anchors(templates=TEMPLATES, threshold: float = THRESHOLD, stop=STOP, common=COMMON) -> list[str]:
     """Terms of which a text needs one to reach the threshold anywhere."""
     out: set[str] = set()
-    for _, _, weights in template_terms(templates)[1]:
+    for _, _, weights in template_terms(templates, stop)[1]:
         rest = sum(w * w for w in weights.values())
         whole = rest
-        for term, w in sorted(weights.items(), key=lambda x: (x[0] in COMMON, -x[1], x[0])):
+        for term, w in sorted(weights.items(), key=lambda x: (x[0] in common, -x[1], x[0])):
             if rest < threshold * threshold * whole:
                 break
             out.add(term)
@@ -122,6 +176,77 @@ def cosines(units: DataFrame, templates=TEMPLATES) -> DataFrame:
     return named.join(best, "id").select("unit", F.col("best.license").alias("license"), (-F.col("best.far")).alias("score"))
 
 
+def _once(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), body)[0]
+
+
+def spdx_licenses(text: Column) -> Column:
+    """Licences that SPDX identifiers in a text name, as written there;
+    ``-only``, ``-or-later``, ``+`` and exceptions are no licences of their own."""
+    names = F.flatten(F.transform(F.regexp_extract_all(text, F.lit(SPDX)), lambda e: F.regexp_extract_all(
+        F.regexp_replace(e, r"(?i)\bWITH\s+\S+|\b(AND|OR)\b", " "), F.lit(r"([A-Za-z][A-Za-z0-9.\-]*[A-Za-z0-9])"))))
+    return F.array_distinct(F.transform(names, lambda n: F.regexp_replace(n, r"(?i)-(only|or-later)$", "")))
+
+
+def blocks_of(text: Column, pattern: str) -> Column:
+    """Distinct blocks of a text: the whole, its leading comment, and runs of
+    up to ``RUN`` paragraphs from each that holds an anchor."""
+    def bare(c: Column) -> Column:
+        return F.trim(F.regexp_replace(c, MARKS, ""))
+
+    def runs(paragraphs: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.size(paragraphs)),
+                          lambda i: F.rlike(F.lower(F.element_at(paragraphs, i)), F.lit(pattern)))
+        return F.flatten(F.transform(starts, lambda i: F.transform(
+            F.sequence(F.lit(1), F.least(F.lit(RUN), F.size(paragraphs) - i + 1)),
+            lambda n: F.array_join(F.slice(paragraphs, i, n), "\n"))))
+    return _once(bare(text), lambda whole: F.array_distinct(F.concat(
+        F.array(whole, bare(F.regexp_extract(text, COMMENT, 0))), _once(F.split(whole, PARAGRAPH_END), runs))))
+
+
+def term_counts(text: Column) -> Column:
+    """``term, n`` of a text's terms, and one of the empty term."""
+    terms = F.filter(F.regexp_extract_all(F.lower(text), F.lit(f"({TERM})")), lambda t: ~t.isin(*sorted(BLOCK_STOP)))
+
+    def lengths(a: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(a) - 1), lambda i: (i == 0) | (F.get(a, i) != F.get(a, i - 1)))
+        return _once(starts, lambda b: F.transform(b, lambda i, j: F.struct(
+            F.get(a, i).alias("term"), (F.coalesce(F.get(b, j + 1), F.size(a)) - i).alias("n"))))
+    return _once(F.array_sort(F.concat(F.array(F.lit("")), terms)), lengths)
+
+
+def block_hits(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``key, text`` -> ``key, held, far, license`` of each block at the
+    threshold; ``held`` counts its words. Rows of one key hold one text."""
+    templates = block_templates()
+    pattern = r"\b(" + "|".join(re.escape(a) for a in anchors(templates, threshold, BLOCK_STOP, EVERYDAY)) + r")\b"
+    idf, split = template_terms(templates, BLOCK_STOP)
+    norms = [math.sqrt(sum(w * w for w in weights.values())) for _, _, weights in split]
+    table = F.broadcast(files.sparkSession.createDataFrame(
+        [(t, i, [(-1, 0.0)] + [(n, weights[t] / norms[n]) for n, _, weights in split if t in weights]) for t, i in idf.items()],
+        "term string, idf double, parts array<struct<template int, weight double>>"))
+    names = F.broadcast(files.sparkSession.createDataFrame([(n, name) for n, name, _ in split], "template int, license string"))
+    blocks = (files.where(F.rlike(F.lower("text"), F.lit(pattern)))
+              .select("key", F.posexplode(blocks_of(F.col("text"), pattern)).alias("b", "block")).where("block <> ''"))
+    counts = blocks.select("key", "b", F.regexp_count("block", F.lit(WORD_PATTERN)).alias("held"),
+                           F.explode(term_counts(F.col("block"))).alias("x")).select("key", "b", "held", "x.term", "x.n")
+    first = F.col("term") == ""  # one a copy of the block
+    w = F.when(first, 0.0).otherwise(F.col("n") * F.coalesce("idf", F.lit(unseen_idf(templates))))
+    own = F.array(F.struct(F.lit(-1).alias("template"), F.lit(0.0).alias("weight")))  # its sum is the block's own norm
+    sums = cut(counts.join(table, "term", "left")
+               .select("key", "b", "held", first.cast("int").alias("m"), w.alias("w"), F.explode(F.coalesce("parts", own)).alias("x"))
+               .groupBy("key", "b", "x.template").agg(
+                   F.max("held").alias("held"), F.sum("m").alias("m"),
+                   F.sum(F.when(F.col("x.template") < 0, F.col("w") * F.col("w")).otherwise(F.col("w") * F.col("x.weight"))).alias("s")),
+               "license-blocks")
+    norm = sums.where("template < 0 and s > 0").select("key", "b", "held", "m", F.col("s").alias("square"))
+    dots = sums.where("template >= 0").select("key", "b", "template", F.col("s").alias("dot"))
+    score = F.round(F.col("dot") / F.sqrt(F.col("square") * F.col("m")), 9)
+    return (norm.join(dots, ["key", "b"]).where(score >= threshold).join(names, "template")
+            .select("key", "held", (-score).alias("far"), "license"))
+
+
 def parents(path: Column) -> Column:
     """Directories of a path, nearest first, down to the root ``''``."""
     parts = F.split(path, "/")
@@ -133,8 +258,9 @@ def scan(files: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
          threshold: float = THRESHOLD, file_share: float = FILE_SHARE, templates=TEMPLATES) -> DataFrame:
     """``doc_id, license, found, score``, one row per input row.
 
-    A unit at the ``threshold`` is a licence unit; a document's best one
-    counts, ties to the licence first by name. ``found`` is ``file`` (a
+    A unit at the ``threshold`` is a licence unit, a block at it a licence
+    block, and an SPDX identifier scores 1; a document's best one counts,
+    ties to the licence first by name. ``found`` is ``file`` (a
     licence file), ``header``, ``inherited`` or ``none``. A directory with
     several licence files has the licence with the best score, ties by name.
     Null and empty texts have no licence of their own; a null path has no
@@ -145,20 +271,29 @@ def scan(files: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     pattern = r"\b(" + "|".join(re.escape(a) for a in anchors(templates, threshold)) + r")\b"
     place = F.col(path) if isinstance(path, str) else path
     text = F.col(text_col)
-    rows = cut(files.select(F.col(id_col).alias("doc_id"), place.cast("string").alias("path"),
-                            units_of(text, pattern).alias("units"), text.alias("text"))
-               .select("doc_id", "path", "units",
-                       F.when(F.size("units") > 0, F.regexp_count("text", F.lit(WORD_PATTERN))).alias("words"))
-               .withColumn("key", F.when(F.size("units") > 0, F.md5(F.to_json(F.struct("path", "words", "units"))))),
-               "license-rows")
+    source = files.select(F.col(id_col).alias("doc_id"), place.cast("string").alias("path"), text.alias("text"))
+    key = F.md5(F.to_json(F.struct("path", "text")))
+    legal = r"\b(" + "|".join(re.escape(a) for a in anchors(block_templates(), threshold, BLOCK_STOP, EVERYDAY)) + r")\b"
+    candidate = (F.size("units") > 0) | (F.size("tags") > 0) | F.coalesce(F.rlike(F.lower("text"), F.lit(legal)), F.lit(False))
+    rows = cut(source.withColumn("units", units_of(F.col("text"), pattern))
+               .withColumn("tags", F.when(F.contains(F.lower("text"), F.lit("spdx-license-identifier")), spdx_licenses(F.col("text")))
+                           .otherwise(F.array().cast("array<string>")))
+               .select("doc_id", "path", "units", "tags",
+                       F.when(candidate, F.regexp_count("text", F.lit(WORD_PATTERN))).alias("words"),
+                       F.when(candidate, key).alias("key")), "license-rows")
     given = rows.where("key is not null")
-    each = given.select("key", "path", "words", F.explode("units").alias("unit")).distinct()
+    each = given.select("key", F.explode("units").alias("unit")).distinct()
     judged = cut(cosines(each.select("unit").distinct(), templates).where(F.col("score") >= threshold), "license-units")
-    hits = each.withColumnRenamed("unit", "u").join(judged, F.col("u") == judged["unit"])
+    hits = (each.withColumnRenamed("unit", "u").join(judged, F.col("u") == judged["unit"]).groupBy("key")
+            .agg(F.sum(F.regexp_count("unit", F.lit(WORD_PATTERN))).alias("held"),
+                 F.min(F.struct((-F.col("score")).alias("far"), "license")).alias("best")))
+    tagged = given.select("key", F.explode("tags").alias("license")).groupBy("key").agg(
+        F.lit(0).cast("long").alias("held"), F.min(F.struct(F.lit(-1.0).alias("far"), "license")).alias("best"))
+    blocks = block_hits(source.select(key.alias("key"), "text"), threshold).groupBy("key").agg(
+        F.max("held").cast("long").alias("held"), F.min(F.struct("far", "license")).alias("best"))
     named = F.coalesce(F.rlike("path", F.lit(LICENSE_NAME)), F.lit(False))
-    own = cut(hits.groupBy("key", "path", "words")
-              .agg(F.sum(F.regexp_count("unit", F.lit(WORD_PATTERN))).alias("held"),
-                   F.min(F.struct((-F.col("score")).alias("far"), "license")).alias("best"))
+    found = hits.unionByName(tagged).unionByName(blocks).groupBy("key").agg(F.max("held").alias("held"), F.min("best").alias("best"))
+    own = cut(given.select("key", "path", "words").distinct().join(found, "key")
               .select("key", "path", "best", (named | (F.col("held") >= F.col("words") * file_share)).alias("is_file")),
               "license-own")
     # directories: few columns and no texts from here on

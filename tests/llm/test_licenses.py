@@ -94,3 +94,34 @@ def test_documents(spark, sf):
 
 def test_empty(spark):
     assert got(spark.createDataFrame([], SCHEMA)) == []
+
+
+def packaged(name, end):
+    from importlib.metadata import distribution
+    return next(f.locate() for f in distribution(name).files if str(f).endswith(end)).read_text()
+
+
+def test_real_texts_headers_and_spdx(spark):
+    """Licences of installed packages and usual headers, none a template's words."""
+    gpl = ("#!/usr/bin/env python\n# frob -- a tool\n# Copyright (C) 2011 Some One\n#\n# Frob is free software: you can redistribute it\n"
+           "# and/or modify it under the terms of the GNU General Public License\n# as published by the Free Software Foundation, either\n"
+           "# version 3 of the License, or (at your option) any later version.\n#\n# Frob is distributed in the hope that it will be\n"
+           "# useful, but WITHOUT ANY WARRANTY; without even the implied warranty of\n# MERCHANTABILITY or FITNESS FOR A PARTICULAR\n"
+           "# PURPOSE.  See the GNU General Public License for more details.\n\nimport os\n" + "total = os.getpid()\n" * 300)
+    isc = ("/*\n * Copyright (c) 2004 Some One <one@example.org>\n *\n * Permission to use, copy, modify, and distribute this software for any\n"
+           " * purpose with or without fee is hereby granted, provided that the above\n * copyright notice and this permission notice appear\n"
+           " * in all copies.\n *\n * THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES\n * WITH REGARD TO THIS SOFTWARE "
+           "INCLUDING ALL IMPLIED WARRANTIES OF\n * MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR\n * ANY SPECIAL, DIRECT, "
+           "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES\n * WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS.\n */\n" + "int main(void) { return 0; }\n" * 200)
+    readme = "# thing\n\n" + "It does a thing quite well.\n\n" * 60 + packaged("pytest", "licenses/LICENSE") + "\n\nGoodbye to all.\n" * 60
+    cases = [(gpl, "GPL-3.0", "header"), (isc, "ISC", "header"), (readme, "MIT", "header"),
+             (packaged("attrs", "licenses/LICENSE"), "MIT", "file"), (packaged("idna", "LICENSE.md"), "BSD-3-Clause", "file"),
+             (packaged("pygments", "licenses/LICENSE"), "BSD-2-Clause", "file"), (packaged("requests", "licenses/LICENSE"), "Apache-2.0", "file"),
+             ("// SPDX-License-Identifier: MIT\nint x;\n" + "y();\n" * 50, "MIT", "header"),
+             ("# SPDX-License-Identifier: GPL-2.0-or-later WITH Classpath-exception-2.0\n" + "y()\n" * 50, "GPL-2.0", "header"),
+             ("/* SPDX-License-Identifier: (EUPL-1.2 OR MIT) */\n" + "y()\n" * 50, "EUPL-1.2", "header"),
+             ("The software may be used by one person, without notice.\n\nThe author of the program has rights.", None, "none")]
+    rows = [(i, text, f"d{i}/f", None, None) for i, (text, _, _) in enumerate(cases)]
+    once = sorted(got(spark.createDataFrame(rows, SCHEMA)), key=lambda r: r[0])
+    assert [(r[1], r[2]) for r in once] == [c[1:] for c in cases]
+    assert sorted(got(spark.createDataFrame(rows * 2, SCHEMA)), key=lambda r: r[0])[::2] == once  # repeated rows
