@@ -7,7 +7,8 @@ lists. Centroids are fitted with a penalty on crowded clusters, and a list
 is stored in blocks of bounded length, so no list is one task's burden. To
 find centroids, every task walks an in-memory neighbour graph over them; a
 query reads all lists whose centroid is at most ``1 + slack`` times as far as
-its nearest one. The slack is fitted to a wanted recall within a bounded
+its nearest one, and further ones, nearest first, while those it reads might
+hold too few rows to fill its answer. The slack is fitted to a wanted recall within a bounded
 sample, so clustered vectors need few lists and evenly spread ones many.
 
 Largest inner product becomes least distance by one more coordinate,
@@ -43,6 +44,8 @@ class Lists:
     longest: float  # M
     usual: float = 0.0  # median distance of a query to its nearest centroid
     slack: float = 0.0
+    sizes: np.ndarray | None = None  # stored rows of each list
+    least: int = 0  # stored rows that a query's lists hold together
 
     def lifted(self, x: np.ndarray) -> np.ndarray:
         rest = np.sqrt(np.maximum(self.longest ** 2 - (x * x).sum(axis=1, keepdims=True), 0))
@@ -108,14 +111,18 @@ class Lists:
         return out
 
     def probes(self, q: np.ndarray) -> list[np.ndarray]:
-        """Lists that each query reads: all within the distance ratio. A
-        query at a centroid is allowed what a usual one is."""
+        """Lists that each query reads: all within the distance ratio, and
+        the nearest ones up to ``least`` stored rows. A query at a centroid
+        is allowed what a usual one is."""
         out: list = [None] * len(q)
         rows, width = np.arange(len(q)), 32
         while len(rows):
             ids, dist = self.walk(q[rows], width)
             dist = np.sqrt(dist)
             near = dist <= (1 + self.slack) * np.maximum(dist[:, :1], self.usual) + 1e-12
+            if self.sizes is not None:  # what the lists before it hold
+                held = np.cumsum(self.sizes[ids], axis=1) - self.sizes[ids]
+                near |= held < self.least
             done = ~near[:, -1] | (width >= len(self.centroids))
             for r, i, m in zip(rows[done], ids[done], near[done]):
                 out[r] = i[m]
@@ -273,7 +280,8 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     """Each query's ``k`` nearest rows: ``query_id, rank, vec_id, score``.
 
     Queries are rows whose id is divisible by ``every``; candidates all rows
-    but the query's own. The index is fitted on about ``sample_rows`` rows
+    but the query's own. A query has fewer than ``k`` rows only if there are
+    fewer candidates. The index is fitted on about ``sample_rows`` rows
     and holds every row. Scores are inner products in double precision of
     the vectors as given; ties go to the smaller id. Rows without id, and
     vectors that are null, empty, zero, hold a null or a non-finite
@@ -316,6 +324,12 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     queries = cut(rows.where(F.col("vec_id") % every == 0), "ann-queries")
     asked = classes.join(queries.select("class_id").distinct(), "class_id", "left_semi").select("class_id", "vector")
     stored = cut(classes.mapInArrow(store, f"cluster long, class_id long, vector {kind}, ids array<long>"), "ann-lists")
+    # a row is stored in at most ``replicas`` lists, so these hold k rows beside the query's own
+    lists = sent.value
+    lists.sizes, lists.least = np.zeros(len(lists.centroids), dtype=np.int64), replicas * (k + 1)
+    for r in stored.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect():
+        lists.sizes[r.cluster] = r.n
+    sent = spark.sparkContext.broadcast(lists)
     probes = cut(asked.mapInArrow(ask, f"cluster long, class_id long, vector {kind}"), "ann-probes")
     pairs = (_blocks(stored, "class_id", ["vector", "ids"], "block")
              .join(_blocks(probes, "class_id", ["class_id", "vector"], "asked"), "cluster").select("block", "asked"))

@@ -71,3 +71,15 @@ def test_graph_walk_finds_the_nearest_centroids():
     assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(ids, true)]) > 0.9
     assert all(len(set(r)) == len(r) for r in ids.tolist())
     assert isinstance(lists, Lists) and graph_of(centroids(x, 1)).shape[0] == 1
+
+
+def test_small_isolated_clusters_fill_every_query(spark):
+    g = np.random.default_rng(5)
+    middles = g.normal(size=(60, 16)) * 10
+    sizes = [150] * 20 + [6] * 40
+    x = np.vstack([m + g.normal(size=(n, 16)) * 0.05 for m, n in zip(middles, sizes)]).astype("f4")
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    v = dict(enumerate(x[g.permutation(len(x))].tolist()))
+    want, got = brute(v), found(spark.createDataFrame([(i, y, 1, None, None) for i, y in v.items()], SCHEMA), list_size=20)
+    assert set(got) == set(want) and all(len(rows) == 20 for rows in got.values())
+    assert recall(got, want) >= 0.9
