@@ -51,6 +51,13 @@ def column_or_null(df: DataFrame, name: str, kind: str) -> Column:
     return (F.col(name) if name in df.columns else F.lit(None)).cast(kind)
 
 
+def free_prefix(df: DataFrame, start: str) -> str:
+    """``start``, with underscores before it until no column begins so."""
+    while any(c.lower().startswith(start.lower()) for c in df.columns):
+        start = f"_{start}"
+    return start
+
+
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     """128-bit name of a row's (id, text); equal rows share it."""
     return F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"),
