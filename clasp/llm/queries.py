@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clasp.llm import decontamination, infilling, language, licenses, lm_scoring, mixing, neighbours, pii, simhash, substrings, token_store
+from clasp.llm import decontamination, infilling, language, licenses, lm_scoring, mixing, neighbours, pii, simhash, substrings, token_store, whitening
 from clasp.llm.common import table
 from clasp.session import scratch_path
 
@@ -71,6 +71,10 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
 def op13_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infilling.digests(infilling.infill(table(spark, sf_dir, "documents")))
 
@@ -86,6 +90,7 @@ LLM_REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_licenses": op9_licenses,
     "op10_substrings": op10_substrings,
+    "op12_whitening": op12_whitening,
     "op13_infilling": op13_infilling,
 }
 
