@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clasp.llm import decontamination, infilling, language, licenses, lm_scoring, mixing, neighbours, pii, simhash, substrings, token_store, whitening
+from clasp.llm import decontamination, infilling, language, licenses, lm_scoring, mixing, neighbours, pii, simhash, substrings, token_counts, token_store, whitening
 from clasp.llm.common import table
 from clasp.session import scratch_path
 
@@ -71,6 +71,14 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cache of this run's own: its result must not depend on earlier runs."""
+    cache = token_counts.TokenCountCache(scratch_path(spark, "llm", "token-count-cache"))
+    counter = token_counts.Counter(tokenizer_path("piece_bpe_32k.model"))
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), cache, counter).select(
+        "doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
 
@@ -90,6 +98,7 @@ LLM_REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_licenses": op9_licenses,
     "op10_substrings": op10_substrings,
+    "op11_token_counts": op11_token_counts,
     "op12_whitening": op12_whitening,
     "op13_infilling": op13_infilling,
 }
