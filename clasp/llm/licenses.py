@@ -3,8 +3,10 @@
 Texts are cut into units (lines, and sentences within them). A unit is
 compared with short notices by the cosine of sparse TF-IDF vectors. Whole
 licence texts (``license_texts``) and standard headers are compared in the
-same way with blocks: the whole file, its leading comment, and runs of
-paragraphs, their lines joined and comment marks taken off. An SPDX
+same way with blocks: the whole file, its leading comment, runs of a few
+paragraphs, and windows of a licence's own length at every eighth of it, so
+that a licence of any length inside a longer file lies in one; comment marks
+are taken off. An SPDX
 identifier names its licence by itself. A document that is named like a
 licence file, or of whose words half lie in licence units or in one licence
 block, is one. Files without a licence of their own inherit that of
@@ -14,9 +16,12 @@ Candidate units are those that hold an anchor term. Anchors are chosen so
 that without any of them no cosine can reach the threshold: a template's
 other terms have too small a norm (Cauchy-Schwarz). So the filter loses
 nothing, and since equal units are compared once, a line that a third of
-all documents share costs one comparison. Blocks are long, so their terms
-are counted inside the row and only sums per block are shuffled. Templates
-are a fixed small table; only they are sent to every task.
+all documents share costs one comparison. Blocks are made only of texts
+whose distinct terms hold, of some template, a share of the norm that lets a
+block reach the threshold; only sums of those shares are shuffled to find
+them. Blocks are long, so their terms are counted inside the row and only
+sums per block are shuffled. Templates are a fixed small table; only they
+are sent to every task.
 """
 
 from __future__ import annotations
@@ -98,10 +103,11 @@ BLOCK_STOP = STOP | frozenset(ENGLISH_STOP_WORDS)
 EVERYDAY = COMMON | frozenset("also author change changes conditions copies copy file following form given law list may means must name "
                               "new notice one person program provided rights section source terms text time use used without".split())
 MARKS = r"(?m)^[ \t]*(?:(?:/\*+|\*+/|\*+|//+|#+|--+|;+|%+|<!--+|\"{3}|'{3}|dnl\b)[ \t]*)?|[ \t]*(?:\*+/|--+>)[ \t]*$"
-COMMENT = r"^\s*(?:(?:#|//|/?\*|--|;|%)[^\n]*(?:\n[ \t]*|$)){2,200}+"
+COMMENT = r"^\s*(?:(?:#|//|/?\*|--|;|%)[^\n]*(?:\n[ \t]*|$)){2,}+"
 PARAGRAPH_END = r"\n[ \t]*(?:\r?\n[ \t]*)+"
-#: Paragraphs of a block: those of the longest header or short licence, and one.
+#: Paragraphs of a run: those of the longest header or short licence, and one. Longer licences are met by windows.
 RUN = 8
+WINDOWS, WINDOW_STEP = (0.75, 1.0, 1.25), 8  # lengths of windows, as parts of a template's, and starts in each length
 SPDX = r"(?i)SPDX-License-Identifier:[ \t]*([^\n\r*]+)"
 
 
@@ -150,11 +156,19 @@ def _template_table(spark: SparkSession, templates) -> DataFrame:
     return spark.createDataFrame(rows, "template int, license string, term string, weight double")
 
 
+def terms_of(text: Column) -> Column:
+    """Distinct terms of a text."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(f"({TERM})")))
+
+
+def _any_of(terms: Column, wanted: list[str]) -> Column:
+    return F.coalesce(F.arrays_overlap(terms, F.array(*map(F.lit, wanted))), F.lit(False))
+
+
 def units_of(text: Column, pattern: str) -> Column:
     """Distinct candidate units of a text."""
     lines = F.filter(F.split(text, UNIT_END), lambda u: F.rlike(F.lower(u), F.lit(pattern)))
-    found = F.array_distinct(F.transform(lines, lambda u: F.trim(u)))
-    return F.when(F.rlike(F.lower(text), F.lit(pattern)), found).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.transform(lines, lambda u: F.trim(u)))
 
 
 def cosines(units: DataFrame, templates=TEMPLATES) -> DataFrame:
@@ -189,20 +203,26 @@ def spdx_licenses(text: Column) -> Column:
     return F.array_distinct(F.transform(names, lambda n: F.regexp_replace(n, r"(?i)-(only|or-later)$", "")))
 
 
-def blocks_of(text: Column, pattern: str) -> Column:
-    """Distinct blocks of a text: the whole, its leading comment, and runs of
-    up to ``RUN`` paragraphs from each that holds an anchor."""
-    def bare(c: Column) -> Column:
-        return F.trim(F.regexp_replace(c, MARKS, ""))
+def _bare(text: Column) -> Column:
+    return F.trim(F.regexp_replace(text, MARKS, ""))
+
 
-    def runs(paragraphs: Column) -> Column:
-        starts = F.filter(F.sequence(F.lit(1), F.size(paragraphs)),
-                          lambda i: F.rlike(F.lower(F.element_at(paragraphs, i)), F.lit(pattern)))
-        return F.flatten(F.transform(starts, lambda i: F.transform(
-            F.sequence(F.lit(1), F.least(F.lit(RUN), F.size(paragraphs) - i + 1)),
-            lambda n: F.array_join(F.slice(paragraphs, i, n), "\n"))))
-    return _once(bare(text), lambda whole: F.array_distinct(F.concat(
-        F.array(whole, bare(F.regexp_extract(text, COMMENT, 0))), _once(F.split(whole, PARAGRAPH_END), runs))))
+def blocks_of(texts: DataFrame, pattern: str, lengths: Column) -> DataFrame:
+    """``key, text, templates`` -> ``key, block``: the whole text, its leading
+    comment, runs of up to ``RUN`` paragraphs from each that holds an anchor,
+    and windows of the ``lengths`` (in words) of its templates."""
+    whole = texts.select("key", F.explode(F.array(_bare(F.col("text")), _bare(F.regexp_extract("text", COMMENT, 0)))).alias("block"))
+    parts = texts.select("key", F.split(_bare(F.col("text")), PARAGRAPH_END).alias("parts"))
+    starts = parts.select("key", "parts", F.posexplode(F.transform(
+        "parts", lambda p: F.rlike(F.lower(p), F.lit(pattern)))).alias("i", "anchored")).where("anchored")
+    runs = starts.select("key", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.lit(RUN), F.size("parts") - F.col("i"))), lambda n:
+                                                      F.array_join(F.slice("parts", F.col("i") + 1, n), "\n"))).alias("block"))
+    words = texts.select("key", F.split(_bare(F.col("text")), r"\s+").alias("words"), F.explode(lengths).alias("n"))
+    at = words.select("key", "words", "n", F.explode(F.sequence(
+        F.lit(1), F.size("words"), F.greatest(F.lit(1), F.floor(F.col("n") / WINDOW_STEP).cast("int")))).alias("i"))
+    windows = at.select("key", F.explode(F.transform(F.array(*map(F.lit, WINDOWS)), lambda f: F.array_join(F.slice(
+        "words", F.col("i"), F.ceil(F.col("n") * f).cast("int")), " "))).alias("block"))
+    return whole.unionByName(runs).unionByName(windows).where("block <> ''")
 
 
 def term_counts(text: Column) -> Column:
@@ -217,20 +237,31 @@ def term_counts(text: Column) -> Column:
 
 
 def block_hits(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``key, text`` -> ``key, held, far, license`` of each block at the
-    threshold; ``held`` counts its words. Rows of one key hold one text."""
-    templates = block_templates()
+    """``key, text, hits`` (the text's distinct template terms) -> ``key,
+    held, far, license`` of each block at the threshold; ``held`` counts its
+    words. Rows of one key hold one text."""
+    spark, templates = files.sparkSession, block_templates()
     pattern = r"\b(" + "|".join(re.escape(a) for a in anchors(templates, threshold, BLOCK_STOP, EVERYDAY)) + r")\b"
     idf, split = template_terms(templates, BLOCK_STOP)
     norms = [math.sqrt(sum(w * w for w in weights.values())) for _, _, weights in split]
-    table = F.broadcast(files.sparkSession.createDataFrame(
+    table = F.broadcast(spark.createDataFrame(
         [(t, i, [(-1, 0.0)] + [(n, weights[t] / norms[n]) for n, _, weights in split if t in weights]) for t, i in idf.items()],
         "term string, idf double, parts array<struct<template int, weight double>>"))
-    names = F.broadcast(files.sparkSession.createDataFrame([(n, name) for n, name, _ in split], "template int, license string"))
-    blocks = (files.where(F.rlike(F.lower("text"), F.lit(pattern)))
-              .select("key", F.posexplode(blocks_of(F.col("text"), pattern)).alias("b", "block")).where("block <> ''"))
-    counts = blocks.select("key", "b", F.regexp_count("block", F.lit(WORD_PATTERN)).alias("held"),
-                           F.explode(term_counts(F.col("block"))).alias("x")).select("key", "b", "held", "x.term", "x.n")
+    names = F.broadcast(spark.createDataFrame([(n, name) for n, name, _ in split], "template int, license string"))
+    # no block of a text is nearer to a template than the norm of the terms they share (Cauchy-Schwarz)
+    shares = (files.select("key", F.explode("hits").alias("term")).join(table, "term")
+              .select("key", F.explode("parts").alias("x")).where("x.template >= 0").groupBy("key", "x.template")
+              .agg(F.sum(F.col("x.weight") * F.col("x.weight")).alias("share")))
+    wanted = cut(shares.where(F.col("share") >= threshold * threshold - 1e-9).groupBy("key")
+                 .agg(F.sort_array(F.collect_set("template")).alias("templates")), "license-wanted")
+    texts = cut(files.select("key", "text").join(wanted, "key"), "license-texts")
+    sizes = F.array(*[F.lit(len(text.split())) for _, text in templates])
+    lengths = F.array_distinct(F.transform("templates", lambda t: F.element_at(sizes, t + 1)))
+    blocks = blocks_of(texts, pattern, lengths).select(
+        "key", F.md5("block").alias("b"), F.regexp_count("block", F.lit(WORD_PATTERN)).alias("held"),
+        term_counts(F.col("block")).alias("terms"))
+    # the counts are made below the explosion, once a block
+    counts = blocks.select("key", "b", "held", F.explode("terms").alias("x")).select("key", "b", "held", "x.term", "x.n")
     first = F.col("term") == ""  # one a copy of the block
     w = F.when(first, 0.0).otherwise(F.col("n") * F.coalesce("idf", F.lit(unseen_idf(templates))))
     own = F.array(F.struct(F.lit(-1).alias("template"), F.lit(0.0).alias("weight")))  # its sum is the block's own norm
@@ -273,14 +304,19 @@ def scan(files: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     text = F.col(text_col)
     source = files.select(F.col(id_col).alias("doc_id"), place.cast("string").alias("path"), text.alias("text"))
     key = F.md5(F.to_json(F.struct("path", "text")))
-    legal = r"\b(" + "|".join(re.escape(a) for a in anchors(block_templates(), threshold, BLOCK_STOP, EVERYDAY)) + r")\b"
-    candidate = (F.size("units") > 0) | (F.size("tags") > 0) | F.coalesce(F.rlike(F.lower("text"), F.lit(legal)), F.lit(False))
-    rows = cut(source.withColumn("units", units_of(F.col("text"), pattern))
-               .withColumn("tags", F.when(F.contains(F.lower("text"), F.lit("spdx-license-identifier")), spdx_licenses(F.col("text")))
-                           .otherwise(F.array().cast("array<string>")))
-               .select("doc_id", "path", "units", "tags",
-                       F.when(candidate, F.regexp_count("text", F.lit(WORD_PATTERN))).alias("words"),
-                       F.when(candidate, key).alias("key")), "license-rows")
+    legal = anchors(block_templates(), threshold, BLOCK_STOP, EVERYDAY)
+    vocabulary = F.array(*map(F.lit, template_terms(block_templates(), BLOCK_STOP)[0]))
+    nothing = F.array().cast("array<string>")
+    # a unit or block at the threshold holds an anchor among its terms, and so does its text
+    seen = source.withColumn("terms", terms_of(F.col("text"))).select(
+        "doc_id", "path", "text",
+        F.when(_any_of(F.col("terms"), anchors(templates, threshold)), units_of(F.col("text"), pattern)).otherwise(nothing).alias("units"),
+        F.when(_any_of(F.col("terms"), ["spdx"]), spdx_licenses(F.col("text"))).otherwise(nothing).alias("tags"),
+        F.when(_any_of(F.col("terms"), legal), F.array_intersect("terms", vocabulary)).alias("hits"))
+    candidate = (F.size("units") > 0) | (F.size("tags") > 0) | F.col("hits").isNotNull()
+    rows = cut(seen.select("doc_id", "path", "units", "tags", "hits", F.when(F.col("hits").isNotNull(), F.col("text")).alias("text"),
+                           F.when(candidate, F.regexp_count("text", F.lit(WORD_PATTERN))).alias("words"),
+                           F.when(candidate, key).alias("key")), "license-rows")
     given = rows.where("key is not null")
     each = given.select("key", F.explode("units").alias("unit")).distinct()
     judged = cut(cosines(each.select("unit").distinct(), templates).where(F.col("score") >= threshold), "license-units")
@@ -289,7 +325,7 @@ def scan(files: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
                  F.min(F.struct((-F.col("score")).alias("far"), "license")).alias("best")))
     tagged = given.select("key", F.explode("tags").alias("license")).groupBy("key").agg(
         F.lit(0).cast("long").alias("held"), F.min(F.struct(F.lit(-1.0).alias("far"), "license")).alias("best"))
-    blocks = block_hits(source.select(key.alias("key"), "text"), threshold).groupBy("key").agg(
+    blocks = block_hits(given.where("hits is not null").select("key", "text", "hits"), threshold).groupBy("key").agg(
         F.max("held").cast("long").alias("held"), F.min(F.struct("far", "license")).alias("best"))
     named = F.coalesce(F.rlike("path", F.lit(LICENSE_NAME)), F.lit(False))
     found = hits.unionByName(tagged).unionByName(blocks).groupBy("key").agg(F.max("held").alias("held"), F.min("best").alias("best"))

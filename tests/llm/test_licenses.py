@@ -6,8 +6,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from clasp.llm.licenses import (FILE_SHARE, LICENSE_NAME, STOP, TEMPLATES, TERM, THRESHOLD, UNIT_END, anchors, scan,
-                                template_terms, unseen_idf)
+from clasp.llm.licenses import (BLOCK_STOP, COMMENT, EVERYDAY, FILE_SHARE, LICENSE_NAME, MARKS, PARAGRAPH_END, RUN, STOP, TEMPLATES, TERM, THRESHOLD,
+                                UNIT_END, WINDOW_STEP, WINDOWS, anchors, block_hits, block_templates, scan, template_terms, terms_of,
+                                unseen_idf)
 
 SCHEMA = "doc_id long, text string, path string, license string, units int"
 
@@ -125,3 +126,63 @@ def test_real_texts_headers_and_spdx(spark):
     once = sorted(got(spark.createDataFrame(rows, SCHEMA)), key=lambda r: r[0])
     assert [(r[1], r[2]) for r in once] == [c[1:] for c in cases]
     assert sorted(got(spark.createDataFrame(rows * 2, SCHEMA)), key=lambda r: r[0])[::2] == once  # repeated rows
+
+
+def plain_blocks(text):
+    """(words, score, licence) of the blocks of a text at the threshold."""
+    templates = block_templates()
+    idf, split = template_terms(templates, BLOCK_STOP)
+    legal = anchors(templates, THRESHOLD, BLOCK_STOP, EVERYDAY)
+    bare = re.sub(MARKS, "", text).strip(" ")
+    comment = re.match(COMMENT, text)
+    parts = re.split(PARAGRAPH_END, bare)
+    blocks = {bare, re.sub(MARKS, "", comment.group()).strip(" ") if comment else ""}
+    blocks |= {"\n".join(parts[i:i + n]) for i in range(len(parts)) for n in range(1, RUN + 1)
+               if i + n <= len(parts) and any(re.search(rf"\b{re.escape(a)}\b", parts[i].lower()) for a in legal)}
+    words = re.split(r"\s+", bare)
+    known = set(re.findall(TERM, text.lower()))
+    near = [sum(x * x for t, x in ws.items() if t in known) >= THRESHOLD ** 2 * sum(x * x for x in ws.values()) for _, _, ws in split]
+    for size in {len(t.split()) for (_, t), wanted in zip(templates, near) if wanted}:
+        for i in range(0, len(words), max(1, size // WINDOW_STEP)):
+            blocks |= {" ".join(words[i:i + math.ceil(size * f)]) for f in WINDOWS}
+    out = set()
+    for block in blocks - {""}:
+        terms = [t for t in re.findall(TERM, block.lower()) if t not in BLOCK_STOP]
+        w = {t: terms.count(t) * idf.get(t, unseen_idf(templates)) for t in set(terms)}
+        norm = math.sqrt(sum(x * x for x in w.values())) or 1
+        for n, name, ws in split:
+            score = sum(w.get(t, 0) * x for t, x in ws.items()) / norm / math.sqrt(sum(x * x for x in ws.values()))
+            if round(score, 9) >= THRESHOLD:
+                out.add((len(block.split()), round(score, 6), name))
+    return out
+
+
+def test_blocks_equal_plain(spark):
+    mit, isc = (next(t for n, t in block_templates() if n == name) for name in ("MIT", "ISC"))
+    split_up = "\n\n".join(mit.split(". "))  # a licence in more paragraphs
+    each_line = "\n\n".join(isc.replace(", ", ",\n").splitlines())
+    texts = ["prose " * 60 + "\n\n" + split_up + "\n\n" + "more prose here\n\n" * 30, each_line + "\n\n" + "code(); " * 90, "// " + mit.replace("\n", "\n// "),
+             "The software may be used by one person.", "", "words only"]
+    vocabulary = list(template_terms(block_templates(), BLOCK_STOP)[0])
+    files = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "key string, text string").withColumn(
+        "hits", F.array_intersect(terms_of(F.col("text")), F.array(*map(F.lit, vocabulary))))
+    found = {str(i): set() for i in range(len(texts))}
+    for x in block_hits(files).collect():
+        found[x.key].add((x.held, round(-x.far, 6), x.license))
+    assert found == {str(i): plain_blocks(t) for i, t in enumerate(texts)}
+    assert max(found["0"], key=lambda x: x[1])[2] == "MIT" and max(found["1"], key=lambda x: x[1])[2] == "ISC"
+
+
+def test_long_texts(spark):
+    """Long licences inside longer texts, a very long comment, and long
+    texts full of anchor terms, in time that grows with their length."""
+    import time
+    texts = dict(block_templates())
+    prose = "the act of one may add another version 15 or license notice terms by any party\n\n"
+    rows = [(1, prose * 600 + texts["GPL-3.0"] + "\n\n" + prose * 600, "a/one"), (2, "word " * 20_000 + "\n\n" + texts["MPL-2.0"], "b/two"),
+            (3, "# " + "\n# ".join(texts["LGPL-2.1"].splitlines()) + "\nimport os\n" * 20_000, "c/three"), (4, prose * 1_500, "d/four"),
+            (5, "word " * 300_000, "e/five")]
+    began = time.time()
+    out = {r[0]: r[1:3] for r in got(spark.createDataFrame([(*r, None, None) for r in rows], SCHEMA))}
+    assert out == {1: ("GPL-3.0", "header"), 2: ("MPL-2.0", "header"), 3: ("LGPL-2.1", "header"), 4: (None, "none"), 5: (None, "none")}
+    assert time.time() - began < 240
