@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from importlib import resources
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -123,9 +124,10 @@ def block_templates() -> tuple[tuple[str, str], ...]:
 def template_terms(templates=TEMPLATES, stop=STOP) -> tuple[dict[str, float], list[tuple[int, str, dict[str, float]]]]:
     """IDF over the templates, and each as ``(number, licence, weights)``."""
     split = [[w for w in re.findall(TERM, t.lower()) if w not in stop] for _, t in templates]
-    idf = {w: math.log((1 + len(split)) / (1 + sum(w in s for s in split))) + 1 for s in split for w in s}
-    return idf, [(n, name, {w: s.count(w) * idf[w] for w in dict.fromkeys(s)})
-                 for n, ((name, _), s) in enumerate(zip(templates, split))]
+    counts = [Counter(s) for s in split]
+    held = Counter(w for c in counts for w in c)
+    idf = {w: math.log((1 + len(split)) / (1 + n)) + 1 for w, n in held.items()}
+    return idf, [(n, name, {w: k * idf[w] for w, k in c.items()}) for n, ((name, _), c) in enumerate(zip(templates, counts))]
 
 
 def unseen_idf(templates=TEMPLATES) -> float:
