@@ -12,7 +12,8 @@ licence file, or of whose words half lie in licence units or in one licence
 block, is one. Files without a licence of their own inherit that of
 the nearest ancestor directory with a licence file.
 
-Candidate units are those that hold an anchor term. Anchors are chosen so
+Candidate units are those that hold an anchor term, and of some template
+terms enough for the threshold. Anchors are chosen so
 that without any of them no cosine can reach the threshold: a template's
 other terms have too small a norm (Cauchy-Schwarz). So the filter loses
 nothing, and since equal units are compared once, a line that a third of
@@ -108,6 +109,7 @@ COMMENT = r"^\s*(?:(?:#|//|/?\*|--|;|%)[^\n]*(?:\n[ \t]*|$)){2,}+"
 PARAGRAPH_END = r"\n[ \t]*(?:\r?\n[ \t]*)+"
 #: Paragraphs of a run: those of the longest header or short licence, and one. Longer licences are met by windows.
 RUN = 8
+PIECE_PARAGRAPHS, PIECE_WORDS = 200, 30_000
 WINDOWS, WINDOW_STEP = (0.75, 1.0, 1.25), 8  # lengths of windows, as parts of a template's, and starts in each length
 SPDX = r"(?i)SPDX-License-Identifier:[ \t]*([^\n\r*]+)"
 
@@ -167,10 +169,24 @@ def _any_of(terms: Column, wanted: list[str]) -> Column:
     return F.coalesce(F.arrays_overlap(terms, F.array(*map(F.lit, wanted))), F.lit(False))
 
 
-def units_of(text: Column, pattern: str) -> Column:
+def near_enough(unit: Column, templates=TEMPLATES, threshold: float = THRESHOLD) -> Column:
+    """Whether a unit's terms hold a share of some template's norm that lets
+    their cosine reach the threshold (Cauchy-Schwarz)."""
+    idf, split = template_terms(templates)
+    norms = [sum(w * w for w in weights.values()) for _, _, weights in split]
+    parts = F.array(*[F.array(*[F.struct(F.lit(t).alias("term"), F.lit(w * w / norm).alias("share")) for t, w in weights.items()])
+                      for (_, _, weights), norm in zip(split, norms)])
+
+    def reached(hits: Column) -> Column:
+        return F.exists(parts, lambda template: F.aggregate(template, F.lit(0.0), lambda total, p: total + F.when(
+            F.array_contains(hits, p["term"]), p["share"]).otherwise(0.0)) >= threshold * threshold - 1e-9)
+    return F.exists(F.array(F.array_intersect(F.array(*map(F.lit, idf)), terms_of(unit))), reached)
+
+
+def units_of(text: Column, pattern: str, templates=TEMPLATES, threshold: float = THRESHOLD) -> Column:
     """Distinct candidate units of a text."""
     lines = F.filter(F.split(text, UNIT_END), lambda u: F.rlike(F.lower(u), F.lit(pattern)))
-    return F.array_distinct(F.transform(lines, lambda u: F.trim(u)))
+    return F.filter(F.array_distinct(F.transform(lines, lambda u: F.trim(u))), lambda u: near_enough(u, templates, threshold))
 
 
 def cosines(units: DataFrame, templates=TEMPLATES) -> DataFrame:
@@ -209,22 +225,35 @@ def _bare(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, MARKS, ""))
 
 
-def blocks_of(texts: DataFrame, pattern: str, lengths: Column) -> DataFrame:
+def _pieces(items: Column, size: int, more: int) -> Column:
+    """An array in pieces of ``size`` items, each with the next ``more``."""
+    return _once(items, lambda a: F.transform(F.sequence(F.lit(0), F.floor((F.size(a) - 1) / size).cast("int")),
+                                              lambda k: F.slice(a, k * size + 1, size + more)))
+
+
+def blocks_of(texts: DataFrame, pattern: str, lengths: Column, longest: int) -> DataFrame:
     """``key, text, templates`` -> ``key, block``: the whole text, its leading
     comment, runs of up to ``RUN`` paragraphs from each that holds an anchor,
-    and windows of the ``lengths`` (in words) of its templates."""
-    whole = texts.select("key", F.explode(F.array(_bare(F.col("text")), _bare(F.regexp_extract("text", COMMENT, 0)))).alias("block"))
-    parts = texts.select("key", F.split(_bare(F.col("text")), PARAGRAPH_END).alias("parts"))
-    starts = parts.select("key", "parts", F.posexplode(F.transform(
-        "parts", lambda p: F.rlike(F.lower(p), F.lit(pattern)))).alias("i", "anchored")).where("anchored")
-    runs = starts.select("key", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.lit(RUN), F.size("parts") - F.col("i"))), lambda n:
-                                                      F.array_join(F.slice("parts", F.col("i") + 1, n), "\n"))).alias("block"))
-    words = texts.select("key", F.split(_bare(F.col("text")), r"\s+").alias("words"), F.explode(lengths).alias("n"))
-    at = words.select("key", "words", "n", F.explode(F.sequence(
-        F.lit(1), F.size("words"), F.greatest(F.lit(1), F.floor(F.col("n") / WINDOW_STEP).cast("int")))).alias("i"))
-    windows = at.select("key", F.explode(F.transform(F.array(*map(F.lit, WINDOWS)), lambda f: F.array_join(F.slice(
-        "words", F.col("i"), F.ceil(F.col("n") * f).cast("int")), " "))).alias("block"))
-    return whole.unionByName(runs).unionByName(windows).where("block <> ''")
+    and windows of the ``lengths`` (in words) of its templates, of which none
+    is over ``longest``. Very long texts are taken in overlapping pieces, so
+    that a row never holds more than a piece's blocks."""
+    def runs(parts: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.least(F.lit(PIECE_PARAGRAPHS), F.size(parts))),
+                          lambda i: F.rlike(F.lower(F.element_at(parts, i)), F.lit(pattern)))
+        return F.flatten(F.transform(starts, lambda i: F.transform(
+            F.sequence(F.lit(1), F.least(F.lit(RUN), F.size(parts) - i + 1)), lambda n: F.array_join(F.slice(parts, i, n), "\n"))))
+
+    def windows(words: Column, n: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.least(F.lit(PIECE_WORDS), F.size(words)), F.greatest(F.lit(1), F.floor(n / WINDOW_STEP).cast("int")))
+        return F.flatten(F.transform(starts, lambda i: F.transform(
+            F.array(*map(F.lit, WINDOWS)), lambda f: F.array_join(F.slice(words, i, F.ceil(n * f).cast("int")), " "))))
+    bare = texts.select("key", lengths.alias("lengths"), _bare(F.col("text")).alias("text"), F.regexp_extract("text", COMMENT, 0).alias("comment"))
+    whole = bare.select("key", F.explode(F.array(F.col("text"), _bare(F.col("comment")))).alias("block"))
+    parts = bare.select("key", F.explode(_pieces(F.split("text", PARAGRAPH_END), PIECE_PARAGRAPHS, RUN)).alias("piece"))
+    words = bare.select("key", "lengths", F.explode(_pieces(F.split("text", r"\s+"), PIECE_WORDS, math.ceil(longest * max(WINDOWS)))).alias("piece"))
+    each = words.select("key", F.explode(F.flatten(F.transform("lengths", lambda n: windows(F.col("piece"), n)))).alias("block"))
+    return (whole.unionByName(parts.select("key", F.explode(runs(F.col("piece"))).alias("block"))).unionByName(each)
+            .where("block <> ''"))
 
 
 def term_counts(text: Column) -> Column:
@@ -259,7 +288,7 @@ def block_hits(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     texts = cut(files.select("key", "text").join(wanted, "key"), "license-texts")
     sizes = F.array(*[F.lit(len(text.split())) for _, text in templates])
     lengths = F.array_distinct(F.transform("templates", lambda t: F.element_at(sizes, t + 1)))
-    blocks = blocks_of(texts, pattern, lengths).select(
+    blocks = blocks_of(texts, pattern, lengths, max(len(text.split()) for _, text in templates)).select(
         "key", F.md5("block").alias("b"), F.regexp_count("block", F.lit(WORD_PATTERN)).alias("held"),
         term_counts(F.col("block")).alias("terms"))
     # the counts are made below the explosion, once a block
@@ -312,7 +341,7 @@ def scan(files: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     # a unit or block at the threshold holds an anchor among its terms, and so does its text
     seen = source.withColumn("terms", terms_of(F.col("text"))).select(
         "doc_id", "path", "text",
-        F.when(_any_of(F.col("terms"), anchors(templates, threshold)), units_of(F.col("text"), pattern)).otherwise(nothing).alias("units"),
+        F.when(_any_of(F.col("terms"), anchors(templates, threshold)), units_of(F.col("text"), pattern, templates, threshold)).otherwise(nothing).alias("units"),
         F.when(_any_of(F.col("terms"), ["spdx"]), spdx_licenses(F.col("text"))).otherwise(nothing).alias("tags"),
         F.when(_any_of(F.col("terms"), legal), F.array_intersect("terms", vocabulary)).alias("hits"))
     candidate = (F.size("units") > 0) | (F.size("tags") > 0) | F.col("hits").isNotNull()
