@@ -16,20 +16,16 @@ from clasp.functions.stopwords import ENGLISH_STOP_WORDS
 # Fixed value: the whitespace class of Java's \s, written out so the SQL
 # oracle (RE2) uses the same set.
 WHITESPACE_CLASS = "[ \\t\\n\\x0B\\f\\r]"
+WHITESPACE = " \t\n\x0b\f\r"
 
 
 def tokens_expr(text: Column | str) -> Column:
     """Tokens as the Tokenizer makes them (inner empties kept, trailing
     empties dropped; a text without any blank stays one token)."""
     t = F.col(text) if isinstance(text, str) else text
-    parts = F.split(F.lower(t), WHITESPACE_CLASS, -1)
-    # position of the last non-empty token (0 when all are empty)
-    last = F.aggregate(
-        F.sequence(F.lit(1), F.size(parts)), F.lit(0),
-        lambda acc, i: F.when(F.element_at(parts, i) != F.lit(""), i).otherwise(acc))
-    return (F.when(F.size(parts) == 1, parts)
-            .when(last == 0, F.array().cast("array<string>"))
-            .otherwise(F.slice(parts, F.lit(1), last)))
+    lower = F.lower(t)
+    kept = F.rtrim(lower, F.lit(WHITESPACE))  # trailing blanks make only trailing empties
+    return F.when((kept == "") & (lower != ""), F.array().cast("array<string>")).otherwise(F.split(kept, WHITESPACE_CLASS, -1))
 
 
 def nonempty_tokens_expr(text: Column | str) -> Column:

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clasp.functions.stopwords import ENGLISH_STOP_WORDS
-from clasp.functions.text import WHITESPACE_CLASS
+from clasp.functions.hashing import with_term_bucket
+from clasp.functions.text import WHITESPACE_CLASS, tokens_expr
 from clasp.operators.joins import join_derived
 from clasp.session import materialise
 from clasp.operators.partitioning import spread
@@ -74,6 +75,18 @@ def term_freqs(df: DataFrame, doc_col: str, text_col: str,
             .groupBy(doc_col, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
+def hashed_counts(df: DataFrame, doc_col: str, text_col: str, num_features: int = NUM_FEATURES,
+                  stop_words: list[str] | None = None) -> DataFrame:
+    """M3 in built-in expressions: ``(doc, bucket, tf)`` of the non-zero
+    buckets, equal to the ``HashingTF`` stage bit by bit. A document's tokens
+    meet in the task that reads it, so what is shuffled is at most one row per
+    document and bucket."""
+    words = [w.lower() for w in (stop_words or ENGLISH_STOP_WORDS)]
+    tokens = spread(df).select(doc_col, F.explode(tokens_expr(F.coalesce(F.col(text_col), F.lit("")))).alias("term"))
+    return (with_term_bucket(tokens.where(~F.col("term").isin(words)), "term", num_features)
+            .groupBy(doc_col, "bucket").agg(F.count(F.lit(1)).cast("double").alias("tf")))
+
+
 def _idf(m, doc_freq: str = "doc_freq"):
     return F.log((m + 1) / (F.col(doc_freq) + 1))
 

@@ -1,8 +1,11 @@
 """Registered model queries.
 
-Forest outputs are checked by row count and by unit tests (accuracy above
-the majority share on rows with signal, equal predictions after save and
-load); the encoder and label-order queries have DuckDB oracles.
+A fitted forest isn't SQL, so its rows are held against a second evaluator:
+the node table of the same forest, walked by joins (``ml.forest_table``). A
+row says how many trees voted, whether they asked anything (``splits``) and
+whether votes, probabilities and prediction agree; a classifier that is
+constant, drops trees or takes a wrong turn gives a red row. The encoder and
+label-order queries have DuckDB oracles of their own.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clasp.ml import models, splits, tabular, text
+from clasp.ml import forest_table, models, splits, tabular, text
 from clasp.ml.training import fit_persisted
 from clasp.operators.partitioning import spread
 from clasp.operators import stats
@@ -78,9 +81,10 @@ def q_hashing_tf(spark: SparkSession, d: str) -> DataFrame:
     return feats.select("doc_id", F.inline(nonzero))
 
 
-def q_hashing_tf_totals(spark: SparkSession, d: str) -> DataFrame:
-    """M3 as a check: the counts of a document's buckets add up to its words."""
-    return q_hashing_tf(spark, d).groupBy("doc_id").agg(F.sum("tf").cast("bigint").alias("tokens"))
+def q_hashed_counts(spark: SparkSession, d: str) -> DataFrame:
+    """M3 in built-in expressions, without the ML stage: the same rows."""
+    docs = S.table(spark, d, "documents").select("doc_id", F.col("text").alias("texto"))
+    return text.hashed_counts(docs, "doc_id", "texto")
 
 
 def q_feature_matrix(spark: SparkSession, d: str) -> DataFrame:
@@ -91,46 +95,72 @@ def q_feature_matrix(spark: SparkSession, d: str) -> DataFrame:
     return prep.transform(data).select("o_orderkey", vector_to_array("features").alias("features"))
 
 
+def _nodes(spark: SparkSession, key: str, d: str, model: PipelineModel) -> DataFrame:
+    return _fitted(spark, (key, "nodes", d), lambda: forest_table.forest_nodes(model.stages[-1]))
+
+
+def _splits():
+    return (F.col("steps") > 0).alias("splits")
+
+
+def q_forest_nodes(spark: SparkSession, d: str) -> DataFrame:
+    """The tabular forest's node table, checked tree by tree."""
+    model, _ = fit_tabular(spark, d)
+    return forest_table.tree_checks(_nodes(spark, "tabular", d, model), model.stages[-1].getMaxDepth())
+
+
 def q_forest_predictions(spark: SparkSession, d: str) -> DataFrame:
-    """Held-out predictions of the tabular forest, decoded."""
+    """Held-out predictions of the tabular forest, decoded, and
+    walked through its node table row by row."""
     model, data = fit_tabular(spark, d)
-    test = data.where(F.col("split") == "test")
-    pred = models.decode_prediction(models.score(model, test, LABEL), model, label_type="string")
-    return pred.select("o_orderkey", F.col(LABEL).alias("label"), F.col("prediction").isin(*models.label_list(model)).alias("known"))
+    test = models.score(model, data.where(F.col("split") == "test"), LABEL)
+    out = forest_table.agreement(test, model.stages[-1], _nodes(spark, "tabular", d, model),
+                                 ["o_orderkey", LABEL, "prediction"], keys=["o_orderkey"])
+    decoded = models.decode_prediction(out, model, label_type="string")
+    names = F.array(*map(F.lit, models.label_list(model)))
+    return decoded.select("o_orderkey", F.col(LABEL).alias("label"), "trees", _splits(), "agrees",
+                          (F.col("prediction") == F.get(names, F.col("prediction_index").cast("int"))).alias("decoded"))
 
 
 def q_tabular_score(spark: SparkSession, d: str) -> DataFrame:
-    """Score every order (train rows included) with a split tag."""
+    """Score every order (train rows included) with a split tag;
+    each cell of the forest is walked through its node table."""
     model, data = fit_tabular(spark, d)
-    pred = models.decode_prediction(models.score(model, data, LABEL), model, label_type="string")
-    return pred.select("o_orderkey", "split", F.col(LABEL).alias("label"),
-                       F.col("prediction").isin(*models.label_list(model)).alias("known"))
+    out = forest_table.agreement(models.score(model, data, LABEL), model.stages[-1], _nodes(spark, "tabular", d, model),
+                                 ["o_orderkey", "split", LABEL])
+    return out.select("o_orderkey", "split", F.col(LABEL).alias("label"), "trees", _splits(), "agrees")
 
 
 def q_text_score(spark: SparkSession, d: str) -> DataFrame:
-    """Fit the text pipeline on the train split and score every
-    document, once. The held-out accuracy is taken from the written scores
-    and attached to every row, with the processing time."""
+    """Fit the text pipeline on the train split, score every
+    document and walk it through the forest's node table, once. The held-out
+    accuracy is taken from the written scores and attached to every row, with
+    the processing time; it is counted again beside."""
+    began = spark.sql("SELECT current_timestamp()").first()[0]
     model, _ = fit_text(spark, d)
     labels = S.table(spark, d, "labels").select("doc_id", F.col("quality").alias("etiqueta"))
     docs = splits.hash_split(spread(S.document_rows(spark, d).select("doc_id", "texto")), "texto", TEXT_TRAIN_PCT)
-    scored = models.decode_prediction(models.score(model, docs), model, label_type="int")
-    scored = materialise(scored.select("doc_id", F.md5("texto").alias("text_md5"), "split", "prediction")
-                         .join(labels, "doc_id", "left"), "text-scored")
+    scored = models.score(model, docs.withColumn("text_md5", F.md5("texto")))
+    walked = forest_table.agreement(scored, model.stages[-1], _nodes(spark, "text", d, model),
+                                    ["doc_id", "text_md5", "split", "prediction"], keys=["doc_id"])
+    scored = materialise(models.decode_prediction(walked, model, label_type="int").join(labels, "doc_id", "left"), "text-scored")
     metrics = stats.metrics_row(scored.where(F.col("etiqueta").isNotNull()), "split", "etiqueta", "prediction", stamp=False)
-    out = models.scored_table(scored, "text_md5", "etiqueta", "prediction", metrics.select("accuracy"), keep=["doc_id"])
-    known = [int(x) for x in models.label_list(model)]
-    return out.select("doc_id", "text_md5", "etiqueta", F.col("prediction").isin(*known).alias("known"),
-                      F.col("accuracy_test").between(0, 100).alias("measured"), F.col("fecha_proceso").isNotNull().alias("stamped"))
+    held = scored.where("split = 'test' AND etiqueta IS NOT NULL")
+    again = held.select(F.avg((F.col("etiqueta") == F.col("prediction")).cast("double")) * 100).scalar()
+    out = models.scored_table(scored, "text_md5", "etiqueta", "prediction", metrics.select("accuracy"),
+                              keep=["doc_id", "trees", "steps", "agrees"])
+    return out.select("doc_id", "text_md5", "etiqueta", "trees", _splits(), "agrees",
+                      (F.abs(F.col("accuracy_test") - F.coalesce(again, F.lit(0.0))) <= 0.005001).alias("measured"),
+                      (F.col("fecha_proceso") >= F.lit(began)).alias("stamped"))
 
 
 def q_score_new_text(spark: SparkSession, d: str) -> DataFrame:
     """Score every document, labelled or not (the label stage is
-    skipped when the label column is absent)."""
+    skipped when the label column is absent), and walk it."""
     model, _ = fit_text(spark, d)
     docs = spread(S.table(spark, d, "documents").select("doc_id", F.col("text").alias("texto")))
-    scored = models.decode_prediction(models.score(model, docs), model, label_type="int")
-    return scored.select("doc_id", F.col("prediction").isin(*[int(x) for x in models.label_list(model)]).alias("known"))
+    out = forest_table.agreement(models.score(model, docs), model.stages[-1], _nodes(spark, "text", d, model), ["doc_id"], keys=["doc_id"])
+    return out.select("doc_id", "trees", _splits(), "agrees")
 
 
 def q_random_split_sizes(spark: SparkSession, d: str) -> DataFrame:
@@ -145,15 +175,15 @@ def q_random_split_sizes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_model_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    """Save the fitted tabular pipeline, load it, score again; the
-    two predictions must be equal on every row."""
+    """Save the fitted tabular pipeline, load it and score with the
+    loaded one: on every row it must agree with the node table of the forest
+    that was saved."""
     model, data = fit_tabular(spark, d)
     path = scratch_path(spark, "model")
     save_model(model, path)
     again = load_model(path)
-    once = models.score(model, data, LABEL).select(*data.columns, F.col("prediction").alias("p1"))
-    twice = models.score(again, once, LABEL)
-    return twice.select("o_orderkey", (F.col("p1") == F.col("prediction")).alias("same"))
+    out = forest_table.agreement(models.score(again, data, LABEL), again.stages[-1], _nodes(spark, "tabular", d, model), ["o_orderkey"])
+    return out.select("o_orderkey", (F.col("agrees") & (F.col("trees") == models.NUM_TREES)).alias("same"))
 
 
 def q_decode_label(spark: SparkSession, d: str) -> DataFrame:
@@ -196,8 +226,10 @@ def q_one_hot(spark: SparkSession, d: str) -> DataFrame:
 
 
 MODEL_REGISTRY = {
-    "hashing_tf": q_hashing_tf_totals,
+    "hashing_tf": q_hashing_tf,
+    "hashed_counts": q_hashed_counts,
     "feature_matrix": q_feature_matrix,
+    "forest_nodes": q_forest_nodes,
     "forest_predictions": q_forest_predictions,
     "tabular_score": q_tabular_score,
     "text_score": q_text_score,
@@ -235,18 +267,38 @@ def _one_hot_list(col: str) -> str:
 
 
 _LT = "lt AS (SELECT d.doc_id, d.text AS texto, l.quality AS etiqueta FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality IS NOT NULL)"
-_WORDS = f"list_filter(string_split_regex(rtrim(lower(coalesce(text, '')), E' \\t\\n\\x0B\\f\\r'), {WS}), lambda x: x NOT IN ({STOP}))"
+_KEPT = r"rtrim(lower(coalesce(text, '')), E' \t\n\x0B\f\r')"
+_WORDS = (f"CASE WHEN {_KEPT} = '' AND coalesce(text, '') <> '' THEN []::VARCHAR[] "
+          f"ELSE list_filter(string_split_regex({_KEPT}, {WS}), lambda x: x NOT IN ({STOP})) END")
+
+# The public MurmurHash3 of each distinct term, with 32-bit steps in unsigned longs.
+_ROT = lambda x, n: f"(({x} * {1 << n} + {x} // {1 << (32 - n)}) % 4294967296)"
+_HEX = lambda *at: "('0x' || " + " || ".join(f"substr(h, ({a})::BIGINT, 2)" for a in at) + ")::UBIGINT"
+_HASHED = f"""WITH words AS (SELECT doc_id, unnest({_WORDS}) AS term FROM documents WHERE len({_WORDS}) > 0),
+t0 AS (SELECT term, hex(encode(term)) AS h, (strlen(term))::UBIGINT AS n FROM (SELECT DISTINCT term FROM words)),
+t1 AS (SELECT term, n, list_transform(range((n // 4)::BIGINT), lambda i: ({_HEX("8*i+7", "8*i+5", "8*i+3", "8*i+1")} * 3432918353) % 4294967296) AS ks,
+         ((CASE WHEN n % 4 > 0 THEN {_HEX("2*(n - n%4)+1")} ELSE 0 END + CASE WHEN n % 4 > 1 THEN 256 * {_HEX("2*(n - n%4)+3")} ELSE 0 END
+           + CASE WHEN n % 4 > 2 THEN 65536 * {_HEX("2*(n - n%4)+5")} ELSE 0 END)::UBIGINT * 3432918353) % 4294967296 AS tail FROM t0),
+t2 AS (SELECT term, n, list_transform(ks, lambda k: ({_ROT("k", 15)} * 461845907) % 4294967296) AS ks, ({_ROT("tail", 15)} * 461845907) % 4294967296 AS tail FROM t1),
+t3 AS (SELECT term, xor(xor(list_reduce(list_prepend(42::UBIGINT, ks), lambda a, k: ({_ROT("xor(a, k)", 13)} * 5 + 3864292196) % 4294967296), tail), n) AS x FROM t2),
+t4 AS (SELECT term, (xor(x, x // 65536) * 2246822507) % 4294967296 AS x FROM t3),
+t5 AS (SELECT term, (xor(x, x // 8192) * 3266489909) % 4294967296 AS x FROM t4),
+t6 AS (SELECT term, xor(x, x // 65536)::BIGINT AS x FROM t5),
+b AS (SELECT term, CAST((((CASE WHEN x > 2147483647 THEN x - 4294967296 ELSE x END) % 1000) + 1000) % 1000 AS INTEGER) AS bucket FROM t6)
+SELECT doc_id, bucket, count(*)::DOUBLE AS tf FROM words JOIN b USING (term) GROUP BY doc_id, bucket"""
 
 MODEL_ORACLE = {
-    "hashing_tf": f"""SELECT doc_id, CAST(len({_WORDS}) AS BIGINT) AS tokens FROM documents WHERE len({_WORDS}) > 0""",
+    "forest_nodes": "SELECT CAST(range AS INTEGER) AS tree, true AS linked, true AS adds_up, true AS splits FROM range(100)",
+    "hashing_tf": _HASHED,
+    "hashed_counts": _HASHED,
     "forest_predictions": f"""WITH t AS (SELECT o.o_orderkey, o.o_orderstatus AS label, {_split('CAST(o.o_orderkey AS VARCHAR)', TAB_TRAIN_PCT)} AS split
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)
-SELECT o_orderkey, label, true AS known FROM t WHERE split = 'test'""",
-    "tabular_score": f"""SELECT o.o_orderkey, {_split('CAST(o.o_orderkey AS VARCHAR)', TAB_TRAIN_PCT)} AS split, o.o_orderstatus AS label, true AS known
+SELECT o_orderkey, label, 100 AS trees, true AS splits, true AS agrees, true AS decoded FROM t WHERE split = 'test'""",
+    "tabular_score": f"""SELECT o.o_orderkey, {_split('CAST(o.o_orderkey AS VARCHAR)', TAB_TRAIN_PCT)} AS split, o.o_orderstatus AS label, 100 AS trees, true AS splits, true AS agrees
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""",
-    "text_score": """SELECT d.doc_id, md5(d.text) AS text_md5, l.quality AS etiqueta, true AS known, true AS measured, true AS stamped
+    "text_score": """SELECT d.doc_id, md5(d.text) AS text_md5, l.quality AS etiqueta, 100 AS trees, true AS splits, true AS agrees, true AS measured, true AS stamped
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
-    "score_new_text": "SELECT doc_id, true AS known FROM documents",
+    "score_new_text": "SELECT doc_id, 100 AS trees, true AS splits, true AS agrees FROM documents",
     "random_split_sizes": f"WITH {_LT} SELECT count(*) AS n, count(DISTINCT doc_id) AS documents, true AS about_its_share FROM lt",
     "model_roundtrip": "SELECT o.o_orderkey, true AS same FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey",
     "feature_matrix": f"""WITH rec AS (
