@@ -1,39 +1,56 @@
 """Stupid-backoff language-model scores as joins of count tables.
 
-The score of a text is the sum over its words of ``ln S(w | v)``, with ``v``
-the word before: ``count(v w) / count(v)`` where the corpus has the bigram,
-else ``alpha * count(w) / N``; the first word scores ``count(w) / N``.
-
-That sum is one over bigrams plus one over words. For each, documents are
-exploded to (n-gram, document, occurrences) rows and dealt by n-gram hash
-once; the count table is an aggregate of the dealt rows, so it lies in the
-same partitions and the join moves nothing more. Sums per document are
-partial aggregates. Only where a corpus of its own is given can a bigram be
-missing from the counts; those rows are sent back to their documents, whose
-words then score by the second form.
-
-N-grams that a good part of all documents share would put a row of each
-into one partition. They are found in a bounded sample; their counts, exact
-and over all rows, come from one aggregate that is reduced in every task,
-and as there can be only few of them the counts are sent to every task and
-scored there. The sample only routes: results don't depend on it.
+The score of a text is the sum of ``ln S`` over its words. With ``w`` a word,
+``g`` the longest run of up to ``order`` words that ends with it and that the
+counts know, and ``c`` their number,
+
+    S = alpha^s c(g) / c(g without its last word)    g of two words or more
+    S = alpha^s max(c(w), 1) / N                     no longer run is known
+
+where ``s`` is how many words ``g`` is shorter than the run that order and
+text allow, and ``N`` the number of words counted. By default counts are over
+the other rows of the table: what a text holds itself is taken off, so it
+can't vouch for itself and unseen runs really back off. With a ``corpus`` the
+counts are its own.
+
+Texts are split and hashed once, into a table of blocks (ids, lengths and
+word hashes of some documents). For each order, the distinct n-grams of every
+document are dealt by n-gram hash to buckets; a bucket is a hash partition of
+the count table together with the rows that ask for it, and joins the two by
+one sort. Counts above zero go back to their blocks, where they are summed
+per document. An n-gram travels as a few bytes of a packed column, not as a
+row, and orders go one after another, so that little lies on disk at a time.
+
+N-grams that a good part of all documents share would make one bucket grow
+with the table. They are found in a sample of blocks; their exact counts over
+all blocks come from one aggregate reduced in every task, and as there can be
+only few of them (words of a document / share) the counts are sent to every
+task. The sample only routes: results don't depend on it.
+
+64-bit hashes stand for n-grams, without a check: among 10^10 different ones
+about three pairs can be expected to share a hash and so add their counts.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clasp.llm.common import arrow_map, cut, texts_as_bytes
+from clasp.llm.common import cut, texts_as_bytes
 from clasp.llm.substrings import joined, mixed
 
-ALPHA = 0.4
+ALPHA, ORDER = 0.4, 3
 MEMO_WORDS = 400_000
+BLOCK_WORDS, BLOCK_ROWS = 1 << 18, 1 << 14
+BUCKET_NGRAMS = 1_000_000
+SAMPLE_BLOCKS = 64
 
 
 class Hashes(dict):
@@ -45,10 +62,71 @@ class Hashes(dict):
         out = self[word] = xxhash.xxh3_64_intdigest(word)
         return out
 
-    def of(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Word and bigram hashes of a text, A-Z in lower case."""
-        words = np.array([self[w] for w in text.lower().split()], dtype=np.uint64)
-        return words, mixed(joined(words, 1, words, 1)) if len(words) > 1 else words[:0]
+
+def blocks(docs: DataFrame, id_col: str, text_col: str, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``block, ids, sizes, words``: neighbouring documents, A-Z in lower
+    case, as word hashes; a block ends once it holds ``block_words``."""
+    id_type = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo, task, made = Hashes(), TaskContext.get().partitionId(), 0
+        ids, words, held = [], [], 0
+
+        def packed() -> pa.RecordBatch:
+            every = pa.concat_arrays(ids)
+            sizes = pa.array([len(w) for w in words], pa.int32())
+            ends = pa.array([0, len(words)], pa.int32())
+            return pa.record_batch([pa.array([(task << 32) + made]), pa.ListArray.from_arrays(ends, every),
+                                    pa.ListArray.from_arrays(ends, sizes), pa.array([np.concatenate(words).tobytes()], pa.binary())],
+                                   ["block", "ids", "sizes", "words"])
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
+                start = 0
+                for i, text in enumerate(texts_as_bytes(part.column(1))):
+                    found = np.array([memo[w] for w in text.lower().split()], dtype=np.uint64)
+                    words.append(found)
+                    held += len(found)
+                    if held >= block_words or len(words) >= BLOCK_ROWS:
+                        ids.append(part.column(0).slice(start, i + 1 - start))
+                        yield packed()
+                        ids, words, held, made, start = [], [], 0, made + 1, i + 1
+                ids.append(part.column(0).slice(start))
+        if words:
+            yield packed()
+    return docs.select(id_col, text_col).mapInArrow(run, f"block long, ids array<{id_type}>, sizes array<int>, words binary")
+
+
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``(block, sizes, word hashes)`` of each row."""
+    at = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+    for block, sizes, words in zip(at["block"].to_pylist(), at["sizes"], at["words"]):
+        yield block, np.array(sizes.values, dtype=np.int64), np.frombuffer(words.as_py(), dtype=np.uint64)
+
+
+def ngrams(sizes: np.ndarray, words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all runs of ``n`` words inside one document, the place of
+    their last word, and their document's number."""
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    h, size = words, 1
+    while size < n:
+        h, size = joined(h, size, words, 1), size + 1
+    last = np.arange(n - 1, len(words))
+    inside = doc[last] == doc[last - n + 1]
+    return (mixed(h[inside]) if n > 1 else h), last[inside], doc[last[inside]]
+
+
+def distinct(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (document, n-gram) pairs in order: their hashes, their
+    occurrences, and of every n-gram the number of its pair."""
+    order = np.lexsort((h, doc))
+    hs, ds = h[order], doc[order]
+    new = np.ones(len(hs), dtype=bool)
+    new[1:] = (hs[1:] != hs[:-1]) | (ds[1:] != ds[:-1])
+    starts = np.flatnonzero(new)
+    pair = np.empty(len(hs), dtype=np.int64)
+    pair[order] = np.cumsum(new) - 1
+    return hs[starts], np.diff(np.append(starts, len(hs))), pair
 
 
 def _in(values: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -58,97 +136,42 @@ def _in(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values
 
 
-def word_weights(words: np.ndarray, bigrams: np.ndarray, missing: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """Distinct words, their occurrences, the weight of ``ln count`` of each,
-    and the number of bigrams that the corpus lacks."""
-    distinct, at, n = np.unique(words, return_inverse=True, return_counts=True)
-    weight = np.zeros(len(distinct))
-    if len(words):
-        lacks = _in(bigrams, missing)
-        weight[at[0]] += 1
-        np.add.at(weight, at[:-1], np.where(lacks, 0.0, -1.0))
-        np.add.at(weight, at[1:], np.where(lacks, 1.0, 0.0))
-        return distinct, n, weight, int(lacks.sum())
-    return distinct, n, weight, 0
-
-
-def _flat(batch: pa.RecordBatch, lists: list[tuple[np.ndarray, ...]], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
-    at = np.repeat(np.arange(len(lists)), [len(x[0]) for x in lists])
-    keys = batch.select(["k1", "k2"]).take(pa.array(at, pa.int64()))
-    cols = [pa.array(np.concatenate(c), k) for c, k in zip(zip(*lists), kinds)]
-    return pa.RecordBatch.from_arrays([*keys.columns, *cols], names=["k1", "k2", *names])
-
-
-def _missing(batch: pa.RecordBatch) -> list[np.ndarray]:
-    if "missing" not in batch.schema.names:
-        return [np.empty(0, dtype=np.uint64)] * batch.num_rows
-    return [np.sort(np.array(m or [], dtype=np.int64).view(np.uint64)) for m in batch.column("missing").to_pylist()]
-
-
-def bigram_rows(docs: DataFrame, common) -> DataFrame:
-    """``k1, k2, h, n`` of bigrams that aren't common."""
-    memo = Hashes()
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lists = []
-        for text in texts_as_bytes(batch.column("text")):
-            h, n = np.unique(memo.of(text)[1], return_counts=True)
-            rare = ~_in(h, common.value)
-            lists.append((h[rare].view(np.int64), n[rare]))
-        return _flat(batch, lists, ["h", "n"], [pa.int64(), pa.int32()])
-    return arrow_map(docs, run, "k1 long, k2 long, h long, n int")
-
-
-def word_rows(docs: DataFrame, common) -> DataFrame:
-    """``k1, k2, h, n, weight`` of words that aren't common."""
-    memo = Hashes()
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lists = []
-        for text, missing in zip(texts_as_bytes(batch.column("text")), _missing(batch)):
-            h, n, weight, _ = word_weights(*memo.of(text), missing)
-            rare = ~_in(h, common.value)
-            lists.append((h[rare].view(np.int64), n[rare], weight[rare].astype(np.int64)))
-        return _flat(batch, lists, ["h", "n", "weight"], [pa.int64(), pa.int32(), pa.int32()])
-    return arrow_map(docs, run, "k1 long, k2 long, h long, n int, weight int")
-
-
-def common_ngrams(corpus: DataFrame, share: float, sample_rows: int) -> np.ndarray:
-    """Hashes of n-grams in at least ``share`` of a hash sample's documents:
-    at most (words of a document / share) of them."""
-    rate = int(min(1.0, sample_rows / max(1, corpus.count())) * 1_000_000)
-    memo = Hashes()
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [np.unique(np.concatenate(memo.of(t))) for t in texts_as_bytes(batch.column("text"))]
-        h, n = np.unique(np.concatenate(found), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
-    sample = corpus.where(F.pmod(F.xxhash64(F.lit("lm"), "k1", "k2"), F.lit(1_000_000)) < rate)
-    least = max(20, int(share * sample_rows * min(1.0, rate / 1_000_000 * corpus.count() / max(1, sample_rows))))
-    rows = (arrow_map(sample, run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-            .where(F.col("n") >= least).select("h").collect())
-    return np.sort(np.array([r.h for r in rows], dtype=np.int64).view(np.uint64))
-
-
-def common_counts(corpus: DataFrame, common) -> tuple[np.ndarray, int]:
+def common_ngrams(corpus: DataFrame, order: int, share: float, sample_blocks: int = SAMPLE_BLOCKS) -> np.ndarray:
+    """Hashes of n-grams in at least ``share`` of the documents of a hash
+    sample of blocks, and in 20 of them."""
+    rate = min(1.0, sample_blocks / max(1, corpus.count()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, sizes, words in _texts(batch):
+                found = np.concatenate([distinct(h, doc)[0] for h, _, doc in (ngrams(sizes, words, n) for n in range(1, order + 1))])
+                h, n = np.unique(found, return_counts=True)
+                keep = n > share * len(sizes) / 4  # what is rarer in every block is rarer in all
+                yield pa.record_batch([pa.array(np.append(h[keep].view(np.int64), 0)), pa.array(np.append(n[keep], 0)),
+                                       pa.array(np.append(np.zeros(int(keep.sum()), dtype=np.int64), len(sizes)))], ["h", "n", "docs"])
+    sample = corpus.where(F.pmod(F.xxhash64(F.lit("lm"), "block"), F.lit(1_000_000)) < int(rate * 1_000_000))
+    found = sample.select("block", "sizes", "words").mapInArrow(run, "h long, n long, docs long").groupBy("h").agg(
+        F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    docs = found.agg(F.sum("docs")).first()[0] or 0
+    rows = found.where(F.col("n") >= max(20, share * docs)).select("h").collect()
+    return np.unique(np.array([r.h for r in rows], dtype=np.int64).view(np.uint64))
+
+
+def common_counts(corpus: DataFrame, order: int, common) -> tuple[np.ndarray, int]:
     """Exact counts of the common n-grams, and the number of words."""
-    memo = Hashes()
-
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n_words = np.zeros(len(common.value), dtype=np.int64), 0
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 1000):
-                for text in texts_as_bytes(whole.slice(lo, 1000).column("text")):
-                    words, bigrams = memo.of(text)
-                    n_words += len(words)
-                    every = np.concatenate([words, bigrams])
-                    hit = every[_in(every, common.value)]
-                    np.add.at(total, np.searchsorted(common.value, hit), 1)
+        for batch in batches:
+            for _, sizes, words in _texts(batch):
+                n_words += len(words)
+                for n in range(1, order + 1):
+                    h = ngrams(sizes, words, n)[0]
+                    hit = h[_in(h, common.value)]
+                    total += np.bincount(np.searchsorted(common.value, hit), minlength=len(total))
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array([-1, *at.tolist()], pa.int64()), pa.array([n_words, *total[at].tolist()], pa.int64())],
-                                         names=["at", "n"])
-    out, n_words = np.zeros(len(common.value)), 0
-    for r in corpus.select("text").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        yield pa.record_batch([pa.array(np.append(at, -1)), pa.array(np.append(total[at], n_words))], ["at", "n"])
+    out, n_words = np.zeros(len(common.value), dtype=np.int64), 0
+    for r in corpus.select("block", "sizes", "words").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
         if r["at"] < 0:
             n_words = r["n"]
         else:
@@ -156,87 +179,154 @@ def common_counts(corpus: DataFrame, common) -> tuple[np.ndarray, int]:
     return out, n_words
 
 
-def _summed(rows: DataFrame, corpus_rows: DataFrame | None, weight: str, how: str) -> tuple[DataFrame, DataFrame]:
-    """Rows with their ``count``, and the sum of weight * ln count per document."""
-    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartition(width, "h")
-    counted = dealt if corpus_rows is None else corpus_rows.repartition(width, "h")
-    # a count reads all columns of its rows, so that one shuffle serves both sides of the join
-    every = [F.max(c).alias(f"_{c}") for c in counted.columns if c != "h"]
-    counts = (counted.groupBy(F.col("h").alias("g")).agg(F.sum("n").alias("count"), *every)
-              .where(F.greatest(*[f"_{c}" for c in counted.columns if c != "h"]).isNotNull()).select("g", "count"))
-    matched = dealt.join(counts.hint("merge"), F.col("h") == F.col("g"), how)
-    sums = matched.groupBy("k1", "k2").agg(F.sum(F.col(weight) * F.log(F.coalesce("count", F.lit(1)))).alias("s"))
-    return matched, sums
-
-
-def scores(docs: DataFrame, corpus: DataFrame | None = None, alpha: float = ALPHA, id_col: str = "doc_id",
-           text_col: str = "text", common_share: float = 0.01, sample_rows: int = 5_000) -> DataFrame:
+DEALT = "bucket int, block long, h binary, pair binary, k binary"
+
+
+def dealt(table: DataFrame, n: int, buckets: int, common, asks: bool) -> DataFrame:
+    """Distinct n-grams of every document that aren't common, packed by
+    bucket: hash, number of the pair in its block, occurrences. Rows that
+    only count (``asks`` false) are summed over their block, as block -1."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, sizes, words in _texts(batch):
+                h, _, doc = ngrams(sizes, words, n)
+                h, k, _ = distinct(h, doc if asks else np.zeros_like(doc))
+                pair = np.flatnonzero(~_in(h, common.value))
+                bucket = (mixed(h[pair]) >> np.uint64(20)) % np.uint64(buckets)
+                by = np.argsort(bucket, kind="stable")
+                pair, bucket = pair[by], bucket[by]
+                edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(pair)] if len(pair) else [0]
+                parts = [pair[i:j] for i, j in zip(edges, edges[1:])]
+                yield pa.record_batch([
+                    pa.array([int(bucket[i]) for i in edges[:-1]], pa.int32()), pa.array([block if asks else -1] * len(parts), pa.int64()),
+                    pa.array([h[p].tobytes() for p in parts], pa.binary()), pa.array([p.astype("<u4").tobytes() for p in parts], pa.binary()),
+                    pa.array([k[p].astype("<u4").tobytes() for p in parts], pa.binary())], ["bucket", "block", "h", "pair", "k"])
+    return table.select("block", "sizes", "words").mapInArrow(run, DEALT)
+
+
+def counted(rows: DataFrame, n: int, own: bool) -> DataFrame:
+    """Per block, the numbers of its pairs that the counts know, and their
+    counts, ``own`` occurrences taken off."""
+    def run(group: pa.Table) -> pa.Table:
+        column = {c: group.column(c).to_pylist() for c in ("block", "h", "pair", "k")}
+        size = [len(p) // 4 for p in column["pair"]]
+        block = np.repeat(np.array(column["block"], dtype=np.int64), size)
+        h = np.frombuffer(b"".join(column["h"]), dtype=np.uint64)
+        pair = np.frombuffer(b"".join(column["pair"]), dtype="<u4")
+        k = np.frombuffer(b"".join(column["k"]), dtype="<u4").astype(np.int64)
+        adds = k if own else np.where(block < 0, k, 0)
+        order = np.argsort(h, kind="stable")
+        starts = np.flatnonzero(np.append(True, h[order][1:] != h[order][:-1])) if len(h) else np.zeros(0, dtype=np.int64)
+        total = np.add.reduceat(adds[order], starts) if len(h) else adds
+        count = np.empty(len(h), dtype=np.int64)
+        count[order] = np.repeat(total, np.diff(np.append(starts, len(h))))
+        if own:
+            count -= k
+        known = np.flatnonzero((count > 0) & (block >= 0))
+        known = known[np.argsort(block[known], kind="stable")]
+        edges = [0, *(np.flatnonzero(np.diff(block[known])) + 1).tolist(), len(known)] if len(known) else [0]
+        parts = [known[i:j] for i, j in zip(edges, edges[1:])]
+        return pa.table({"block": pa.array([int(block[p[0]]) for p in parts], pa.int64()), "n": pa.array([n] * len(parts), pa.int32()),
+                         "pair": pa.array([pair[p].tobytes() for p in parts], pa.binary()),
+                         "count": pa.array([count[p].astype("<i8").tobytes() for p in parts], pa.binary())})
+    return rows.groupBy("bucket").applyInArrow(run, "block long, n int, pair binary, count binary")
+
+
+def text_scores(sizes: np.ndarray, words: np.ndarray, counts, order: int, alpha: float, n_words: np.ndarray) -> np.ndarray:
+    """Scores of the documents of a block. ``counts(n, h, pair, k)`` gives the
+    count of each distinct pair; ``n_words`` the words counted for each
+    document."""
+    place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)  # in the document
+    known = []
+    for n in range(1, order + 1):
+        h, last, doc = ngrams(sizes, words, n)
+        distinct_h, k, pair = distinct(h, doc)
+        c = np.zeros(len(words), dtype=np.int64)
+        c[last] = counts(n, distinct_h, k)[pair]
+        known.append(c)
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    out = np.log(np.maximum(known[0], 1)) - np.log(n_words[doc])
+    used = np.ones(len(words), dtype=np.int64)
+    for n in range(2, order + 1):
+        has = np.flatnonzero(known[n - 1] > 0)
+        out[has] = np.log(known[n - 1][has]) - np.log(known[n - 2][has - 1])
+        used[has] = n
+    out += math.log(alpha) * (np.minimum(order, place + 1) - used)
+    return np.bincount(doc, weights=out, minlength=len(sizes))
+
+
+def scores(docs: DataFrame, corpus: DataFrame | None = None, alpha: float = ALPHA, order: int = ORDER, id_col: str = "doc_id",
+           text_col: str = "text", common_share: float = 0.005, block_words: int = BLOCK_WORDS,
+           bucket_ngrams: int = BUCKET_NGRAMS) -> DataFrame:
     """``doc_id, n_words, score, mean``, one row per input row.
 
-    Counts are over all rows of ``corpus``, by default of ``docs``
-    themselves. ``score`` is a natural logarithm, 0 for a text without words
-    (null, empty); ``mean`` is per word, null without words. A word that the
-    corpus lacks counts as if it had it once; an empty corpus counts as one
-    word. Repeated rows each count and score alike. Other columns are
-    ignored; an empty table gives no rows.
+    ``score`` is a natural logarithm, 0 for a text without words (null,
+    empty); ``mean`` is per word, null without words. Every row counts, so a
+    repeated row knows its copies. A word that no counted row has counts as
+    if one had it once; no counted words at all count as one. Null and
+    repeated ids each keep their row. Other columns are ignored; an empty
+    table gives no rows. ``block_words`` and ``bucket_ngrams`` set how much a
+    task holds at a time.
     """
-    spark = docs.sparkSession
-
-    def keyed(df: DataFrame) -> DataFrame:
-        return df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.xxhash64(F.col(id_col).cast("string")), F.lit(0)).alias("k1"),
-                         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("k2"), F.col(text_col).alias("text"))
-    given, learned = keyed(docs), keyed(docs if corpus is None else corpus)
-    sent = spark.sparkContext.broadcast(common_ngrams(learned, common_share, sample_rows))
-    counts, n_words = common_counts(learned, sent)
-    logs = spark.sparkContext.broadcast(np.log(np.maximum(counts, 1)))
-
-    own = corpus is None
-    matched, sums = _summed(bigram_rows(given, sent), None if own else bigram_rows(learned, sent), "n", "inner" if own else "left")
-    bigram_sums = cut(sums.withColumnRenamed("s", "s2"), "lm-bigrams")
-    texts = given
-    if not own:  # a document's own bigrams: at most as many as its words
-        missing = cut(matched.where("count is null").groupBy("k1", "k2").agg(F.collect_set("h").alias("missing")), "lm-missing")
-        texts = given.join(missing, ["k1", "k2"], "left").select("doc_id", "k1", "k2", "text", "missing")
-    _, sums = _summed(word_rows(texts, sent), None if own else word_rows(learned, sent), "weight", "left")
-    word_sums = cut(sums.withColumnRenamed("s", "s1"), "lm-words")
-
-    memo, per_word, back = Hashes(), math.log(max(n_words, 1)), math.log(alpha)
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        table, ln, sizes, base = sent.value, logs.value, [], []
-        for text, missing in zip(texts_as_bytes(batch.column("text")), _missing(batch)):
-            words, bigrams = memo.of(text)
-            h, _, weight, lacks = word_weights(words, bigrams, missing)
-            total = lacks * (back - per_word) - (per_word if len(words) else 0.0)
-            for values, w in ((h, weight), (bigrams, np.ones(len(bigrams)))):
-                hit = _in(values, table)
-                total += float(w[hit] @ ln[np.searchsorted(table, values[hit])])
-            sizes.append(len(words))
-            base.append(total)
-        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "k1", "k2")), pa.array(sizes, pa.int64()),
-                                           pa.array(base, pa.float64())], names=["doc_id", "k1", "k2", "n_words", "base"])
+    spark, own = docs.sparkSession, corpus is None
+    given = cut(blocks(docs, id_col, text_col, block_words), "lm-blocks")
+    learned = given if own else cut(blocks(corpus, id_col, text_col, block_words), "lm-corpus")
+    sent = spark.sparkContext.broadcast(common_ngrams(learned, order, common_share))
+    counts, n_words = common_counts(learned, order, sent)
+    totals = spark.sparkContext.broadcast(counts)
+    buckets = max(1, math.ceil(n_words / bucket_ngrams), spark.sparkContext.defaultParallelism)
+    found = []
+    for n in range(1, order + 1):
+        rows = dealt(given, n, buckets, sent, True)
+        rows = rows if own else rows.unionByName(dealt(learned, n, buckets, sent, False))
+        found.append(cut(counted(rows, n, own), f"lm-counts-{n}"))
+    back = found[0]
+    for more in found[1:]:
+        back = back.unionByName(more)
     id_type = docs.schema[id_col].dataType.simpleString()
-    rows = cut(arrow_map(texts, run, f"doc_id {id_type}, k1 long, k2 long, n_words long, base double"), "lm-rows")
-    # rows with the same id and text have added their parts to one sum
-    alike = rows.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("m"))
-    parts = alike.join(bigram_sums, ["k1", "k2"], "left").join(word_sums, ["k1", "k2"], "left").select(
-        "k1", "k2", ((F.coalesce("s2", F.lit(0.0)) + F.coalesce("s1", F.lit(0.0))) / F.col("m")).alias("part"))
-    return (rows.join(parts, ["k1", "k2"]).withColumn("score", F.col("base") + F.col("part"))
-            .select("doc_id", "n_words", "score", F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words")).alias("mean")))
-
 
-ORACLE = r"""
+    def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return pa.table([[], [], []], schema=kinds)
+        batch = left.combine_chunks().to_batches()[0]
+        (_, sizes, words), = _texts(batch)
+        parts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for n, pair, count in zip(*(right.column(c).to_pylist() for c in ("n", "pair", "count"))):
+            parts.setdefault(n, []).append((np.frombuffer(pair, dtype="<u4"), np.frombuffer(count, dtype="<i8")))
+
+        def known(n: int, h: np.ndarray, k: np.ndarray) -> np.ndarray:
+            out = np.zeros(len(h), dtype=np.int64)
+            for pair, count in parts.get(n, ()):
+                out[pair] = count
+            hit = _in(h, sent.value)
+            out[hit] = totals.value[np.searchsorted(sent.value, h[hit])] - (k[hit] if own else 0)
+            return out
+        others = np.maximum(n_words - (sizes if own else 0), 1) + np.zeros(len(sizes), dtype=np.int64)
+        return pa.table([batch.column(batch.schema.get_field_index("ids")).flatten(), pa.array(sizes, pa.int64()),
+                         pa.array(text_scores(sizes, words, known, order, alpha, others))], schema=kinds)
+    kinds = pa.schema([("doc_id", given.limit(0).toArrow().schema.field("ids").type.value_type), ("n_words", pa.int64()), ("score", pa.float64())])
+    out = given.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(run, f"doc_id {id_type}, n_words long, score double")
+    return out.select("doc_id", "n_words", "score", F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words")).alias("mean"))
+
+
+ORACLE = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id,
     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                        '[^\x20\x09-\x0D]+') AS w FROM documents),
 o AS (SELECT r, unnest(w) AS w, unnest(range(1, len(w) + 1)) AS p FROM d),
-b AS (SELECT r, p, lag(w) OVER (PARTITION BY r ORDER BY p) AS v, w FROM o),
-c1 AS (SELECT w, count(*) AS n FROM o GROUP BY w),
-c2 AS (SELECT v, w, count(*) AS n FROM b WHERE v IS NOT NULL GROUP BY v, w),
-s AS (SELECT b.r, sum(CASE WHEN b.v IS NULL THEN ln(c1.n) - ln((SELECT count(*) FROM o)) ELSE ln(c2.n) - ln(c1.n) END) AS score
-      FROM b JOIN c1 ON c1.w = coalesce(b.v, b.w) LEFT JOIN c2 ON c2.v = b.v AND c2.w = b.w GROUP BY b.r)
+g AS (SELECT r, p, w, lag(w) OVER x AS v, lag(w, 2) OVER x AS u FROM o WINDOW x AS (PARTITION BY r ORDER BY p)),
+c1 AS (SELECT *, sum(k) OVER (PARTITION BY w) - k AS n FROM (SELECT r, w, count(*) AS k FROM g GROUP BY r, w)),
+c2 AS (SELECT *, sum(k) OVER (PARTITION BY v, w) - k AS n FROM (SELECT r, v, w, count(*) AS k FROM g WHERE v IS NOT NULL GROUP BY r, v, w)),
+c3 AS (SELECT *, sum(k) OVER (PARTITION BY u, v, w) - k AS n
+       FROM (SELECT r, u, v, w, count(*) AS k FROM g WHERE u IS NOT NULL GROUP BY r, u, v, w)),
+e AS (SELECT g.r, p, c1.n AS n1, c2.n AS n2, c3.n AS n3, m1.n AS m1, m2.n AS m2,
+             greatest((SELECT count(*) FROM o) - (SELECT len(d.w) FROM d WHERE d.r = g.r), 1) AS total
+      FROM g JOIN c1 USING (r, w) LEFT JOIN c2 ON c2.r = g.r AND c2.v = g.v AND c2.w = g.w
+      LEFT JOIN c3 ON c3.r = g.r AND c3.u = g.u AND c3.v = g.v AND c3.w = g.w
+      LEFT JOIN c1 m1 ON m1.r = g.r AND m1.w = g.v LEFT JOIN c2 m2 ON m2.r = g.r AND m2.v = g.u AND m2.w = g.v),
+s AS (SELECT r, sum(CASE WHEN n3 > 0 THEN ln(n3 / m2) WHEN n2 > 0 THEN (least(p, 3) - 2) * ln({ALPHA}) + ln(n2 / m1)
+                         ELSE (least(p, 3) - 1) * ln({ALPHA}) + ln(greatest(n1, 1) / total) END) AS score FROM e GROUP BY r)
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, round(coalesce(s.score, 0.0), 6) AS score,
        CASE WHEN len(d.w) > 0 THEN round(s.score / len(d.w), 6) END AS mean
 FROM d LEFT JOIN s USING (r)
