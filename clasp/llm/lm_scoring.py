@@ -50,7 +50,7 @@ ALPHA, ORDER = 0.4, 3
 MEMO_WORDS = 400_000
 BLOCK_WORDS, BLOCK_ROWS = 1 << 18, 1 << 14
 BUCKET_NGRAMS = 1_000_000
-SAMPLE_BLOCKS = 64
+SAMPLE_BLOCKS = 32
 
 
 class Hashes(dict):
@@ -137,23 +137,22 @@ def _in(values: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 
 def common_ngrams(corpus: DataFrame, order: int, share: float, sample_blocks: int = SAMPLE_BLOCKS) -> np.ndarray:
-    """Hashes of n-grams in at least ``share`` of the documents of a hash
-    sample of blocks, and in 20 of them."""
+    """Hashes of n-grams in about ``share`` or more of the documents of a hash
+    sample of blocks, and in 20 of them; met by some block as often."""
     rate = min(1.0, sample_blocks / max(1, corpus.count()))
+    sample = corpus.where(F.pmod(F.xxhash64(F.lit("lm"), "block"), F.lit(1_000_000)) < int(rate * 1_000_000))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, sizes, words in _texts(batch):
-                found = np.concatenate([distinct(h, doc)[0] for h, _, doc in (ngrams(sizes, words, n) for n in range(1, order + 1))])
-                h, n = np.unique(found, return_counts=True)
-                keep = n > share * len(sizes) / 4  # what is rarer in every block is rarer in all
-                yield pa.record_batch([pa.array(np.append(h[keep].view(np.int64), 0)), pa.array(np.append(n[keep], 0)),
-                                       pa.array(np.append(np.zeros(int(keep.sum()), dtype=np.int64), len(sizes)))], ["h", "n", "docs"])
-    sample = corpus.where(F.pmod(F.xxhash64(F.lit("lm"), "block"), F.lit(1_000_000)) < int(rate * 1_000_000))
-    found = sample.select("block", "sizes", "words").mapInArrow(run, "h long, n long, docs long").groupBy("h").agg(
-        F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    docs = found.agg(F.sum("docs")).first()[0] or 0
-    rows = found.where(F.col("n") >= max(20, share * docs)).select("h").collect()
+                for n in range(1, order + 1):
+                    h, _, doc = ngrams(sizes, words, n)
+                    h, held = np.unique(distinct(h, doc)[0], return_counts=True)
+                    often = held >= max(2.0, share * len(sizes))
+                    yield pa.record_batch([pa.array(h[often].view(np.int64)), pa.array(held[often])], ["h", "n"])
+    docs = sample.agg(F.sum(F.size("sizes"))).first()[0] or 0
+    rows = (sample.select("block", "sizes", "words").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+            .where(F.col("n") >= max(20.0, share * docs)).select("h").collect())
     return np.unique(np.array([r.h for r in rows], dtype=np.int64).view(np.uint64))
 
 
