@@ -27,8 +27,9 @@ all blocks come from one aggregate reduced in every task, and as there can be
 only few of them (words of a document / share) the counts are sent to every
 task. The sample only routes: results don't depend on it.
 
-64-bit hashes stand for n-grams, without a check: among 10^10 different ones
-about three pairs can be expected to share a hash and so add their counts.
+Hashes stand for n-grams, without a check: a bucket compares 48 bits of them,
+so among its million about one in five hundred buckets can be expected to hold
+a pair that shares them and so adds its counts, whatever the number of buckets.
 """
 
 from __future__ import annotations
@@ -63,22 +64,45 @@ class Hashes(dict):
         return out
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 on, in as few bytes each as the largest needs, the
+    lowest bytes of all first: what compresses well lies together."""
+    top = int(values.max()) if len(values) else 0
+    width = next(w for w in range(1, 9) if top < 1 << (8 * w))
+    return bytes([width]) + values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    width = data[0]
+    planes = np.frombuffer(data, dtype=np.uint8, offset=1).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+    out[:, :width] = planes.T
+    return out.reshape(-1).view("<i8")
+
+
+def rising(values: np.ndarray) -> bytes:
+    """Numbers in ascending order, by their steps."""
+    return packed(np.diff(values, prepend=0))
+
+
 def blocks(docs: DataFrame, id_col: str, text_col: str, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``block, ids, sizes, words``: neighbouring documents, A-Z in lower
-    case, as word hashes; a block ends once it holds ``block_words``."""
+    """``block, ids, sizes, hashes, words``: neighbouring documents, A-Z in
+    lower case, as numbers into the block's distinct word hashes; a block ends
+    once it holds ``block_words``."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, task, made = Hashes(), TaskContext.get().partitionId(), 0
         ids, words, held = [], [], 0
 
-        def packed() -> pa.RecordBatch:
+        def block() -> pa.RecordBatch:
             every = pa.concat_arrays(ids)
             sizes = pa.array([len(w) for w in words], pa.int32())
             ends = pa.array([0, len(words)], pa.int32())
-            return pa.record_batch([pa.array([(task << 32) + made]), pa.ListArray.from_arrays(ends, every),
-                                    pa.ListArray.from_arrays(ends, sizes), pa.array([np.concatenate(words).tobytes()], pa.binary())],
-                                   ["block", "ids", "sizes", "words"])
+            hashes, numbers = np.unique(np.concatenate(words), return_inverse=True)
+            return pa.record_batch([pa.array([(task << 32) + made]), pa.ListArray.from_arrays(ends, every), pa.ListArray.from_arrays(ends, sizes),
+                                    pa.array([hashes.tobytes()], pa.binary()), pa.array([packed(numbers)], pa.binary())],
+                                   ["block", "ids", "sizes", "hashes", "words"])
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
@@ -89,19 +113,22 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, block_words: int = BLOCK
                     held += len(found)
                     if held >= block_words or len(words) >= BLOCK_ROWS:
                         ids.append(part.column(0).slice(start, i + 1 - start))
-                        yield packed()
+                        yield block()
                         ids, words, held, made, start = [], [], 0, made + 1, i + 1
                 ids.append(part.column(0).slice(start))
         if words:
-            yield packed()
-    return docs.select(id_col, text_col).mapInArrow(run, f"block long, ids array<{id_type}>, sizes array<int>, words binary")
+            yield block()
+    return docs.select(id_col, text_col).mapInArrow(run, f"block long, ids array<{id_type}>, sizes array<int>, hashes binary, words binary")
+
+
+TEXTS = ("block", "sizes", "hashes", "words")
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """``(block, sizes, word hashes)`` of each row."""
     at = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-    for block, sizes, words in zip(at["block"].to_pylist(), at["sizes"], at["words"]):
-        yield block, np.array(sizes.values, dtype=np.int64), np.frombuffer(words.as_py(), dtype=np.uint64)
+    for block, sizes, hashes, words in zip(at["block"].to_pylist(), at["sizes"], at["hashes"], at["words"]):
+        yield block, np.array(sizes.values, dtype=np.int64), np.frombuffer(hashes.as_py(), dtype=np.uint64)[unpacked(words.as_py())]
 
 
 def ngrams(sizes: np.ndarray, words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -151,7 +178,7 @@ def common_ngrams(corpus: DataFrame, order: int, share: float, sample_blocks: in
                     often = held >= max(2.0, share * len(sizes))
                     yield pa.record_batch([pa.array(h[often].view(np.int64)), pa.array(held[often])], ["h", "n"])
     docs = sample.agg(F.sum(F.size("sizes"))).first()[0] or 0
-    rows = (sample.select("block", "sizes", "words").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    rows = (sample.select(*TEXTS).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
             .where(F.col("n") >= max(20.0, share * docs)).select("h").collect())
     return np.unique(np.array([r.h for r in rows], dtype=np.int64).view(np.uint64))
 
@@ -170,7 +197,7 @@ def common_counts(corpus: DataFrame, order: int, common) -> tuple[np.ndarray, in
         at = np.flatnonzero(total)
         yield pa.record_batch([pa.array(np.append(at, -1)), pa.array(np.append(total[at], n_words))], ["at", "n"])
     out, n_words = np.zeros(len(common.value), dtype=np.int64), 0
-    for r in corpus.select("block", "sizes", "words").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+    for r in corpus.select(*TEXTS).mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
         if r["at"] < 0:
             n_words = r["n"]
         else:
@@ -179,6 +206,12 @@ def common_counts(corpus: DataFrame, order: int, common) -> tuple[np.ndarray, in
 
 
 DEALT = "bucket int, block long, h binary, pair binary, k binary"
+KEPT = np.uint64((1 << 48) - 1)
+
+
+def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
+    """By the upper bits; a bucket compares the 48 lower ones."""
+    return ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
 
 
 def dealt(table: DataFrame, n: int, buckets: int, common, asks: bool) -> DataFrame:
@@ -191,16 +224,17 @@ def dealt(table: DataFrame, n: int, buckets: int, common, asks: bool) -> DataFra
                 h, _, doc = ngrams(sizes, words, n)
                 h, k, _ = distinct(h, doc if asks else np.zeros_like(doc))
                 pair = np.flatnonzero(~_in(h, common.value))
-                bucket = (mixed(h[pair]) >> np.uint64(20)) % np.uint64(buckets)
+                bucket = bucket_of(h[pair], buckets)
                 by = np.argsort(bucket, kind="stable")
                 pair, bucket = pair[by], bucket[by]
                 edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(pair)] if len(pair) else [0]
                 parts = [pair[i:j] for i, j in zip(edges, edges[1:])]
+                six = h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
                 yield pa.record_batch([
                     pa.array([int(bucket[i]) for i in edges[:-1]], pa.int32()), pa.array([block if asks else -1] * len(parts), pa.int64()),
-                    pa.array([h[p].tobytes() for p in parts], pa.binary()), pa.array([p.astype("<u4").tobytes() for p in parts], pa.binary()),
-                    pa.array([k[p].astype("<u4").tobytes() for p in parts], pa.binary())], ["bucket", "block", "h", "pair", "k"])
-    return table.select("block", "sizes", "words").mapInArrow(run, DEALT)
+                    pa.array([six[p].tobytes() for p in parts], pa.binary()), pa.array([rising(p) for p in parts], pa.binary()),
+                    pa.array([packed(k[p]) for p in parts], pa.binary())], ["bucket", "block", "h", "pair", "k"])
+    return table.select(*TEXTS).mapInArrow(run, DEALT)
 
 
 def counted(rows: DataFrame, n: int, own: bool) -> DataFrame:
@@ -208,11 +242,12 @@ def counted(rows: DataFrame, n: int, own: bool) -> DataFrame:
     counts, ``own`` occurrences taken off."""
     def run(group: pa.Table) -> pa.Table:
         column = {c: group.column(c).to_pylist() for c in ("block", "h", "pair", "k")}
-        size = [len(p) // 4 for p in column["pair"]]
-        block = np.repeat(np.array(column["block"], dtype=np.int64), size)
-        h = np.frombuffer(b"".join(column["h"]), dtype=np.uint64)
-        pair = np.frombuffer(b"".join(column["pair"]), dtype="<u4")
-        k = np.frombuffer(b"".join(column["k"]), dtype="<u4").astype(np.int64)
+        pairs = [np.cumsum(unpacked(p)) for p in column["pair"]]
+        block = np.repeat(np.array(column["block"], dtype=np.int64), [len(p) for p in pairs])
+        pair, k = np.concatenate(pairs), np.concatenate([unpacked(x) for x in column["k"]])
+        six = np.zeros((len(pair), 8), dtype=np.uint8)
+        six[:, :6] = np.frombuffer(b"".join(column["h"]), dtype=np.uint8).reshape(-1, 6)
+        h = six.reshape(-1).view("<u8")
         adds = k if own else np.where(block < 0, k, 0)
         order = np.argsort(h, kind="stable")
         starts = np.flatnonzero(np.append(True, h[order][1:] != h[order][:-1])) if len(h) else np.zeros(0, dtype=np.int64)
@@ -222,12 +257,12 @@ def counted(rows: DataFrame, n: int, own: bool) -> DataFrame:
         if own:
             count -= k
         known = np.flatnonzero((count > 0) & (block >= 0))
-        known = known[np.argsort(block[known], kind="stable")]
+        known = known[np.lexsort((pair[known], block[known]))]
         edges = [0, *(np.flatnonzero(np.diff(block[known])) + 1).tolist(), len(known)] if len(known) else [0]
         parts = [known[i:j] for i, j in zip(edges, edges[1:])]
         return pa.table({"block": pa.array([int(block[p[0]]) for p in parts], pa.int64()), "n": pa.array([n] * len(parts), pa.int32()),
-                         "pair": pa.array([pair[p].tobytes() for p in parts], pa.binary()),
-                         "count": pa.array([count[p].astype("<i8").tobytes() for p in parts], pa.binary())})
+                         "pair": pa.array([rising(pair[p]) for p in parts], pa.binary()),
+                         "count": pa.array([packed(count[p]) for p in parts], pa.binary())})
     return rows.groupBy("bucket").applyInArrow(run, "block long, n int, pair binary, count binary")
 
 
@@ -291,7 +326,7 @@ def scores(docs: DataFrame, corpus: DataFrame | None = None, alpha: float = ALPH
         (_, sizes, words), = _texts(batch)
         parts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         for n, pair, count in zip(*(right.column(c).to_pylist() for c in ("n", "pair", "count"))):
-            parts.setdefault(n, []).append((np.frombuffer(pair, dtype="<u4"), np.frombuffer(count, dtype="<i8")))
+            parts.setdefault(n, []).append((np.cumsum(unpacked(pair)), unpacked(count)))
 
         def known(n: int, h: np.ndarray, k: np.ndarray) -> np.ndarray:
             out = np.zeros(len(h), dtype=np.int64)
