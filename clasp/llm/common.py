@@ -15,8 +15,9 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def cut(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` under the shared checkpoint folder and read it back.
+def cut(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write ``df`` under the shared checkpoint folder (``options`` are the
+    writer's) and read it back.
 
     Lineage ends at the written table, so later jobs neither repeat the
     work before it nor depend on shuffle files of executors that may be
@@ -27,7 +28,7 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)

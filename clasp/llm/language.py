@@ -7,25 +7,26 @@ mean over its words; what a language lacks costs a fixed penalty.
 
 The model is fitted on a bounded sample of labelled rows (a hash of the id
 picks about ``rows_per_language`` of each language) and keeps a bounded
-number of words and n-grams, so what is broadcast has a fixed bound.
+number of words and n-grams, an equal part from each language, so what is
+broadcast has a fixed bound and a small language keeps its words.
 Prediction is one pass over whole texts, without a shuffle.
 """
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import regex
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clasp.llm.common import arrow_map
 
-WORD = re.compile(r"[^\W\d_]+")
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")  # letters, and the marks that belong to them
 UNKNOWN = "und"
 LONGEST = 5  # characters of an n-gram
 PENALTY = 6.5  # minus log10 of the frequency of what a language lacks
@@ -133,9 +134,11 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     totals = {(r.kind, r.lang): r.n for r in counts.groupBy("kind", "lang").agg(F.sum("n").alias("n")).collect()}
     tables = []
     for kind in range(LONGEST + 1):
-        top = (counts.where(F.col("kind") == kind).groupBy("item")
-               .agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-               .orderBy(F.desc("n"), "item").limit(max_grams if kind else max_words).collect())
+        share = (max_grams if kind else max_words) // len(languages)
+        by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "item")
+        top = (counts.where(F.col("kind") == kind).withColumn("rank", F.row_number().over(by_count)).groupBy("item")
+               .agg(F.min("rank").alias("rank"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
+               .where(F.col("rank") <= share).collect())
         tables.append({r["item"]: [float(-np.log10(r["by"][k] / totals[kind, k])) if k in r["by"] else PENALTY
                                    for k in languages] for r in top})
     counts.unpersist()

@@ -27,9 +27,10 @@ all blocks come from one aggregate reduced in every task, and as there can be
 only few of them (words of a document / share) the counts are sent to every
 task. The sample only routes: results don't depend on it.
 
-Hashes stand for n-grams, without a check: a bucket compares 48 bits of them,
-so among its million about one in five hundred buckets can be expected to hold
-a pair that shares them and so adds its counts, whatever the number of buckets.
+Hashes of 48 bits stand for words and, within a bucket, for n-grams, without a
+check: of 100 million words about eighteen pairs, and of buckets of a million
+n-grams one in five hundred, can be expected to hold a pair that shares its
+hash and so adds its counts.
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -55,12 +57,12 @@ SAMPLE_BLOCKS = 32
 
 
 class Hashes(dict):
-    """64-bit hashes of words, at most ``MEMO_WORDS`` kept."""
+    """48-bit hashes of words, at most ``MEMO_WORDS`` kept."""
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= MEMO_WORDS:
             self.clear()
-        out = self[word] = xxhash.xxh3_64_intdigest(word)
+        out = self[word] = xxhash.xxh3_64_intdigest(word) >> 16
         return out
 
 
@@ -80,6 +82,17 @@ def unpacked(data: bytes) -> np.ndarray:
     return out.reshape(-1).view("<i8")
 
 
+def six_bytes(h: np.ndarray) -> np.ndarray:
+    """The 48 lower bits of each, as rows of bytes."""
+    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+
+
+def from_six(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), dtype=np.uint8)
+    out[:, :6] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 6)
+    return out.reshape(-1).view("<u8")
+
+
 def rising(values: np.ndarray) -> bytes:
     """Numbers in ascending order, by their steps."""
     return packed(np.diff(values, prepend=0))
@@ -101,7 +114,7 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, block_words: int = BLOCK
             ends = pa.array([0, len(words)], pa.int32())
             hashes, numbers = np.unique(np.concatenate(words), return_inverse=True)
             return pa.record_batch([pa.array([(task << 32) + made]), pa.ListArray.from_arrays(ends, every), pa.ListArray.from_arrays(ends, sizes),
-                                    pa.array([hashes.tobytes()], pa.binary()), pa.array([packed(numbers)], pa.binary())],
+                                    pa.array([six_bytes(hashes).tobytes()], pa.binary()), pa.array([packed(numbers)], pa.binary())],
                                    ["block", "ids", "sizes", "hashes", "words"])
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
@@ -124,36 +137,51 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, block_words: int = BLOCK
 TEXTS = ("block", "sizes", "hashes", "words")
 
 
-def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """``(block, sizes, word hashes)`` of each row."""
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """``(block, sizes, word hashes, word numbers)`` of each row."""
     at = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
     for block, sizes, hashes, words in zip(at["block"].to_pylist(), at["sizes"], at["hashes"], at["words"]):
-        yield block, np.array(sizes.values, dtype=np.int64), np.frombuffer(hashes.as_py(), dtype=np.uint64)[unpacked(words.as_py())]
+        yield block, np.array(sizes.values, dtype=np.int64), mixed(from_six(hashes.as_py())), unpacked(words.as_py())
 
 
-def ngrams(sizes: np.ndarray, words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all runs of ``n`` words inside one document, the place of
-    their last word, and their document's number."""
+def ends(sizes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the last words of all runs of ``n`` words inside one
+    document, and their document's number."""
     doc = np.repeat(np.arange(len(sizes)), sizes)
+    last = np.arange(min(n - 1, len(doc)), len(doc))
+    inside = last[doc[last] == doc[last - n + 1]]
+    return inside, doc[inside]
+
+
+def run_hashes(words: np.ndarray, last: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the runs of ``n`` words that end at ``last``."""
     h, size = words, 1
     while size < n:
         h, size = joined(h, size, words, 1), size + 1
-    last = np.arange(n - 1, len(words))
-    inside = doc[last] == doc[last - n + 1]
-    return (mixed(h[inside]) if n > 1 else h), last[inside], doc[last[inside]]
-
-
-def distinct(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (document, n-gram) pairs in order: their hashes, their
-    occurrences, and of every n-gram the number of its pair."""
-    order = np.lexsort((h, doc))
-    hs, ds = h[order], doc[order]
-    new = np.ones(len(hs), dtype=bool)
-    new[1:] = (hs[1:] != hs[:-1]) | (ds[1:] != ds[:-1])
+    return mixed(h[last - n + 1]) if n > 1 else h[last]
+
+
+def numbered(words: np.ndarray, last: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (document, run) pairs in an order of their own, by the block's
+    word numbers alone: which run is the first of each, their occurrences, and
+    of every run the number of its pair."""
+    base = int(words.max(initial=0)) + 1
+    if base ** n * (int(doc.max(initial=0)) + 1) < 1 << 63:
+        key = doc.copy()
+        for back in range(n - 1, -1, -1):
+            key = key * base + words[last - back]
+        order = np.argsort(key)
+        key = key[order]
+        new = np.append(True, key[1:] != key[:-1]) if len(key) else np.zeros(0, dtype=bool)
+    else:
+        h = run_hashes(words.astype(np.uint64), last, n)
+        order = np.lexsort((h, doc))
+        h, d = h[order], doc[order]
+        new = np.append(True, (h[1:] != h[:-1]) | (d[1:] != d[:-1])) if len(h) else np.zeros(0, dtype=bool)
     starts = np.flatnonzero(new)
-    pair = np.empty(len(hs), dtype=np.int64)
+    pair = np.empty(len(order), dtype=np.int64)
     pair[order] = np.cumsum(new) - 1
-    return hs[starts], np.diff(np.append(starts, len(hs))), pair
+    return order[starts], np.diff(np.append(starts, len(order))), pair
 
 
 def _in(values: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -171,10 +199,11 @@ def common_ngrams(corpus: DataFrame, order: int, share: float, sample_blocks: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, sizes, words in _texts(batch):
+            for _, sizes, hashes, words in _texts(batch):
                 for n in range(1, order + 1):
-                    h, _, doc = ngrams(sizes, words, n)
-                    h, held = np.unique(distinct(h, doc)[0], return_counts=True)
+                    last, doc = ends(sizes, n)
+                    first = numbered(words, last, doc, n)[0]
+                    h, held = np.unique(run_hashes(hashes[words], last, n)[first], return_counts=True)
                     often = held >= max(2.0, share * len(sizes))
                     yield pa.record_batch([pa.array(h[often].view(np.int64)), pa.array(held[often])], ["h", "n"])
     docs = sample.agg(F.sum(F.size("sizes"))).first()[0] or 0
@@ -188,10 +217,10 @@ def common_counts(corpus: DataFrame, order: int, common) -> tuple[np.ndarray, in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n_words = np.zeros(len(common.value), dtype=np.int64), 0
         for batch in batches:
-            for _, sizes, words in _texts(batch):
+            for _, sizes, hashes, words in _texts(batch):
                 n_words += len(words)
                 for n in range(1, order + 1):
-                    h = ngrams(sizes, words, n)[0]
+                    h = run_hashes(hashes[words], ends(sizes, n)[0], n)
                     hit = h[_in(h, common.value)]
                     total += np.bincount(np.searchsorted(common.value, hit), minlength=len(total))
         at = np.flatnonzero(total)
@@ -205,7 +234,7 @@ def common_counts(corpus: DataFrame, order: int, common) -> tuple[np.ndarray, in
     return out, n_words
 
 
-DEALT = "bucket int, block long, h binary, pair binary, k binary"
+DEALT = "bucket int, block long, h binary, pair binary, k binary"  # h is null where k is the count to give back
 KEPT = np.uint64((1 << 48) - 1)
 
 
@@ -214,26 +243,33 @@ def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
 
 
-def dealt(table: DataFrame, n: int, buckets: int, common, asks: bool) -> DataFrame:
-    """Distinct n-grams of every document that aren't common, packed by
-    bucket: hash, number of the pair in its block, occurrences. Rows that
-    only count (``asks`` false) are summed over their block, as block -1."""
+def dealt(table: DataFrame, n: int, buckets: int, common, totals, asks: bool, own: bool) -> DataFrame:
+    """Distinct n-grams of every document, packed by bucket: hash, number of
+    the pair in its block, occurrences. Common ones have their counts already
+    and only pass through, by a bucket of their block. Rows that only count
+    (``asks`` false) are summed over their block, as block -1."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, sizes, words in _texts(batch):
-                h, _, doc = ngrams(sizes, words, n)
-                h, k, _ = distinct(h, doc if asks else np.zeros_like(doc))
-                pair = np.flatnonzero(~_in(h, common.value))
+            for block, sizes, hashes, words in _texts(batch):
+                last, doc = ends(sizes, n)
+                first, k, _ = numbered(words, last, doc if asks else np.zeros_like(doc), n)
+                h = run_hashes(hashes[words], last, n)[first]
+                often = _in(h, common.value)
+                pair = np.flatnonzero(~often)
                 bucket = bucket_of(h[pair], buckets)
                 by = np.argsort(bucket, kind="stable")
                 pair, bucket = pair[by], bucket[by]
                 edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(pair)] if len(pair) else [0]
                 parts = [pair[i:j] for i, j in zip(edges, edges[1:])]
-                six = h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-                yield pa.record_batch([
-                    pa.array([int(bucket[i]) for i in edges[:-1]], pa.int32()), pa.array([block if asks else -1] * len(parts), pa.int64()),
-                    pa.array([six[p].tobytes() for p in parts], pa.binary()), pa.array([rising(p) for p in parts], pa.binary()),
-                    pa.array([packed(k[p]) for p in parts], pa.binary())], ["bucket", "block", "h", "pair", "k"])
+                six = six_bytes(h)
+                rows = [(int(bucket[i]), six[p].tobytes(), rising(p), packed(k[p])) for i, p in zip(edges, parts)]
+                if asks and often.any():
+                    pair = np.flatnonzero(often)
+                    count = totals.value[np.searchsorted(common.value, h[pair])] - (k[pair] if own else 0)
+                    rows.append((int(mixed(np.array([block], dtype=np.uint64))[0] % np.uint64(buckets)), None, rising(pair), packed(count)))
+                cols = list(zip(*rows)) or [(), (), (), ()]
+                yield pa.record_batch([pa.array(cols[0], pa.int32()), pa.array([block if asks else -1] * len(rows), pa.int64()),
+                                       *(pa.array(c, pa.binary()) for c in cols[1:])], ["bucket", "block", "h", "pair", "k"])
     return table.select(*TEXTS).mapInArrow(run, DEALT)
 
 
@@ -241,13 +277,15 @@ def counted(rows: DataFrame, n: int, own: bool) -> DataFrame:
     """Per block, the numbers of its pairs that the counts know, and their
     counts, ``own`` occurrences taken off."""
     def run(group: pa.Table) -> pa.Table:
+        held = group.column("h").is_null()
+        through = group.filter(held)
+        group = group.filter(pc.invert(held))
         column = {c: group.column(c).to_pylist() for c in ("block", "h", "pair", "k")}
         pairs = [np.cumsum(unpacked(p)) for p in column["pair"]]
-        block = np.repeat(np.array(column["block"], dtype=np.int64), [len(p) for p in pairs])
-        pair, k = np.concatenate(pairs), np.concatenate([unpacked(x) for x in column["k"]])
-        six = np.zeros((len(pair), 8), dtype=np.uint8)
-        six[:, :6] = np.frombuffer(b"".join(column["h"]), dtype=np.uint8).reshape(-1, 6)
-        h = six.reshape(-1).view("<u8")
+        block = np.repeat(np.array(column["block"], dtype=np.int64), np.array([len(p) for p in pairs], dtype=np.int64))
+        pair = np.concatenate([*pairs, np.zeros(0, dtype=np.int64)])
+        k = np.concatenate([*map(unpacked, column["k"]), np.zeros(0, dtype=np.int64)])
+        h = from_six(b"".join(column["h"]))
         adds = k if own else np.where(block < 0, k, 0)
         order = np.argsort(h, kind="stable")
         starts = np.flatnonzero(np.append(True, h[order][1:] != h[order][:-1])) if len(h) else np.zeros(0, dtype=np.int64)
@@ -260,23 +298,24 @@ def counted(rows: DataFrame, n: int, own: bool) -> DataFrame:
         known = known[np.lexsort((pair[known], block[known]))]
         edges = [0, *(np.flatnonzero(np.diff(block[known])) + 1).tolist(), len(known)] if len(known) else [0]
         parts = [known[i:j] for i, j in zip(edges, edges[1:])]
-        return pa.table({"block": pa.array([int(block[p[0]]) for p in parts], pa.int64()), "n": pa.array([n] * len(parts), pa.int32()),
-                         "pair": pa.array([rising(pair[p]) for p in parts], pa.binary()),
-                         "count": pa.array([packed(count[p]) for p in parts], pa.binary())})
+        at = [int(block[p[0]]) for p in parts] + through.column("block").to_pylist()
+        return pa.table({"block": pa.array(at, pa.int64()), "n": pa.array([n] * len(at), pa.int32()),
+                         "pair": pa.array([rising(pair[p]) for p in parts] + through.column("pair").to_pylist(), pa.binary()),
+                         "count": pa.array([packed(count[p]) for p in parts] + through.column("k").to_pylist(), pa.binary())})
     return rows.groupBy("bucket").applyInArrow(run, "block long, n int, pair binary, count binary")
 
 
 def text_scores(sizes: np.ndarray, words: np.ndarray, counts, order: int, alpha: float, n_words: np.ndarray) -> np.ndarray:
-    """Scores of the documents of a block. ``counts(n, h, pair, k)`` gives the
-    count of each distinct pair; ``n_words`` the words counted for each
-    document."""
+    """Scores of the documents of a block of word numbers. ``counts(n,
+    pairs)`` gives the count of each distinct pair; ``n_words`` the words
+    counted for each document."""
     place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)  # in the document
     known = []
     for n in range(1, order + 1):
-        h, last, doc = ngrams(sizes, words, n)
-        distinct_h, k, pair = distinct(h, doc)
+        last, doc = ends(sizes, n)
+        first, _, pair = numbered(words, last, doc, n)
         c = np.zeros(len(words), dtype=np.int64)
-        c[last] = counts(n, distinct_h, k)[pair]
+        c[last] = counts(n, len(first))[pair]
         known.append(c)
     doc = np.repeat(np.arange(len(sizes)), sizes)
     out = np.log(np.maximum(known[0], 1)) - np.log(n_words[doc])
@@ -303,17 +342,17 @@ def scores(docs: DataFrame, corpus: DataFrame | None = None, alpha: float = ALPH
     task holds at a time.
     """
     spark, own = docs.sparkSession, corpus is None
-    given = cut(blocks(docs, id_col, text_col, block_words), "lm-blocks")
-    learned = given if own else cut(blocks(corpus, id_col, text_col, block_words), "lm-corpus")
+    given = cut(blocks(docs, id_col, text_col, block_words), "lm-blocks", compression="zstd")
+    learned = given if own else cut(blocks(corpus, id_col, text_col, block_words), "lm-corpus", compression="zstd")
     sent = spark.sparkContext.broadcast(common_ngrams(learned, order, common_share))
     counts, n_words = common_counts(learned, order, sent)
     totals = spark.sparkContext.broadcast(counts)
     buckets = max(1, math.ceil(n_words / bucket_ngrams), spark.sparkContext.defaultParallelism)
     found = []
     for n in range(1, order + 1):
-        rows = dealt(given, n, buckets, sent, True)
-        rows = rows if own else rows.unionByName(dealt(learned, n, buckets, sent, False))
-        found.append(cut(counted(rows, n, own), f"lm-counts-{n}"))
+        rows = dealt(given, n, buckets, sent, totals, True, own)
+        rows = rows if own else rows.unionByName(dealt(learned, n, buckets, sent, totals, False, own))
+        found.append(cut(counted(rows, n, own), f"lm-counts-{n}", compression="zstd"))
     back = found[0]
     for more in found[1:]:
         back = back.unionByName(more)
@@ -323,23 +362,23 @@ def scores(docs: DataFrame, corpus: DataFrame | None = None, alpha: float = ALPH
         if not left.num_rows:
             return pa.table([[], [], []], schema=kinds)
         batch = left.combine_chunks().to_batches()[0]
-        (_, sizes, words), = _texts(batch)
+        at = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+        sizes, words = np.array(at["sizes"][0].values, dtype=np.int64), unpacked(at["words"][0].as_py())
         parts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         for n, pair, count in zip(*(right.column(c).to_pylist() for c in ("n", "pair", "count"))):
             parts.setdefault(n, []).append((np.cumsum(unpacked(pair)), unpacked(count)))
 
-        def known(n: int, h: np.ndarray, k: np.ndarray) -> np.ndarray:
-            out = np.zeros(len(h), dtype=np.int64)
+        def known(n: int, pairs: int) -> np.ndarray:
+            out = np.zeros(pairs, dtype=np.int64)
             for pair, count in parts.get(n, ()):
                 out[pair] = count
-            hit = _in(h, sent.value)
-            out[hit] = totals.value[np.searchsorted(sent.value, h[hit])] - (k[hit] if own else 0)
             return out
         others = np.maximum(n_words - (sizes if own else 0), 1) + np.zeros(len(sizes), dtype=np.int64)
-        return pa.table([batch.column(batch.schema.get_field_index("ids")).flatten(), pa.array(sizes, pa.int64()),
+        return pa.table([at["ids"].flatten(), pa.array(sizes, pa.int64()),
                          pa.array(text_scores(sizes, words, known, order, alpha, others))], schema=kinds)
     kinds = pa.schema([("doc_id", given.limit(0).toArrow().schema.field("ids").type.value_type), ("n_words", pa.int64()), ("score", pa.float64())])
-    out = given.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(run, f"doc_id {id_type}, n_words long, score double")
+    texts = given.select("block", "ids", "sizes", "words")  # word hashes have done their work
+    out = texts.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(run, f"doc_id {id_type}, n_words long, score double")
     return out.select("doc_id", "n_words", "score", F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words")).alias("mean"))
 
 

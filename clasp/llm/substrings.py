@@ -174,7 +174,9 @@ def _removed(window: int):
 
 
 def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    """Keys of more than one row, written: joined to a plain table, Spark can
+    split the partition of a key that very many rows share."""
+    return cut(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), "sub-repeated")
 
 
 def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id",
