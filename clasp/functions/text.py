@@ -40,3 +40,17 @@ def drop_stop_words_expr(tokens: Column | str, stop_words: list[str] | None = No
     arr = F.array(*[F.lit(w) for w in words])
     t = F.col(tokens) if isinstance(tokens, str) else tokens
     return F.filter(t, lambda x: ~F.array_contains(arr, F.lower(x)))
+
+
+def counted_tokens(tokens: Column) -> Column:
+    """Distinct tokens with their number, as ``array<struct<term, n>>``: the
+    tokens sorted, and the lengths of the runs of equal ones. Nothing is
+    exploded or shuffled for it."""
+    def once(value: Column, body) -> Column:  # the value is computed once, however often it is used
+        return F.transform(F.array(value), body)[0]
+
+    def runs(a: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.size(a)), lambda i: (i == 1) | (F.element_at(a, i) != F.element_at(a, F.greatest(i - 1, F.lit(1)))))
+        return once(starts, lambda b: F.transform(b, lambda i, j: F.struct(
+            F.element_at(a, i).alias("term"), (F.coalesce(F.get(b, j + 1), F.size(a) + 1) - i).cast("bigint").alias("n"))))
+    return F.when(F.size(tokens) > 0, once(F.array_sort(tokens), runs)).otherwise(F.array().cast("array<struct<term: string, n: bigint>>"))

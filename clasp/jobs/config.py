@@ -13,10 +13,18 @@ def env(name: str, default: str) -> str:
     return os.environ.get(name, default)
 
 
+def flag(name: str, default: str = "false") -> bool:
+    return env(name, default).strip().lower() in ("1", "true", "yes")
+
+
+# Fixed values of the job settings: the environment names and defaults that
+# the reference's users have, and the forests' trees, depth and seed.
 @dataclass
 class TextJobConfig:
     data_path: str = field(default_factory=lambda: env("DATA_PATH", "data/labelled_text.csv"))
     data_format: str = field(default_factory=lambda: env("DATA_FORMAT", "csv"))
+    # texts with line breaks inside quotes: such CSV files are read whole, one task each
+    multiline: bool = field(default_factory=lambda: flag("MULTILINE"))
     model_path: str = field(default_factory=lambda: env("MODEL_PATH", "models/text_model"))
     results: TableSpec = field(default_factory=lambda: TableSpec.from_env("RESULTS", "out/text_results"))
     metrics: TableSpec = field(default_factory=lambda: TableSpec.from_env("METRICS", "out/text_metrics"))

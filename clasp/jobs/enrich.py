@@ -34,12 +34,14 @@ def run(df: DataFrame, start: datetime = START, end: datetime = END, seed: int =
 def main() -> None:
     import os
 
+    from clasp.jobs.config import flag
     from clasp.jobs.schemas import TEXT_SCHEMA
     from clasp.session import build_session
     from clasp.sources.tables import read_csv
     spark = build_session("enrich")
     try:
-        src = read_csv(spark, os.environ.get("DATA_PATH", "data/labelled_text.csv"), TEXT_SCHEMA)
+        src = read_csv(spark, os.environ.get("DATA_PATH", "data/labelled_text.csv"), TEXT_SCHEMA,
+                       multiline=flag("MULTILINE"))
         write_csv(run(src), os.environ.get("OUT_PATH", "data/enriched_text"))
     finally:
         spark.stop()

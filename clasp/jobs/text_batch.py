@@ -21,7 +21,7 @@ from clasp.sources.tables import read_csv
 
 def load(spark: SparkSession, cfg: TextJobConfig) -> DataFrame:
     if cfg.data_format == "csv":
-        df = read_csv(spark, cfg.data_path, TEXT_SCHEMA)
+        df = read_csv(spark, cfg.data_path, TEXT_SCHEMA, multiline=cfg.multiline)
     else:
         df = spark.read.format(cfg.data_format).load(cfg.data_path).select("texto", "etiqueta")
     return drop_incomplete(spread(df))

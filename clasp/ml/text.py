@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 
 from clasp.functions.stopwords import ENGLISH_STOP_WORDS
 from clasp.functions.hashing import with_term_bucket
-from clasp.functions.text import WHITESPACE_CLASS, tokens_expr
+from clasp.functions.text import WHITESPACE_CLASS, counted_tokens, tokens_expr
 from clasp.operators.joins import join_derived
-from clasp.session import materialise
 from clasp.operators.partitioning import spread
 from clasp.ml.models import MAX_DEPTH, NUM_TREES, SEED, forest
 
@@ -69,10 +68,13 @@ def token_counts(df: DataFrame, text_col: str, drop_stop: bool = False,
 
 def term_freqs(df: DataFrame, doc_col: str, text_col: str,
                stop_words: list[str] | None = None) -> DataFrame:
-    """(doc, term, tf) of the filtered, non-empty tokens."""
-    return (_token_rows(df, text_col, keep=[doc_col], drop_stop=True, stop_words=stop_words)
-            .withColumnRenamed("token", "term")
-            .groupBy(doc_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+    """(doc, term, tf) of the filtered, non-empty tokens. A document is one
+    row, so its terms are counted inside it."""
+    words = [w.lower() for w in (stop_words or ENGLISH_STOP_WORDS)]
+    toks = F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), WHITESPACE_CLASS, -1)
+    rows = spread(df).select(doc_col, F.explode(counted_tokens(toks)).alias("_x"))
+    return rows.select(doc_col, F.col("_x.term").alias("term"), F.col("_x.n").alias("tf")).where(
+        (F.col("term") != "") & ~F.col("term").isin(words))
 
 
 def hashed_counts(df: DataFrame, doc_col: str, text_col: str, num_features: int = NUM_FEATURES,
@@ -106,13 +108,14 @@ def term_idf(df: DataFrame, text_col: str, stop_words: list[str] | None = None,
 def tfidf_top_terms(df: DataFrame, doc_col: str, text_col: str, k: int = 3,
                     stop_words: list[str] | None = None, digits: int = 6) -> DataFrame:
     """M4 transform (term level), reported as each document's ``k``
-    highest ``tf * idf`` terms (ties by term). The counts per document and
-    term are made once and written; document frequencies and the join read
-    them from there. The rank filter lets Spark keep a per-task top-k before
-    the shuffle (window group limit); a term found in most documents is a
-    hot join key, split by AQE skew handling."""
+    highest ``tf * idf`` terms (ties by term); a document is one row. Terms
+    are counted inside their row, and document frequencies, one row a term,
+    are all that is written; the texts are read once for each. The rank filter
+    lets Spark keep a per-task top-k before the shuffle (window group limit);
+    a term found in most documents is a hot join key, split by AQE skew
+    handling."""
     m = df.select(F.count(F.lit(1))).scalar()
-    tf = materialise(term_freqs(df, doc_col, text_col, stop_words), "term-freqs")
+    tf = term_freqs(df, doc_col, text_col, stop_words)
     idf = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
            .select("term", _idf(m).alias("_idf")))
     scored = join_derived(tf, idf, "term").withColumn("_score", F.col("tf") * F.col("_idf"))

@@ -18,12 +18,14 @@ span / width, never with the row count.
 from __future__ import annotations
 
 import re
+from math import gcd
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clasp.session import materialise
 
+DAY = 86_400
 _UNITS = {"s": 1, "sec": 1, "min": 60, "t": 60, "h": 3600, "d": 86400, "w": 604800}
 
 
@@ -57,16 +59,16 @@ def resample_count(df: DataFrame, ts: str, freq: str | int, value_col: str | Non
                    out_ts: str = "bucket_start", out_n: str = "n",
                    spine_partitions: int | None = None) -> DataFrame:
     """Count of non-null ``value_col`` (all rows when None) per
-    bucket of width ``freq``; rows with a null time are ignored. One scan:
-    rows are counted per day and in-day bucket (or per day, for widths of
-    whole days), which no origin is needed for, and written; origin, ends
-    and buckets come from those few rows."""
+    bucket of any whole-second width ``freq``; rows with a null time are
+    ignored. One scan: rows are counted per day and in-day bucket of the
+    greatest width that divides both ``freq`` and a day, which no origin is
+    needed for, and written; origin, ends and buckets come from those few
+    rows."""
     width = freq_seconds(freq)
-    day = 86_400
-    if width % day and day % width:
-        raise ValueError("a bucket is a part of a day or a number of days")
+    if width < 1:
+        raise ValueError("a bucket is a second wide at least")
     counted = F.count(F.col(value_col)) if value_col else F.count(F.lit(1))
-    fine = min(width, day)
+    fine = gcd(width, DAY)
     ts_type = dict(df.dtypes)[ts]
     timed = df.where(F.col(ts).isNotNull())
     small = materialise(timed.groupBy(
@@ -76,20 +78,18 @@ def resample_count(df: DataFrame, ts: str, freq: str | int, value_col: str | Non
 
 def fill_buckets(small: DataFrame, width: int, ts_type: str = "timestamp_ntz", out_ts: str = "bucket_start",
                  out_n: str = "n", spine_partitions: int | None = None) -> DataFrame:
-    """Counts ``_c`` per day ``_d`` and in-day bucket ``_i`` -> one row for
-    every bucket from the first to the last, zero where nothing was."""
-    spark = small.sparkSession
-    per_day = max(1, 86_400 // width)
-    days = max(1, width // 86_400)
+    """Counts ``_c`` per day ``_d`` and in-day bucket ``_i`` (of the width
+    that divides both ``width`` and a day) -> one row for every bucket from
+    the first to the last, zero where nothing was."""
+    spark, fine = small.sparkSession, gcd(width, DAY)
     ends = small.agg(F.min(F.struct("_d", "_i")).alias("a"), F.max(F.struct("_d", "_i")).alias("z")).first()
     if ends["a"] is None:
         return spark.createDataFrame([], f"{out_ts} {ts_type}, {out_n} bigint")
     d0 = F.lit(ends["a"]["_d"]).cast("date")
     span = (ends["z"]["_d"] - ends["a"]["_d"]).days
-    first_b = ends["a"]["_i"] if width < 86_400 else 0
-    last_b = span * per_day + ends["z"]["_i"] if width < 86_400 else span // days
-    number = F.datediff("_d", d0).cast("bigint")
-    number = number * per_day + F.col("_i") if width < 86_400 else F.floor(number / days)
+    first_b = ends["a"]["_i"] * fine // width
+    last_b = (span * DAY + ends["z"]["_i"] * fine) // width
+    number = F.floor((F.datediff("_d", d0).cast("bigint") * DAY + F.col("_i") * fine) / width)
     counts = small.groupBy(number.cast("bigint").alias("_b")).agg(F.sum("_c").alias(out_n))
     parts = spine_partitions or max(1, min(spark.sparkContext.defaultParallelism, (last_b - first_b) // 100_000 + 1))
     spine = spark.range(first_b, last_b + 1, numPartitions=parts).withColumnRenamed("id", "_b")

@@ -70,7 +70,7 @@ FROM s"""
 
 ORACLE: dict[str, str] = {
     "table_scan": "SELECT * FROM events",
-    "csv_roundtrip": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
+    "csv_roundtrip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     # inferred from the text: ids fit in 32 bits, so they come back as int
     "csv_inferred": """SELECT CAST(event_id AS INTEGER) AS event_id, ts, CAST(user_id AS INTEGER) AS user_id,
        event_type, value, props FROM events""",
@@ -205,6 +205,16 @@ FROM m""",
 vc AS (SELECT event_type, count(*) AS n FROM rtab WHERE event_type IS NOT NULL GROUP BY 1),
 t AS (SELECT CAST(sum(n) AS BIGINT) AS tot FROM vc)
 SELECT event_type, n, {_pct("n", "t.tot", 1)} AS pct FROM vc, t""",
+    "append_ids": """SELECT row_number() OVER (ORDER BY event_id % 3, ts, event_id) AS id, event_id FROM events""",
+    "running_counts": """SELECT CAST(s.step AS INTEGER) AS step, event_type, count(*) AS n
+FROM events JOIN (SELECT unnest([0, 1, 2]) AS step) s ON event_id % 3 <= s.step GROUP BY 1, 2""",
+    "running_buckets": _resample(420),
+    "running_labels": """WITH c AS (SELECT CAST(quality AS VARCHAR) AS label, count(*) AS n FROM labels WHERE quality IS NOT NULL GROUP BY 1)
+SELECT label, CAST(row_number() OVER (ORDER BY n DESC, label) - 1 AS INTEGER) AS label_index FROM c""",
+    "running_idf": f"""WITH m AS (SELECT count(*) AS m FROM documents),
+t AS (SELECT DISTINCT doc_id, term FROM (SELECT doc_id, {TOKENS} AS term FROM documents) WHERE term <> '' AND term NOT IN ({STOP})),
+f AS (SELECT term, count(*) AS doc_freq FROM t GROUP BY term)
+SELECT term, doc_freq, round(ln((m.m + 1) / (doc_freq + 1)), 6) AS idf FROM f, m""",
     "resample_7d": _resample(604800),
     "resample_1min": _resample(60),
     "holdout_accuracy": f"""WITH {RT}, {LABELLED_SPLIT}

@@ -15,11 +15,12 @@ from clasp.functions.scalars import guess_scalar, parse_ts
 from clasp.ml import splits
 from clasp.ml import text as mltext
 from clasp.operators import columns as cols
-from clasp.operators import filters, joins, ordering, stats, timeseries, topk
+from clasp.operators import filters, joins, ordering, running, stats, timeseries, topk
 from clasp.plans import standins as S
 from clasp.plans.names import MISSING_PREDICTION, RISK_NAMES
 from clasp.session import scratch_path
 from clasp.sources import sinks
+from clasp.sources.appends import AppendTable
 from clasp.sources.specs import TableSpec
 from clasp.sources.tables import first_row, read_csv, read_table
 
@@ -39,12 +40,12 @@ def q_table_scan(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    """Write ``nation`` as CSV with a header, read it back with
-    an explicit schema."""
+    """Write ``documents`` as CSV with a header, one file a task, and
+    read them back with an explicit schema: whole texts, with their line
+    breaks, quotes and commas."""
     path = scratch_path(spark, "csv")
-    nation = S.table(spark, d, "nation")
-    sinks.write_csv(nation, path)
-    return read_csv(spark, path, "n_nationkey int, n_name string, n_regionkey int")
+    sinks.write_csv(S.table(spark, d, "documents", spread_out=True), path)
+    return read_csv(spark, path, "doc_id bigint, text string, lang string, source string, n_chars bigint", multiline=True)
 
 
 def q_csv_inferred(spark: SparkSession, d: str) -> DataFrame:
@@ -476,7 +477,69 @@ def q_hash_split(spark: SparkSession, d: str) -> DataFrame:
                              TEXT_TRAIN_PCT).select("doc_id", "bucket", "split")
 
 
+SLICES = 3
+
+
+def _appended(spark: SparkSession, df: DataFrame, key: str, order: list[str]) -> AppendTable:
+    """``df`` appended in slices by ``key`` (each brings rows from all over
+    the table's time), the second one twice."""
+    table = AppendTable(spark, scratch_path(spark, "appends"))
+    for i in (0, 1, 1, 2):
+        table.append(df.where(F.col(key) % SLICES == i), f"slice {i}", order)
+    return table
+
+
+def q_append_ids(spark: SparkSession, d: str) -> DataFrame:
+    """P12 over appends: gap-free ids that earlier appends keep."""
+    table = _appended(spark, S.table(spark, d, "events").select("event_id", "ts"), "event_id", ["ts", "event_id"])
+    return table.read().select("id", "event_id")
+
+
+def q_running_counts(spark: SparkSession, d: str) -> DataFrame:
+    """A2/A3 kept up to date: the counts after each of the appends."""
+    table = _appended(spark, S.table(spark, d, "events").select("event_id", "ts", "event_type"), "event_id", ["ts", "event_id"])
+    counts = running.running_counts(table, scratch_path(spark, "running"), "event_type")
+    counts.update()
+    steps = [counts.result(upto=i).select(F.lit(i).alias("step"), "event_type", "n") for i in range(SLICES)]
+    return steps[0].unionByName(steps[1]).unionByName(steps[2])
+
+
+def q_running_buckets(spark: SparkSession, d: str) -> DataFrame:
+    """A12/A13 kept up to date, with late rows in every append: seven-minute
+    buckets of all rows."""
+    events = S.scored_events(spark, d).select("event_id", "fecha_proceso", "prediction")
+    table = _appended(spark, events, "event_id", ["fecha_proceso", "event_id"])
+    buckets = running.running_buckets(table, scratch_path(spark, "running"), "fecha_proceso", "7min", "prediction")
+    buckets.update()
+    return running.buckets_of(buckets.result(), "7min")
+
+
+def q_running_idf(spark: SparkSession, d: str) -> DataFrame:
+    """M4 as a mergeable fit: document frequencies of the appends added up,
+    equal to a fit on all documents."""
+    docs = S.table(spark, d, "documents", spread_out=True).select("doc_id", "text")
+    table = _appended(spark, docs, "doc_id", ["doc_id"])
+    terms = running.running_terms(table, scratch_path(spark, "running"), "text")
+    terms.update()
+    return running.idf_of(terms.result())
+
+
+def q_running_labels(spark: SparkSession, d: str) -> DataFrame:
+    """M5 as a mergeable fit: the label order from added-up counts."""
+    labels = S.table(spark, d, "labels").select("doc_id", "quality")
+    table = _appended(spark, labels, "doc_id", ["doc_id"])
+    counts = running.running_counts(table, scratch_path(spark, "running"), "quality")
+    counts.update()
+    return running.label_order_of(counts.result(), "quality")
+
+
+
 REGISTRY = {
+    "append_ids": q_append_ids,
+    "running_counts": q_running_counts,
+    "running_buckets": q_running_buckets,
+    "running_idf": q_running_idf,
+    "running_labels": q_running_labels,
     "table_scan": q_table_scan,
     "csv_roundtrip": q_csv_roundtrip,
     "csv_inferred": q_csv_inferred,

@@ -85,3 +85,16 @@ def test_enrich_numbers_in_file_order(spark, tmp_path):
     assert [r.id for r in out] == list(range(1, 51))
     assert [r.texto for r in out] == [f"t{i}" for i in range(50)]
     assert [r.fecha for r in out] == sorted(r.fecha for r in out)
+
+
+def test_texts_with_line_breaks_come_back_whole(spark, tmp_path, monkeypatch):
+    """The text jobs read quoted line breaks if MULTILINE says so."""
+    from clasp.sources.sinks import write_csv
+    rows = [(f'line one {i}\nline "two", with commas\r\n\nand more', f"l{i % 2}") for i in range(20)] + [("plain", "l0"), ('"', "l1")]
+    path = str(tmp_path / "texts")
+    write_csv(spark.createDataFrame(rows, "texto string, etiqueta string").repartition(3), path)
+    monkeypatch.setenv("MULTILINE", "true")
+    got = text_batch.load(spark, TextJobConfig(data_path=path))
+    assert sorted((r.texto, r.etiqueta) for r in got.collect()) == sorted(rows)
+    monkeypatch.setenv("MULTILINE", "no")
+    assert TextJobConfig(data_path=path).multiline is False

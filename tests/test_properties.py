@@ -26,7 +26,7 @@ offsets = st.lists(st.one_of(st.none(), st.integers(0, 40 * 86400)), min_size=1,
 
 
 @SETTINGS
-@given(offs=offsets, freq=st.sampled_from(["7D", "1D", "6h", "1min"]))
+@given(offs=offsets, freq=st.sampled_from(["7D", "1D", "6h", "1min", "7min", "5h", "36h"]))
 def test_resample_equals_pandas(spark, offs, freq):
     times = [None if o is None else BASE + timedelta(seconds=o, microseconds=o % 7) for o in offs]
     df = spark.createDataFrame([(t, 1) for t in times], "ts timestamp_ntz, v int")

@@ -64,3 +64,12 @@ def test_token_counts_match_ml_tokenizer_on_documents(spark):
           .groupBy("token").count())
     sql = token_counts(docs, "text").withColumnRenamed("n", "count")
     assert ml.exceptAll(sql).count() == 0 and sql.exceptAll(ml).count() == 0
+
+
+def test_counted_tokens(spark):
+    from collections import Counter
+    from clasp.functions.text import counted_tokens
+    rows = [["b", "a", "b", "", "b"], [], ["x"], [str(i % 97) for i in range(5000)], ["é", "e", "é"]]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, t array<string>")
+    for x in df.select("i", counted_tokens(F.col("t")).alias("c")).collect():
+        assert {y.term: y.n for y in x.c} == Counter(rows[x.i]) and len(x.c) == len(set(rows[x.i]))
