@@ -121,7 +121,8 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, block_words: int = BLOCK
                 part = batch.slice(lo, 500)
                 start = 0
                 for i, text in enumerate(texts_as_bytes(part.column(1))):
-                    found = np.array([memo[w] for w in text.lower().split()], dtype=np.uint64)
+                    split = text.lower().split()
+                    found = np.fromiter(map(memo.__getitem__, split), dtype=np.uint64, count=len(split))
                     words.append(found)
                     held += len(found)
                     if held >= block_words or len(words) >= BLOCK_ROWS:
