@@ -15,7 +15,7 @@ from clasp.operators.timeseries import latest_counts
 from clasp.plans import standins as S
 from clasp.plans.model_queries import CATS, LABEL, NUMS, fit_tabular
 from clasp.plans.oracle import _resample
-from clasp.session import scratch_path
+from clasp.session import STATE_STORE_CONF, scratch_path
 from clasp.sources.sinks import save_model
 from clasp.sources.specs import StreamSpec
 from clasp.sources.tables import load_model
@@ -37,9 +37,9 @@ DEDUP_DELAY = "10 minutes"
 
 
 def _run(df: DataFrame, writer, spark: SparkSession, name: str, checkpoint: str | None = None,
-         output_mode: str = "append") -> list[tuple[int, int]]:
+         output_mode: str = "append", conf: dict[str, str] | None = None) -> list[tuple[int, int]]:
     q = write_stream(df, writer, checkpoint or scratch_path(spark, "stream-ckpt", name), name,
-                     trigger={"availableNow": True}, output_mode=output_mode)
+                     trigger={"availableNow": True}, output_mode=output_mode, conf=conf)
     return run_until_idle(q)
 
 
@@ -180,7 +180,7 @@ def q_stream_live_kpis(spark: SparkSession, d: str) -> DataFrame:
         stream = decode_json(open_stream(spark, StreamSpec(format="text", path=path)), "event_id bigint, ts timestamp_ntz, seq bigint, prediction int")
         named = stream.withColumn("risk", F.when(F.col("prediction") == 1, "Riesgo").when(F.col("prediction") == 0, "Sano"))
         changes = class_changes(named, "event_id", "risk", "seq", "ts", RISK, retention="3650 days")
-        _run(changes, idempotent_batch_writer(sink, split=lambda b: (added_up(b), None)), spark, "stream_live_kpis", checkpoint, "update")
+        _run(changes, idempotent_batch_writer(sink, split=lambda b: (added_up(b), None)), spark, "stream_live_kpis", checkpoint, "update", STATE_STORE_CONF)
     written = read_sink(spark, sink)
     return live_kpis(written, RISK).join(live_risk(written), "total")
 

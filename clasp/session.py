@@ -11,6 +11,16 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Streaming state (replay de-dup keys, open windows, live totals) kept in
+# RocksDB on local disk with changelog checkpoints, not on the executor heap.
+# ``transformWithState`` runs on no other store: its queries are started with
+# these settings (``streaming.sinks.write_stream``), whatever the session's are.
+STATE_STORE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 # Settings every job wants regardless of scale. Shuffle partition count is
 # left to the caller / cluster defaults; AQE coalesces small shuffles and
 # splits skewed join partitions at run time.
@@ -22,11 +32,7 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # streaming state (replay de-dup keys, open windows) kept in RocksDB on
-    # local disk with changelog checkpoints, not on the executor heap
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    **STATE_STORE_CONF,
 }
 
 

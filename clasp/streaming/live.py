@@ -15,6 +15,9 @@ checkpointed state.
 State is bounded by event time: a timer of each bucket forgets ids older than
 ``retention`` behind the watermark. Records that late are dropped, as in any
 watermarked aggregate.
+
+The state needs the RocksDB store: where the session's is another, start the
+query with ``conf=session.STATE_STORE_CONF``.
 """
 
 from __future__ import annotations

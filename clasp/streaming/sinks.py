@@ -44,15 +44,25 @@ def idempotent_batch_writer(sink_path: str, fmt: str = "parquet",
 
 
 def write_stream(df: DataFrame, writer, checkpoint: str, name: str,
-                 trigger: dict | None = None, output_mode: str = "append"):
+                 trigger: dict | None = None, output_mode: str = "append", conf: dict[str, str] | None = None):
     """Start a named query with its own checkpoint folder (Q15:
     a session-wide checkpoint with an unnamed query restarts from zero).
     ``trigger``: ``{"processingTime": "10 seconds"}`` in service,
-    ``{"availableNow": True}`` for a catch-up run."""
+    ``{"availableNow": True}`` for a catch-up run. ``conf`` are session
+    settings that this query needs: a query takes its session's settings as
+    they are when it starts, so they are set for the start alone."""
     w = (df.writeStream.queryName(name).outputMode(output_mode)
          .option("checkpointLocation", checkpoint).foreachBatch(writer))
     w = w.trigger(**(trigger or {"processingTime": "10 seconds"}))
-    return w.start()
+    session = df.sparkSession.conf
+    before = {k: session.get(k, None) for k in conf or {}}
+    try:
+        for k, v in (conf or {}).items():
+            session.set(k, v)
+        return w.start()
+    finally:
+        for k, v in before.items():
+            session.unset(k) if v is None else session.set(k, v)
 
 
 def batch_counts(query) -> list[tuple[int, int]]:

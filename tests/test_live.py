@@ -84,3 +84,22 @@ def test_merge_keeps_the_newest_version():
     rows = lambda *x: np.array(list(x), dtype=KNOWN)
     kept, change = merged(rows((1, 0, 0, 5), (2, 3, 1, 5)), rows((1, 1, 1, 5), (2, 2, 0, 5), (3, 0, -1, 5), (3, 0, 0, 5)), 2)
     assert kept[["id", "version", "cls"]].tolist() == [(1, 1, 1), (2, 3, 1), (3, 0, 0)] and change.tolist() == [0, 1, 0]
+
+
+def test_runs_on_a_session_with_another_state_store(spark, tmp_path):
+    """The query brings the store its state needs, for itself alone."""
+    from clasp.plans.stream_queries import q_stream_live_kpis
+    key = "spark.sql.streaming.stateStore.providerClass"
+    other = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.range(1, 41).select(
+        F.col("id").alias("event_id"), (F.lit(datetime(2026, 1, 1)) + F.make_dt_interval(secs=F.col("id"))).cast("timestamp_ntz").alias("ts"),
+        F.lit(1).cast("bigint").alias("user_id"), F.lit("click").alias("event_type"), F.lit(None).cast("string").alias("props"),
+        F.when(F.col("id") != 40, F.col("id") * 10.0).alias("value")).write.parquet(str(tmp_path / "events.parquet"))
+    before = spark.conf.get(key)
+    spark.conf.set(key, other)
+    try:
+        row = q_stream_live_kpis(spark, str(tmp_path)).first()
+        assert spark.conf.get(key) == other
+    finally:
+        spark.conf.set(key, before)
+    assert (row.total, row.n_riesgo, row.n_sano, row.high, row.low) == (40, 29, 10, 29, 10)
