@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from clasp.jobs.config import TextJobConfig
 from clasp.jobs.schemas import TEXT_SCHEMA
 from clasp.ml import models, splits, text
-from clasp.ml.training import fit_persisted
+from clasp.ml.training import TEXT_ROWS_PER_TASK, fit_persisted
 from clasp.operators.filters import drop_incomplete
 from clasp.operators.partitioning import spread
 from clasp.operators.stats import metrics_row
@@ -30,7 +30,7 @@ def load(spark: SparkSession, cfg: TextJobConfig) -> DataFrame:
 def run(spark: SparkSession, cfg: TextJobConfig, data: DataFrame | None = None):
     data = splits.hash_split(data if data is not None else load(spark, cfg), "texto", cfg.train_pct)
     pipe = text.text_pipeline(num_trees=cfg.num_trees, max_depth=cfg.max_depth, seed=cfg.seed)
-    model = fit_persisted(pipe, data.where(F.col("split") == "train"))
+    model = fit_persisted(pipe, data.where(F.col("split") == "train"), rows_per_task=TEXT_ROWS_PER_TASK)
     sinks.save_model(model, cfg.model_path)
     scored = models.decode_prediction(models.score(model, data, "etiqueta"), model).persist(
         StorageLevel.MEMORY_AND_DISK)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clasp.ml import forest_table, models, splits, tabular, text
-from clasp.ml.training import fit_persisted
+from clasp.ml.training import TEXT_ROWS_PER_TASK, fit_persisted
 from clasp.operators.partitioning import spread
 from clasp.operators import stats
 from clasp.plans import standins as S
@@ -63,7 +63,7 @@ def fit_text(spark: SparkSession, d: str):
     data = _text_split(spark, d)
     model = _fitted(spark, ("text", d), lambda: fit_persisted(
         text.text_pipeline(text_col="texto", label_col="etiqueta"),
-        data.where(F.col("split") == "train")))
+        data.where(F.col("split") == "train"), rows_per_task=TEXT_ROWS_PER_TASK))
     return model, data
 
 

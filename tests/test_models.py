@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from clasp.ml import models, splits, tabular, text
+from clasp.ml.training import fit_persisted
 
 
 @pytest.fixture(scope="module")
@@ -118,3 +119,18 @@ def test_hash_split_independent_of_partitioning(spark):
     one = splits.hash_split(base.repartition(1), "k", 70).where("split='train'").count()
     many = splits.hash_split(base.repartition(13), "k", 70).where("split='train'").count()
     assert one == many and 1200 < one < 1600
+
+
+def test_no_training_task_holds_too_many_rows(spark, patients):
+    """One large partition is dealt out before the fit; small ones stay."""
+    class Fit:
+        def fit(self, df):
+            self.storage = df.storageLevel.useMemory
+            self.ids = sorted(r.pid for r in df.select("pid").collect())
+            return [r.n for r in df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+
+    for rows, limit, tasks, most in ((patients.coalesce(1), 30, 14, 40), (patients.coalesce(1), 400, 1, 400), (patients.repartition(2), 250, 2, 250)):
+        fit = Fit()
+        sizes = fit_persisted(fit, rows, rows_per_task=limit)
+        assert len(sizes) == tasks and max(sizes) <= most and fit.ids == list(range(400)) and fit.storage
+    assert fit_persisted(Fit(), patients.where("pid < 0"), rows_per_task=30) == []
