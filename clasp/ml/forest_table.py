@@ -25,7 +25,6 @@ from clasp.operators.joins import join_derived
 from clasp.session import materialise, scratch_path
 
 MAX_SENT_NODES = 1_000_000
-SHIFT = 1 << 32  # a place in the forest is tree * SHIFT + node
 
 
 def forest_nodes(model: RandomForestClassificationModel) -> DataFrame:
@@ -57,20 +56,29 @@ def tree_votes(rows: DataFrame, keep: list[str], nodes: DataFrame, depth: int, f
     """``keep``, ``tree``, ``steps`` (levels gone down) and ``votes`` of the
     leaf that each row reaches in each tree. ``features`` is an array of
     double, ``depth`` the deepest a tree goes."""
-    trees, count = nodes.agg(F.max("tree") + 1, F.count(F.lit(1))).first()
-    place = F.col("tree").cast("bigint") * SHIFT
+    trees, count, wide, sets = nodes.agg(F.max("tree") + 1, F.count(F.lit(1)), F.greatest(F.max("node"), F.max("left"), F.max("right")) + 1,
+                                         F.count("categories")).first()
+    # places lie close together, so a level's lookup goes by position, not by hash
+    place = F.col("tree").cast("bigint") * F.lit(int(wide or 1))
     send = F.broadcast if count <= MAX_SENT_NODES else (lambda df: df)
-    steps = nodes.select((place + F.col("node")).alias("at"), "feature", "threshold", "categories",
-                         (place + F.col("left")).alias("left"), (place + F.col("right")).alias("right"))
-    leaves = nodes.select((place + F.col("node")).alias("at"), "votes")
+    # a leaf leads to itself. No column can be null: all levels are generated
+    # as one method, and the JVM compiles none that is longer than 8000 bytes
+    here = F.coalesce(place + F.col("node"), F.lit(-1))
+    steps = nodes.select(here.alias("at"), F.coalesce("feature", F.lit(0)).alias("feature"),
+                         F.coalesce("threshold", F.lit(0.0)).alias("threshold"), *(["categories"] if sets else []),
+                         F.coalesce(place + F.col("left"), here).alias("left"), F.coalesce(place + F.col("right"), here).alias("right"),
+                         F.col("left").isNotNull().cast("int").alias("inner"))
+    leaves = nodes.select(here.alias("at"), "votes")
     out = rows.select(*keep, F.col(features).alias("_x")).withColumn(
         "tree", F.explode(F.sequence(F.lit(0), F.lit(int(trees) - 1)))).withColumn("at", place).withColumn("steps", F.lit(0))
     value = F.get(F.col("_x"), F.col("feature"))
-    goes_left = F.when(F.col("categories").isNull(), value <= F.col("threshold")).otherwise(F.array_contains("categories", value))
+    goes_left = value <= F.col("threshold")
+    if sets:
+        goes_left = F.when(F.col("categories").isNull(), goes_left).otherwise(F.array_contains("categories", value))
     for _ in range(depth):
         out = out.join(send(steps), "at").select(
-            *keep, "_x", "tree", (F.col("steps") + F.col("left").isNotNull().cast("int")).alias("steps"),
-            F.when(F.col("left").isNull(), F.col("at")).when(goes_left, F.col("left")).otherwise(F.col("right")).alias("at"))
+            *keep, "_x", "tree", (F.col("steps") + F.col("inner")).alias("steps"),
+            F.when(goes_left, F.col("left")).otherwise(F.col("right")).alias("at"))
     return out.join(send(leaves), "at").select(*keep, "tree", "steps", "votes")
 
 

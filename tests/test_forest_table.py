@@ -105,3 +105,30 @@ def test_one_stage_without_a_shuffle(model, nodes, patients):
     scored = model.transform(patients).select("pid", vector_to_array("features").alias("features"))
     plan = forest_table.tree_votes(scored, ["pid"], nodes, 5)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 6
+
+
+def test_a_deep_walk_is_compiled(spark, model, nodes, patients):
+    """The method generated for ten levels stays below the 8000 bytes beyond
+    which the JVM only interprets it."""
+    scored = model.transform(patients).select("pid", "risk", "Sex", vector_to_array("features").alias("features"))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = forest_table.forest_votes(scored, ["pid", "risk", "Sex"], nodes, 10, 3)
+        made = plan._jdf.queryExecution().debug().codegenToSeq()
+        sizes = [made.apply(i)._3().maxMethodCodeSize() for i in range(made.size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert 0 < max(sizes) < 8000, sizes
+
+
+def test_a_pointer_to_a_lost_node_leads_nowhere(model, nodes, patients):
+    """Without the last nodes of every tree, rows that go there lose the tree."""
+    last = nodes.groupBy("tree").agg(F.max("node").alias("node"))
+    rows = model.transform(patients).select("pid", vector_to_array("features").alias("features"))
+    whole = forest_table.tree_votes(rows, ["pid"], nodes, 5)
+    met = rows.crossJoin(last.select("tree")).count()
+    left = forest_table.tree_votes(rows, ["pid"], nodes.join(last, ["tree", "node"], "left_anti"), 5)
+    lost = whole.join(left.select("pid", "tree"), ["pid", "tree"], "left_anti")
+    assert whole.count() == met and 0 < lost.count() == met - left.count()
+    assert whole.join(left, ["pid", "tree", "steps", "votes"], "left_semi").count() == left.count()
