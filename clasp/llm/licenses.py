@@ -195,7 +195,8 @@ def cosines(units: DataFrame, templates=TEMPLATES) -> DataFrame:
     spark = units.sparkSession
     idf, _ = template_terms(templates)
     weights = F.broadcast(spark.createDataFrame(list(idf.items()), "term string, idf double"))  # the templates' terms
-    named = units.withColumn("id", F.md5("unit"))
+    # dealt by id once: all that follows groups and joins by it and needs no other shuffle
+    named = units.withColumn("id", F.md5("unit")).repartition("id")
     counts = (named.select("id", F.explode(F.regexp_extract_all(F.lower("unit"), F.lit(f"({TERM})"))).alias("term"))
               .where(~F.col("term").isin(*STOP)).groupBy("id", "term").agg(F.count(F.lit(1)).alias("n")))
     weighed = counts.join(weights, "term", "left").select(

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clasp.llm.licenses import (BLOCK_STOP, COMMENT, EVERYDAY, FILE_SHARE, LICENSE_NAME, MARKS, PARAGRAPH_END, RUN, STOP, TEMPLATES, TERM, THRESHOLD,
-                                UNIT_END, WINDOW_STEP, WINDOWS, anchors, block_hits, block_templates, scan, template_terms, terms_of,
+                                UNIT_END, WINDOW_STEP, WINDOWS, anchors, block_hits, block_templates, cosines, scan, template_terms, terms_of,
                                 unseen_idf)
 
 SCHEMA = "doc_id long, text string, path string, license string, units int"
@@ -186,3 +186,13 @@ def test_long_texts(spark):
     out = {r[0]: r[1:3] for r in got(spark.createDataFrame([(*r, None, None) for r in rows], SCHEMA))}
     assert out == {1: ("GPL-3.0", "header"), 2: ("MPL-2.0", "header"), 3: ("LGPL-2.1", "header"), 4: (None, "none"), 5: (None, "none")}
     assert time.time() - began < 240
+
+
+def test_units_are_shuffled_once(spark):
+    """A unit's terms never cross the network: all exchanges are by unit alone."""
+    units = spark.createDataFrame([("Released under the MIT License.",), ("nothing of the kind",)], "unit string")
+    found = cosines(units)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
+    assert keys and all(re.fullmatch(r"id#\d+", k) for k in keys), keys
+    assert [(r.unit, r.license, r.score) for r in found.where("score >= 0.7").collect()] == [("Released under the MIT License.", "MIT", 1.0)]
