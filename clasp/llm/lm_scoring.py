@@ -192,6 +192,20 @@ def _in(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values
 
 
+def common_runs(hashes: np.ndarray, words: np.ndarray, last: np.ndarray, n: int, table: np.ndarray) -> np.ndarray:
+    """Which of the runs of ``n`` words that end at ``last`` are in the table
+    of common n-grams. Every word of a common n-gram is common itself, so only
+    runs of common words are looked up."""
+    common = _in(hashes, table)
+    held = common[words[last]]
+    for back in range(1, n):
+        held &= common[words[last - back]]
+    if n > 1:
+        at = np.flatnonzero(held)
+        held[at] = _in(run_hashes(hashes[words], last[at], n), table)
+    return held
+
+
 def common_ngrams(corpus: DataFrame, order: int, share: float, sample_blocks: int = SAMPLE_BLOCKS) -> np.ndarray:
     """Hashes of n-grams in about ``share`` or more of the documents of a hash
     sample of blocks, and in 20 of them; met by some block as often."""
@@ -221,8 +235,8 @@ def common_counts(corpus: DataFrame, order: int, common) -> tuple[np.ndarray, in
             for _, sizes, hashes, words in _texts(batch):
                 n_words += len(words)
                 for n in range(1, order + 1):
-                    h = run_hashes(hashes[words], ends(sizes, n)[0], n)
-                    hit = h[_in(h, common.value)]
+                    last = ends(sizes, n)[0]
+                    hit = run_hashes(hashes[words], last[common_runs(hashes, words, last, n, common.value)], n)
                     total += np.bincount(np.searchsorted(common.value, hit), minlength=len(total))
         at = np.flatnonzero(total)
         yield pa.record_batch([pa.array(np.append(at, -1)), pa.array(np.append(total[at], n_words))], ["at", "n"])
@@ -255,10 +269,10 @@ def dealt(table: DataFrame, n: int, buckets: int, common, totals, asks: bool, ow
                 last, doc = ends(sizes, n)
                 first, k, _ = numbered(words, last, doc if asks else np.zeros_like(doc), n)
                 h = run_hashes(hashes[words], last, n)[first]
-                often = _in(h, common.value)
+                often = common_runs(hashes, words, last[first], n, common.value)
                 pair = np.flatnonzero(~often)
                 bucket = bucket_of(h[pair], buckets)
-                by = np.argsort(bucket, kind="stable")
+                by = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
                 pair, bucket = pair[by], bucket[by]
                 edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(pair)] if len(pair) else [0]
                 parts = [pair[i:j] for i, j in zip(edges, edges[1:])]
@@ -288,15 +302,15 @@ def counted(rows: DataFrame, n: int, own: bool) -> DataFrame:
         k = np.concatenate([*map(unpacked, column["k"]), np.zeros(0, dtype=np.int64)])
         h = from_six(b"".join(column["h"]))
         adds = k if own else np.where(block < 0, k, 0)
-        order = np.argsort(h, kind="stable")
+        order = np.argsort(h)
         starts = np.flatnonzero(np.append(True, h[order][1:] != h[order][:-1])) if len(h) else np.zeros(0, dtype=np.int64)
         total = np.add.reduceat(adds[order], starts) if len(h) else adds
         count = np.empty(len(h), dtype=np.int64)
         count[order] = np.repeat(total, np.diff(np.append(starts, len(h))))
         if own:
             count -= k
+        # a block sends a bucket one row, its pairs in ascending order
         known = np.flatnonzero((count > 0) & (block >= 0))
-        known = known[np.lexsort((pair[known], block[known]))]
         edges = [0, *(np.flatnonzero(np.diff(block[known])) + 1).tolist(), len(known)] if len(known) else [0]
         parts = [known[i:j] for i, j in zip(edges, edges[1:])]
         at = [int(block[p[0]]) for p in parts] + through.column("block").to_pylist()

@@ -4,8 +4,10 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
+from clasp.llm import lm_scoring
 from clasp.llm.lm_scoring import ALPHA, ORDER, scores
 
 SCHEMA = "doc_id long, text string, score string, n int, k1 int"
@@ -103,3 +105,22 @@ def test_query_equals_sql(spark):
     assert len(got) == len(want)
     for x in got:
         assert want[x.doc_id] == pytest.approx((x.n_words, x.score, x.mean), abs=2e-6)
+
+
+def test_common_runs_are_those_of_the_table(monkeypatch):
+    """Only runs of common words are looked up, and none of them is missed."""
+    r = np.random.default_rng(3)
+    hashes = lm_scoring.mixed(np.sort(r.integers(0, 1 << 48, 400).astype(np.uint64)))
+    words, sizes = r.zipf(1.3, 5000) % 400, np.array([0, 7, 1, 2, 2990, 2000])
+    looked, plainly = [], lm_scoring._in
+    for n in (1, 2, 3):
+        last, _ = lm_scoring.ends(sizes, n)
+        tables = [np.unique(lm_scoring.run_hashes(hashes[words], lm_scoring.ends(sizes, m)[0], m), return_counts=True) for m in (1, 2, 3)]
+        table = np.unique(np.concatenate([h[k >= 40] for h, k in tables]))
+        monkeypatch.setattr(lm_scoring, "_in", plainly)
+        want = plainly(lm_scoring.run_hashes(hashes[words], last, n), table)
+        monkeypatch.setattr(lm_scoring, "_in", lambda v, t: looked.append(len(v)) or plainly(v, t))
+        got = lm_scoring.common_runs(hashes, words, last, n, table)
+        assert got.tolist() == want.tolist() and want.any()
+        assert sum(looked) < len(last)
+        looked.clear()
