@@ -38,7 +38,9 @@ from pyspark.sql import functions as F
 MAGIC = b"CLMPH001"
 RECORD = np.dtype([("mark", "<u4"), ("shard", "<u4"), ("start", "<u8"), ("n", "<u8")])
 GAMMA = 2.0  # bits a key at each level
-MEMO_WORDS = 600_000
+MEMO_WORDS, MEMO_TAILS = 800_000, 10_000
+#: ASCII punctuation that neither begins a contraction nor a special token.
+TAIL = b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 
 
 @dataclass(frozen=True)
@@ -59,7 +61,8 @@ class Encoder:
 
     By word is right for byte-pair tokenizers that drop white space, part
     letters from all else and mark word ends: then a text's ids are those of
-    its words in a row, and a word of letters alone ends where its only
+    its words in a row, a word of letters and punctuation after them has the
+    ids of both in a row, and a word of letters alone ends where its only
     end-of-word id stands, so new words are encoded together.
     """
 
@@ -75,7 +78,7 @@ class Encoder:
         if suffix:
             ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         self.ends_word, self.suffix = ends, suffix
-        self.points = {p: self._ids([p.decode()])[0] for p in (b".", b",")} if by_word else {}
+        self.tails: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes()
@@ -94,19 +97,30 @@ class Encoder:
         return True
 
     def _learn(self, new: set[bytes]) -> None:
-        pointed = {w: w[:-1] for w in new if w[-1:] in self.points and w[:-1].isalpha()}  # ASCII letters and a point
-        stems = new.difference(pointed).union(s for s in pointed.values() if s not in self.known)
-        letters, rest = [], []
-        for w in stems:
-            plain = self.suffix and (w.isalpha() or unicodedata.normalize("NFC", w.decode()).lower().isalpha())
-            (letters if plain else rest).append(w)
+        stems, tailed, rest = set(), [], []
+        for w in new:
+            stem = w.rstrip(TAIL)
+            if not (stem.isalpha() or unicodedata.normalize("NFC", stem.decode()).lower().isalpha()):
+                rest.append(w)
+                continue
+            stems.add(stem)
+            if len(stem) < len(w):
+                tailed.append((w, stem, w[len(stem):]))
+        letters = list(stems.difference(self.known))
+        if not self.suffix:
+            rest, letters = rest + letters, []
         for lo in range(0, len(letters), 500):
             part = letters[lo:lo + 500]
             if not self._letters(part):
                 rest += part
         self.known.update(zip(rest, self._ids([w.decode() for w in rest])))
-        for w, stem in pointed.items():
-            self.known[w] = self.known[stem] + self.points[w[-1:]]
+        if tails := list({t for _, _, t in tailed}.difference(self.tails)):
+            if len(self.tails) > MEMO_TAILS:
+                self.tails.clear()
+                tails = list({t for _, _, t in tailed})
+            self.tails.update(zip(tails, self._ids([t.decode() for t in tails])))
+        for w, stem, tail in tailed:
+            self.known[w] = self.known[stem] + self.tails[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
@@ -114,14 +128,27 @@ class Encoder:
         # lower-casing A-Z here only makes more words equal: the tokenizer does it too, but never to special tokens
         split = [t.encode() for t in texts]
         split = [(t if b"<|" in t else t.lower()).split() for t in split]
-        if len(self.known) > MEMO_WORDS:
-            self.known.clear()
+        words = set().union(*split)
+        if len(self.known) > MEMO_WORDS:  # what these texts hold stays
+            self.known = {w: self.known[w] for w in words.intersection(self.known)}
         known = self.known
-        if new := set().union(*split).difference(known):
+        if new := words.difference(known):
             self._learn(new)
         return [b"".join(map(known.__getitem__, words)) + self.end for words in split]
 
 
+_ENCODERS: dict[tuple, Encoder] = {}
+
+
+def worker_encoder(*made_with) -> Encoder:
+    """The encoder of this Python worker: a later task finds the words that
+    earlier ones learned. Only the last one asked for is kept."""
+    if made_with not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[made_with] = Encoder(*made_with)
+    return _ENCODERS[made_with]
+
+
 def _open(root: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(root)
 
@@ -141,7 +168,7 @@ def write_tokens(docs: DataFrame, root: str, tokenizer_path: str, vocabulary: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where, base = _open(root)
-        encoder = Encoder(tokenizer_path, by_word, width, end_id)
+        encoder = worker_encoder(tokenizer_path, by_word, width, end_id)
         part, seq, out, name, at = TaskContext.get().partitionId(), 0, None, "", 0
         last, again = object(), 0
         for whole in batches:

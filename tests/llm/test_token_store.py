@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from clasp.llm import token_store
 from clasp.llm.token_store import Encoder, build_hash, digests, fetch, slots, write_tokens
 from clasp.session import scratch_path
 
@@ -83,3 +84,29 @@ def test_empty_table(spark):
     store = write_tokens(spark.createDataFrame([], SCHEMA), scratch_path(spark, "t-store"), PATH, 49_408, by_word=True)
     assert digests(spark, store).count() == 0
     assert fetch(spark, store, spark.createDataFrame([(1,)], "doc_id long")).first().ids is None
+
+
+def test_punctuation_after_letters_is_encoded_once(monkeypatch):
+    """Words that differ by the punctuation behind them share their letters' ids."""
+    stems = ["harbour", "straße", "Ω", "queue"]
+    texts = [" ".join(s + t for s in stems for t in ("", ".%%%", "###", ",***", "!?", "'", "|>", "<", "_"))]
+    e, seen = Encoder(PATH, True, 2, 1), []
+    plainly = e._ids
+    monkeypatch.setattr(e, "_ids", lambda words: seen.extend(words) or plainly(words))
+    assert [np.frombuffer(x, "<u2").tolist() for x in e.encode(texts)] == whole(texts)
+    assert not [w for w in seen if w.rstrip("%#*!?_.,").lower() in stems and w.lower() not in stems]
+
+
+def test_a_full_memo_keeps_the_words_at_hand(monkeypatch):
+    monkeypatch.setattr(token_store, "MEMO_WORDS", 3)
+    monkeypatch.setattr(token_store, "MEMO_TAILS", 1)
+    e = Encoder(PATH, True, 2, 1)
+    for texts in (["a b c d. e?"], ["c d. x!! y"], ["c, q;"], ["", "z% z# z"]):
+        assert [np.frombuffer(x, "<u2").tolist() for x in e.encode(texts)] == whole(texts)
+    assert b"a" not in e.known
+
+
+def test_a_worker_keeps_its_encoder():
+    one = token_store.worker_encoder(PATH, True, 2, 1)
+    assert token_store.worker_encoder(PATH, True, 2, 1) is one
+    assert token_store.worker_encoder(PATH, True, 4, 1) is not one
