@@ -3,13 +3,20 @@
 Vectors are dealt to clusters by their nearest centroids. A vector near the
 boundary of several clusters is stored in each of them (unless a nearer
 centroid of its own already covers that direction), so a query needs few
-lists. Centroids are fitted with a penalty on crowded clusters, and a list
-is stored in blocks of bounded length, so no list is one task's burden. To
-find centroids, every task walks an in-memory neighbour graph over them; a
-query reads all lists whose centroid is at most ``1 + slack`` times as far as
-its nearest one, and further ones, nearest first, while those it reads might
-hold too few rows to fill its answer. The slack is fitted to a wanted recall within a bounded
-sample, so clustered vectors need few lists and evenly spread ones many.
+lists. Centroids are fitted with a penalty on crowded clusters. Lists lie
+together in shelves of bounded length and a crowded list fills several, so no
+list is one task's burden. To find centroids, every task walks an in-memory
+neighbour graph over them; a query reads all lists whose centroid is at most
+``1 + slack`` times as far as its nearest one, and further ones, nearest
+first, while those it reads might hold too few rows to fill its answer. Where
+the walk ends among lists that are still read, the distances to all centroids
+are taken instead: steps of a wider walk would cost its width each. The slack
+is fitted to a wanted recall within a bounded sample, so clustered vectors
+need few lists and evenly spread ones many.
+
+A query is sent once to each shelf that holds a list of its own, not once to
+each list, and the shelf's rows lie in a task's memory while its queries
+stream by: no row is sent again for every block of queries.
 
 Largest inner product becomes least distance by one more coordinate,
 ``sqrt(M**2 - |x|**2)``, with ``M`` the largest length. Equal vectors are
@@ -31,7 +38,9 @@ from pyspark.sql import functions as F
 
 from clasp.llm.common import cut
 
-BLOCK = 512  # vectors of a posting block, queries of a query block: expected, not a cap
+SHELF = 1_024, 65_536  # stored rows of a shelf: least and most, expected, not a cap
+ASKED = 65_536  # queries that one task holds against a shelf, expected, not a cap
+SINGLE = 1e15  # vectors shorter than this have rough scores in single precision
 DEGREE = 24  # of the centroid graph
 
 
@@ -110,23 +119,31 @@ class Lists:
             out.append(row_ids[kept])
         return out
 
+    def all_of(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All centroids, nearest first, and their squared distances."""
+        dist = (x * x).sum(axis=1, keepdims=True) + (self.centroids ** 2).sum(axis=1) - 2 * x @ self.centroids.T
+        ids = np.argsort(dist, axis=1, kind="stable")
+        return ids, np.maximum(np.take_along_axis(dist, ids, 1), 0)
+
     def probes(self, q: np.ndarray) -> list[np.ndarray]:
         """Lists that each query reads: all within the distance ratio, and
         the nearest ones up to ``least`` stored rows. A query at a centroid
         is allowed what a usual one is."""
         out: list = [None] * len(q)
-        rows, width = np.arange(len(q)), 32
-        while len(rows):
-            ids, dist = self.walk(q[rows], width)
+        rows = np.arange(len(q))
+        for find in (lambda x: self.walk(x, 32), self.all_of):
+            ids, dist = find(q[rows])
             dist = np.sqrt(dist)
             near = dist <= (1 + self.slack) * np.maximum(dist[:, :1], self.usual) + 1e-12
             if self.sizes is not None:  # what the lists before it hold
                 held = np.cumsum(self.sizes[ids], axis=1) - self.sizes[ids]
                 near |= held < self.least
-            done = ~near[:, -1] | (width >= len(self.centroids))
+            done = ~near[:, -1] | (ids.shape[1] >= len(self.centroids))
             for r, i, m in zip(rows[done], ids[done], near[done]):
                 out[r] = i[m]
-            rows, width = rows[~done], width * 2
+            rows = rows[~done]
+            if not len(rows):
+                break
         return out
 
 
@@ -217,60 +234,172 @@ def classes_of(vectors: DataFrame, id_col: str, vector_col: str, keep: int) -> t
     return named.select("vec_id", "class_id"), classes
 
 
-def _blocks(rows: DataFrame, key: str, value: list[str], into: str) -> DataFrame:
-    """Rows of a cluster -> blocks of about ``BLOCK`` of them, dealt by hash."""
-    counts = rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("_n"))
-    dealt = rows.join(counts, "cluster").withColumn(
-        "_b", F.pmod(F.xxhash64(key), F.ceil(F.col("_n") / BLOCK)))
-    return dealt.groupBy("cluster", "_b").agg(F.collect_list(F.struct(*value)).alias(into)).drop("_b")
-
-
-def _merge(held: dict, q: int, ids: np.ndarray, scores: np.ndarray, k: int) -> None:
-    if q in held:
-        ids, scores = np.concatenate([held[q][0], ids]), np.concatenate([held[q][1], scores])
-        ids, first = np.unique(ids, return_index=True)  # a replica is the same row
-        scores = scores[first]
-    order = np.lexsort((ids, -scores))[:k]
-    held[q] = ids[order], scores[order]
-
-
-def _scan(k: int, flush: int = 100_000):
-    def emit(held):
-        rows = [(q, i, s) for q, (ids, scores) in held.items() for i, s in zip(ids.tolist(), scores.tolist())]
-        cols = list(zip(*rows)) or [(), (), ()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()))],
-                                          names=["query", "vec_id", "score"])
-
+def shelves(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first shelf of each list and how many it fills: a list of more than
+    ``length`` rows has shelves of its own, others share one of about
+    ``length``."""
+    parts = np.maximum(1, -(-sizes // length))
+    first, shelf, held = np.zeros(len(sizes), dtype=np.int64), 0, 0
+    for i, (n, p) in enumerate(zip(sizes.tolist(), parts.tolist())):
+        if held and held + n > length:
+            shelf, held = shelf + 1, 0
+        first[i], held = shelf, held + n
+        if p > 1:
+            shelf, held = shelf + p, 0
+    return first, parts
+
+
+def _on_shelves(lists: list[np.ndarray], first: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Each query's lists by shelf: number of the query, shelf, lists."""
+    each = np.concatenate(lists)
+    at = np.repeat(np.arange(len(lists)), [len(p) for p in lists])
+    n = parts[each]
+    part = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    at, each = np.repeat(at, n), np.repeat(each, n)
+    shelf = first[each] + part
+    order = np.lexsort((each, shelf, at))
+    at, shelf, each = at[order], shelf[order], each[order]
+    new = np.flatnonzero(np.r_[True, (np.diff(at) != 0) | (np.diff(shelf) != 0)])
+    offsets = pa.array(np.r_[new, len(at)], pa.int32())
+    return at[new], shelf[new], pa.ListArray.from_arrays(offsets, pa.array(each, pa.int64()))
+
+
+def _below(bound: np.ndarray, kind: np.dtype) -> np.ndarray:
+    """A column of bounds in another precision, none larger than it was."""
+    out = bound.astype(kind)
+    return np.where(out > bound, np.nextafter(out, kind.type(-np.inf)), out)[:, None]
+
+
+class Shelf:
+    """Stored rows of a shelf, ordered by list."""
+
+    def __init__(self, rows: pa.Table):
+        rows = rows.combine_chunks()
+        self.x = _vectors(rows.column("vector").combine_chunks())
+        self.names = rows.column("class_id").to_numpy()
+        members = rows.column("ids").combine_chunks()
+        starts = members.offsets.to_numpy()
+        self.ids, self.counts = members.values.to_numpy()[starts[0]:starts[-1]], np.diff(starts)
+        self.starts = starts[:-1] - starts[0]
+        self.lists, self.at = np.unique(rows.column("cluster").to_numpy(), return_index=True)
+        self.ends = np.r_[self.at[1:], len(self.x)]
+        self.longest = float(np.sqrt((self.x * self.x).sum(axis=1).max()))
+        self.rough = self.x.astype(np.float32) if self.longest < SINGLE else self.x
+
+    def best(self, asked: pa.RecordBatch, k: int, bound: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+        """Query, id and score of the ``k`` best rows (more only by their
+        ids) of each query among its lists on this shelf. ``bound`` has the
+        scores below which a query needs no row."""
+        q, queries, wanted = _vectors(asked.column("vector")), asked.column("class_id").to_numpy(), asked.column("ids")
+        owner = np.repeat(np.arange(len(q)), np.diff(wanted.offsets.to_numpy()))
+        wanted = wanted.flatten().to_numpy()
+        order = np.argsort(wanted, kind="stable")
+        wanted, owner = wanted[order], owner[order]
+        lo, hi = np.searchsorted(wanted, self.lists), np.searchsorted(wanted, self.lists, "right")
+        # rough scores say which rows need a look: those by which rounding, in so many terms, may hide a best one
+        length = np.sqrt((q * q).sum(axis=1))
+        single = self.rough.dtype == np.float32 and length.max() < SINGLE
+        rows, near = (self.rough, q.astype(np.float32)) if single else (self.x, q)
+        slip = 4 * q.shape[1] * (2.0 ** -24 if single else 2.0 ** -53) * length * self.longest + 1e-40
+        kept = [np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0)]  # query, row, score
+        least, more = np.full(len(q), -np.inf) if bound is None else bound - slip, []
+
+        def settle():
+            """The best so far, and what a query's k-th best leaves out."""
+            n, row, score = (np.concatenate([a, *b]) for a, b in zip(kept, zip(*more)))
+            order = np.lexsort((self.names[row], -score, n))
+            n, row, score = n[order], row[order], score[order]
+            first = np.r_[True, (np.diff(n) != 0) | (np.diff(self.names[row]) != 0)]  # a replica is the same row
+            n, row, score = n[first], row[first], score[first]
+            place = np.arange(len(n)) - np.searchsorted(n, n)
+            kept[:] = (a[place < k] for a in (n, row, score))
+            full = place == k - 1
+            least[n[full]] = score[full] - slip[n[full]]
+            more.clear()
+
+        for a, b, start, end in zip(lo, hi, self.at, self.ends):
+            if a == b:
+                continue
+            mine, x = owner[a:b], self.x[start:end]
+            rough = near[mine] @ rows[start:end].T
+            bound = least[mine]
+            found = rough >= _below(bound, rough.dtype)
+            if end - start > k and np.count_nonzero(found) > 2 * k * len(mine):
+                kth = np.partition(rough, end - start - k, axis=1)[:, end - start - k]
+                found = rough >= _below(np.maximum(bound, kth - 2 * slip[mine]), rough.dtype)
+            n, row = np.divmod(np.flatnonzero(found), end - start)
+            if len(n):
+                # the same sum wherever the row is stored
+                more.append((mine[n], row + start, (x[row] * q[mine[n]]).sum(axis=1)))
+                if sum(len(m[0]) for m in more) > 2 * k * len(q):
+                    settle()
+        if more:
+            settle()
+        n, row, score = kept
+        count = self.counts[row]
+        place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        ids = self.ids[np.repeat(self.starts[row], count) + place]
+        return queries[np.repeat(n, count)], ids, np.repeat(score, count)
+
+
+class Best:
+    """The best ids of each query among what a task has met so far."""
+
+    def __init__(self, k: int):
+        self.k, self.fresh = k, []
+        self.rows = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0)  # by query, best first
+        self.names, self.kth = self.rows[0], self.rows[2]
+
+    def settle(self) -> None:
+        query, ids, score = (np.concatenate([a, *b]) for a, b in zip(self.rows, zip(*self.fresh))) if self.fresh else self.rows
+        order = np.lexsort((ids, -score, query))
+        query, ids, score = query[order], ids[order], score[order]
+        new = np.r_[True, (np.diff(query) != 0) | (np.diff(ids) != 0)][:len(query)]  # a replica has the same score
+        query, ids, score = query[new], ids[new], score[new]
+        place = np.arange(len(query)) - np.searchsorted(query, query)
+        full = place == self.k - 1
+        self.names, self.kth = query[full], score[full]
+        self.rows, self.fresh = tuple(a[place < self.k] for a in (query, ids, score)), []
+
+    def bound(self, queries: np.ndarray) -> np.ndarray:
+        """The ``k``-th best score of each query, as last settled."""
+        if not len(self.names):
+            return np.full(len(queries), -np.inf)
+        at = np.minimum(np.searchsorted(self.names, queries), len(self.names) - 1)
+        return np.where(self.names[at] == queries, self.kth[at], -np.inf)
+
+    def emptied(self, step: int = 100_000):
+        self.settle()
+        rows = pa.RecordBatch.from_arrays([pa.array(a) for a in self.rows], names=["query", "vec_id", "score"])
+        self.__init__(self.k)
+        yield from (rows.slice(at, step) for at in range(0, rows.num_rows, step))
+
+
+def _scan(k: int, step: int = 1024, flush: int = 2_000_000):
+    """Rows in the order of shelf, share and kind (stored ones first) ->
+    each query's best among them, once for each task (or ``flush`` rows)."""
     def run(batches):
-        held: dict = {}
+        name, held, shelf, best = None, [], None, Best(k)
         for whole in batches:
-            for at in range(whole.num_rows):
-                row = whole.slice(at, 1)
-                block, asked = row.column("block").flatten(), row.column("asked").flatten()
-                x, q = _vectors(block.field("vector")), _vectors(asked.field("vector"))
-                queries, members = asked.field("class_id").to_numpy(), block.field("ids")
-                starts = members.offsets.to_numpy()
-                ids, owner = members.values.to_numpy(), np.repeat(np.arange(len(x)), np.diff(starts))
-                ids = ids[starts[0]:starts[-1]]
-                rough = q @ x.T
-                best = min(len(x), k)
-                names = queries.tolist()
-                # what a query's k-th best so far leaves out needs no look; scores that are only close do
-                least = np.array([held[n][1][-1] if n in held and len(held[n][1]) == k else -np.inf for n in names]) - 1e-9
-                for n in np.flatnonzero(rough.max(axis=1) >= least).tolist():
-                    query = names[n]
-                    bound = max(least[n], np.partition(rough[n], len(x) - best)[len(x) - best] - 1e-9)
-                    top = np.flatnonzero(rough[n] >= bound)  # with all ties
-                    exact = (x[top] * q[n]).sum(axis=1)  # the same sum wherever the row is stored
-                    score = np.full(len(x), -np.inf)
-                    score[top] = exact
-                    mine = np.isin(owner, top)
-                    _merge(held, query, ids[mine], score[owner[mine]], k)
-            if len(held) > flush:
-                yield emit(held)
-                held = {}
-        if held:
-            yield emit(held)
+            if not whole.num_rows:
+                continue
+            keys = np.stack([whole.column(c).to_numpy() for c in ("shelf", "share", "kind")])
+            cuts = [0, *(np.flatnonzero((np.diff(keys) != 0).any(axis=0)) + 1).tolist(), whole.num_rows]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if name != tuple(keys[:2, lo]):
+                    name, held, shelf = tuple(keys[:2, lo]), [], None
+                    best.settle()
+                    if len(best.rows[0]) > flush:
+                        yield from best.emptied()
+                if keys[2, lo] == 0:
+                    held.append(whole.slice(lo, hi - lo))
+                    continue
+                if shelf is None and held:
+                    shelf, held = Shelf(pa.Table.from_batches(held)), []
+                for at in range(lo, hi if shelf else lo, step):
+                    asked = whole.slice(at, min(step, hi - at))
+                    best.fresh.append(shelf.best(asked, k, best.bound(asked.column("class_id").to_numpy())))
+        yield from best.emptied()
     return run
 
 
@@ -316,9 +445,9 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
         for whole in batches:
             for lo in range(0, whole.num_rows, 512):
                 batch = whole.slice(lo, 512)
-                lists = sent.value.probes(sent.value.pointed(_vectors(batch.column("vector"))))
-                at = np.repeat(np.arange(len(lists)), [len(p) for p in lists])
-                yield _rows(batch, ["class_id", "vector"], at, cluster=pa.array(np.concatenate(lists), pa.int64()))
+                probes = sent.value.probes(sent.value.pointed(_vectors(batch.column("vector"))))
+                at, shelf, read = _on_shelves(probes, first, parts)
+                yield _rows(batch, ["class_id", "vector"], at, shelf=pa.array(shelf, pa.int64()), ids=read)
 
     kind = dict(classes.dtypes)["vector"]
     queries = cut(rows.where(F.col("vec_id") % every == 0), "ann-queries")
@@ -330,10 +459,25 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     for r in stored.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect():
         lists.sizes[r.cluster] = r.n
     sent = spark.sparkContext.broadcast(lists)
-    probes = cut(asked.mapInArrow(ask, f"cluster long, class_id long, vector {kind}"), "ann-probes")
-    pairs = (_blocks(stored, "class_id", ["vector", "ids"], "block")
-             .join(_blocks(probes, "class_id", ["class_id", "vector"], "asked"), "cluster").select("block", "asked"))
-    found = pairs.mapInArrow(_scan(k + 1), "query long, vec_id long, score double")
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    first, parts = shelves(lists.sizes, int(min(max(SHELF[0], -(-lists.sizes.sum() // tasks)), SHELF[1])))
+    probes = cut(asked.mapInArrow(ask, f"shelf long, ids array<long>, class_id long, vector {kind}"), "ann-probes")
+    # a shelf that very many queries ask for is read by several tasks, each with a share of them
+    many = sorted(probes.groupBy("shelf").agg(F.ceil(F.count(F.lit(1)) / ASKED).cast("int")).collect())
+    before = np.cumsum([0, *(n for _, n in many)]).tolist()
+    share_of = F.broadcast(spark.createDataFrame([(s, n, b) for (s, n), b in zip(many, before)], "shelf long, shares int, before long"))
+    list_of = F.broadcast(spark.createDataFrame(list(zip(range(len(first)), first.tolist(), parts.tolist())), "cluster long, first long, parts long"))
+    on_shelf = stored.join(list_of, "cluster").withColumn("shelf", F.col("first") + F.pmod(F.xxhash64("class_id"), F.col("parts"))).join(
+        share_of, "shelf").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).withColumn("kind", F.lit(0))
+    shared = probes.join(share_of, "shelf").withColumn("share", F.pmod(F.xxhash64("class_id"), F.col("shares")).cast("int")).withColumns(
+        {"kind": F.lit(1), "cluster": F.lit(0).cast("long")})
+    # shares are dealt in turn: a number for each task that is hashed to it alone
+    own = dict(spark.range(20 * tasks).select(F.pmod(F.hash("id"), F.lit(tasks)), "id").collect())
+    spot = F.get(F.array(*[F.lit(own.get(i, i)) for i in range(tasks)]), F.pmod(F.col("before") + F.col("share"), F.lit(tasks)).cast("int"))
+    columns = [spot.alias("spot"), "shelf", "share", "kind", "cluster", "class_id", "vector", "ids"]
+    dealt = on_shelf.select(*columns).unionByName(shared.select(*columns)).repartition(tasks, "spot").sortWithinPartitions(
+        "shelf", "share", "kind", "cluster", "class_id")
+    found = dealt.mapInArrow(_scan(k + 1), "query long, vec_id long, score double").repartition("query")
     found = found.groupBy("query", "vec_id").agg(F.max("score").alias("score"))
     nearest_first = [F.desc("score"), F.asc("vec_id")]
     top = found.withColumn("_r", F.row_number().over(Window.partitionBy("query").orderBy(*nearest_first))).where(

@@ -1,8 +1,10 @@
 """Posting lists: recall, exact scores, ties and rows that take no part."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from clasp.llm import neighbours
 from clasp.llm.neighbours import Lists, centroids, fit, graph_of, search
 
 SCHEMA = "vec_id long, embedding array<float>, label int, score string, rank int"
@@ -83,3 +85,63 @@ def test_small_isolated_clusters_fill_every_query(spark):
     want, got = brute(v), found(spark.createDataFrame([(i, y, 1, None, None) for i, y in v.items()], SCHEMA), list_size=20)
     assert set(got) == set(want) and all(len(rows) == 20 for rows in got.values())
     assert recall(got, want) >= 0.9
+
+
+def test_a_query_that_reads_most_lists_is_not_walked_further():
+    """Beyond the 32 nearest the walk costs a step for each list; then all
+    centroids are measured at once."""
+    x = np.random.default_rng(2).normal(size=(6000, 16))
+    lists = fit(x, 6000, float(np.sqrt((x * x).sum(axis=1)).max()), 20)
+    lists.slack, widths, walk = 0.6, [], lists.walk
+    lists.walk = lambda q, width: widths.append(width) or walk(q, width)
+    q = lists.pointed(x[:50])
+    dist = np.sqrt(((q[:, None, :] - lists.centroids[None]) ** 2).sum(axis=2))
+    got = lists.probes(q)
+    assert max(widths) <= 32 and np.mean([len(p) for p in got]) > 100
+    for p, d in zip(got, dist):
+        assert sorted(p) == np.flatnonzero(d <= 1.6 * max(d.min(), lists.usual) + 1e-12).tolist()
+
+
+def test_a_query_is_sent_once_to_each_shelf_of_its_lists():
+    first, parts = neighbours.shelves(np.array([30, 50, 0, 40, 250, 10, 90]), 100)
+    assert first.tolist() == [0, 0, 0, 1, 2, 5, 5] and parts.tolist() == [1, 1, 1, 1, 3, 1, 1]
+    at, shelf, lists = neighbours._on_shelves([np.array([6, 0, 5]), np.array([4]), np.array([1, 3, 0])], first, parts)
+    assert list(zip(at.tolist(), shelf.tolist(), lists.to_pylist())) == [
+        (0, 0, [0]), (0, 5, [5, 6]), (1, 2, [4]), (1, 3, [4]), (1, 4, [4]), (2, 0, [0, 1]), (2, 1, [3])]
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-25, 1e12, 1e18])
+def test_the_best_of_a_shelf_whatever_the_lengths(scale):
+    """Rough scores in single precision hide no row; a replica is one row."""
+    g = np.random.default_rng(4)
+    x = (g.normal(size=(900, 12)) * scale).astype("f4")
+    x[1:300:2] = x[0:300:2]  # ties
+    home = np.sort(g.integers(0, 3, size=1200))
+    row = np.concatenate([np.arange(900), g.integers(0, 900, 300)])
+    pairs = sorted({*zip(home.tolist(), row.tolist())})
+    vectors = pa.list_(pa.float32())
+    shelf = neighbours.Shelf(pa.table({"cluster": [c for c, _ in pairs], "class_id": [r for _, r in pairs], "vector": pa.array([x[r].tolist() for _, r in pairs], vectors),
+                                       "ids": [[r, r + 1000] if r % 7 == 0 else [r] for _, r in pairs]}))
+    read = [[0, 2], [1], [0, 1, 2], [9]]
+    asked = pa.RecordBatch.from_pydict({"class_id": [0, 20, 40, 60], "vector": pa.array([x[q].tolist() for q in (0, 20, 40, 60)], vectors), "ids": read})
+    got: dict = {}
+    for q, i, s in zip(*(c.tolist() for c in shelf.best(asked, 5))):
+        got.setdefault(q, []).append((-s, i))
+    for q, lists in zip((0, 20, 40, 60), read):
+        there = sorted({r for c, r in pairs if c in lists})
+        want = sorted((-float((x[r].astype("f8") * x[q].astype("f8")).sum()), r) for r in there)[:5]
+        assert sorted((s, i) for s, i in got.get(q, []) if i < 1000) == want
+        assert sorted(i - 1000 for _, i in got.get(q, []) if i >= 1000) == sorted(i for _, i in want if i % 7 == 0)
+
+
+def test_a_task_gives_each_query_its_best_once():
+    """However many shelves a task holds, a query has ``k`` rows of it."""
+    best = neighbours.Best(3)
+    rows = [(q, i, float((i * 7 + q) % 11)) for q in (5, 9) for i in range(10)] + [(7, 1, 2.0)]
+    for part in (rows[::2], rows[1::2], rows[:4]):
+        best.fresh.append(tuple(np.array(c) for c in zip(*part)))
+        best.settle()
+    want = [r for q in (5, 7, 9) for r in sorted((r for r in rows if r[0] == q), key=lambda r: (-r[2], r[1]))[:3]]
+    assert best.bound(np.array([9, 7, 5, 1])).tolist() == [want[-1][2], -np.inf, want[2][2], -np.inf]
+    assert [r for b in best.emptied(2) for r in zip(*(c.to_pylist() for c in b.columns))] == want
+    assert list(neighbours.Best(3).emptied()) == []
