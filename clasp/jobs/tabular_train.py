@@ -33,7 +33,7 @@ def run(spark: SparkSession, cfg: TabularJobConfig, data: DataFrame | None = Non
     data = data.withColumn("split", splits.hash_split_col(key.cast("string"), cfg.train_pct))
     pipe = tabular.tabular_pipeline(list(cfg.categorical), list(cfg.numeric), cfg.label,
                                     num_trees=cfg.num_trees, max_depth=cfg.max_depth, seed=cfg.seed)
-    model = fit_persisted(pipe, data.where(F.col("split") == "train"))
+    model = fit_persisted(pipe, data.where(F.col("split") == "train"), cells=True)
     sinks.save_model(model, cfg.model_path)
     # only held-out rows are scored; train rows are only counted
     test = models.decode_prediction(models.score(model, data.where(F.col("split") == "test"), cfg.label), model,

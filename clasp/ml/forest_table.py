@@ -21,6 +21,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clasp.ml.forest_cells import above
 from clasp.operators.joins import join_derived
 from clasp.session import materialise, scratch_path
 
@@ -93,7 +94,7 @@ def forest_votes(rows: DataFrame, keys: list[str], nodes: DataFrame, depth: int,
 
 
 def _cell_columns(nodes: DataFrame, x: Column, width: int) -> tuple[list[Column], Column]:
-    """For each feature, which of the forest's own thresholds a value lies
+    """For each feature that the forest asks for, which of the forest's own thresholds a value lies
     above (the value itself if categorical), and from those columns a feature
     array that takes the same way through every tree."""
     cuts = {r.feature: sorted(r.t) for r in nodes.where("threshold is not null").groupBy("feature")
@@ -103,11 +104,11 @@ def _cell_columns(nodes: DataFrame, x: Column, width: int) -> tuple[list[Column]
     for f in range(width):
         value = F.get(x, F.lit(f))
         if f in cuts:
-            cell.append(sum(((value > t).cast("int") for t in cuts[f][1:]), (value > cuts[f][0]).cast("int")).alias(f"_cell{f}"))
+            cell.append(F.coalesce(above(value, cuts[f]), F.lit(-1)).alias(f"_cell{f}"))
             ends = F.array(*map(F.lit, cuts[f]), F.lit(float("inf")))
             back.append(F.get(ends, F.col(f"_cell{f}")))
         elif f in used:
-            cell.append(value.alias(f"_cell{f}"))
+            cell.append(F.coalesce(value, F.lit(float("nan"))).alias(f"_cell{f}"))
             back.append(F.col(f"_cell{f}"))
         else:
             back.append(F.lit(0.0))
@@ -115,7 +116,7 @@ def _cell_columns(nodes: DataFrame, x: Column, width: int) -> tuple[list[Column]
 
 
 def agreement(scored: DataFrame, model: RandomForestClassificationModel, nodes: DataFrame, keep: list[str],
-              keys: list[str] | None = None, digits: float = 1e-9) -> DataFrame:
+              keys: list[str] | None = None, digits: float = 1e-9, by_cell: bool | None = None) -> DataFrame:
     """Rows that ``model`` scored, held against the walk: ``keep``, ``trees``
     (that voted), ``steps`` (over all trees: 0 for a classifier without
     splits), ``walked`` (the class with the most votes, the first of equals)
@@ -125,22 +126,28 @@ def agreement(scored: DataFrame, model: RandomForestClassificationModel, nodes:
     A forest over few features parts them into cells, at most the product of
     its bins, however many rows there are: each occurring cell is walked once
     and rows are joined to their cell. For vectors of many features, give
-    ``keys`` that name a row; then each row is walked."""
-    k, p = model.numClasses, vector_to_array("probability")
-    own = [F.col("prediction").alias("_c"), *[F.get(p, F.lit(i)).alias(f"_p{i}") for i in range(k)]]
-    x, names = vector_to_array("features"), ["_c", *[f"_p{i}" for i in range(k)]]
-    if keys:
-        every = list(dict.fromkeys([*keys, *keep]))
-        out = forest_votes(scored.select(*every, *own, x.alias("features")), every, nodes, model.getMaxDepth(), k, names)
+    ``keys`` that name a row; then each row is walked. With ``by_cell`` too,
+    cells are walked, and rows of the same ``keys`` and ``keep`` come as one
+    as they do in a walk by row."""
+    k, names = model.numClasses, ["_c", *[f"_p{i}" for i in range(model.numClasses)]]
+    every = list(dict.fromkeys([*(keys or []), *keep]))
+    # arrays are made once for each row, whatever many columns read them
+    rows = scored.select(*every, F.col("prediction").alias("_c"), vector_to_array("probability").alias("_p"), vector_to_array("features").alias("_x"))
+    own = ["_c", *[F.get("_p", F.lit(i)).alias(f"_p{i}") for i in range(k)]]
+    if keys and not by_cell:
+        out = forest_votes(rows.select(*every, *own, F.col("_x").alias("features")), every, nodes, model.getMaxDepth(), k, names)
     else:
-        cell, back = _cell_columns(nodes, x, model.numFeatures)
-        rows = scored.select(*keep, *own, F.lit(0).alias("_cell"), *cell)  # a forest without splits has one cell
-        keys = [c for c in rows.columns if c.startswith("_cell")]
+        cell, back = _cell_columns(nodes, F.col("_x"), model.numFeatures)
+        rows = rows.select(*every, *own, F.lit(0).alias("_cell"), *cell)  # a forest without splits has one cell
+        places = [c for c in rows.columns if c.startswith("_cell")]
         # cells are few and each is walked through every tree: one partition a core at least
         spark = scored.sparkSession
         wide = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-        one = rows.select(*keys).distinct().repartition(wide, *keys).select(*keys, back.alias("features"))
-        out = join_derived(rows, forest_votes(one, keys, nodes, model.getMaxDepth(), k), keys)
+        one = rows.select(*places).distinct().repartition(wide, *places).select(*places, back.alias("features"))
+        out = join_derived(rows, forest_votes(one, places, nodes, model.getMaxDepth(), k), places)
+        if keys:
+            out = out.groupBy(*every).agg(F.sum("trees").alias("trees"), F.sum("steps").alias("steps"), *[F.max(c).alias(c) for c in names],
+                                          *[F.sum(f"v{i}").alias(f"v{i}") for i in range(k)])
     total = sum((F.col(f"v{i}") for i in range(1, k)), F.col("v0"))
     near = F.lit(True)
     for i in range(k):

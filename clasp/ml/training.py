@@ -8,6 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clasp.ml import forest_cells
 from clasp.session import ensure_checkpoint_dir
 
 # Execution setting only: a forest keeps about 1.7 KB for a row of a dozen
@@ -17,17 +18,23 @@ ROWS_PER_TASK = 100_000
 TEXT_ROWS_PER_TASK = 25_000
 
 
-def fit_persisted(pipeline: Pipeline, train: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> PipelineModel:
+def fit_persisted(pipeline: Pipeline, train: DataFrame, rows_per_task: int = ROWS_PER_TASK,
+                  cells: bool = False) -> PipelineModel:
     """Fit on ``train`` persisted (memory, then disk). Give it at least one
     partition per core (``operators.partitioning.spread`` on its scans) so
     tree building uses every core. Where a partition holds more than
     ``rows_per_task`` rows, all are dealt out again evenly, at most about that
-    many to each."""
+    many to each. With ``cells`` (for forests over few features) rows that are
+    one to the learner are read as one, where that spares it most of them
+    (``forest_cells``)."""
     ensure_checkpoint_dir(train.sparkSession)
     cached = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        cached = _dealt(cached, rows_per_task)
-        return pipeline.fit(cached)
+        model = forest_cells.fit(pipeline, cached) if cells else None
+        if model is None:
+            cached = _dealt(cached, rows_per_task)
+            model = pipeline.fit(cached)
+        return model
     finally:
         cached.unpersist()
 

@@ -55,7 +55,8 @@ def _fitted(spark: SparkSession, key: tuple, fit):
 def fit_tabular(spark: SparkSession, d: str):
     data = _tab_split(spark, d)
     model = _fitted(spark, ("tabular", d), lambda: fit_persisted(
-        tabular.tabular_pipeline(CATS, NUMS, LABEL), data.where(F.col("split") == "train")))
+        tabular.tabular_pipeline(CATS, NUMS, LABEL),
+        data.where(F.col("split") == "train").select(*CATS, *NUMS, LABEL), cells=True))
     return model, data
 
 
@@ -110,12 +111,12 @@ def q_forest_nodes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_forest_predictions(spark: SparkSession, d: str) -> DataFrame:
-    """Held-out predictions of the tabular forest, decoded, and
-    walked through its node table row by row."""
+    """Held-out predictions of the tabular forest, decoded, each
+    held against the walk of its cell through the node table."""
     model, data = fit_tabular(spark, d)
     test = models.score(model, data.where(F.col("split") == "test"), LABEL)
     out = forest_table.agreement(test, model.stages[-1], _nodes(spark, "tabular", d, model),
-                                 ["o_orderkey", LABEL, "prediction"], keys=["o_orderkey"])
+                                 ["o_orderkey", LABEL, "prediction"], keys=["o_orderkey"], by_cell=True)
     decoded = models.decode_prediction(out, model, label_type="string")
     names = F.array(*map(F.lit, models.label_list(model)))
     return decoded.select("o_orderkey", F.col(LABEL).alias("label"), "trees", _splits(), "agrees",

@@ -132,3 +132,19 @@ def test_a_pointer_to_a_lost_node_leads_nowhere(model, nodes, patients):
     lost = whole.join(left.select("pid", "tree"), ["pid", "tree"], "left_anti")
     assert whole.count() == met and 0 < lost.count() == met - left.count()
     assert whole.join(left, ["pid", "tree", "steps", "votes"], "left_semi").count() == left.count()
+
+
+def test_cells_give_the_rows_of_a_walk_by_row(model, nodes, patients):
+    """Also where rows come twice, which a walk by row takes as one."""
+    twice = patients.unionByName(patients.where("pid < 50")).withColumn("risk", F.when(F.col("pid") % 9 > 0, F.col("risk")))
+    scored, keep = models.score(model, twice, "risk"), ["pid", "risk", "prediction"]
+    rows, cells = (forest_table.agreement(scored, model.stages[-1], nodes, keep, keys=["pid"], by_cell=by) for by in (False, True))
+    assert rows.count() == cells.count() == 300
+    assert rows.select(cells.columns).exceptAll(cells).count() == 0 and cells.where("trees = 14").count() == 50
+
+
+def test_features_are_read_once_for_all_cells(model, nodes, patients):
+    """One array of a row's features, not one for each threshold."""
+    out = forest_table.agreement(models.score(model, patients, "risk"), model.stages[-1], nodes, ["pid"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count("UDF(features") <= 2, plan.count("UDF(features")
