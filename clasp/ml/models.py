@@ -3,12 +3,17 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clasp.ml.forest_cells import above
+
 # The forest settings of both reference pipelines.
 NUM_TREES = 100
 MAX_DEPTH = 10
@@ -20,6 +25,7 @@ SEED = 42
 # give each pass enough memory to split more nodes at once.
 CACHE_NODE_IDS = True
 MAX_MEMORY_MB = 1024
+MAX_SORTED_FEATURES = 64  # beyond, rows are scored in the order they come
 
 
 def forest(features: str = "features", label: str = "label", num_trees: int = NUM_TREES,
@@ -64,15 +70,44 @@ def decode_prediction(df: DataFrame, model: PipelineModel, label_type: str | Non
     return dec.drop(pred_col).withColumn(out, value).drop("_decoded")
 
 
+def _thresholds(forest: RandomForestClassificationModel) -> dict[int, list[float]]:
+    """The values that the forest's trees part each numeric feature at."""
+    if not hasattr(forest, "_thresholds"):
+        found: dict = {}
+        for feature, value in re.findall(r"If \(feature (\d+) <= ([^)]+)\)", forest.toDebugString):
+            found.setdefault(int(feature), set()).add(float(value))
+        forest._thresholds = {f: sorted(v) for f, v in found.items()}
+    return forest._thresholds
+
+
+def _transformed(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """``model.transform(df)``. A forest of thousands of nodes waits for
+    memory at every step of a row; over few features, rows are therefore
+    taken in the order of the forest's bins within their partition, so that a
+    row goes the way of the one before it."""
+    *prep, forest = model.stages
+    if df.isStreaming or not isinstance(forest, RandomForestClassificationModel) or forest.numFeatures > MAX_SORTED_FEATURES:
+        return model.transform(df)
+    prepared = PipelineModel(stages=prep).transform(df).withColumn("__x", vector_to_array(forest.getFeaturesCol()))
+    cuts, place, size = _thresholds(forest), F.lit(0).cast("bigint"), 1
+    for i in range(forest.numFeatures):
+        wide = len(cuts.get(i, [0])) + 1
+        if size * wide < 2 ** 62:
+            place, size = place * wide + F.coalesce(above(F.get("__x", F.lit(i)), cuts.get(i, [0.0])), F.lit(0)), size * wide
+    # below a join Spark drops an order of rows, but not past a filter that isn't deterministic
+    ordered = prepared.withColumn("__x", place).sortWithinPartitions("__x").drop("__x").where(F.monotonically_increasing_id() >= 0)
+    return forest.transform(ordered)
+
+
 def score(model: PipelineModel, df: DataFrame, label_col: str | None = None) -> DataFrame:
     """Apply a fitted pipeline (batch or stream). The label
     indexer is skipped when its input column is absent, so ``label_col``
     is hidden during the transform and restored after: rows whose label is
     null or was never seen in training are scored instead of failing."""
     if not label_col or label_col not in df.columns:
-        return model.transform(df)
+        return _transformed(model, df)
     hidden = f"__kept_{label_col}"
-    out = model.transform(df.withColumnRenamed(label_col, hidden))
+    out = _transformed(model, df.withColumnRenamed(label_col, hidden))
     return out.withColumnRenamed(hidden, label_col)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from clasp.ml.models import decode_prediction
+from clasp.ml.models import decode_prediction, score
 from clasp.streaming.decode import decode_json, split_valid
 
 
@@ -25,7 +25,7 @@ def scored_stream(stream: DataFrame, schema: StructType | str, model: PipelineMo
         good, bad = split_valid(batch, required, raw_col="_raw")
         if label_col and label_alias:
             good = good.withColumnRenamed(label_col, label_alias)
-        scored = decode_prediction(model.transform(good), model, label_type=label_type)
+        scored = decode_prediction(score(model, good), model, label_type=label_type)
         out = scored.select(*keep_cols, "prediction_index", "prediction",
                             F.current_timestamp().alias("fecha_proceso"))
         return out, bad

@@ -134,3 +134,18 @@ def test_no_training_task_holds_too_many_rows(spark, patients):
         sizes = fit_persisted(fit, rows, rows_per_task=limit)
         assert len(sizes) == tasks and max(sizes) <= most and fit.ids == list(range(400)) and fit.storage
     assert fit_persisted(Fit(), patients.where("pid < 0"), rows_per_task=30) == []
+
+
+def test_rows_are_scored_in_the_order_of_the_forests_bins(spark, patients):
+    """Also below a join; the rows and their predictions are the same."""
+    cats, nums = ["Sex", "ChestPainType"], ["Age", "Cholesterol", "Oldpeak"]
+    model = tabular.tabular_pipeline(cats, nums, "HeartDisease", num_trees=5, max_depth=4).fit(patients)
+    odd = patients.withColumn("Sex", F.when(F.col("pid") % 7 > 0, F.col("Sex"))).coalesce(1)
+    plain = model.transform(odd.withColumnRenamed("HeartDisease", "hd")).select("pid", "prediction", "probability")
+    scored = models.score(model, odd, "HeartDisease").select("pid", "prediction", "probability")
+    assert sorted(map(str, plain.collect())) == sorted(map(str, scored.collect()))
+    joined = scored.join(spark.range(400).select(F.col("id").cast("int").alias("pid")), "pid")
+    assert "Sort [__x" in joined._jdf.queryExecution().optimizedPlan().toString()
+    cuts = models._thresholds(model.stages[-1])
+    ages = [sum(r.Age > t for t in cuts[0]) for r in models.score(model, odd, "HeartDisease").select("Age").collect()]
+    assert ages == sorted(ages)
